@@ -30,6 +30,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.session import cut_lineage
+
 TOKEN_PATTERN = r"\w\w+"
 
 
@@ -50,8 +52,11 @@ def tokenize(df: DataFrame, text_col: str, out_col: str = "tokens",
 
 
 def term_counts(docs: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    """``(id, term, tf)``."""
-    return (docs.select(id_col, F.explode(tokens_col).alias("term"))
+    """``(id, term, tf)``.  ``explode_outer`` + a NULL filter instead of
+    ``explode``: the latter makes Catalyst add ``size(tokens) > 0`` as a
+    filter, which would run the whole tokenising expression a second time."""
+    return (docs.select(id_col, F.explode_outer(tokens_col).alias("term"))
+                .where(F.col("term").isNotNull())
                 .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -73,7 +78,10 @@ def tfidf_long(docs: DataFrame, id_col: str, tokens_col: str, max_features: int
                vocabulary: Sequence[str] | DataFrame | None = None) -> DataFrame:
     """``(id, term, weight)`` for every (document, vocabulary term) present."""
     n_docs = docs.count()
-    tf = term_counts(docs, id_col, tokens_col)
+    # the term counts feed the vocabulary, the IDF and the weights: compute
+    # them once (text cleaning and tokenising are the expensive part) and
+    # keep them in the shared checkpoint directory
+    tf = cut_lineage(term_counts(docs, id_col, tokens_col))
     if vocabulary is None:
         vocab = top_terms(tf, max_features)
     elif isinstance(vocabulary, DataFrame):
@@ -99,7 +107,7 @@ def idf_vector(docs: DataFrame, tokens_col: str, vocabulary: Sequence[str]) -> l
     the result has len(vocabulary) entries)."""
     n_docs = docs.count()
     dfreq = {r["term"]: r["n"] for r in
-             docs.select(F.explode(F.array_distinct(tokens_col)).alias("term"))
+             docs.select(F.explode_outer(F.array_distinct(tokens_col)).alias("term"))
                  .where(F.col("term").isin(list(vocabulary)))
                  .groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
     return [math.log((1.0 + n_docs) / (1.0 + dfreq.get(t, 0))) + 1.0 for t in vocabulary]

@@ -32,7 +32,7 @@ from basketry.operators import tfidf as TF
 from basketry.operators.partitions import repartition_report
 from basketry.operators.quantiles import exact_quantiles
 from basketry.operators.sequence import sequence_items
-from basketry.session import scratch_path
+from basketry.session import scratch_path, spread
 from basketry.sources import csv as CSV
 from basketry.sources import local as L
 from basketry.sources import sinks as S
@@ -258,7 +258,7 @@ def _part_tokens(spark, sf):
 
 
 def _document_tokens(spark, sf):
-    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
     return TF.tokenize(docs.select("doc_id", clean_text("text").alias("clean_text")), "clean_text")
 
 
@@ -267,7 +267,7 @@ def q_text_clean(spark, sf):
 
 
 def q_text_clean_documents(spark, sf):
-    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
     return docs.select("doc_id", clean_text("text").alias("clean_text"))
 
 

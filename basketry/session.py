@@ -57,8 +57,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/basketry-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint dir), so that
-    iterative consumers survive executor loss without replaying long lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a parquet table under the shared checkpoint
+    directory and continue from that table.  Later stages (and iterative
+    fits) read the written files, so a lost executor costs a re-read rather
+    than a replay of the whole lineage; parquet keeps the data columnar and
+    compressed, with statistics for filter pushdown."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` across at least ``defaultParallelism``
+    partitions, but only when it currently has fewer (a small file with few
+    row groups ahead of CPU-heavy text work).  Large inputs already arrive in
+    many scan splits and pass through unchanged, without a shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
