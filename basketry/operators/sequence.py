@@ -1,22 +1,195 @@
 """Ordered item sequences: one row per item with its 1-based position in its
-group, its predecessor's value and whether it is the group's last item."""
+group, its predecessor's value and whether it is the group's last item.
+
+``sequence_items`` is built for skewed groups.  A ``Window.partitionBy(group)``
+would send every row of a group to one task, so a single order holding a
+third of all rows would be one task's work.  Instead:
+
+1. ``repartitionByRange`` on the full sort key (group + in-group order).  The
+   range bounds are sampled, so a hot group is split across many
+   partitions, each holding a contiguous run of it.
+2. Inside each partition (already sorted), a vectorised pandas pass computes
+   the local position, the local predecessor and a local is-last flag.  It
+   streams Arrow batches and carries one row between batches, so memory does
+   not grow with the partition.
+3. Only the first and last row of every partition (<= 2 x partitions rows)
+   go to the driver.  From them the driver derives, per partition, the
+   position offset of a group that started in earlier partitions, the
+   predecessor of the partition's first row and whether its last row really
+   ends its group.  These (<= partitions rows) are broadcast back and applied
+   with a join on the partition id.
+
+The pandas pass output is written once under the shared checkpoint folder
+(``cut_lineage``): the edge summary and the final projection both read it, so
+the shuffle and the pandas pass run once.
+
+``sequence_items_window`` is the plain window formulation with the same
+output, kept as the reference implementation for tests.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from basketry.session import cut_lineage
 
-def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], item_col: str,
-                   out_item: str = "item") -> DataFrame:
-    """``(group, <sort cols>, item, pos, prev_item, is_last)``."""
+_PANDAS_NULLABLE = {
+    T.ByteType: "Int8", T.ShortType: "Int16", T.IntegerType: "Int32", T.LongType: "Int64",
+    T.FloatType: "float32", T.DoubleType: "float64", T.BooleanType: "boolean", T.StringType: "object",
+}
+
+
+def sequence_items_window(items: DataFrame, group_col: str, sort_cols: Sequence[str], item_col: str,
+                          out_item: str = "item") -> DataFrame:
+    """``(group, <sort cols>, item, pos, prev_item, is_last)`` with a window per group."""
     w = Window.partitionBy(group_col).orderBy(*sort_cols)
     base = items.select(group_col, *sort_cols, F.col(item_col).alias(out_item))
     return base.select(
         "*",
-        F.row_number().over(w).alias("pos"),
+        F.row_number().over(w).cast("bigint").alias("pos"),
         F.lag(out_item).over(w).alias("prev_item"),
         F.lead(F.lit(1)).over(w).isNull().alias("is_last"),
     )
+
+
+def _differs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Element-wise ``a != b`` with NULL/NaN equal to NULL/NaN."""
+    na, nb = pd.isna(a), pd.isna(b)
+    with np.errstate(invalid="ignore"):
+        return np.where(na | nb, na != nb, a != b).astype(bool)
+
+
+def _local_pass(group_col: str, item_col: str, item_dtype: str):
+    """Per-partition pandas pass over rows sorted by (group, order keys)."""
+
+    def finish(pdf, lpos, prev, last_local, p_first, pid):
+        out = pdf.copy()
+        out["_pid"] = np.int32(pid)
+        out["_lpos"] = lpos.astype("int64")
+        out["prev_item"] = prev
+        out["_last_local"] = last_local
+        out["_p_first"] = p_first
+        out["_p_last"] = False
+        return out
+
+    def run(batches):
+        pid = TaskContext.get().partitionId()
+        held = None          # last row of the previous batch; its is-last flag is still open
+        state = None         # (group, local position, item) of the held row
+        seen_first = False
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            g = pdf[group_col].to_numpy()
+            starts = np.empty(n, dtype=bool)
+            starts[0] = state is None or bool(_differs(g[:1], np.array([state[0]], dtype=g.dtype))[0])
+            starts[1:] = _differs(g[1:], g[:-1])
+            idx = np.arange(n)
+            run_start = np.maximum.accumulate(np.where(starts, idx, 0))
+            lpos = idx - run_start + 1
+            if not starts[0]:
+                lpos[: (np.argmax(starts) if starts.any() else n)] += state[1]
+            items = pdf[item_col].astype(item_dtype)
+            prev = items.shift(1)
+            prev[starts] = None
+            if not starts[0]:
+                prev.iloc[0] = state[2]
+            last_local = np.empty(n, dtype=bool)
+            last_local[:-1] = starts[1:]
+            last_local[-1] = False          # decided by the next row
+            p_first = np.zeros(n, dtype=bool)
+            if not seen_first:
+                p_first[0] = True
+                seen_first = True
+            done = finish(pdf, lpos, prev, last_local, p_first, pid)
+            if held is not None:
+                held["_last_local"] = bool(starts[0])
+                yield held
+            if n > 1:
+                yield done.iloc[:-1]
+            held = done.iloc[-1:].copy()
+            state = (g[-1], int(lpos[-1]), items.iloc[-1])
+        if held is not None:
+            held["_last_local"] = True
+            held["_p_last"] = True
+            yield held
+
+    return run
+
+
+def _edge_fixes(edges: list, group_type: T.DataType, item_type: T.DataType) -> tuple[list, T.StructType]:
+    """From the first/last row of every partition, the per-partition fixes:
+    position offset for the partition's first group, predecessor of its first
+    row, and whether its last row ends its group."""
+    by_pid: dict[int, dict] = {}
+    for r in edges:
+        e = by_pid.setdefault(r["_pid"], {})
+        if r["_p_first"]:
+            e["first"] = r
+        if r["_p_last"]:
+            e["last"] = r
+    fixes: dict[int, list] = {}
+    carry = None                      # (group, true position, item, pid) of the previous partition's last row
+    for pid in sorted(by_pid):
+        first, last = by_pid[pid]["first"], by_pid[pid]["last"]
+        g0 = first["_g"]
+        if carry is not None and carry[0] == g0:
+            offset, prev_first = carry[1], carry[2]
+            fixes[carry[3]][4] = False                # previous partition's last row does not end its group
+        else:
+            offset, prev_first = 0, None
+        fixes[pid] = [pid, g0, offset, prev_first, True]
+        last_pos = last["_lpos"] + (offset if last["_g"] == g0 else 0)
+        carry = (last["_g"], last_pos, last["_item"], pid)
+    schema = T.StructType([
+        T.StructField("_pid", T.IntegerType()), T.StructField("_fix_group", group_type),
+        T.StructField("_fix_offset", T.LongType()), T.StructField("_fix_prev", item_type),
+        T.StructField("_fix_last", T.BooleanType()),
+    ])
+    return [tuple(v) for v in fixes.values()], schema
+
+
+def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], item_col: str,
+                   out_item: str = "item", partitions: int | None = None) -> DataFrame:
+    """``(group, <sort cols>, item, pos, prev_item, is_last)``, skew-safe.
+
+    ``(group, sort_cols)`` must be unique, so the in-group order is total.
+    """
+    spark = items.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [group_col, *sort_cols]
+    base = items.select(*keys, F.col(item_col).alias(out_item))
+    item_type = base.schema[out_item].dataType
+    group_type = base.schema[group_col].dataType
+    item_dtype = _PANDAS_NULLABLE.get(type(item_type), "object")
+    out_schema = T.StructType(base.schema.fields + [
+        T.StructField("_pid", T.IntegerType()), T.StructField("_lpos", T.LongType()),
+        T.StructField("prev_item", item_type), T.StructField("_last_local", T.BooleanType()),
+        T.StructField("_p_first", T.BooleanType()), T.StructField("_p_last", T.BooleanType()),
+    ])
+    ranged = base.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
+    local = cut_lineage(ranged.mapInPandas(_local_pass(group_col, out_item, item_dtype), out_schema), "sequence")
+
+    edges = (local.where(F.col("_p_first") | F.col("_p_last"))
+                  .select("_pid", F.col(group_col).alias("_g"), "_lpos", F.col(out_item).alias("_item"),
+                          "_p_first", "_p_last").collect())
+    fix_rows, fix_schema = _edge_fixes(edges, group_type, item_type)
+    fixes = spark.createDataFrame(fix_rows, fix_schema)        # at most one row per partition
+
+    joined = local.join(F.broadcast(fixes), "_pid", "left")
+    in_first_group = F.col(group_col).eqNullSafe(F.col("_fix_group"))
+    return joined.select(
+        *keys, out_item,
+        (F.col("_lpos") + F.when(in_first_group, F.col("_fix_offset")).otherwise(F.lit(0))).alias("pos"),
+        F.when(F.col("_p_first"), F.col("_fix_prev")).otherwise(F.col("prev_item")).alias("prev_item"),
+        F.when(F.col("_p_last"), F.col("_fix_last")).otherwise(F.col("_last_local")).alias("is_last"),
+    )
