@@ -65,6 +65,26 @@ def build_baskets(items: DataFrame, values: Mapping[str, Column | str], order_co
     return gathered.select(order_col, *[F.col(f"_items.{name}").alias(name) for name in values])
 
 
+def build_basket_chunks(items: DataFrame, values: Mapping[str, str], chunk_size: int, order_col: str = ORDER,
+                        sort_cols: Sequence[str] = ITEM_ORDER, partitions: int | None = None) -> DataFrame:
+    """Baskets for skewed data: ``(order, chunk, first_pos, <arrays>)`` where
+    chunk k holds the items at positions k*chunk_size+1 .. (k+1)*chunk_size.
+    Concatenating an order's chunks by ``chunk`` gives its whole basket; no
+    row ever holds more than ``chunk_size`` items, however large the order.
+    Positions come from the range-partitioned ``sequence_items``."""
+    from basketry.operators.sequence import sequence_items
+
+    names = list(values)
+    first = names[0]
+    seq = sequence_items(items.withColumns({n: F.col(c) for n, c in values.items()}), order_col, sort_cols, first,
+                         out_item=first, partitions=partitions, carry=names[1:])
+    chunk = F.floor((F.col("pos") - 1) / F.lit(chunk_size)).cast("bigint")
+    gathered = (seq.groupBy(order_col, chunk.alias("chunk"))
+                   .agg(F.sort_array(F.collect_list(F.struct("pos", *names))).alias("_items"),
+                        F.min("pos").alias("first_pos")))
+    return gathered.select(order_col, "chunk", "first_pos", *[F.col(f"_items.{n}").alias(n) for n in names])
+
+
 def keep_min_size(baskets: DataFrame, column: str, min_size: int = 2) -> DataFrame:
     """Baskets with at least ``min_size`` items (a NULL array never passes)."""
     return baskets.filter(F.size(column) >= min_size)

@@ -7,6 +7,7 @@ final aggregation (map-side combine, then a small shuffle) and one scan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
@@ -101,10 +102,21 @@ def iqr_fences(q1: float, q3: float, k: float = 1.5) -> tuple[float, float]:
     return q1 - k * iqr, q3 + k * iqr
 
 
+_INTEGRAL = ("byte", "short", "integer", "long")
+
+
 def outside(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    """Rows strictly below ``low`` or strictly above ``high``; literal bounds
-    let the predicate reach the parquet scan."""
-    return df.filter((F.col(column) < F.lit(low)) | (F.col(column) > F.lit(high)))
+    """Rows strictly below ``low`` or strictly above ``high``.
+
+    The bounds are literals in the column's own type, so the predicate is
+    pushed into the parquet scan (row-group statistics skip whole groups).
+    For an integer column x: x < low <=> x < ceil(low) and x > high <=>
+    x > floor(high), which avoids casting the column to double."""
+    if df.schema[column].dataType.typeName() in _INTEGRAL and math.isfinite(low) and math.isfinite(high):
+        lo, hi = F.lit(math.ceil(low)).cast("long"), F.lit(math.floor(high)).cast("long")
+    else:
+        lo, hi = F.lit(low), F.lit(high)
+    return df.filter((F.col(column) < lo) | (F.col(column) > hi))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

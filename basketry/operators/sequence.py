@@ -47,10 +47,10 @@ _PANDAS_NULLABLE = {
 
 
 def sequence_items_window(items: DataFrame, group_col: str, sort_cols: Sequence[str], item_col: str,
-                          out_item: str = "item") -> DataFrame:
-    """``(group, <sort cols>, item, pos, prev_item, is_last)`` with a window per group."""
+                          out_item: str = "item", carry: Sequence[str] = ()) -> DataFrame:
+    """``(group, <sort cols>, item, <carry>, pos, prev_item, is_last)`` with a window per group."""
     w = Window.partitionBy(group_col).orderBy(*sort_cols)
-    base = items.select(group_col, *sort_cols, F.col(item_col).alias(out_item))
+    base = items.select(group_col, *sort_cols, F.col(item_col).alias(out_item), *carry)
     return base.select(
         "*",
         F.row_number().over(w).cast("bigint").alias("pos"),
@@ -159,15 +159,16 @@ def _edge_fixes(edges: list, group_type: T.DataType, item_type: T.DataType) -> t
 
 
 def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], item_col: str,
-                   out_item: str = "item", partitions: int | None = None) -> DataFrame:
-    """``(group, <sort cols>, item, pos, prev_item, is_last)``, skew-safe.
+                   out_item: str = "item", partitions: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """``(group, <sort cols>, item, <carry>, pos, prev_item, is_last)``, skew-safe.
 
-    ``(group, sort_cols)`` must be unique, so the in-group order is total.
+    ``(group, sort_cols)`` must be unique, so the in-group order is total;
+    ``carry`` columns are passed through unchanged.
     """
     spark = items.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group_col, *sort_cols]
-    base = items.select(*keys, F.col(item_col).alias(out_item))
+    base = items.select(*keys, F.col(item_col).alias(out_item), *carry)
     item_type = base.schema[out_item].dataType
     group_type = base.schema[group_col].dataType
     item_dtype = _PANDAS_NULLABLE.get(type(item_type), "object")
@@ -188,7 +189,7 @@ def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], i
     joined = local.join(F.broadcast(fixes), "_pid", "left")
     in_first_group = F.col(group_col).eqNullSafe(F.col("_fix_group"))
     return joined.select(
-        *keys, out_item,
+        *keys, out_item, *carry,
         (F.col("_lpos") + F.when(in_first_group, F.col("_fix_offset")).otherwise(F.lit(0))).alias("pos"),
         F.when(F.col("_p_first"), F.col("_fix_prev")).otherwise(F.col("prev_item")).alias("prev_item"),
         F.when(F.col("_p_last"), F.col("_fix_last")).otherwise(F.col("_last_local")).alias("is_last"),

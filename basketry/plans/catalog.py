@@ -209,6 +209,15 @@ def q_baskets_min_size(spark, sf):
     return _render_baskets(b.withColumn("n_items", F.size("product_ids").cast("bigint")))
 
 
+BASKET_CHUNK = 3
+
+
+def q_basket_chunks(spark, sf):
+    """Baskets split into rows of at most BASKET_CHUNK items (skew-safe form)."""
+    ch = B.build_basket_chunks(joined_items(spark, sf), BASKET_VALUES, BASKET_CHUNK)
+    return _render_baskets(ch)
+
+
 def q_basket_items_exploded(spark, sf):
     e = B.explode_items(baskets(spark, sf), "product_ids", "product_id")
     return e.withColumn("pos", F.col("pos").cast("bigint"))

@@ -16,7 +16,7 @@ import zipfile
 
 from basketry.functions.text import NAME_STOPWORDS
 from basketry.operators.classify import SPLIT_MULTIPLIER, SPLIT_PRIME
-from basketry.plans.catalog import (DIGITS, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS,
+from basketry.plans.catalog import (BASKET_CHUNK, DIGITS, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS,
                                     NEXT_ITEM_PARAMS, RETURNFLAG_LABELS, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
 
 
@@ -231,6 +231,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT order_id, order_product_id, product_id, product_name, aisle_id, department_id, line_no FROM joined""",
         "baskets": f"{BASKET_CTES}\nSELECT {basket_cols} FROM baskets",
         "baskets_min_size": f"{BASKET_CTES}\nSELECT {basket_cols} FROM baskets WHERE len(product_ids) >= 2",
+        "basket_chunks": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED},
+            pos AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos FROM joined)
+            SELECT order_id, CAST((pos - 1) // {BASKET_CHUNK} AS BIGINT) AS chunk, min(pos) AS first_pos,
+                   array_to_string(list(order_product_id ORDER BY pos), ',') AS product_ids,
+                   array_to_string(list(aisle_id ORDER BY pos), ',') AS aisle_ids,
+                   array_to_string(list(department_id ORDER BY pos), ',') AS department_ids,
+                   array_to_string(list(processed_product_name ORDER BY pos), '|') AS product_names
+            FROM pos GROUP BY order_id, (pos - 1) // {BASKET_CHUNK}""",
         "basket_items_exploded": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED}
             SELECT order_id, row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos,
                    order_product_id AS product_id FROM joined""",

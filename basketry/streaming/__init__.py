@@ -1,0 +1,6 @@
+"""Streaming.
+
+The workload has no streaming sources, watermarks, windows or state: every
+program reads whole files in batch.  This package is intentionally empty;
+all operators are batch DataFrame jobs (see README, "Not built").
+"""

@@ -74,3 +74,15 @@ def test_baskets_equal_after_repartition(spark):
     j = C.joined_items(spark, SF01).repartition(5)
     b = B.build_baskets(j, C.BASKET_VALUES)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_basket_chunks_hot_order(spark):
+    rows = [(0, i, i % 13) for i in range(500)] + [(o, i, o + i) for o in range(1, 200) for i in range(o % 5 + 1)]
+    items = spark.createDataFrame(rows, "order_id long, line int, item int")
+    whole = {r[0]: r[1] for r in B.build_baskets(items, {"items": "item"}, sort_cols=["line"]).collect()}
+    ch = B.build_basket_chunks(items, {"items": "item"}, 16, sort_cols=["line"], partitions=6)
+    assert ch.where(F.size("items") > 16).count() == 0
+    parts = {}
+    for r in ch.orderBy("order_id", "chunk").collect():
+        parts.setdefault(r["order_id"], []).extend(r["items"])
+    assert parts == whole
