@@ -24,7 +24,7 @@ The pandas pass output is written once under the shared checkpoint folder
 the shuffle and the pandas pass run once.
 
 ``sequence_items_window`` is the plain window formulation with the same
-output, kept as the reference implementation for tests.
+output, kept as the baseline implementation for tests.
 """
 
 from __future__ import annotations

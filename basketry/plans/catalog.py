@@ -359,7 +359,7 @@ def q_virtual_product_baskets(spark, sf):
 # ---------------------------------------------------------------- classification
 
 def _doc_features(spark, sf):
-    docs = read_table(spark, sf, "documents", ["doc_id", "text", "lang"])
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]), "doc_id")
     return C.assemble(C.text_shape_features(docs, "text")).drop("text")
 
 
