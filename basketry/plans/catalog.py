@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.functions.arrays import join_ints, one_hot_dense
+from basketry.functions.arrays import cast_elements, join_ints, one_hot_dense
 from basketry.functions.text import clean_text, contains_ci, first_word
 from basketry.operators import baskets as B
 from basketry.operators import classify as C
@@ -209,6 +209,20 @@ def q_baskets_min_size(spark, sf):
     return _render_baskets(b.withColumn("n_items", F.size("product_ids").cast("bigint")))
 
 
+def q_basket_cast_elements(spark, sf):
+    """Baskets whose ids arrive as text (as from a header-only CSV) and are
+    cast element-wise with a higher-order ``transform``."""
+    part = read_table(spark, sf, "part", ["p_partkey", "p_brand", "p_size"])
+    text_ids = part.select(F.col("p_partkey").alias("product_id"),
+                           F.regexp_extract("p_brand", r"(\d+)$", 1).alias("aisle_id"),
+                           F.col("p_size").cast("string").alias("department_id"))
+    items = B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), text_ids)
+    b = B.build_baskets(items, {"aisle_ids": "aisle_id", "department_ids": "department_id"})
+    cast = b.select("order_id", cast_elements("aisle_ids", "int").alias("aisle_ids"),
+                    cast_elements("department_ids", "int").alias("department_ids"))
+    return _render_baskets(cast)
+
+
 BASKET_CHUNK = 3
 
 
@@ -375,6 +389,15 @@ def q_train_test_split(spark, sf):
         "split_bucket", C.split_bucket("doc_id", SPLIT_SEED).cast("bigint"))
 
 
+def q_random_split_stable(spark, sf):
+    """80/20 ``randomSplit`` (seed 42) after fixing the layout: split sizes."""
+    docs = read_table(spark, sf, "documents", ["doc_id", "lang"])
+    train, test = C.random_split_stable(docs, "doc_id", [0.8, 0.2], seed=SPLIT_SEED)
+    return (train.select(F.lit("train").alias("split"), "doc_id")
+                 .unionByName(test.select(F.lit("test").alias("split"), "doc_id"))
+                 .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+
+
 def _rf(spark, sf):
     feats, labels = C.index_labels(C.hash_split(_doc_features(spark, sf), "doc_id", TEST_PERCENT, SPLIT_SEED), "lang")
     model = C.fit_random_forest(feats.where(F.col("split") == "train"), num_trees=100, seed=42)

@@ -231,6 +231,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT order_id, order_product_id, product_id, product_name, aisle_id, department_id, line_no FROM joined""",
         "baskets": f"{BASKET_CTES}\nSELECT {basket_cols} FROM baskets",
         "baskets_min_size": f"{BASKET_CTES}\nSELECT {basket_cols} FROM baskets WHERE len(product_ids) >= 2",
+        "basket_cast_elements": f"""{BASKET_CTES}
+            SELECT order_id, {_ints('aisle_ids')} AS aisle_ids, {_ints('department_ids')} AS department_ids FROM baskets""",
         "basket_chunks": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED},
             pos AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos FROM joined)
             SELECT order_id, CAST((pos - 1) // {BASKET_CHUNK} AS BIGINT) AS chunk, min(pos) AS first_pos,

@@ -64,3 +64,10 @@ def test_classifier_runs_and_predicts_known_labels(spark):
     assert pred.count() == test.count()
     loss = N.loss_history(model)
     assert loss[-1] <= loss[0]
+
+
+def test_random_split_stable_same_on_any_layout(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id")
+    a = sorted(r[0] for r in CL.random_split_stable(docs, "doc_id", [0.8, 0.2], seed=42)[1].collect())
+    b = sorted(r[0] for r in CL.random_split_stable(docs.repartition(5), "doc_id", [0.8, 0.2], seed=42)[1].collect())
+    assert a == b and 0 < len(a) < 1000
