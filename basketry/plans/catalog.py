@@ -338,7 +338,7 @@ def q_cluster_members(spark, sf):
 
 
 def q_nearest_centroid(spark, sf):
-    emb = read_table(spark, sf, "embeddings")
+    emb = spread(read_table(spark, sf, "embeddings"), "vec_id")
     cents = K.label_centroids(emb, "embedding", "label")
     out = K.nearest_centroid(emb, "embedding", cents, out_id="nearest_label")
     return out.select("vec_id", "label", "nearest_label", _r("distance").alias("distance"))
@@ -426,7 +426,7 @@ def q_rf_confusion_matrix(spark, sf):
 
 
 def q_confusion_matrix(spark, sf):
-    emb = read_table(spark, sf, "embeddings")
+    emb = spread(read_table(spark, sf, "embeddings"), "vec_id")
     pred = K.nearest_centroid(emb, "embedding", K.label_centroids(emb, "embedding", "label"), out_id="prediction")
     return C.confusion_matrix(pred, "label", "prediction")
 

@@ -71,3 +71,22 @@ def test_random_split_stable_same_on_any_layout(spark):
     a = sorted(r[0] for r in CL.random_split_stable(docs, "doc_id", [0.8, 0.2], seed=42)[1].collect())
     b = sorted(r[0] for r in CL.random_split_stable(docs.repartition(5), "doc_id", [0.8, 0.2], seed=42)[1].collect())
     assert a == b and 0 < len(a) < 1000
+
+
+def test_nearest_centroid_numpy_equals_expression(spark):
+    emb = spark.read.parquet(f"{SF01}/embeddings.parquet")
+    cents = K.label_centroids(emb, "embedding", "label")
+    a = K.nearest_centroid(emb, "embedding", cents).select("vec_id", "nearest_id", "distance")
+    b = K.nearest_centroid_expr(emb, "embedding", cents).select("vec_id", F.col("nearest_id").alias("e_id"),
+                                                                 F.col("distance").alias("e_d"))
+    j = a.join(b, "vec_id")
+    assert j.count() == emb.count()
+    assert j.where(F.col("nearest_id") != F.col("e_id")).count() == 0
+    assert j.agg(F.max(F.abs(F.col("distance") - F.col("e_d")))).first()[0] < 1e-9
+
+
+def test_nearest_centroid_null_vector_and_small_blocks(spark):
+    pts = spark.createDataFrame([(1, [0.0, 0.0]), (2, None), (3, [2.0, 0.1])], "id int, v array<double>")
+    cents = [(5, [1.0, 0.0]), (3, [1.0, 0.0]), (9, [0.0, 0.0])]
+    got = {r["id"]: r["nearest_id"] for r in K.nearest_centroid(pts, "v", cents, block_bytes=1).collect()}
+    assert got == {1: 9, 2: None, 3: 3}
