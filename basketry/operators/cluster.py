@@ -45,10 +45,15 @@ def name_features(products: DataFrame, n_words: int = 30, max_features: int = 10
 
 
 def fit_kmeans(points: DataFrame, k: int = 20, seed: int = 42, weight_col: str | None = None,
-               layout_key: str | None = None, layout_partitions: int = 16, max_iter: int = 50) -> KMeansModel:
+               layout_key: str | None = None, layout_partitions: int | None = None, max_iter: int = 50) -> KMeansModel:
+    """Seeded KMeans.  With ``layout_key`` the input is first hash-partitioned
+    (``layout_partitions``, default: the cluster's default parallelism) and
+    sorted on the key, so the seeded k-means|| sampling sees the same layout
+    whatever the input's partitioning was."""
     data = points
     if layout_key is not None:
-        data = points.repartition(layout_partitions, layout_key).sortWithinPartitions(layout_key)
+        n = layout_partitions or points.sparkSession.sparkContext.defaultParallelism
+        data = points.repartition(n, layout_key).sortWithinPartitions(layout_key)
     data = cut_lineage(data)
     km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster")
     if weight_col:

@@ -166,7 +166,6 @@ def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], i
     ``carry`` columns are passed through unchanged.
     """
     spark = items.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group_col, *sort_cols]
     base = items.select(*keys, F.col(item_col).alias(out_item), *carry)
     item_type = base.schema[out_item].dataType
@@ -177,7 +176,11 @@ def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], i
         T.StructField("prev_item", item_type), T.StructField("_last_local", T.BooleanType()),
         T.StructField("_p_first", T.BooleanType()), T.StructField("_p_last", T.BooleanType()),
     ])
-    ranged = base.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
+    # without an explicit count the range exchange uses spark.sql.shuffle.partitions
+    # and AQE may coalesce neighbouring ranges; the stitching below works on
+    # whatever contiguous, ordered partitions result
+    ranged = (base.repartitionByRange(partitions, *keys) if partitions else base.repartitionByRange(*keys))
+    ranged = ranged.sortWithinPartitions(*keys)
     local = cut_lineage(ranged.mapInPandas(_local_pass(group_col, out_item, item_dtype), out_schema), "sequence")
 
     edges = (local.where(F.col("_p_first") | F.col("_p_last"))
