@@ -69,18 +69,32 @@ def _select_rank(base: DataFrame, k: int, n: int, max_collect: int, buckets: int
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_collect: int = 100_000,
                     buckets: int = 512, accuracy: int = 100_000) -> list[float | None]:
-    base = df.select(F.col(column).cast("double").alias(_V)).where(F.col(_V).isNotNull())
-    counts = base.agg(F.count(F.lit(1)).alias("n"), F.sum(F.isnan(_V).cast("int")).alias("nan")).first()
-    n, n_nan = counts["n"], counts["nan"] or 0
-    finite = base.where(~F.isnan(_V))
+    """Exact ``percentile_disc`` values for ``probs`` (NULLs ignored; -inf,
+    +inf and NaN take their places at the bottom and top of the order)."""
+    v = F.col(_V)
+    base = df.select(F.col(column).cast("double").alias(_V)).where(v.isNotNull())
+    counts = base.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.isnan(v).cast("int")).alias("nan"),
+        F.sum((v == float("-inf")).cast("int")).alias("ninf"),
+        F.sum((v == float("inf")).cast("int")).alias("pinf"),
+    ).first()
+    n = counts["n"]
+    n_nan, n_ninf, n_pinf = counts["nan"] or 0, counts["ninf"] or 0, counts["pinf"] or 0
+    n_finite = n - n_nan - n_ninf - n_pinf
+    finite = base.where(~F.isnan(v) & (F.abs(v) != float("inf")))
     out: list[float | None] = []
     for p in probs:
         if n == 0:
             out.append(None)
             continue
         k = max(1, math.ceil(p * n))
-        if k > n - n_nan:          # NaN sorts above every number
+        if k <= n_ninf:
+            out.append(float("-inf"))
+        elif k <= n_ninf + n_finite:
+            out.append(_select_rank(finite, k - n_ninf, n_finite, max_collect, buckets, accuracy))
+        elif k <= n - n_nan:
+            out.append(float("inf"))
+        else:                       # NaN sorts above every number
             out.append(float("nan"))
-        else:
-            out.append(_select_rank(finite, k, n - n_nan, max_collect, buckets, accuracy))
     return out

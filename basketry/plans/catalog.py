@@ -265,6 +265,16 @@ def q_leave_k_out_variable(spark, sf):
     return _render_baskets(out, int_cols=(*LLO_CUT, *LLO_CUT.values()))
 
 
+def q_leave_last_out_long(spark, sf):
+    """Leave-last-out in long form (skew-safe): every item of a basket with
+    two or more items, tagged 'history' or 'removed'."""
+    seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "order_product_id",
+                         out_item="product_id", carry=["department_id"])
+    multi = seq.where((F.col("pos") > 1) | ~F.col("is_last"))
+    return multi.select(B.ORDER, "pos", "product_id", "department_id",
+                        F.when(F.col("is_last"), F.lit("removed")).otherwise(F.lit("history")).alias("role"))
+
+
 def q_one_hot_target(spark, sf):
     llo = _leave_last_out(spark, sf)
     width = B.max_ids(llo.select(F.concat("department_ids", "removed_department_ids").alias("d")), {"d": "d"}) \

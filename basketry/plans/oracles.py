@@ -255,6 +255,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(count(*) + 1 AS BIGINT) AS vocab_size FROM (
               SELECT DISTINCT m.virtual_product_id FROM products p LEFT JOIN rule_map m USING (processed_product_name))""",
         "leave_last_out": f"{BASKET_CTES}\n{LLO_SELECT}",
+        "leave_last_out_long": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED},
+            s AS (SELECT order_id, order_product_id AS product_id, department_id,
+                         row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos,
+                         count(*) OVER (PARTITION BY order_id) AS n FROM joined)
+            SELECT order_id, pos, product_id, department_id,
+                   CASE WHEN pos = n THEN 'removed' ELSE 'history' END AS role FROM s WHERE n >= 2""",
         "one_hot_target": f"""{BASKET_CTES},
             llo AS (SELECT order_id, department_ids[len(department_ids)] AS target, department_ids FROM baskets
                     WHERE len(product_ids) >= 2),

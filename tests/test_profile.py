@@ -88,3 +88,16 @@ def test_repartition_report(spark, n):
     from basketry.operators.partitions import repartition_report
     r = repartition_report(spark.range(1000), n).first()
     assert r["n_partitions"] == n and r["n_rows"] == 1000
+
+
+def test_exact_quantiles_infinities(spark):
+    vals = [float("-inf")] * 3 + [1.0, 2.0, 3.0] + [float("inf")] * 2 + [float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = exact_quantiles(df, "x", [0.1, 0.4, 0.6, 0.8, 1.0], max_collect=1, buckets=4)
+    want = [_disc_nan_last(vals, p) for p in (0.1, 0.4, 0.6, 0.8, 1.0)]
+    assert [str(g) for g in got] == [str(w) for w in want]
+
+
+def _disc_nan_last(values, p):
+    s = sorted(values, key=lambda v: (math.isnan(v), v))
+    return s[max(1, math.ceil(p * len(s))) - 1]
