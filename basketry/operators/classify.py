@@ -66,8 +66,12 @@ def index_labels(df: DataFrame, label_col: str, out: str = "label") -> tuple[Dat
 
 
 def fit_random_forest(train: DataFrame, label_col: str = "label", features_col: str = "features",
-                      num_trees: int = 100, seed: int = 42):
-    data = cut_lineage(train.select(label_col, features_col))
+                      num_trees: int = 100, seed: int = 42, materialize: bool = True):
+    """Random forest; the (iterated) training input is written once under the
+    shared checkpoint folder unless the caller already did so."""
+    data = train.select(label_col, features_col)
+    if materialize:
+        data = cut_lineage(data, "rf-train")
     rf = RandomForestClassifier(labelCol=label_col, featuresCol=features_col, numTrees=num_trees, seed=seed)
     return rf.fit(data)
 

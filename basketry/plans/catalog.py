@@ -32,7 +32,7 @@ from basketry.operators import tfidf as TF
 from basketry.operators.partitions import repartition_report
 from basketry.operators.quantiles import exact_quantiles
 from basketry.operators.sequence import sequence_items
-from basketry.session import scratch_path, spread
+from basketry.session import cut_lineage, scratch_path, spread
 from basketry.sources import csv as CSV
 from basketry.sources import local as L
 from basketry.sources import sinks as S
@@ -71,8 +71,12 @@ BASKET_VALUES = {"product_ids": "order_product_id", "aisle_ids": "aisle_id",
                  "department_ids": "department_id", "product_names": "processed_product_name"}
 
 
-def baskets(spark, sf):
-    return B.build_baskets(joined_items(spark, sf), BASKET_VALUES)
+def baskets(spark, sf, arrays=None):
+    """Baskets with the named arrays only (all by default): struct fields
+    inside ``collect_list`` are not pruned by the optimizer, so a query that
+    needs fewer arrays must not gather (and compute) the others."""
+    values = {k: v for k, v in BASKET_VALUES.items() if arrays is None or k in arrays}
+    return B.build_baskets(joined_items(spark, sf), values)
 
 
 def _render_baskets(df: DataFrame, int_cols=("product_ids", "aisle_ids", "department_ids"),
@@ -233,12 +237,12 @@ def q_basket_chunks(spark, sf):
 
 
 def q_basket_items_exploded(spark, sf):
-    e = B.explode_items(baskets(spark, sf), "product_ids", "product_id")
+    e = B.explode_items(baskets(spark, sf, ("product_ids",)), "product_ids", "product_id")
     return e.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def q_max_ids_from_arrays(spark, sf):
-    return B.max_ids(baskets(spark, sf), {"product_ids": "product", "aisle_ids": "aisle", "department_ids": "department"})
+    return B.max_ids(baskets(spark, sf, ("product_ids", "aisle_ids", "department_ids")), {"product_ids": "product", "aisle_ids": "aisle", "department_ids": "department"})
 
 
 def q_vocab_size_distinct(spark, sf):
@@ -276,7 +280,8 @@ def q_leave_last_out_long(spark, sf):
 
 
 def q_one_hot_target(spark, sf):
-    llo = _leave_last_out(spark, sf)
+    llo = B.leave_last_out(B.keep_min_size(baskets(spark, sf, ("department_ids",)), "department_ids", 2),
+                           {"department_ids": "removed_department_ids"})
     width = B.max_ids(llo.select(F.concat("department_ids", "removed_department_ids").alias("d")), {"d": "d"}) \
         .first()["d_vocab_size"]
     target = F.element_at("removed_department_ids", 1)
@@ -410,7 +415,9 @@ def q_random_split_stable(spark, sf):
 
 def _rf(spark, sf):
     feats, labels = C.index_labels(C.hash_split(_doc_features(spark, sf), "doc_id", TEST_PERCENT, SPLIT_SEED), "lang")
-    model = C.fit_random_forest(feats.where(F.col("split") == "train"), num_trees=100, seed=42)
+    # features are computed once (regexes over whole texts) and read by both splits
+    feats = cut_lineage(feats.select("doc_id", "lang", "split", "label", "features"), "doc-features")
+    model = C.fit_random_forest(feats.where(F.col("split") == "train"), num_trees=100, seed=42, materialize=False)
     pred = model.transform(feats.where(F.col("split") == "test"))
     return pred, labels
 
