@@ -12,3 +12,19 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_functions_by_value() -> None:
+    """Functions of this package used inside Spark tasks (pandas UDFs,
+    mapInPandas passes and their helpers) are pickled by value, so executors
+    run them without having the package installed or on their path."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover - pyspark is a hard dependency
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_functions_by_value()
