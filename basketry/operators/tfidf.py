@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer,
                                 RegexTokenizer, StopWordsRemover)
@@ -74,20 +75,36 @@ def idf_table(tf: DataFrame, vocabulary: DataFrame, n_docs: int) -> DataFrame:
     return out.withColumn("idf", F.log((F.lit(1.0 + n_docs)) / (F.col("doc_freq") + 1.0)) + 1.0)
 
 
-def tfidf_long(docs: DataFrame, id_col: str, tokens_col: str, max_features: int | None = 1000,
-               vocabulary: Sequence[str] | DataFrame | None = None) -> DataFrame:
-    """``(id, term, weight)`` for every (document, vocabulary term) present."""
+@dataclass(frozen=True)
+class TermStats:
+    """Corpus statistics shared by every TF-IDF step: the materialised
+    ``(id, term, tf)`` table and the number of documents."""
+    tf: DataFrame
+    n_docs: int
+    id_col: str
+
+
+def term_stats(docs: DataFrame, id_col: str, tokens_col: str) -> TermStats:
+    """Counts terms once and keeps them under the shared checkpoint folder:
+    the vocabulary, the IDF and the weights all read them, and text cleaning
+    and tokenising (the expensive part) run a single time."""
     n_docs = docs.count()
-    # the term counts feed the vocabulary, the IDF and the weights: compute
-    # them once (text cleaning and tokenising are the expensive part) and
-    # keep them in the shared checkpoint directory
-    tf = cut_lineage(term_counts(docs, id_col, tokens_col))
+    return TermStats(cut_lineage(term_counts(docs, id_col, tokens_col), "term-counts"), n_docs, id_col)
+
+
+def tfidf_long(docs: DataFrame | TermStats, id_col: str | None = None, tokens_col: str | None = None,
+               max_features: int | None = 1000, vocabulary: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    """``(id, term, weight)`` for every (document, vocabulary term) present.
+    ``docs`` is a tokenised frame (with ``id_col``/``tokens_col``) or
+    precomputed ``TermStats``."""
+    stats = docs if isinstance(docs, TermStats) else term_stats(docs, id_col, tokens_col)
+    tf, n_docs, id_col = stats.tf, stats.n_docs, stats.id_col
     if vocabulary is None:
         vocab = top_terms(tf, max_features)
     elif isinstance(vocabulary, DataFrame):
         vocab = vocabulary.select("term")
     else:
-        vocab = docs.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string")
+        vocab = tf.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string")
     idf = idf_table(tf, vocab, n_docs)
     raw = tf.join(F.broadcast(idf.select("term", "idf")), "term").withColumn("raw", F.col("tf") * F.col("idf"))
     # every document has at most |vocabulary| rows here, so this window is bounded
@@ -102,14 +119,19 @@ def term_scores(weights: DataFrame, k: int) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), F.asc("term"))))
 
 
-def idf_vector(docs: DataFrame, tokens_col: str, vocabulary: Sequence[str]) -> list[float]:
+def idf_vector(docs: DataFrame | TermStats, tokens_col: str | None, vocabulary: Sequence[str]) -> list[float]:
     """Smoothed IDF of each vocabulary term, in vocabulary order (one aggregate;
-    the result has len(vocabulary) entries)."""
-    n_docs = docs.count()
+    the result has len(vocabulary) entries).  With ``TermStats`` the document
+    frequencies come from the materialised term counts."""
+    if isinstance(docs, TermStats):
+        n_docs = docs.n_docs
+        terms = docs.tf.select("term")
+    else:
+        n_docs = docs.count()
+        terms = docs.select(F.explode_outer(F.array_distinct(tokens_col)).alias("term"))
     dfreq = {r["term"]: r["n"] for r in
-             docs.select(F.explode_outer(F.array_distinct(tokens_col)).alias("term"))
-                 .where(F.col("term").isin(list(vocabulary)))
-                 .groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+             terms.where(F.col("term").isin(list(vocabulary)))
+                  .groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
     return [math.log((1.0 + n_docs) / (1.0 + dfreq.get(t, 0))) + 1.0 for t in vocabulary]
 
 

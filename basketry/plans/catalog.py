@@ -330,9 +330,10 @@ def q_tfidf_top_words_documents(spark, sf):
 
 def _fixed_vocab_dense(spark, sf):
     toks = _part_tokens(spark, sf)
-    w = TF.tfidf_long(toks, "product_id", "tokens", max_features=MAX_FEATURES)
+    stats = TF.term_stats(toks, "product_id", "tokens")
+    w = TF.tfidf_long(stats, max_features=MAX_FEATURES)
     words = [r["term"] for r in TF.term_scores(w, TOP_WORDS).orderBy("rank").collect()]
-    vecs = TF.tfidf_vectors(toks, "tokens", words)
+    vecs = TF.tfidf_vectors(toks, "tokens", words, idf=TF.idf_vector(stats, None, words))
     d = TF.dense_long(vecs, "product_id", "features", words)
     return d.select("product_id", F.col("feature_index").cast("bigint"), "term", _r("weight").alias("weight"))
 
