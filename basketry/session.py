@@ -39,14 +39,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory, setting one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         # Only reached in local sessions without a configured shared folder.
         configured = tempfile.mkdtemp(prefix="basketry-ckpt-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -73,7 +80,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     partitions, but only when it currently has fewer (a small file with few
     row groups ahead of CPU-heavy text work).  Large inputs already arrive in
     many scan splits and pass through unchanged, without a shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, key)
