@@ -67,8 +67,13 @@ def hit_rate(predictions: DataFrame, label_col: str = "target_item", prediction_
     return out.withColumn("accuracy", F.col("n_hits") / F.col("n_baskets"))
 
 
-def item_vocab_size(*seqs: DataFrame, max_vocab: int = 10_000) -> int:
-    """max item id + 1 over the given sequences (items are ids 0..V-1)."""
+def item_vocab_size(*seqs: DataFrame, max_vocab: int = 1_000) -> int:
+    """max item id + 1 over the given sequences (items are ids 0..V-1).
+
+    The classifier's features are 2V wide and its multinomial model holds
+    V x 2V coefficients, so V is checked against ``max_vocab``: the
+    classifier is meant for bounded item vocabularies (clusters, departments);
+    the transition model has no such limit."""
     v = 0
     for seq in seqs:
         m = seq.agg(F.max(ITEM)).first()[0]

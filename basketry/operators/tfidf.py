@@ -67,11 +67,13 @@ def top_terms(tf: DataFrame, max_features: int) -> DataFrame:
               .orderBy(F.desc("total"), F.asc("term")).limit(max_features).select("term"))
 
 
-def idf_table(tf: DataFrame, vocabulary: DataFrame, n_docs: int) -> DataFrame:
+def idf_table(tf: DataFrame, vocabulary: DataFrame, n_docs: int, broadcast: bool = True) -> DataFrame:
     """``(term, doc_freq, idf)`` for the vocabulary terms; terms absent from the
-    corpus get doc_freq 0."""
-    dfreq = tf.join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    out = F.broadcast(vocabulary).join(dfreq, "term", "left").fillna(0, ["doc_freq"])
+    corpus get doc_freq 0.  ``broadcast`` only for a vocabulary of known,
+    bounded size (top-k or a literal list); otherwise Spark/AQE chooses."""
+    voc = F.broadcast(vocabulary) if broadcast else vocabulary
+    dfreq = tf.join(voc, "term").groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    out = voc.join(dfreq, "term", "left").fillna(0, ["doc_freq"])
     return out.withColumn("idf", F.log((F.lit(1.0 + n_docs)) / (F.col("doc_freq") + 1.0)) + 1.0)
 
 
@@ -99,14 +101,15 @@ def tfidf_long(docs: DataFrame | TermStats, id_col: str | None = None, tokens_co
     precomputed ``TermStats``."""
     stats = docs if isinstance(docs, TermStats) else term_stats(docs, id_col, tokens_col)
     tf, n_docs, id_col = stats.tf, stats.n_docs, stats.id_col
+    bounded = True        # a top-k or literal vocabulary has a known size and may be broadcast
     if vocabulary is None:
         vocab = top_terms(tf, max_features)
     elif isinstance(vocabulary, DataFrame):
-        vocab = vocabulary.select("term")
+        vocab, bounded = vocabulary.select("term"), False
     else:
         vocab = tf.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string")
-    idf = idf_table(tf, vocab, n_docs)
-    raw = tf.join(F.broadcast(idf.select("term", "idf")), "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    idf = idf_table(tf, vocab, n_docs, broadcast=bounded).select("term", "idf")
+    raw = tf.join(F.broadcast(idf) if bounded else idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
     # every document has at most |vocabulary| rows here, so this window is bounded
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
     return raw.select(id_col, "term", (F.col("raw") / norm).alias("weight"))
