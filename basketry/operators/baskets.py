@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.arrays import head, tail
+from basketry.functions.keys import key_bucket
 from basketry.functions.text import clean_text, trailing_number
 
 ORDER = "order_id"
@@ -105,11 +106,11 @@ def leave_last_out(baskets: DataFrame, cut: Mapping[str, str], remove_count: int
     return out.withColumns({src: head(src, F.col("remove_count")) for src in cut})
 
 
-def variable_remove_count(size_col: str, key_col: str, seed: int = 42) -> Column:
+def variable_remove_count(size_col: str, key_col: str, seed: int = 7) -> Column:
     """1 for baskets of size <= 3, else 1 or 2 chosen by a hash of the key
-    (deterministic, independent of partitioning)."""
+    (deterministic, independent of partitioning; see ``functions.keys``)."""
     return (F.when(F.size(size_col) <= 3, F.lit(1))
-             .otherwise(F.pmod(F.xxhash64(F.col(key_col), F.lit(seed)), F.lit(2)) + 1)).cast("int")
+             .otherwise(key_bucket(key_col, 2, seed) + 1)).cast("int")
 
 
 def max_ids(baskets: DataFrame, columns: Mapping[str, str]) -> DataFrame:

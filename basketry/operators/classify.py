@@ -11,19 +11,12 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.keys import key_bucket
 from basketry.session import cut_lineage
 
-# Fixed parameters of the split rule: a multiplicative hash modulo a prime.
-SPLIT_PRIME = 1000003
-SPLIT_MULTIPLIER = 7919
-
-
 def split_bucket(key: Column | str, seed: int = 42) -> Column:
-    """A bucket in [0, 100) from an integer key; the same in SQL
-    (``((key % 1000003) * 7919 + seed) % 1000003 % 100`` for key >= 0)."""
-    k = F.col(key) if isinstance(key, str) else key
-    mixed = F.pmod(F.pmod(k.cast("bigint"), F.lit(SPLIT_PRIME)) * SPLIT_MULTIPLIER + seed, F.lit(SPLIT_PRIME))
-    return F.pmod(mixed, F.lit(100))
+    """A bucket in [0, 100) from an integer key (see ``functions.keys``)."""
+    return key_bucket(key, 100, seed)
 
 
 def hash_split(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42, out: str = "split") -> DataFrame:

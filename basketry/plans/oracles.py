@@ -15,7 +15,7 @@ import os
 import zipfile
 
 from basketry.functions.text import NAME_STOPWORDS
-from basketry.operators.classify import SPLIT_MULTIPLIER, SPLIT_PRIME
+from basketry.functions.keys import KEY_MULTIPLIER, KEY_PRIME
 from basketry.plans.catalog import (BASKET_CHUNK, DIGITS, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS,
                                     NEXT_ITEM_PARAMS, RETURNFLAG_LABELS, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
 
@@ -49,8 +49,12 @@ def tokens_sql(expr: str) -> str:
             f"lambda t: NOT list_contains({stop}, t))")
 
 
+def key_bucket_sql(key: str, buckets: int, seed: int) -> str:
+    return f"((({key} % {KEY_PRIME}) * {KEY_MULTIPLIER} + {seed}) % {KEY_PRIME}) % {buckets}"
+
+
 def split_bucket_sql(key: str) -> str:
-    return f"((({key} % {SPLIT_PRIME}) * {SPLIT_MULTIPLIER} + {SPLIT_SEED}) % {SPLIT_PRIME}) % 100"
+    return key_bucket_sql(key, 100, SPLIT_SEED)
 
 
 ORDER_BY_ITEM = "line_no, order_product_id, line_price"
@@ -175,6 +179,19 @@ _SPARK_TYPES = "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN '
 
 PART_COLS = "CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice"
 
+LKO_CTE = f"""k AS (
+  SELECT *, CAST(CASE WHEN len(product_ids) <= 3 THEN 1 ELSE {key_bucket_sql('order_id', 2, 7)} + 1 END AS INTEGER) AS rc
+  FROM baskets WHERE len(product_ids) >= 2)"""
+LKO_SELECT = f"""SELECT order_id, rc AS remove_count,
+       {_ints('product_ids[1:len(product_ids) - rc]')} AS product_ids,
+       {_ints('aisle_ids[1:len(aisle_ids) - rc]')} AS aisle_ids,
+       {_ints('department_ids[1:len(department_ids) - rc]')} AS department_ids,
+       array_to_string(product_names, '|') AS product_names,
+       {_ints('product_ids[len(product_ids) - rc + 1:len(product_ids)]')} AS removed_product_ids,
+       {_ints('aisle_ids[len(aisle_ids) - rc + 1:len(aisle_ids)]')} AS removed_aisle_ids,
+       {_ints('department_ids[len(department_ids) - rc + 1:len(department_ids)]')} AS removed_department_ids
+FROM k"""
+
 LLO_SELECT = f"""SELECT order_id, 1 AS remove_count,
        {_ints('product_ids[1:len(product_ids) - 1]')} AS product_ids,
        {_ints('aisle_ids[1:len(aisle_ids) - 1]')} AS aisle_ids,
@@ -255,6 +272,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(count(*) + 1 AS BIGINT) AS vocab_size FROM (
               SELECT DISTINCT m.virtual_product_id FROM products p LEFT JOIN rule_map m USING (processed_product_name))""",
         "leave_last_out": f"{BASKET_CTES}\n{LLO_SELECT}",
+        "leave_k_out_variable": f"{BASKET_CTES},\n{LKO_CTE}\n{LKO_SELECT}",
         "leave_last_out_long": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED},
             s AS (SELECT order_id, order_product_id AS product_id, department_id,
                          row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos,
