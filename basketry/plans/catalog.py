@@ -104,7 +104,8 @@ def q_csv_scan_inferred(spark, sf):
 def q_csv_scan_strings_cast(spark, sf):
     path = CSV.write_csv(read_table(spark, sf, "part"), scratch_path(spark, "part-csv"))
     raw = CSV.read_csv_strings(spark, path)
-    return CSV.cast_columns(raw, {"p_partkey": "int", "p_size": "int", "p_retailprice": "double"})
+    # ids as bigint: at full scale keys pass the int range and would become NULL
+    return CSV.cast_columns(raw, {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"})
 
 
 def q_local_frame_source(spark, sf):

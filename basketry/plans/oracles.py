@@ -209,7 +209,7 @@ def oracle_sql() -> dict[str, str]:
                    f"array_to_string(product_names, '|') AS product_names")
     return {
         "csv_scan_inferred": f"SELECT {PART_COLS} FROM part",
-        "csv_scan_strings_cast": f"SELECT {PART_COLS} FROM part",
+        "csv_scan_strings_cast": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
         "local_frame_source": """SELECT r_name, count(*) AS n_nations FROM nation
             JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
         "schema_report": f"""SELECT CAST(ordinal_position AS INTEGER) AS ordinal, column_name,
