@@ -1,100 +1,155 @@
 """Exact quantiles by distributed selection.
 
 ``percentile_disc`` semantics: for probability p over n non-NULL values the
-answer is the value of rank ``max(1, ceil(p * n))`` in ascending order.
+answer is the value of rank ``max(1, ceil(p * n))`` in ascending order
+(-inf first, then finite values, +inf, NaN last).
 
 Neither ``approxQuantile(.., 0.0)`` nor ``percentile_disc`` is used: both keep
 every distinct value in one aggregation buffer, which does not survive a table
-of billions of rows.  Instead the search range is narrowed with a mergeable
-sketch (``percentile_approx``) and exact bucket counts (both partial
-aggregates), until the range holds one distinct value or few enough distinct
-values to histogram them.  Only bucket counts (<= ``buckets``) and the final
-small histogram (<= ``max_collect`` rows) reach the driver.
+of billions of rows.  Instead each wanted rank is located with partial
+aggregates only:
+
+1. one pass: counts (all, NaN, -inf, +inf) and ``percentile_approx`` cut
+   points of the finite values (a mergeable sketch);
+2. bucket counts between the cut points (``Bucketizer``; values equal to a
+   cut point get their own bucket, so a value repeated by a third of all rows
+   is resolved at once) narrow every rank to one bucket; buckets still larger
+   than ``max_collect`` rows are refined the same way;
+3. one pass collects the value histogram of all remaining small ranges
+   together (at most ``max_collect`` rows per wanted rank) and reads off the
+   ranks.
+
+Only bucket counts and the final bounded histogram reach the driver.  All
+wanted probabilities share the passes.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _V = "_qv"
 
 
-def _within(base: DataFrame, lo, hi) -> DataFrame:
-    if lo is None:
-        return base
-    return base.where((F.col(_V) >= F.lit(lo)) & (F.col(_V) <= F.lit(hi)))
+def _in_range(lo: float, hi: float) -> Column:
+    return (F.col(_V) >= F.lit(lo)) & (F.col(_V) <= F.lit(hi))
 
 
-def _select_rank(base: DataFrame, k: int, n: int, max_collect: int, buckets: int,
-                 accuracy: int, max_rounds: int = 64) -> float:
-    lo = hi = None
-    below, m = 0, n
-    for _ in range(max_rounds):
-        sub = _within(base, lo, hi)
-        if m <= max_collect:
-            acc = below
-            for row in sub.groupBy(_V).count().orderBy(_V).collect():
-                acc += row["count"]
-                if acc >= k:
-                    return row[_V]
-            raise RuntimeError("rank not found in histogram")
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = sub.agg(F.percentile_approx(_V, probs, accuracy).alias("c")).first()["c"]
-        cuts = sorted({c for c in cuts if math.isfinite(c)})
-        # bucket 2j-1 holds values equal to the j-th cut, bucket 2j the values
-        # strictly between cut j and cut j+1 (bucket 0: below the first cut).
-        splits = [float("-inf"), *cuts, float("inf")]
-        bucketed = Bucketizer(splits=splits, inputCol=_V, outputCol="_j").transform(sub)
-        bid = (F.col("_j").cast("int") * 2 - F.col(_V).isin(cuts).cast("int"))
-        stats = (bucketed.groupBy(bid.alias("b"))
-                 .agg(F.count(F.lit(1)).alias("n"), F.min(_V).alias("lo"), F.max(_V).alias("hi"))
-                 .orderBy("b").collect())
-        acc = below
+def _cuts(values) -> list[float]:
+    return sorted({c for c in values if c is not None and math.isfinite(c)})
+
+
+def _bucket_stats(sub: DataFrame, cuts: list[float]) -> list:
+    """Rows ``(b, n, lo, hi)`` in value order: bucket 2j-1 holds values equal
+    to the j-th cut, bucket 2j values strictly between cut j and cut j+1
+    (bucket 0: below the first cut)."""
+    splits = [float("-inf"), *cuts, float("inf")]
+    bucketed = Bucketizer(splits=splits, inputCol=_V, outputCol="_j").transform(sub)
+    bid = F.col("_j").cast("int") * 2 - F.col(_V).isin(cuts).cast("int")
+    return (bucketed.groupBy(bid.alias("b"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.min(_V).alias("lo"), F.max(_V).alias("hi"))
+                    .orderBy("b").collect())
+
+
+class _Search:
+    """One wanted rank ``k`` (1-based, among finite values) and the closed
+    value range known to contain it."""
+
+    def __init__(self, k: int, m: int):
+        self.k, self.below, self.m = k, 0, m
+        self.lo = self.hi = None
+        self.value = None
+
+    def narrow(self, stats: list) -> None:
+        acc = self.below
         for row in stats:
-            if acc + row["n"] >= k:
+            if acc + row["n"] >= self.k:
                 if row["lo"] == row["hi"]:
-                    return row["lo"]
-                below, m, lo, hi = acc, row["n"], row["lo"], row["hi"]
-                break
+                    self.value = row["lo"]
+                self.below, self.m, self.lo, self.hi = acc, row["n"], row["lo"], row["hi"]
+                return
             acc += row["n"]
-        else:
-            raise RuntimeError("rank beyond data")
-    raise RuntimeError("quantile search did not converge")
+        raise RuntimeError("rank beyond data")
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_collect: int = 100_000,
-                    buckets: int = 512, accuracy: int = 100_000) -> list[float | None]:
-    """Exact ``percentile_disc`` values for ``probs`` (NULLs ignored; -inf,
-    +inf and NaN take their places at the bottom and top of the order)."""
+                    buckets: int = 512, accuracy: int = 100_000, max_rounds: int = 64) -> list[float | None]:
+    """Exact ``percentile_disc`` values for ``probs`` (NULLs ignored)."""
     v = F.col(_V)
     base = df.select(F.col(column).cast("double").alias(_V)).where(v.isNotNull())
-    counts = base.agg(
+    is_finite = ~F.isnan(v) & (F.abs(v) != float("inf"))
+    grid = [i / buckets for i in range(1, buckets)]
+    first = base.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.isnan(v).cast("int")).alias("nan"),
         F.sum((v == float("-inf")).cast("int")).alias("ninf"),
         F.sum((v == float("inf")).cast("int")).alias("pinf"),
+        F.percentile_approx(F.when(is_finite, v), grid, accuracy).alias("cuts"),
     ).first()
-    n = counts["n"]
-    n_nan, n_ninf, n_pinf = counts["nan"] or 0, counts["ninf"] or 0, counts["pinf"] or 0
+    n = first["n"]
+    n_nan, n_ninf, n_pinf = first["nan"] or 0, first["ninf"] or 0, first["pinf"] or 0
     n_finite = n - n_nan - n_ninf - n_pinf
-    finite = base.where(~F.isnan(v) & (F.abs(v) != float("inf")))
-    out: list[float | None] = []
+    finite = base.where(is_finite)
+
+    answers: list = []
+    searches: dict[int, _Search] = {}
     for p in probs:
         if n == 0:
-            out.append(None)
+            answers.append(None)
             continue
         k = max(1, math.ceil(p * n))
         if k <= n_ninf:
-            out.append(float("-inf"))
+            answers.append(float("-inf"))
         elif k <= n_ninf + n_finite:
-            out.append(_select_rank(finite, k - n_ninf, n_finite, max_collect, buckets, accuracy))
+            kf = k - n_ninf
+            searches.setdefault(kf, _Search(kf, n_finite))
+            answers.append(("rank", kf))
         elif k <= n - n_nan:
-            out.append(float("inf"))
-        else:                       # NaN sorts above every number
-            out.append(float("nan"))
-    return out
+            answers.append(float("inf"))
+        else:
+            answers.append(float("nan"))
+
+    open_ = [s for s in searches.values() if s.m > max_collect]
+    cuts = _cuts(first["cuts"] or [])
+    for _ in range(max_rounds):
+        if not open_:
+            break
+        by_range: dict[tuple, list[_Search]] = {}
+        for s in open_:
+            by_range.setdefault((s.lo, s.hi), []).append(s)
+        for (lo, hi), group in by_range.items():
+            sub = finite if lo is None else finite.where(_in_range(lo, hi))
+            range_cuts = cuts if lo is None else _cuts(
+                sub.agg(F.percentile_approx(_V, grid, accuracy)).first()[0] or [])
+            stats = _bucket_stats(sub, range_cuts)
+            for s in group:
+                s.narrow(stats)
+        open_ = [s for s in open_ if s.value is None and s.m > max_collect]
+    if open_:
+        raise RuntimeError("quantile search did not converge")
+
+    pending = [s for s in searches.values() if s.value is None]
+    if pending:
+        ranges = {(s.lo, s.hi) for s in pending}
+        if (None, None) in ranges:
+            sub = finite
+        else:
+            sub = finite.where(reduce(lambda a, b: a | b, [_in_range(lo, hi) for lo, hi in ranges]))
+        hist = sub.groupBy(_V).count().orderBy(_V).collect()       # <= max_collect rows per range
+        for s in pending:
+            acc = s.below
+            for row in hist:
+                if s.lo is not None and not (s.lo <= row[_V] <= s.hi):
+                    continue
+                acc += row["count"]
+                if acc >= s.k:
+                    s.value = row[_V]
+                    break
+            else:
+                raise RuntimeError("rank not found in histogram")
+    return [searches[a[1]].value if isinstance(a, tuple) else a for a in answers]

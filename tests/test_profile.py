@@ -101,3 +101,12 @@ def test_exact_quantiles_infinities(spark):
 def _disc_nan_last(values, p):
     s = sorted(values, key=lambda v: (math.isnan(v), v))
     return s[max(1, math.ceil(p * len(s))) - 1]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(-20, 20), min_size=1, max_size=200),
+       st.lists(st.sampled_from([0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=5))
+def test_exact_quantiles_many_probs_share_passes(spark, values, probs):
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = exact_quantiles(df, "x", probs, max_collect=5, buckets=4, accuracy=20)
+    assert got == [float(_disc(values, p)) for p in probs]
