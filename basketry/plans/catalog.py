@@ -252,6 +252,13 @@ def q_vocab_size_distinct(spark, sf):
     return B.vocab_size_distinct(mapped, "virtual_product_id")
 
 
+def q_vocab_size_clusters(spark, sf):
+    """Distinct virtual product ids + 1 with the KMeans name -> cluster map."""
+    prods = products(spark, sf)
+    mapping = K.cluster_names(prods, k=N_CLUSTERS, seed=42, n_words=TOP_WORDS)
+    return B.vocab_size_distinct(B.attach_mapping(prods, mapping, K.NAME, "virtual_product_id"), "virtual_product_id")
+
+
 LLO_CUT = {"product_ids": "removed_product_ids", "aisle_ids": "removed_aisle_ids",
            "department_ids": "removed_department_ids"}
 

@@ -90,3 +90,14 @@ def test_nearest_centroid_null_vector_and_small_blocks(spark):
     cents = [(5, [1.0, 0.0]), (3, [1.0, 0.0]), (9, [0.0, 0.0])]
     got = {r["id"]: r["nearest_id"] for r in K.nearest_centroid(pts, "v", cents, block_bytes=1).collect()}
     assert got == {1: 9, 2: None, 3: 3}
+
+
+def test_kmeans_map_attaches_without_fanout(spark):
+    prods = C.products(spark, SF01)
+    mapping = K.cluster_names(prods, k=20, seed=42)
+    assert mapping.groupBy(K.NAME).count().where("count > 1").count() == 0
+    attached = C.B.attach_mapping(prods, mapping, K.NAME, "virtual_product_id")
+    assert attached.count() == prods.count()
+    assert attached.where(F.col(K.NAME).isNotNull() & F.col("virtual_product_id").isNull()).count() == 0
+    vs = C.q_vocab_size_clusters(spark, SF01).first()["vocab_size"]
+    assert 2 <= vs <= 21
