@@ -79,12 +79,13 @@ def cluster_members(products: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def label_centroids(points: DataFrame, vec_col: str, label_col: str, max_centroids: int = 10_000) -> list[tuple]:
     """Mean vector per label.  ``Summarizer.mean`` is partially aggregated;
-    the (bounded, checked) centroid list is returned to the driver."""
-    n_labels = points.select(label_col).distinct().count()
-    if n_labels > max_centroids:
-        raise ValueError(f"{n_labels} labels exceed the centroid bound {max_centroids}")
+    at most ``max_centroids`` + 1 centroids are fetched, so the bound is
+    checked in the same single pass before anything large reaches the driver."""
     means = (points.select(label_col, array_to_vector(F.col(vec_col)).alias("_v"))
-                   .groupBy(label_col).agg(Summarizer.mean(F.col("_v")).alias("m")).collect())
+                   .groupBy(label_col).agg(Summarizer.mean(F.col("_v")).alias("m"))
+                   .limit(max_centroids + 1).collect())
+    if len(means) > max_centroids:
+        raise ValueError(f"more than {max_centroids} labels: too many centroids to ship with the tasks")
     return sorted((r[label_col], [float(x) for x in r["m"]]) for r in means)
 
 

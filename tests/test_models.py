@@ -101,3 +101,11 @@ def test_kmeans_map_attaches_without_fanout(spark):
     assert attached.where(F.col(K.NAME).isNotNull() & F.col("virtual_product_id").isNull()).count() == 0
     vs = C.q_vocab_size_clusters(spark, SF01).first()["vocab_size"]
     assert 2 <= vs <= 21
+
+
+def test_centroid_bound_enforced(spark):
+    import pytest
+    pts = spark.createDataFrame([(i, [float(i)]) for i in range(5)], "label int, v array<double>")
+    with pytest.raises(ValueError):
+        K.label_centroids(pts, "v", "label", max_centroids=3)
+    assert len(K.label_centroids(pts, "v", "label", max_centroids=5)) == 5
