@@ -78,7 +78,7 @@ def build_basket_chunks(items: DataFrame, values: Mapping[str, str], chunk_size:
     names = list(values)
     first = names[0]
     seq = sequence_items(items.withColumns({n: F.col(c) for n, c in values.items()}), order_col, sort_cols, first,
-                         out_item=first, partitions=partitions, carry=names[1:])
+                         out_item=first, partitions=partitions, carry=names[1:], keep_sort_cols=False)
     chunk = F.floor((F.col("pos") - 1) / F.lit(chunk_size)).cast("bigint")
     gathered = (seq.groupBy(order_col, chunk.alias("chunk"))
                    .agg(F.sort_array(F.collect_list(F.struct("pos", *names))).alias("_items"),

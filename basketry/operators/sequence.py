@@ -159,11 +159,15 @@ def _edge_fixes(edges: list, group_type: T.DataType, item_type: T.DataType) -> t
 
 
 def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], item_col: str,
-                   out_item: str = "item", partitions: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
+                   out_item: str = "item", partitions: int | None = None, carry: Sequence[str] = (),
+                   keep_sort_cols: bool = True) -> DataFrame:
     """``(group, <sort cols>, item, <carry>, pos, prev_item, is_last)``, skew-safe.
 
     ``(group, sort_cols)`` must be unique, so the in-group order is total;
-    ``carry`` columns are passed through unchanged.
+    ``carry`` columns are passed through unchanged.  With
+    ``keep_sort_cols=False`` the sort columns are dropped right after the
+    sort (``pos`` carries the order), which shrinks the pandas pass and the
+    materialised table.
     """
     spark = items.sparkSession
     keys = [group_col, *sort_cols]
@@ -171,16 +175,20 @@ def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], i
     item_type = base.schema[out_item].dataType
     group_type = base.schema[group_col].dataType
     item_dtype = _PANDAS_NULLABLE.get(type(item_type), "object")
-    out_schema = T.StructType(base.schema.fields + [
-        T.StructField("_pid", T.IntegerType()), T.StructField("_lpos", T.LongType()),
-        T.StructField("prev_item", item_type), T.StructField("_last_local", T.BooleanType()),
-        T.StructField("_p_first", T.BooleanType()), T.StructField("_p_last", T.BooleanType()),
-    ])
     # without an explicit count the range exchange uses spark.sql.shuffle.partitions
     # and AQE may coalesce neighbouring ranges; the stitching below works on
     # whatever contiguous, ordered partitions result
     ranged = (base.repartitionByRange(partitions, *keys) if partitions else base.repartitionByRange(*keys))
     ranged = ranged.sortWithinPartitions(*keys)
+    if not keep_sort_cols:        # a projection keeps the sorted order
+        keys = [group_col]
+        base = base.select(group_col, out_item, *carry)
+        ranged = ranged.select(group_col, out_item, *carry)
+    out_schema = T.StructType(base.schema.fields + [
+        T.StructField("_pid", T.IntegerType()), T.StructField("_lpos", T.LongType()),
+        T.StructField("prev_item", item_type), T.StructField("_last_local", T.BooleanType()),
+        T.StructField("_p_first", T.BooleanType()), T.StructField("_p_last", T.BooleanType()),
+    ])
     local = cut_lineage(ranged.mapInPandas(_local_pass(group_col, out_item, item_dtype), out_schema), "sequence")
 
     edges = (local.where(F.col("_p_first") | F.col("_p_last"))

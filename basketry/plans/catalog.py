@@ -281,7 +281,7 @@ def q_leave_last_out_long(spark, sf):
     """Leave-last-out in long form (skew-safe): every item of a basket with
     two or more items, tagged 'history' or 'removed'."""
     seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "order_product_id",
-                         out_item="product_id", carry=["department_id"])
+                         out_item="product_id", carry=["department_id"], keep_sort_cols=False)
     multi = seq.where((F.col("pos") > 1) | ~F.col("is_last"))
     return multi.select(B.ORDER, "pos", "product_id", "department_id",
                         F.when(F.col("is_last"), F.lit("removed")).otherwise(F.lit("history")).alias("role"))
@@ -460,7 +460,7 @@ def q_confusion_matrix(spark, sf):
 # ---------------------------------------------------------------- next item
 
 def _sequences(spark, sf):
-    seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "department_id")
+    seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "department_id", keep_sort_cols=False)
     seq = C.hash_split(seq, B.ORDER, TEST_PERCENT, SPLIT_SEED)
     return seq.where(F.col("split") == "train"), seq.where(F.col("split") == "test")
 

@@ -41,3 +41,13 @@ def test_sequence_positions_and_flags(spark):
                   .withColumnRenamed("s", "line"))
     assert got == [(1, 1, 10, 1, None, False), (1, 2, 20, 2, 10, False), (1, 3, 30, 3, 20, True),
                    (2, 1, 5, 1, None, True)]
+
+
+def test_dropping_sort_cols_keeps_positions(spark):
+    items = _hot_items(spark)
+    a = sequence_items(items, "order_id", ["line"], "item", partitions=5)
+    b = sequence_items(items, "order_id", ["line"], "item", partitions=5, keep_sort_cols=False)
+    assert "line" not in b.columns
+    cols = ["order_id", "item", "pos", "prev_item", "is_last"]
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(map(tuple, a.select(cols).collect()), key=key) == sorted(map(tuple, b.select(cols).collect()), key=key)
