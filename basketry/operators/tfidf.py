@@ -119,6 +119,7 @@ def term_scores(weights: DataFrame, k: int) -> DataFrame:
     """Sum of weights per term, top ``k`` (ties by term), with 1-based rank."""
     top = (weights.groupBy("term").agg(F.sum("weight").alias("score"))
                   .orderBy(F.desc("score"), F.asc("term")).limit(k))
+    # the unpartitioned window only ranks the k rows left after the top-k
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), F.asc("term"))))
 
 
