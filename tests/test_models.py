@@ -109,3 +109,11 @@ def test_centroid_bound_enforced(spark):
     with pytest.raises(ValueError):
         K.label_centroids(pts, "v", "label", max_centroids=3)
     assert len(K.label_centroids(pts, "v", "label", max_centroids=5)) == 5
+
+
+def test_random_forest_same_seed_same_predictions(spark):
+    a, _ = C._rf(spark, SF01)
+    b, _ = C._rf(spark, SF01)
+    pa = sorted((r["doc_id"], r["prediction"]) for r in a.select("doc_id", "prediction").collect())
+    pb = sorted((r["doc_id"], r["prediction"]) for r in b.select("doc_id", "prediction").collect())
+    assert pa == pb and len(pa) > 0
