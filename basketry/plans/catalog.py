@@ -476,6 +476,33 @@ def q_next_item_transition_eval(spark, sf):
     return N.hit_rate(N.transition_predictions(train, test, B.ORDER)).withColumn("accuracy", _r("accuracy"))
 
 
+def _virtual_sequences(spark, sf):
+    """Sequences of virtual product ids (KMeans cluster + 1 of the cleaned
+    name), split into train/test orders by the key hash."""
+    prods = products(spark, sf)
+    mapped = B.attach_mapping(prods, K.cluster_names(prods, k=N_CLUSTERS, seed=42, n_words=TOP_WORDS),
+                              K.NAME, "virtual_product_id")
+    items = B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), mapped)
+    seq = sequence_items(items, B.ORDER, B.ITEM_ORDER, "virtual_product_id", keep_sort_cols=False)
+    seq = C.hash_split(seq, B.ORDER, TEST_PERCENT, SPLIT_SEED)
+    return seq.where(F.col("split") == "train"), seq.where(F.col("split") == "test")
+
+
+def q_next_item_virtual_transition_eval(spark, sf):
+    """The project's flow end to end: virtual products from clustered names,
+    next virtual product predicted by the transition model."""
+    train, test = _virtual_sequences(spark, sf)
+    return N.hit_rate(N.transition_predictions(train, test, B.ORDER))
+
+
+def q_next_item_virtual_classifier_accuracy(spark, sf):
+    """Same flow with the logistic-regression classifier."""
+    train, test = _virtual_sequences(spark, sf)
+    vocab = N.item_vocab_size(train, test)
+    model = N.fit_classifier(N.history_features(train, B.ORDER, vocab))
+    return N.hit_rate(N.classifier_predictions(model, N.history_features(test, B.ORDER, vocab), B.ORDER))
+
+
 def _classifier(spark, sf):
     train, test = _sequences(spark, sf)
     vocab = N.item_vocab_size(train, test)
