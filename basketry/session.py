@@ -88,3 +88,22 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if current >= target:
         return df
     return df.repartition(target, key)
+
+
+def recommended_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 256 << 20,
+                     split_bytes: int = 128 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+    """Session settings sized from the input volume: enough shuffle partitions
+    that each holds about ``shuffle_partition_bytes`` (at least two per core,
+    at most ``max_partitions``), AQE to coalesce small ones and split skewed
+    join partitions, and scan splits of ``split_bytes``.  For 100 TB this gives
+    the 200,000-partition cap (~500 MB each before AQE), which fits executor
+    memory with spill."""
+    parts = max(2 * cores, -(-input_bytes // shuffle_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(min(parts, max_partitions)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+    }

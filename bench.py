@@ -13,11 +13,12 @@ import json
 import os
 import sys
 import time
+from pathlib import Path
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from basketry.plans.catalog import QUERIES  # noqa: E402
-from basketry.session import build_session  # noqa: E402
+from basketry.session import build_session, recommended_conf  # noqa: E402
 
 HEADLINE = (
     "baskets", "leave_last_out", "order_items_join_products", "max_ids_from_arrays",
@@ -31,8 +32,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or list(HEADLINE)
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": "16g"})
+    input_bytes = sum(p.stat().st_size for p in Path(sf_dir).glob("*.parquet"))
+    conf = recommended_conf(input_bytes, cpus)
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(conf.pop("spark.sql.shuffle.partitions")),
+                          extra={**conf, "spark.driver.memory": "16g"})
     # warm the JVM (class loading, codegen paths) outside the timed region
     QUERIES["class_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     timings, first = {}, {}

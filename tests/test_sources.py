@@ -68,3 +68,13 @@ def test_tfidf_and_transitions_invariant_to_repartition(spark):
     s2 = N.transition_counts(sequence_items(items.repartition(5), "order_id", ["line_no", "order_product_id", "line_price"],
                                             "department_id", partitions=11))
     assert s1.exceptAll(s2).count() == 0 and s2.exceptAll(s1).count() == 0
+
+
+def test_recommended_conf_scales_with_input():
+    from basketry.session import recommended_conf
+    small = recommended_conf(40 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = recommended_conf(100 * 10**12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    mid = recommended_conf(10**12, 8)
+    assert int(mid["spark.sql.shuffle.partitions"]) == -(-10**12 // (256 << 20))
