@@ -158,3 +158,16 @@ def dense_long(df: DataFrame, id_col: str, vector_col: str, vocabulary: Sequence
     names = F.array(*[F.lit(t) for t in vocabulary])
     return (df.select(id_col, F.posexplode(vector_to_array(vector_col)).alias("feature_index", "weight"))
               .withColumn("term", names[F.col("feature_index")]))
+
+
+def term_scores_from_vectors(vectors: DataFrame, vocabulary: Sequence[str], k: int,
+                             features_col: str = "features") -> DataFrame:
+    """Word scores from TF-IDF vectors: ``Summarizer.sum`` adds the vectors in
+    a tree aggregate (no (doc, term) shuffle); the |vocabulary| sums are
+    ranked like ``term_scores`` (score desc, term asc) and the top ``k`` kept."""
+    from pyspark.ml.stat import Summarizer
+
+    total = vectors.agg(Summarizer.sum(F.col(features_col)).alias("s")).first()["s"]
+    pairs = sorted(((float(total[i]), t) for i, t in enumerate(vocabulary)), key=lambda x: (-x[0], x[1]))[:k]
+    rows = [(t, sc, r + 1) for r, (sc, t) in enumerate(pairs)]
+    return vectors.sparkSession.createDataFrame(rows, "term string, score double, rank int")

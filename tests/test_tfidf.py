@@ -43,3 +43,14 @@ def test_rows_without_vocabulary_word_are_zero(spark):
 def test_stopwords_removed(spark):
     df = spark.createDataFrame([(1, "the cold and the blue a x")], "id int, t string")
     assert TF.tokenize(df, "t").first()["tokens"] == ["cold", "blue"]
+
+
+def test_vector_route_scores_equal_long_route(spark):
+    toks = C._part_tokens(spark, SF01)
+    stats = TF.term_stats(toks, "product_id", "tokens")
+    words = sorted(r["term"] for r in stats.tf.select("term").distinct().collect())
+    long_scores = {r["term"]: r["score"] for r in TF.term_scores(TF.tfidf_long(stats, vocabulary=words), 100).collect()}
+    vecs = TF.tfidf_vectors(toks, "tokens", words, idf=TF.idf_vector(stats, None, words))
+    vec_scores = {r["term"]: r["score"] for r in TF.term_scores_from_vectors(vecs, words, 100).collect()}
+    assert long_scores.keys() == vec_scores.keys()
+    assert all(math.isclose(long_scores[t], vec_scores[t], rel_tol=1e-9) for t in words)
