@@ -33,15 +33,13 @@ def name_features(products: DataFrame, n_words: int = 30, max_features: int = 10
     over the ``n_words`` best-scoring words.  Word scores are computed over
     all product rows (duplicates included)."""
     toks = tfidf.tokenize(products.select("product_id", NAME), NAME)
-    stats = tfidf.term_stats(toks, "product_id", "tokens")
-    weights = tfidf.tfidf_long(stats, max_features=max_features)
-    words = [r["term"] for r in tfidf.term_scores(weights, n_words).orderBy("rank").collect()]
+    corpus = tfidf.corpus(toks, "product_id", "tokens", max_features)
+    words = [r["term"] for r in tfidf.top_words(corpus, n_words).orderBy("rank").collect()]
     names = (products.where(F.col(NAME).isNotNull())
                      .groupBy(NAME).agg(F.count(F.lit(1)).cast("double").alias("n_products")))
     named = tfidf.tokenize(names, NAME)
     # IDF over all product rows, as above; a name's vector does not depend on duplicates
-    idf = tfidf.idf_vector(stats, None, words)
-    feats = tfidf.tfidf_vectors(named, "tokens", words, idf=idf)
+    feats = tfidf.tfidf_vectors(named, "tokens", words, idf=corpus.idf(words))
     return feats.drop("tokens"), words
 
 

@@ -1,5 +1,11 @@
 """Tokenising and TF-IDF weights.
 
+``Corpus`` (vector route) is used for word scores and clustering features:
+tokens are materialised once, the vocabulary comes from a per-term count, the
+document frequencies from Spark ML's ``IDF`` fit (a tree aggregate) and the
+scores from ``Summarizer.sum`` - no (doc, term) shuffle.  The long form below
+gives per-(doc, term) weights and is the SQL-checkable route.
+
 Weighting (smoothed IDF, L2 rows): ``w(d, t) = tf(d, t) * (ln((1 + N) / (1 + df(t))) + 1)``,
 then each document's weights are divided by their Euclidean norm.  The
 vocabulary is the ``max_features`` most frequent terms over the corpus (ties
@@ -171,3 +177,49 @@ def term_scores_from_vectors(vectors: DataFrame, vocabulary: Sequence[str], k: i
     pairs = sorted(((float(total[i]), t) for i, t in enumerate(vocabulary)), key=lambda x: (-x[0], x[1]))[:k]
     rows = [(t, sc, r + 1) for r, (sc, t) in enumerate(pairs)]
     return vectors.sparkSession.createDataFrame(rows, "term string, score double, rank int")
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """A tokenised corpus summarised once: materialised ``(id, tokens)``, the
+    ``max_features`` most frequent terms (ties by term) and their document
+    frequencies.  IDF values and TF-IDF vectors for any subset of the
+    vocabulary follow without another pass over the text."""
+    tokens: DataFrame
+    id_col: str
+    tokens_col: str
+    vocabulary: tuple[str, ...]
+    doc_freq: tuple[int, ...]
+    n_docs: int
+
+    def idf(self, words: Sequence[str] | None = None) -> list[float]:
+        dfreq = dict(zip(self.vocabulary, self.doc_freq))
+        return [math.log((1.0 + self.n_docs) / (1.0 + dfreq.get(t, 0))) + 1.0
+                for t in (words if words is not None else self.vocabulary)]
+
+    def vectors(self, words: Sequence[str] | None = None, out_col: str = "features") -> DataFrame:
+        w = list(words if words is not None else self.vocabulary)
+        return tfidf_vectors(self.tokens, self.tokens_col, w, out_col=out_col, idf=self.idf(w))
+
+
+def corpus(docs: DataFrame, id_col: str, tokens_col: str, max_features: int = 1000) -> Corpus:
+    from pyspark.ml.feature import IDF
+
+    toks = cut_lineage(docs.select(id_col, tokens_col), "tokens")
+    vocab = [r["term"] for r in
+             toks.select(F.explode_outer(tokens_col).alias("term")).where(F.col("term").isNotNull())
+                 .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+                 .orderBy(F.desc("n"), F.asc("term")).limit(max_features).collect()]
+    if not vocab:
+        return Corpus(toks, id_col, tokens_col, (), (), toks.count())
+    tf = CountVectorizerModel.from_vocabulary(vocab, inputCol=tokens_col, outputCol="_tf").transform(toks)
+    fitted = IDF(inputCol="_tf", outputCol="_idf").fit(tf)
+    return Corpus(toks, id_col, tokens_col, tuple(vocab), tuple(int(d) for d in fitted.docFreq), int(fitted.numDocs))
+
+
+def top_words(c: Corpus, k: int) -> DataFrame:
+    """``(term, score, rank)``: the ``k`` largest sums of TF-IDF weights over
+    the corpus (same numbers as ``term_scores`` on the long form)."""
+    if not c.vocabulary:
+        return c.tokens.sparkSession.createDataFrame([], "term string, score double, rank int")
+    return term_scores_from_vectors(c.vectors(), c.vocabulary, k)

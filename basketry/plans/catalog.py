@@ -327,21 +327,19 @@ def q_tfidf_weights(spark, sf):
 
 
 def q_tfidf_top_words(spark, sf):
-    w = TF.tfidf_long(_part_tokens(spark, sf), "product_id", "tokens", max_features=MAX_FEATURES)
-    return TF.term_scores(w, TOP_WORDS).select("term", _r("score").alias("score"), F.col("rank").cast("bigint"))
+    c = TF.corpus(_part_tokens(spark, sf), "product_id", "tokens", MAX_FEATURES)
+    return TF.top_words(c, TOP_WORDS).select("term", _r("score").alias("score"), F.col("rank").cast("bigint"))
 
 
 def q_tfidf_top_words_documents(spark, sf):
-    w = TF.tfidf_long(_document_tokens(spark, sf), "doc_id", "tokens", max_features=MAX_FEATURES)
-    return TF.term_scores(w, TOP_WORDS).select("term", _r("score").alias("score"), F.col("rank").cast("bigint"))
+    c = TF.corpus(_document_tokens(spark, sf), "doc_id", "tokens", MAX_FEATURES)
+    return TF.top_words(c, TOP_WORDS).select("term", _r("score").alias("score"), F.col("rank").cast("bigint"))
 
 
 def _fixed_vocab_dense(spark, sf):
-    toks = _part_tokens(spark, sf)
-    stats = TF.term_stats(toks, "product_id", "tokens")
-    w = TF.tfidf_long(stats, max_features=MAX_FEATURES)
-    words = [r["term"] for r in TF.term_scores(w, TOP_WORDS).orderBy("rank").collect()]
-    vecs = TF.tfidf_vectors(toks, "tokens", words, idf=TF.idf_vector(stats, None, words))
+    c = TF.corpus(_part_tokens(spark, sf), "product_id", "tokens", MAX_FEATURES)
+    words = [r["term"] for r in TF.top_words(c, TOP_WORDS).orderBy("rank").collect()]
+    vecs = c.vectors(words)
     d = TF.dense_long(vecs, "product_id", "features", words)
     return d.select("product_id", F.col("feature_index").cast("bigint"), "term", _r("weight").alias("weight"))
 

@@ -54,3 +54,14 @@ def test_vector_route_scores_equal_long_route(spark):
     vec_scores = {r["term"]: r["score"] for r in TF.term_scores_from_vectors(vecs, words, 100).collect()}
     assert long_scores.keys() == vec_scores.keys()
     assert all(math.isclose(long_scores[t], vec_scores[t], rel_tol=1e-9) for t in words)
+
+
+def test_corpus_route_equals_long_route_top_words(spark):
+    toks = C._part_tokens(spark, SF01)
+    a = {r["term"]: r["score"] for r in TF.top_words(TF.corpus(toks, "product_id", "tokens", 1000), 30).collect()}
+    w = TF.tfidf_long(toks, "product_id", "tokens", max_features=1000)
+    b = {r["term"]: r["score"] for r in TF.term_scores(w, 30).collect()}
+    assert a.keys() == b.keys()
+    assert all(math.isclose(a[t], b[t], rel_tol=1e-9) for t in a)
+    c = TF.corpus(toks, "product_id", "tokens", 1000)
+    assert c.idf(["anvil"]) == TF.idf_vector(toks, "tokens", ["anvil"])
