@@ -117,3 +117,22 @@ def test_random_forest_same_seed_same_predictions(spark):
     pa = sorted((r["doc_id"], r["prediction"]) for r in a.select("doc_id", "prediction").collect())
     pb = sorted((r["doc_id"], r["prediction"]) for r in b.select("doc_id", "prediction").collect())
     assert pa == pb and len(pa) > 0
+
+
+def test_kmeans_assignment_is_nearest_center_brute_force(spark):
+    import numpy as np
+    feats, _ = K.name_features(C.products(spark, SF01))
+    model = K.fit_kmeans(feats, k=20, seed=42, weight_col="n_products", layout_key=K.NAME)
+    centers = np.array(model.clusterCenters())
+    rows = model.transform(feats).select("features", "cluster").collect()
+    for r in rows:
+        d = ((centers - r["features"].toArray()) ** 2).sum(axis=1)
+        assert d[r["cluster"]] <= d.min() + 1e-12
+
+
+def test_cluster_members_cover_every_product_once(spark):
+    prods = C.products(spark, SF01)
+    members = C.q_cluster_members(spark, SF01)
+    total = members.agg(F.sum("n_products")).first()[0]
+    assert total == prods.where(F.col(K.NAME).isNotNull()).count()
+    assert members.groupBy(K.NAME).count().where("count > 1").count() == 0
