@@ -18,7 +18,7 @@ no step needs a whole basket in one place.
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,8 +70,8 @@ def hit_rate(predictions: DataFrame, label_col: str = "target_item", prediction_
 def item_vocab_size(*seqs: DataFrame, max_vocab: int = 1_000) -> int:
     """max item id + 1 over the given sequences (items are ids 0..V-1).
 
-    The classifier's features are 2V wide and its multinomial model holds
-    V x 2V coefficients, so V is checked against ``max_vocab``: the
+    The classifier's (sparse) features are 2V wide and its multinomial model
+    holds V x 2V coefficients, so V is checked against ``max_vocab``: the
     classifier is meant for bounded item vocabularies (clusters, departments);
     the transition model has no such limit."""
     v = 0
@@ -84,21 +84,30 @@ def item_vocab_size(*seqs: DataFrame, max_vocab: int = 1_000) -> int:
 
 
 def history_features(seq: DataFrame, order_col: str, vocab: int) -> DataFrame:
-    """One row per basket of two or more items: ``features`` = counts of each
-    item id in the history (width ``vocab``) followed by a one-hot of the last
-    history item; ``label`` = the hidden last item.  History counts come from
-    a (basket, item) aggregate, so a basket contributes at most ``vocab``
-    entries however long it is."""
-    counts = (seq.where(~F.col("is_last"))
-                 .groupBy(order_col, ITEM).agg(F.count(F.lit(1)).cast("double").alias("c"))
-                 .groupBy(order_col).agg(F.map_from_entries(F.collect_list(F.struct(ITEM, "c"))).alias("m")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(vocab - 1)),
-                        lambda i: F.coalesce(F.col("m")[i.cast("bigint")], F.lit(0.0)))
-    onehot = F.transform(F.sequence(F.lit(0), F.lit(vocab - 1)),
-                         lambda i: F.when(i == F.col("context_item"), F.lit(1.0)).otherwise(F.lit(0.0)))
-    return (targets(seq, order_col).join(counts, order_col, "inner")
+    """One row per basket of two or more items: ``features`` = sparse vector
+    of width 2 * ``vocab``: counts of each item id in the history, then a
+    one-hot of the last history item; ``label`` = the hidden last item.
+
+    History counts come from a (basket, item) aggregate, so a basket brings at
+    most ``vocab`` entries however long it is; the vector is sparse (its size
+    follows the basket's distinct items, not 2 * ``vocab``)."""
+    width = 2 * vocab
+
+    @F.udf(returnType=VectorUDT(), useArrow=True)
+    def assemble(items, counts, context):
+        idx = [int(i) for i in items]
+        val = [float(c) for c in counts]
+        if context is not None and 0 <= context < vocab:
+            idx.append(vocab + int(context))
+            val.append(1.0)
+        return Vectors.sparse(width, idx, val)
+
+    entries = (seq.where(~F.col("is_last"))
+                  .groupBy(order_col, ITEM).agg(F.count(F.lit(1)).cast("double").alias("c"))
+                  .groupBy(order_col).agg(F.sort_array(F.collect_list(F.struct(ITEM, "c"))).alias("e")))
+    return (targets(seq, order_col).join(entries, order_col, "inner")
             .select(order_col, "context_item", "target_item",
-                    array_to_vector(F.concat(dense, onehot)).alias("features"),
+                    assemble(F.col(f"e.{ITEM}"), F.col("e.c"), F.col("context_item")).alias("features"),
                     F.col("target_item").cast("double").alias("label")))
 
 

@@ -136,3 +136,15 @@ def test_cluster_members_cover_every_product_once(spark):
     total = members.agg(F.sum("n_products")).first()[0]
     assert total == prods.where(F.col(K.NAME).isNotNull()).count()
     assert members.groupBy(K.NAME).count().where("count > 1").count() == 0
+
+
+def test_history_features_sparse_and_bounded(spark):
+    rows = [(1, i, i % 3) for i in range(50)] + [(2, 0, 4), (2, 1, 1)]
+    items = spark.createDataFrame(rows, "o long, s int, item int")
+    seq = sequence_items(items, "o", ["s"], "item", partitions=4)
+    feats = {r["o"]: r for r in N.history_features(seq, "o", 5).collect()}
+    v = feats[1]["features"]
+    assert v.size == 10 and v.numNonzeros() <= 4          # 3 history ids + the context one-hot
+    assert feats[1]["label"] == 49 % 3
+    assert v[0] + v[1] + v[2] == 49 and v[5 + 48 % 3] == 1.0
+    assert feats[2]["features"].toArray().tolist() == [0, 0, 0, 0, 1, 0, 0, 0, 0, 1]
