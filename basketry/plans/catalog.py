@@ -384,12 +384,14 @@ def q_virtual_product_baskets(spark, sf):
                               K.NAME, "virtual_product_id")
     items = B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), mapped)
     b = B.build_baskets(items, {"virtual_product_id": "virtual_product_id", "product_id": "product_id",
-                                "aisle_ids": "aisle_id", "department_ids": "department_id"})
+                                "aisle_ids": "aisle_id", "department_ids": "department_id",
+                                "processed_product_name": K.NAME})
     llo = B.leave_last_out(B.keep_min_size(b, "virtual_product_id", 2),
                            {"virtual_product_id": "removed_order_product_ids", "aisle_ids": "removed_aisle_ids",
                             "department_ids": "removed_department_ids"})
     return _render_baskets(llo, int_cols=("virtual_product_id", "product_id", "aisle_ids", "department_ids",
-                                          "removed_order_product_ids", "removed_aisle_ids", "removed_department_ids"))
+                                          "removed_order_product_ids", "removed_aisle_ids", "removed_department_ids"),
+                           text_cols=("processed_product_name",))
 
 
 # ---------------------------------------------------------------- classification
