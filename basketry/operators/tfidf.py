@@ -1,27 +1,26 @@
 """Tokenising and TF-IDF weights.
 
-``Corpus`` (vector route) is used for word scores and clustering features:
-tokens are materialised once, the vocabulary comes from a per-term count, the
-document frequencies from Spark ML's ``IDF`` fit (a tree aggregate) and the
-scores from ``Summarizer.sum`` - no (doc, term) shuffle.  The long form below
-gives per-(doc, term) weights and is the SQL-checkable route.
-
 Weighting (smoothed IDF, L2 rows): ``w(d, t) = tf(d, t) * (ln((1 + N) / (1 + df(t))) + 1)``,
 then each document's weights are divided by their Euclidean norm.  The
 vocabulary is the ``max_features`` most frequent terms over the corpus (ties
-by term, so it is deterministic) or a given list.
-
-Two routes compute the same numbers:
-
-* long form ``(doc, term, weight)`` with DataFrame aggregates - used for word
-  scores and as the SQL-checkable form;
-* ML vectors (``CountVectorizerModel`` -> ``ElementwiseProduct`` ->
-  ``Normalizer``) - used as clustering features.  Spark's own ``IDF`` omits the
-  ``+ 1`` term, so the IDF vector is computed here and applied as a product.
-
-Shuffles: term counts aggregate on (doc, term) with map-side combine, so a
-huge document or a very common term is reduced before it moves.  The
-vocabulary is bounded by ``max_features`` and is the only broadcast side.
+by term, so it is deterministic) or a given list.  Spark's own ``IDF`` omits
+the ``+ 1`` term, so IDF values are computed here and applied with
+``ElementwiseProduct`` + ``Normalizer``.
+
+Two routes compute the same numbers (cross-checked in tests):
+
+* vector route, ``Corpus`` - word scores and clustering features: tokens are
+  materialised once, the vocabulary comes from a per-term count, document
+  frequencies from Spark ML's ``IDF`` fit (a tree aggregate), vectors from
+  ``CountVectorizerModel`` and scores from ``Summarizer.sum``.  No (doc, term)
+  shuffle.
+* long form, ``term_stats`` / ``tfidf_long`` - per-(doc, term) weights, the
+  SQL-checkable form: term counts aggregate on (doc, term) with map-side
+  combine (a huge document or a very common term is reduced before it moves)
+  and are materialised once; rows are normalised by a window per document that
+  holds at most ``max_features`` rows.
+
+The vocabulary (<= ``max_features``) is the only broadcast side.
 """
 
 from __future__ import annotations
