@@ -9,13 +9,16 @@ every distinct value in one aggregation buffer, which does not survive a table
 of billions of rows.  Instead each wanted rank is located with partial
 aggregates only:
 
-1. one pass: counts (all, NaN, -inf, +inf) and ``percentile_approx`` cut
-   points of the finite values (a mergeable sketch);
-2. bucket counts between the cut points (``Bucketizer``; values equal to a
+1. one pass: counts (all, NaN, -inf, +inf) - scalar partial aggregates;
+2. cut points from ``DataFrame.approxQuantile`` with a coarse error
+   (1 / (4 * buckets)): its sketches are merged with a tree aggregate, so no
+   single task receives one sketch per partition, and exactness does not
+   depend on the cuts - they only need to split the range into pieces;
+3. bucket counts between the cut points (``Bucketizer``; values equal to a
    cut point get their own bucket, so a value repeated by a third of all rows
    is resolved at once) narrow every rank to one bucket; buckets still larger
    than ``max_collect`` rows are refined the same way;
-3. one pass collects the value histogram of all remaining small ranges
+4. one pass collects the value histogram of all remaining small ranges
    together (at most ``max_collect`` rows per wanted rank) and reads off the
    ranks.
 
@@ -78,18 +81,18 @@ class _Search:
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_collect: int = 100_000,
-                    buckets: int = 512, accuracy: int = 100_000, max_rounds: int = 64) -> list[float | None]:
+                    buckets: int = 512, max_rounds: int = 64) -> list[float | None]:
     """Exact ``percentile_disc`` values for ``probs`` (NULLs ignored)."""
     v = F.col(_V)
     base = df.select(F.col(column).cast("double").alias(_V)).where(v.isNotNull())
     is_finite = ~F.isnan(v) & (F.abs(v) != float("inf"))
     grid = [i / buckets for i in range(1, buckets)]
+    rel_err = 1.0 / (4 * buckets)
     first = base.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.isnan(v).cast("int")).alias("nan"),
         F.sum((v == float("-inf")).cast("int")).alias("ninf"),
         F.sum((v == float("inf")).cast("int")).alias("pinf"),
-        F.percentile_approx(F.when(is_finite, v), grid, accuracy).alias("cuts"),
     ).first()
     n = first["n"]
     n_nan, n_ninf, n_pinf = first["nan"] or 0, first["ninf"] or 0, first["pinf"] or 0
@@ -115,7 +118,6 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_coll
             answers.append(float("nan"))
 
     open_ = [s for s in searches.values() if s.m > max_collect]
-    cuts = _cuts(first["cuts"] or [])
     for _ in range(max_rounds):
         if not open_:
             break
@@ -124,9 +126,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_coll
             by_range.setdefault((s.lo, s.hi), []).append(s)
         for (lo, hi), group in by_range.items():
             sub = finite if lo is None else finite.where(_in_range(lo, hi))
-            range_cuts = cuts if lo is None else _cuts(
-                sub.agg(F.percentile_approx(_V, grid, accuracy)).first()[0] or [])
-            stats = _bucket_stats(sub, range_cuts)
+            stats = _bucket_stats(sub, _cuts(sub.approxQuantile(_V, grid, rel_err)))
             for s in group:
                 s.narrow(stats)
         open_ = [s for s in open_ if s.value is None and s.m > max_collect]

@@ -54,7 +54,7 @@ def _disc(values, p):
 def test_exact_quantiles_refinement_matches_sorting(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     # tiny histogram bound and bucket count force several refinement rounds
-    got = exact_quantiles(df, "x", [p], max_collect=3, buckets=4, accuracy=50)[0]
+    got = exact_quantiles(df, "x", [p], max_collect=3, buckets=4)[0]
     assert got == float(_disc(values, p))
 
 
@@ -108,5 +108,5 @@ def _disc_nan_last(values, p):
        st.lists(st.sampled_from([0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=5))
 def test_exact_quantiles_many_probs_share_passes(spark, values, probs):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    got = exact_quantiles(df, "x", probs, max_collect=5, buckets=4, accuracy=20)
+    got = exact_quantiles(df, "x", probs, max_collect=5, buckets=4)
     assert got == [float(_disc(values, p)) for p in probs]
