@@ -166,13 +166,20 @@ def dense_long(df: DataFrame, id_col: str, vector_col: str, vocabulary: Sequence
 
 
 def term_scores_from_vectors(vectors: DataFrame, vocabulary: Sequence[str], k: int,
-                             features_col: str = "features") -> DataFrame:
-    """Word scores from TF-IDF vectors: ``Summarizer.sum`` adds the vectors in
-    a tree aggregate (no (doc, term) shuffle); the |vocabulary| sums are
-    ranked like ``term_scores`` (score desc, term asc) and the top ``k`` kept."""
+                             features_col: str = "features", fan_in: int = 256) -> DataFrame:
+    """Word scores from TF-IDF vectors, ranked like ``term_scores`` (score
+    desc, term asc), top ``k``.
+
+    The vectors are summed in two levels: first per map-task group
+    (``spark_partition_id() % fan_in``, so every task contributes one partial
+    sum and at most ``fan_in`` reducers each merge a share of them), then the
+    <= ``fan_in`` group sums are added.  A plain global ``Summarizer.sum``
+    would send one |vocabulary|-wide buffer per task to a single reducer."""
     from pyspark.ml.stat import Summarizer
 
-    total = vectors.agg(Summarizer.sum(F.col(features_col)).alias("s")).first()["s"]
+    level1 = (vectors.groupBy(F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_g"))
+                     .agg(Summarizer.sum(F.col(features_col)).alias("_s")))
+    total = level1.agg(Summarizer.sum(F.col("_s")).alias("s")).first()["s"]
     pairs = sorted(((float(total[i]), t) for i, t in enumerate(vocabulary)), key=lambda x: (-x[0], x[1]))[:k]
     rows = [(t, sc, r + 1) for r, (sc, t) in enumerate(pairs)]
     return vectors.sparkSession.createDataFrame(rows, "term string, score double, rank int")
