@@ -51,3 +51,19 @@ def test_dropping_sort_cols_keeps_positions(spark):
     cols = ["order_id", "item", "pos", "prev_item", "is_last"]
     key = lambda r: tuple(-1 if x is None else x for x in r)
     assert sorted(map(tuple, a.select(cols).collect()), key=key) == sorted(map(tuple, b.select(cols).collect()), key=key)
+
+
+def test_null_groups_and_sort_values_match_window(spark):
+    rows = [(None, i, i % 4) for i in range(40)] + [(1, None, 9), (1, 1, 8), (1, 2, None)] + \
+           [(2, i, i) for i in range(30)]
+    items = spark.createDataFrame(rows, "order_id long, line int, item int")
+    want = _sorted_safe(sequence_items_window(items, "order_id", ["line"], "item"))
+    for parts in (2, 7):
+        got = _sorted_safe(sequence_items(items, "order_id", ["line"], "item", partitions=parts))
+        assert got == want, parts
+
+
+def _sorted_safe(df):
+    key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+    return sorted((tuple(r) for r in df.select("order_id", "line", "item", "pos", "prev_item", "is_last").collect()),
+                  key=key)
