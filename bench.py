@@ -42,19 +42,27 @@ def main() -> None:
     QUERIES["class_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.range(0, 64, 1, cpus).mapInPandas(lambda batches: batches, "id long").write.format("noop") \
         .mode("overwrite").save()
-    timings, first = {}, {}
+    timings, first, failed = {}, {}, []
     for name in names:
         runs = []
-        for _ in range(2):
-            t0 = time.time()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.time() - t0)
+        try:
+            for _ in range(2):
+                t0 = time.time()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.time() - t0)
+        except Exception as exc:  # noqa: BLE001 - report and keep measuring the others
+            print(f"bench: {name} failed: {exc!r}"[:2000], file=sys.stderr)
+            failed.append(name)
+            timings[name] = first[name] = None
+            continue
         first[name] = round(runs[0], 3)
         timings[name] = round(min(runs), 3)
+    ok = [v for v in timings.values() if v is not None]
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(timings.values()), 3), "unit": "sec",
+    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(ok), 3), "unit": "sec",
                       "queries": timings, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "first_run": first, "first_run_total": round(sum(first.values()), 3)}))
+                      "first_run": first, "first_run_total": round(sum(v for v in first.values() if v is not None), 3),
+                      "failed": failed}))
 
 
 if __name__ == "__main__":
