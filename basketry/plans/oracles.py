@@ -14,7 +14,7 @@ import glob
 import os
 import zipfile
 
-from basketry.functions.text import NAME_STOPWORDS
+from basketry.functions.text import NAME_STOPWORD_PATTERN
 from basketry.functions.keys import KEY_MULTIPLIER, KEY_PRIME
 from basketry.plans.catalog import (BASKET_CHUNK, DIGITS, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS,
                                     NEXT_ITEM_PARAMS, RETURNFLAG_LABELS, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
@@ -34,7 +34,7 @@ def _lit_list(words) -> str:
 
 
 def clean_sql(expr: str) -> str:
-    stop = r"\b(?:" + "|".join(NAME_STOPWORDS) + r")\b"
+    stop = NAME_STOPWORD_PATTERN
     c = f"lower({expr})"
     c = rf"regexp_replace({c}, '\d+', '', 'g')"
     c = rf"regexp_replace({c}, '[^a-z\s]', '', 'g')"
