@@ -97,11 +97,13 @@ def rule_mapping(products_df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- sources
 
 def q_csv_scan_inferred(spark, sf):
+    """S3: part written as CSV, read back with header + inferred types."""
     path = CSV.write_csv(read_table(spark, sf, "part"), scratch_path(spark, "part-csv"))
     return CSV.read_csv_inferred(spark, path)
 
 
 def q_csv_scan_strings_cast(spark, sf):
+    """Part as CSV read as strings, ids and numbers cast with try_cast."""
     path = CSV.write_csv(read_table(spark, sf, "part"), scratch_path(spark, "part-csv"))
     raw = CSV.read_csv_strings(spark, path)
     # ids as bigint: at full scale keys pass the int range and would become NULL
@@ -109,6 +111,7 @@ def q_csv_scan_strings_cast(spark, sf):
 
 
 def q_local_frame_source(spark, sf):
+    """A bounded aggregate through pandas and back with an explicit schema."""
     agg = (read_table(spark, sf, "nation").join(read_table(spark, sf, "region"),
                                                 F.col("n_regionkey") == F.col("r_regionkey"))
            .groupBy("r_name").agg(F.count(F.lit(1)).alias("n_nations")))
@@ -119,53 +122,64 @@ def q_local_frame_source(spark, sf):
 
 
 def q_schema_report(spark, sf):
+    """The part schema as rows."""
     return P.schema_report(read_table(spark, sf, "part"))
 
 
 def q_head_rows(spark, sf):
+    """First 20 orders by key."""
     orders = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
     return P.head_rows(orders, ["o_orderkey"], 20)
 
 
 def q_rdd_first_word_filter(spark, sf):
+    """First word of each part name, kept if it contains the needle."""
     part = read_table(spark, sf, "part", ["p_partkey", "p_name"])
     words = part.select("p_partkey", first_word("p_name").alias("first_word"))
     return words.where(contains_ci("first_word", FIRST_WORD_NEEDLE))
 
 
 def q_filter_eq_literal(spark, sf):
+    """p_partkey == '1' with the literal converted to the column type."""
     return P.filter_equals(read_table(spark, sf, "part"), "p_partkey", "1")
 
 
 def q_group_sum_sorted(spark, sf):
+    """A1, O1: sum of part keys per name, descending."""
     return P.group_sum_sorted(read_table(spark, sf, "part"), "p_name", "p_partkey", "sum_p_partkey")
 
 
 def q_describe_table(spark, sf):
+    """describe() of customer in long form."""
     d = P.describe_long(read_table(spark, sf, "customer"))
     return d.withColumn("num_value", _r("num_value"))
 
 
 def q_row_counts(spark, sf):
+    """Row count of every table used."""
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings")
     return P.row_counts({n: read_table(spark, sf, n) for n in names})
 
 
 def q_class_counts(spark, sf):
+    """A2: line items per return flag."""
     return P.class_counts(read_table(spark, sf, "lineitem"), "l_returnflag")
 
 
 def q_null_counts(spark, sf):
+    """NULLs per lineitem column."""
     return P.null_counts(read_table(spark, sf, "lineitem"))
 
 
 def q_group_mean_stddev(spark, sf):
+    """A4: mean and sample stddev of quantity and price per return flag."""
     m = P.group_moments(read_table(spark, sf, "lineitem"), "l_returnflag",
                         {"l_quantity": "quantity", "l_extendedprice": "extendedprice"})
     return m.select("l_returnflag", *[_r(c).alias(c) for c in m.columns if c != "l_returnflag"])
 
 
 def q_class_mean_lengths(spark, sf):
+    """Means per return flag with the flag mapped to a label."""
     m = P.group_moments(read_table(spark, sf, "lineitem"), "l_returnflag",
                         {"l_quantity": "quantity", "l_extendedprice": "extendedprice"}, stddev=False)
     return m.select("l_returnflag", P.label_codes("l_returnflag", RETURNFLAG_LABELS).alias("flag_label"),
@@ -173,6 +187,7 @@ def q_class_mean_lengths(spark, sf):
 
 
 def q_correlation_pairs(spark, sf):
+    """Pearson correlation of every ordered pair of four measures (one pass)."""
     c = P.correlation_pairs(read_table(spark, sf, "lineitem"), LINEITEM_MEASURES)
     return c.withColumn("corr", _r("corr"))
 
@@ -184,6 +199,7 @@ def _fences_row(spark, df, column):
 
 
 def q_quartiles_exact(spark, sf):
+    """Exact quartiles and IQR fences of customer account balances."""
     cust = read_table(spark, sf, "customer", ["c_acctbal"])
     q1, q3, lo, hi = _fences_row(spark, cust, "c_acctbal")
     row = spark.range(1).select(F.lit("c_acctbal").alias("column_name"), F.lit(q1).alias("q1"), F.lit(q3).alias("q3"),
@@ -192,6 +208,7 @@ def q_quartiles_exact(spark, sf):
 
 
 def q_iqr_outliers(spark, sf):
+    """Documents whose n_chars lies strictly outside the IQR fences."""
     docs = read_table(spark, sf, "documents", ["doc_id", "n_chars"])
     _, _, lo, hi = _fences_row(spark, docs, "n_chars")
     return P.outside(docs, "n_chars", lo, hi)
@@ -200,16 +217,19 @@ def q_iqr_outliers(spark, sf):
 # ---------------------------------------------------------------- baskets
 
 def q_order_items_join_products(spark, sf):
+    """Order items joined to products on differently named keys."""
     return joined_items(spark, sf).select("order_id", "order_product_id", "product_id", "product_name",
                                           "aisle_id", "department_id", "line_no")
 
 
 def q_baskets(spark, sf):
+    """Ordered baskets per order (aligned arrays)."""
     b = baskets(spark, sf)
     return _render_baskets(b.withColumn("n_items", F.size("product_ids").cast("bigint")))
 
 
 def q_baskets_min_size(spark, sf):
+    """Baskets with at least two items."""
     b = B.keep_min_size(baskets(spark, sf), "product_ids", 2)
     return _render_baskets(b.withColumn("n_items", F.size("product_ids").cast("bigint")))
 
@@ -238,15 +258,18 @@ def q_basket_chunks(spark, sf):
 
 
 def q_basket_items_exploded(spark, sf):
+    """One row per basket item with its position."""
     e = B.explode_items(baskets(spark, sf, ("product_ids",)), "product_ids", "product_id")
     return e.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def q_max_ids_from_arrays(spark, sf):
+    """Maxima of the id arrays and max + 1 vocabulary sizes."""
     return B.max_ids(baskets(spark, sf, ("product_ids", "aisle_ids", "department_ids")), {"product_ids": "product", "aisle_ids": "aisle", "department_ids": "department"})
 
 
 def q_vocab_size_distinct(spark, sf):
+    """Distinct virtual ids + 1 (NULL counts) with the rule name map."""
     prods = products(spark, sf)
     mapped = B.attach_mapping(prods, rule_mapping(prods), K.NAME, "virtual_product_id")
     return B.vocab_size_distinct(mapped, "virtual_product_id")
@@ -268,10 +291,12 @@ def _leave_last_out(spark, sf):
 
 
 def q_leave_last_out(spark, sf):
+    """Last item of each basket moved to the removed_* arrays."""
     return _render_baskets(_leave_last_out(spark, sf), int_cols=(*LLO_CUT, *LLO_CUT.values()))
 
 
 def q_leave_k_out_variable(spark, sf):
+    """Remove 1, or 1-2 items chosen by a key hash for baskets over three items."""
     b = B.keep_min_size(baskets(spark, sf), "product_ids", 2)
     out = B.leave_last_out(b, LLO_CUT, B.variable_remove_count("product_ids", "order_id"))
     return _render_baskets(out, int_cols=(*LLO_CUT, *LLO_CUT.values()))
@@ -288,6 +313,7 @@ def q_leave_last_out_long(spark, sf):
 
 
 def q_one_hot_target(spark, sf):
+    """one-hot of each basket's removed department id (width max + 1)."""
     llo = B.leave_last_out(B.keep_min_size(baskets(spark, sf, ("department_ids",)), "department_ids", 2),
                            {"department_ids": "removed_department_ids"})
     width = B.max_ids(llo.select(F.concat("department_ids", "removed_department_ids").alias("d")), {"d": "d"}) \
@@ -309,29 +335,35 @@ def _document_tokens(spark, sf):
 
 
 def q_text_clean(spark, sf):
+    """Cleaned product names."""
     return products(spark, sf).select("product_id", K.NAME)
 
 
 def q_text_clean_documents(spark, sf):
+    """Cleaned document texts (whole texts)."""
     docs = spread(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
     return docs.select("doc_id", clean_text("text").alias("clean_text"))
 
 
 def q_tokenize_names(spark, sf):
+    """M7: tokens of the cleaned names, English stopwords removed."""
     return _part_tokens(spark, sf).select("product_id", F.array_join("tokens", " ").alias("tokens"))
 
 
 def q_tfidf_weights(spark, sf):
+    """M8: smoothed-IDF, L2-normalised TF-IDF weights per (product, term)."""
     w = TF.tfidf_long(_part_tokens(spark, sf), "product_id", "tokens", max_features=MAX_FEATURES)
     return w.withColumn("weight", _r("weight"))
 
 
 def q_tfidf_top_words(spark, sf):
+    """Top 30 words by summed TF-IDF weight over product names."""
     c = TF.corpus(_part_tokens(spark, sf), "product_id", "tokens", MAX_FEATURES)
     return TF.top_words(c, TOP_WORDS).select("term", _r("score").alias("score"), F.col("rank").cast("bigint"))
 
 
 def q_tfidf_top_words_documents(spark, sf):
+    """Top 30 words by summed TF-IDF weight over documents."""
     c = TF.corpus(_document_tokens(spark, sf), "doc_id", "tokens", MAX_FEATURES)
     return TF.top_words(c, TOP_WORDS).select("term", _r("score").alias("score"), F.col("rank").cast("bigint"))
 
@@ -345,21 +377,25 @@ def _fixed_vocab_dense(spark, sf):
 
 
 def q_tfidf_fixed_vocab(spark, sf):
+    """TF-IDF over the 30 top words, dense form in long rows."""
     return _fixed_vocab_dense(spark, sf)
 
 
 # ---------------------------------------------------------------- clusters
 
 def q_kmeans_clusters(spark, sf):
+    """KMeans(20, seed 42) clusters of the cleaned names."""
     return K.cluster_names(products(spark, sf), k=N_CLUSTERS, seed=42, n_words=TOP_WORDS)
 
 
 def q_cluster_members(spark, sf):
+    """Members of each cluster with product counts."""
     prods = products(spark, sf)
     return K.cluster_members(prods, K.cluster_names(prods, k=N_CLUSTERS, seed=42, n_words=TOP_WORDS))
 
 
 def q_nearest_centroid(spark, sf):
+    """Nearest label centroid of every embedding."""
     emb = spread(read_table(spark, sf, "embeddings"), "vec_id")
     cents = K.label_centroids(emb, "embedding", "label")
     out = K.nearest_centroid(emb, "embedding", cents, out_id="nearest_label")
@@ -367,12 +403,14 @@ def q_nearest_centroid(spark, sf):
 
 
 def q_cluster_map_left_join(spark, sf):
+    """Products left-joined to the (deduplicated) rule name map."""
     prods = products(spark, sf)
     return B.attach_mapping(prods, rule_mapping(prods), K.NAME, "virtual_product_id") \
         .select("product_id", K.NAME, "virtual_product_id")
 
 
 def q_cluster_map_fanout_count(spark, sf):
+    """Rows the per-product name map would produce (sum of n squared)."""
     return B.mapping_fanout(products(spark, sf), K.NAME)
 
 
@@ -402,12 +440,14 @@ def _doc_features(spark, sf):
 
 
 def q_assemble_features(spark, sf):
+    """M1: four text-shape features assembled and read back from the vector."""
     from pyspark.ml.functions import vector_to_array
     f = _doc_features(spark, sf).withColumn("_a", vector_to_array("features"))
     return f.select("doc_id", "lang", *[F.col("_a")[i].alias(n) for i, n in enumerate(C.FEATURES)])
 
 
 def q_train_test_split(spark, sf):
+    """M2, M3: deterministic key-hash split of documents."""
     docs = read_table(spark, sf, "documents", ["doc_id"])
     return C.hash_split(docs, "doc_id", TEST_PERCENT, SPLIT_SEED).withColumn(
         "split_bucket", C.split_bucket("doc_id", SPLIT_SEED).cast("bigint"))
@@ -432,6 +472,7 @@ def _rf(spark, sf):
 
 
 def q_rf_predictions(spark, sf):
+    """M4, M5: random forest (100 trees, seed 42) predictions for the test documents."""
     pred, labels = _rf(spark, sf)
     names = F.array(*[F.lit(x) for x in labels])
     return pred.select("doc_id", "lang", F.col("label").cast("int").alias("label"),
@@ -440,18 +481,21 @@ def q_rf_predictions(spark, sf):
 
 
 def q_rf_accuracy(spark, sf):
+    """Accuracy by the evaluator and by aggregation."""
     pred, _ = _rf(spark, sf)
     acc = C.evaluator_accuracy(pred)
     return C.accuracy_table(pred).withColumn("evaluator_accuracy", F.lit(acc))
 
 
 def q_rf_confusion_matrix(spark, sf):
+    """A3, O2: confusion matrix of the random forest."""
     pred, _ = _rf(spark, sf)
     return C.confusion_matrix(pred.select(F.col("label").cast("int").alias("label"),
                                           F.col("prediction").cast("int").alias("prediction")), "label")
 
 
 def q_confusion_matrix(spark, sf):
+    """A3, O2: confusion matrix of nearest-centroid predictions."""
     emb = spread(read_table(spark, sf, "embeddings"), "vec_id")
     pred = K.nearest_centroid(emb, "embedding", K.label_centroids(emb, "embedding", "label"), out_id="prediction")
     return C.confusion_matrix(pred, "label", "prediction")
@@ -466,12 +510,14 @@ def _sequences(spark, sf):
 
 
 def q_next_item_transition_topk(spark, sf):
+    """Top-3 successors per item from training baskets."""
     train, _ = _sequences(spark, sf)
     top = N.top_next(N.transition_counts(train), 3)
     return top.select("prev_item", "item", "n", F.col("rank").cast("bigint"))
 
 
 def q_next_item_transition_eval(spark, sf):
+    """Hit rate of the transition model on test baskets."""
     train, test = _sequences(spark, sf)
     return N.hit_rate(N.transition_predictions(train, test, B.ORDER)).withColumn("accuracy", _r("accuracy"))
 
@@ -511,16 +557,19 @@ def _classifier(spark, sf):
 
 
 def q_next_item_classifier_predictions(spark, sf):
+    """Logistic-regression next-item predictions."""
     model, test = _classifier(spark, sf)
     return N.classifier_predictions(model, test, B.ORDER)
 
 
 def q_next_item_classifier_accuracy(spark, sf):
+    """Hit rate of the classifier."""
     model, test = _classifier(spark, sf)
     return N.hit_rate(N.classifier_predictions(model, test, B.ORDER))
 
 
 def q_next_item_classifier_loss(spark, sf):
+    """Objective per iteration of the classifier fit."""
     model, _ = _classifier(spark, sf)
     rows = [(i, float(v)) for i, v in enumerate(N.loss_history(model))]
     return spark.createDataFrame(rows, "iteration int, loss double")
@@ -529,14 +578,17 @@ def q_next_item_classifier_loss(spark, sf):
 # ---------------------------------------------------------------- partitions and sinks
 
 def q_repartition_counts(spark, sf):
+    """Round-robin repartition into 4 and the partition count."""
     return repartition_report(read_table(spark, sf, "lineitem"), 4).select("n_partitions", "n_rows")
 
 
 def q_feature_sink_roundtrip(spark, sf):
+    """Fixed-vocabulary features written as parquet and read back."""
     return S.parquet_roundtrip(_fixed_vocab_dense(spark, sf), scratch_path(spark, "features"))
 
 
 def q_model_save_reload(spark, sf):
+    """KMeans model saved, loaded and applied again."""
     prods = products(spark, sf)
     feats, _ = K.name_features(prods, n_words=TOP_WORDS)
     model = K.fit_kmeans(feats, k=N_CLUSTERS, seed=42, weight_col="n_products", layout_key=K.NAME)
@@ -548,6 +600,7 @@ def q_model_save_reload(spark, sf):
 
 
 def q_run_params_json(spark, sf):
+    """Run parameters written as JSON and read back."""
     prods = products(spark, sf)
     mapped = B.attach_mapping(prods, rule_mapping(prods), K.NAME, "virtual_product_id")
     params = S.params_frame(spark, NEXT_ITEM_PARAMS, B.vocab_size_distinct(mapped, "virtual_product_id"))
