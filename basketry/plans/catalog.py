@@ -587,6 +587,12 @@ def q_feature_sink_roundtrip(spark, sf):
     return S.parquet_roundtrip(_fixed_vocab_dense(spark, sf), scratch_path(spark, "features"))
 
 
+def q_cluster_labels_sink(spark, sf):
+    """Cluster labels of the cleaned names written as parquet and read back."""
+    labels = K.cluster_names(products(spark, sf), k=N_CLUSTERS, seed=42, n_words=TOP_WORDS)
+    return S.parquet_roundtrip(labels, scratch_path(spark, "cluster-labels"))
+
+
 def q_model_save_reload(spark, sf):
     """KMeans model saved, loaded and applied again."""
     prods = products(spark, sf)
