@@ -1,4 +1,3 @@
-import json
 
 import pytest
 from pyspark.ml.clustering import KMeansModel
