@@ -86,6 +86,35 @@ def build_basket_chunks(items: DataFrame, values: Mapping[str, str], chunk_size:
     return gathered.select(order_col, "chunk", "first_pos", *[F.col(f"_items.{n}").alias(n) for n in names])
 
 
+def leave_last_out_chunks(items: DataFrame, values: Mapping[str, str], removed: Mapping[str, str], chunk_size: int,
+                          order_col: str = ORDER, sort_cols: Sequence[str] = ITEM_ORDER,
+                          partitions: int | None = None) -> DataFrame:
+    """Leave-last-out for skewed data, in array form.
+
+    For every basket of two or more items: rows ``(order, chunk, first_pos,
+    <history arrays>, remove_count, <removed arrays>)``.  History chunk k
+    holds the items at positions k*chunk_size+1 .. (k+1)*chunk_size of the
+    basket without its last item (concatenating the chunks by ``chunk`` gives
+    the history); each row also carries the removed last item (``removed``
+    maps a value name to its removed-array name).  No row holds more than
+    ``chunk_size`` items, however large the order.  Positions and the last
+    flag come from the range-partitioned ``sequence_items``."""
+    from basketry.operators.sequence import sequence_items
+
+    names = list(values)
+    seq = sequence_items(items.withColumns({n: F.col(c) for n, c in values.items()}), order_col, sort_cols, names[0],
+                         out_item=names[0], partitions=partitions, carry=names[1:], keep_sort_cols=False)
+    last = (seq.where(F.col("is_last") & (F.col("pos") > 1))
+               .select(order_col, *[F.array(F.col(n)).alias(removed[n]) for n in names if n in removed]))
+    chunk = F.floor((F.col("pos") - 1) / F.lit(chunk_size)).cast("bigint")
+    history = (seq.where(~F.col("is_last"))
+                  .groupBy(order_col, chunk.alias("chunk"))
+                  .agg(F.sort_array(F.collect_list(F.struct("pos", *names))).alias("_items"),
+                       F.min("pos").alias("first_pos")))
+    chunks = history.select(order_col, "chunk", "first_pos", *[F.col(f"_items.{n}").alias(n) for n in names])
+    return chunks.join(last, order_col, "inner").withColumn("remove_count", F.lit(1))
+
+
 def keep_min_size(baskets: DataFrame, column: str, min_size: int = 2) -> DataFrame:
     """Baskets with at least ``min_size`` items (a NULL array never passes)."""
     return baskets.filter(F.size(column) >= min_size)

@@ -312,6 +312,16 @@ def q_leave_last_out_long(spark, sf):
                         F.when(F.col("is_last"), F.lit("removed")).otherwise(F.lit("history")).alias("role"))
 
 
+def q_leave_last_out_chunks(spark, sf):
+    """P10, F11, F12 (skew-safe array form): history in chunks of at most
+    BASKET_CHUNK items per row, each with the removed last item."""
+    out = B.leave_last_out_chunks(joined_items(spark, sf),
+                                  {"product_ids": "order_product_id", "aisle_ids": "aisle_id",
+                                   "department_ids": "department_id"},
+                                  LLO_CUT, BASKET_CHUNK)
+    return _render_baskets(out, int_cols=(*LLO_CUT, *LLO_CUT.values()))
+
+
 def q_one_hot_target(spark, sf):
     """one-hot of each basket's removed department id (width max + 1)."""
     llo = B.leave_last_out(B.keep_min_size(baskets(spark, sf, ("department_ids",)), "department_ids", 2),

@@ -279,6 +279,21 @@ def oracle_sql() -> dict[str, str]:
                          count(*) OVER (PARTITION BY order_id) AS n FROM joined)
             SELECT order_id, pos, product_id, department_id,
                    CASE WHEN pos = n THEN 'removed' ELSE 'history' END AS role FROM s WHERE n >= 2""",
+        "leave_last_out_chunks": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED},
+            s AS (SELECT order_id, order_product_id, aisle_id, department_id,
+                         row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos,
+                         count(*) OVER (PARTITION BY order_id) AS n FROM joined),
+            h AS (SELECT order_id, CAST((pos - 1) // {BASKET_CHUNK} AS BIGINT) AS chunk, min(pos) AS first_pos,
+                         array_to_string(list(order_product_id ORDER BY pos), ',') AS product_ids,
+                         array_to_string(list(aisle_id ORDER BY pos), ',') AS aisle_ids,
+                         array_to_string(list(department_id ORDER BY pos), ',') AS department_ids
+                  FROM s WHERE pos < n GROUP BY order_id, (pos - 1) // {BASKET_CHUNK}),
+            r AS (SELECT order_id, CAST(order_product_id AS VARCHAR) AS removed_product_ids,
+                         CAST(aisle_id AS VARCHAR) AS removed_aisle_ids,
+                         CAST(department_id AS VARCHAR) AS removed_department_ids
+                  FROM s WHERE pos = n AND n >= 2)
+            SELECT h.*, 1 AS remove_count, r.removed_product_ids, r.removed_aisle_ids, r.removed_department_ids
+            FROM h JOIN r USING (order_id)""",
         "one_hot_target": f"""{BASKET_CTES},
             llo AS (SELECT order_id, department_ids[len(department_ids)] AS target, department_ids FROM baskets
                     WHERE len(product_ids) >= 2),

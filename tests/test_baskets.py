@@ -86,3 +86,17 @@ def test_basket_chunks_hot_order(spark):
     for r in ch.orderBy("order_id", "chunk").collect():
         parts.setdefault(r["order_id"], []).extend(r["items"])
     assert parts == whole
+
+
+def test_leave_last_out_chunks_hot_order(spark):
+    rows = [(0, i, i % 17) for i in range(400)] + [(o, i, o * 10 + i) for o in range(1, 120) for i in range(o % 4 + 1)]
+    items = spark.createDataFrame(rows, "order_id long, line int, item int")
+    whole = {r[0]: r[1] for r in B.build_baskets(items, {"items": "item"}, sort_cols=["line"]).collect()}
+    out = B.leave_last_out_chunks(items, {"items": "item"}, {"items": "removed"}, 25, sort_cols=["line"], partitions=5)
+    assert out.where(F.size("items") > 25).count() == 0
+    hist, removed = {}, {}
+    for r in out.orderBy("order_id", "chunk").collect():
+        hist.setdefault(r["order_id"], []).extend(r["items"])
+        removed[r["order_id"]] = r["removed"]
+    assert set(hist) == {o for o, b in whole.items() if len(b) >= 2}
+    assert all(hist[o] + removed[o] == whole[o] for o in hist)
