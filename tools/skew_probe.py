@@ -4,7 +4,7 @@ Re-keys the line items of a test scale so that one order holds about a third
 of all rows, then checks that
 * the range-partitioned sequencer spreads that order over many tasks and
   gives the same positions / predecessors / last flags as a per-order window;
-* chunked baskets never exceed their bound;
+* chunked baskets and chunked leave-last-out rows never exceed their bound;
 and reports timings.
 
 usage: python tools/skew_probe.py [sf_dir]
@@ -59,6 +59,14 @@ def main() -> None:
     n_hot = chunks.where(F.col("order_id") == -1).count()
     print(f"chunked baskets: largest row {biggest} items, hot order in {n_hot} rows, {time.time() - t0:.1f}s")
 
+    t0 = time.time()
+    llo = B.leave_last_out_chunks(skewed, {"items": "department_id"}, {"items": "removed"}, 5000,
+                                  sort_cols=sort_cols, partitions=16)
+    biggest = llo.agg(F.max(F.size("items"))).first()[0]
+    hot_hist = llo.where(F.col("order_id") == -1).agg(F.sum(F.size("items"))).first()[0]
+    print(f"chunked leave-last-out: largest row {biggest} items, hot history {hot_hist} items "
+          f"(= hot rows - 1: {hot_hist == hot_rows - 1}), {time.time() - t0:.1f}s")
+
 
 if __name__ == "__main__":
     main()
