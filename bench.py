@@ -21,7 +21,8 @@ from basketry.plans.catalog import QUERIES  # noqa: E402
 from basketry.session import build_session, recommended_conf  # noqa: E402
 
 HEADLINE = (
-    "baskets", "leave_last_out", "leave_last_out_long", "basket_chunks", "order_items_join_products",
+    "baskets", "leave_last_out", "leave_last_out_long", "leave_last_out_chunks", "basket_chunks",
+    "order_items_join_products",
     "max_ids_from_arrays",
     "describe_table", "correlation_pairs", "quartiles_exact", "iqr_outliers", "group_mean_stddev",
     "text_clean_documents", "tfidf_top_words_documents", "tfidf_fixed_vocab",
