@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer,
                                 RegexTokenizer, StopWordsRemover)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,6 +150,8 @@ def tfidf_vectors(docs: DataFrame, tokens_col: str, vocabulary: Sequence[str],
     without a vocabulary term get the zero vector).  ``idf`` defaults to the
     IDF measured on ``docs`` itself."""
     vocab = list(vocabulary)
+    if not vocab:                  # no vocabulary: every document gets the empty vector
+        return docs.withColumn(out_col, array_to_vector(F.array().cast("array<double>")))
     if idf is None:
         idf = idf_vector(docs, tokens_col, vocab)
     cv = CountVectorizerModel.from_vocabulary(vocab, inputCol=tokens_col, outputCol="_tf")
@@ -170,17 +172,21 @@ def term_scores_from_vectors(vectors: DataFrame, vocabulary: Sequence[str], k: i
     """Word scores from TF-IDF vectors, ranked like ``term_scores`` (score
     desc, term asc), top ``k``.
 
-    The vectors are summed in two levels: first per map-task group
-    (``spark_partition_id() % fan_in``, so every task contributes one partial
-    sum and at most ``fan_in`` reducers each merge a share of them), then the
-    <= ``fan_in`` group sums are added.  A plain global ``Summarizer.sum``
-    would send one |vocabulary|-wide buffer per task to a single reducer."""
+    The vectors are summed in two levels: Spark sums them per map-task group
+    (``spark_partition_id() % fan_in``: every task contributes one partial
+    sum, at most ``fan_in`` reducers each merge a share), and the <= ``fan_in``
+    group sums (<= fan_in x |vocabulary| numbers) are added on the driver.  A
+    plain global ``Summarizer.sum`` would send one |vocabulary|-wide buffer per
+    task to a single reducer."""
+    import numpy as np
     from pyspark.ml.stat import Summarizer
 
-    level1 = (vectors.groupBy(F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_g"))
-                     .agg(Summarizer.sum(F.col(features_col)).alias("_s")))
-    total = level1.agg(Summarizer.sum(F.col("_s")).alias("s")).first()["s"]
-    pairs = sorted(((float(total[i]), t) for i, t in enumerate(vocabulary)), key=lambda x: (-x[0], x[1]))[:k]
+    partials = (vectors.groupBy(F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_g"))
+                       .agg(Summarizer.sum(F.col(features_col)).alias("_s")).collect())
+    total = np.zeros(len(vocabulary))
+    for row in partials:
+        total += row["_s"].toArray()
+    pairs = sorted(zip(total.tolist(), vocabulary), key=lambda x: (-x[0], x[1]))[:k]
     rows = [(t, sc, r + 1) for r, (sc, t) in enumerate(pairs)]
     return vectors.sparkSession.createDataFrame(rows, "term string, score double, rank int")
 

@@ -65,3 +65,13 @@ def test_corpus_route_equals_long_route_top_words(spark):
     assert all(math.isclose(a[t], b[t], rel_tol=1e-9) for t in a)
     c = TF.corpus(toks, "product_id", "tokens", 1000)
     assert c.idf(["anvil"]) == TF.idf_vector(toks, "tokens", ["anvil"])
+
+
+def test_empty_corpus_and_vocabulary(spark):
+    empty = spark.createDataFrame([], "id int, tokens array<string>")
+    c = TF.corpus(empty, "id", "tokens")
+    assert c.vocabulary == () and TF.top_words(c, 30).count() == 0
+    docs = spark.createDataFrame([(1, ["a"])], "id int, tokens array<string>")
+    assert TF.tfidf_vectors(docs, "tokens", []).first()["features"].size == 0
+    assert TF.term_scores_from_vectors(TF.tfidf_vectors(docs.where("id < 0"), "tokens", ["a"]), ["a"], 5) \
+             .first()["score"] == 0.0
