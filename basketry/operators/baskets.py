@@ -172,9 +172,10 @@ def mapping_fanout(products: DataFrame, key: str) -> DataFrame:
     it: a key shared by n products yields n*n rows; NULL keys match nothing
     and keep one row each.  Also reports the count with a deduplicated map."""
     per_key = products.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("bigint")
     return per_key.agg(
-        F.sum("n").cast("bigint").alias("n_products"),
-        F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(F.col("n") * F.col("n"))).cast("bigint")
-         .alias("n_rows_per_product_map"),
-        F.sum("n").cast("bigint").alias("n_rows_distinct_map"),
+        F.coalesce(F.sum("n").cast("bigint"), zero).alias("n_products"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(F.col("n") * F.col("n"))).cast("bigint"),
+                   zero).alias("n_rows_per_product_map"),
+        F.coalesce(F.sum("n").cast("bigint"), zero).alias("n_rows_distinct_map"),
     )

@@ -78,7 +78,7 @@ def accuracy_table(predictions: DataFrame, label_col: str = "label", prediction_
     """One row: ``n``, ``n_correct``, ``accuracy`` (a fraction) and ``accuracy_pct``."""
     hit = (F.col(label_col) == F.col(prediction_col)).cast("bigint")
     out = predictions.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(hit), F.lit(0)).cast("bigint").alias("n_correct"))
-    acc = F.col("n_correct") / F.col("n")
+    acc = F.try_divide(F.col("n_correct").cast("double"), F.col("n"))     # NULL when there are no rows
     return out.select("n", "n_correct", acc.alias("accuracy"), (acc * 100).alias("accuracy_pct"))
 
 

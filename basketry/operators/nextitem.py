@@ -64,7 +64,8 @@ def hit_rate(predictions: DataFrame, label_col: str = "target_item", prediction_
     hit = (F.col(label_col) == F.col(prediction_col)).cast("bigint")
     out = predictions.agg(F.count(F.lit(1)).alias("n_baskets"),
                           F.coalesce(F.sum(hit), F.lit(0)).cast("bigint").alias("n_hits"))
-    return out.withColumn("accuracy", F.col("n_hits") / F.col("n_baskets"))
+    # NULL accuracy for no baskets (a plain division fails under ANSI mode)
+    return out.withColumn("accuracy", F.try_divide(F.col("n_hits").cast("double"), F.col("n_baskets")))
 
 
 def item_vocab_size(*seqs: DataFrame, max_vocab: int = 1_000) -> int:
