@@ -57,6 +57,7 @@ def build_baskets(items: DataFrame, values: Mapping[str, Column | str], order_co
                   sort_cols: Sequence[str] = ITEM_ORDER) -> DataFrame:
     """One row per order; ``values`` maps output array name -> item column.
 
+    Items are ordered by ``sort_cols`` ascending (NULL sort values first).
     ``collect_list`` of a struct is partially aggregated map-side, so an order
     split over many input partitions is merged without moving its raw rows.
     """
