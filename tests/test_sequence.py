@@ -67,3 +67,10 @@ def _sorted_safe(df):
     key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
     return sorted((tuple(r) for r in df.select("order_id", "line", "item", "pos", "prev_item", "is_last").collect()),
                   key=key)
+
+
+def test_window_strategy_same_result(spark):
+    items = _hot_items(spark)
+    a = _sorted(sequence_items(items, "order_id", ["line"], "item", partitions=4))
+    b = _sorted(sequence_items(items, "order_id", ["line"], "item", strategy="window"))
+    assert a == b
