@@ -36,6 +36,9 @@ def main() -> None:
     names = sys.argv[1:] or list(HEADLINE)
     input_bytes = sum(p.stat().st_size for p in Path(sf_dir).glob("*.parquet"))
     conf = recommended_conf(input_bytes, cpus)
+    event_dir = os.environ.get("BENCH_EVENT_LOG")      # optional: stage timings via tools/stage_times.py
+    if event_dir:
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(conf.pop("spark.sql.shuffle.partitions")),
                           extra={**conf, "spark.driver.memory": "16g"})
     # warm the JVM (class loading, codegen paths) and the Python workers
@@ -46,6 +49,7 @@ def main() -> None:
     timings, first, failed = {}, {}, []
     for name in names:
         runs = []
+        spark.sparkContext.setJobDescription(name)        # labels the query's stages in event logs
         try:
             for _ in range(2):
                 t0 = time.time()
