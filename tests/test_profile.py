@@ -110,3 +110,14 @@ def test_exact_quantiles_many_probs_share_passes(spark, values, probs):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     got = exact_quantiles(df, "x", probs, max_collect=5, buckets=4)
     assert got == [float(_disc(values, p)) for p in probs]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(min_value=-1e12, max_value=1e12, allow_nan=False, allow_infinity=False)
+                | st.sampled_from([0.0, -0.5, 3.25]), min_size=1, max_size=150),
+       st.sampled_from([0.01, 0.3, 0.5, 0.99]))
+def test_exact_quantiles_floats(spark, values, p):
+    # elements are arbitrary floats or frequently repeated values
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = exact_quantiles(df, "x", [p], max_collect=4, buckets=4)[0]
+    assert got == _disc(values, p)
