@@ -61,6 +61,8 @@ def sequence_items_window(items: DataFrame, group_col: str, sort_cols: Sequence[
 
 def _differs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Element-wise ``a != b`` with NULL/NaN equal to NULL/NaN."""
+    if a.dtype.kind in "iub" and b.dtype.kind in "iub":      # plain integers hold no NULLs
+        return a != b
     na, nb = pd.isna(a), pd.isna(b)
     with np.errstate(invalid="ignore"):
         return np.where(na | nb, na != nb, a != b).astype(bool)
@@ -70,7 +72,7 @@ def _local_pass(group_col: str, item_col: str, item_dtype: str):
     """Per-partition pandas pass over rows sorted by (group, order keys)."""
 
     def finish(pdf, lpos, prev, last_local, p_first, pid):
-        out = pdf.copy()
+        out = pdf                   # a fresh frame per batch (reset_index copied it)
         out["_pid"] = np.int32(pid)
         out["_lpos"] = lpos.astype("int64")
         out["prev_item"] = prev
