@@ -94,6 +94,35 @@ def rule_mapping(products_df: DataFrame) -> DataFrame:
                             (F.pmod(F.length(K.NAME) * 31 + F.ascii(K.NAME), F.lit(N_CLUSTERS)) + 1).cast("int"))
 
 
+# ---------------------------------------------------------------- fitted pieces shared by several queries
+
+_FITTED: dict = {}
+
+
+def _shared(what: str):
+    """Per-session memo for a fitted piece used by several queries (the
+    KMeans name map, the random forest, sequences, the classifier): the first
+    query of a session fits it, later ones in the same session reuse it.
+    Keyed by the Spark application id and the scale directory.  ``.build``
+    runs the piece without the memo."""
+    def deco(fn):
+        def wrapper(spark, sf):
+            key = (spark.sparkContext.applicationId, sf, what)
+            if key not in _FITTED:
+                _FITTED[key] = fn(spark, sf)
+            return _FITTED[key]
+        wrapper.build = fn
+        wrapper.__doc__ = fn.__doc__
+        return wrapper
+    return deco
+
+
+@_shared("name-clusters")
+def name_clusters(spark, sf):
+    """KMeans(20, seed 42) map cleaned name -> cluster, virtual_product_id."""
+    return K.cluster_names(products(spark, sf), k=N_CLUSTERS, seed=42, n_words=TOP_WORDS)
+
+
 # ---------------------------------------------------------------- sources
 
 def q_csv_scan_inferred(spark, sf):
@@ -278,7 +307,7 @@ def q_vocab_size_distinct(spark, sf):
 def q_vocab_size_clusters(spark, sf):
     """Distinct virtual product ids + 1 with the KMeans name -> cluster map."""
     prods = products(spark, sf)
-    mapping = K.cluster_names(prods, k=N_CLUSTERS, seed=42, n_words=TOP_WORDS)
+    mapping = name_clusters(spark, sf)
     return B.vocab_size_distinct(B.attach_mapping(prods, mapping, K.NAME, "virtual_product_id"), "virtual_product_id")
 
 
@@ -395,13 +424,13 @@ def q_tfidf_fixed_vocab(spark, sf):
 
 def q_kmeans_clusters(spark, sf):
     """KMeans(20, seed 42) clusters of the cleaned names."""
-    return K.cluster_names(products(spark, sf), k=N_CLUSTERS, seed=42, n_words=TOP_WORDS)
+    return name_clusters(spark, sf)
 
 
 def q_cluster_members(spark, sf):
     """Members of each cluster with product counts."""
     prods = products(spark, sf)
-    return K.cluster_members(prods, K.cluster_names(prods, k=N_CLUSTERS, seed=42, n_words=TOP_WORDS))
+    return K.cluster_members(prods, name_clusters(spark, sf))
 
 
 def q_nearest_centroid(spark, sf):
@@ -428,7 +457,7 @@ def q_virtual_product_baskets(spark, sf):
     """Clean names -> TF-IDF -> KMeans(20) -> virtual product ids -> baskets ->
     leave last out (the project's flow, distributed)."""
     prods = products(spark, sf)
-    mapped = B.attach_mapping(prods, K.cluster_names(prods, k=N_CLUSTERS, seed=42, n_words=TOP_WORDS),
+    mapped = B.attach_mapping(prods, name_clusters(spark, sf),
                               K.NAME, "virtual_product_id")
     items = B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), mapped)
     b = B.build_baskets(items, {"virtual_product_id": "virtual_product_id", "product_id": "product_id",
@@ -472,6 +501,7 @@ def q_random_split_stable(spark, sf):
                  .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
 
 
+@_shared("rf")
 def _rf(spark, sf):
     feats, labels = C.index_labels(C.hash_split(_doc_features(spark, sf), "doc_id", TEST_PERCENT, SPLIT_SEED), "lang")
     # features are computed once (regexes over whole texts) and read by both splits
@@ -513,6 +543,7 @@ def q_confusion_matrix(spark, sf):
 
 # ---------------------------------------------------------------- next item
 
+@_shared("sequences")
 def _sequences(spark, sf):
     seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "department_id", keep_sort_cols=False)
     seq = C.hash_split(seq, B.ORDER, TEST_PERCENT, SPLIT_SEED)
@@ -532,11 +563,12 @@ def q_next_item_transition_eval(spark, sf):
     return N.hit_rate(N.transition_predictions(train, test, B.ORDER)).withColumn("accuracy", _r("accuracy"))
 
 
+@_shared("virtual_sequences")
 def _virtual_sequences(spark, sf):
     """Sequences of virtual product ids (KMeans cluster + 1 of the cleaned
     name), split into train/test orders by the key hash."""
     prods = products(spark, sf)
-    mapped = B.attach_mapping(prods, K.cluster_names(prods, k=N_CLUSTERS, seed=42, n_words=TOP_WORDS),
+    mapped = B.attach_mapping(prods, name_clusters(spark, sf),
                               K.NAME, "virtual_product_id")
     items = B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), mapped)
     seq = sequence_items(items, B.ORDER, B.ITEM_ORDER, "virtual_product_id", keep_sort_cols=False)
@@ -559,6 +591,7 @@ def q_next_item_virtual_classifier_accuracy(spark, sf):
     return N.hit_rate(N.classifier_predictions(model, N.history_features(test, B.ORDER, vocab), B.ORDER))
 
 
+@_shared("classifier")
 def _classifier(spark, sf):
     train, test = _sequences(spark, sf)
     vocab = N.item_vocab_size(train, test)
@@ -599,7 +632,7 @@ def q_feature_sink_roundtrip(spark, sf):
 
 def q_cluster_labels_sink(spark, sf):
     """Cluster labels of the cleaned names written as parquet and read back."""
-    labels = K.cluster_names(products(spark, sf), k=N_CLUSTERS, seed=42, n_words=TOP_WORDS)
+    labels = name_clusters(spark, sf)
     return S.parquet_roundtrip(labels, scratch_path(spark, "cluster-labels"))
 
 

@@ -112,8 +112,8 @@ def test_centroid_bound_enforced(spark):
 
 
 def test_random_forest_same_seed_same_predictions(spark):
-    a, _ = C._rf(spark, SF01)
-    b, _ = C._rf(spark, SF01)
+    a, _ = C._rf.build(spark, SF01)          # two independent fits, not the session memo
+    b, _ = C._rf.build(spark, SF01)
     pa = sorted((r["doc_id"], r["prediction"]) for r in a.select("doc_id", "prediction").collect())
     pb = sorted((r["doc_id"], r["prediction"]) for r in b.select("doc_id", "prediction").collect())
     assert pa == pb and len(pa) > 0
@@ -148,3 +148,10 @@ def test_history_features_sparse_and_bounded(spark):
     assert feats[1]["label"] == 49 % 3
     assert v[0] + v[1] + v[2] == 49 and v[5 + 48 % 3] == 1.0
     assert feats[2]["features"].toArray().tolist() == [0, 0, 0, 0, 1, 0, 0, 0, 0, 1]
+
+
+def test_shared_fits_are_reused_within_a_session(spark):
+    assert C.name_clusters(spark, SF01) is C.name_clusters(spark, SF01)
+    a = sorted(C.q_kmeans_clusters(spark, SF01).collect())
+    b = sorted(C.name_clusters.build(spark, SF01).collect())
+    assert a == b
