@@ -77,3 +77,20 @@ def test_recommended_conf_scales_with_input():
     assert big["spark.sql.shuffle.partitions"] == "200000"
     mid = recommended_conf(10**12, 8)
     assert int(mid["spark.sql.shuffle.partitions"]) == -(-10**12 // (256 << 20))
+
+
+def test_spread_only_when_too_few_partitions(spark):
+    from basketry.session import spread
+    target = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 100, 1, 1)
+    assert spread(one, "id").rdd.getNumPartitions() == target
+    many = spark.range(0, 100, 1, target + 2)
+    assert spread(many, "id") is many
+
+
+def test_scratch_lives_under_the_checkpoint_dir(spark):
+    from basketry.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = scratch_path(spark, "x")
+    assert path.startswith(root + "/basketry-scratch/x-")
+    assert scratch_path(spark, "x") != path
