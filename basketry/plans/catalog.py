@@ -60,10 +60,12 @@ def _r(c, digits: int = DIGITS):
 # ---------------------------------------------------------------- inputs
 
 def products(spark, sf):
+    """Products view of ``part`` (ids, names, aisle and department ids, cleaned names)."""
     return B.products_from_part(read_table(spark, sf, "part"))
 
 
 def joined_items(spark, sf):
+    """Order items of ``lineitem`` joined to the products (inner, on the product id)."""
     return B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), products(spark, sf))
 
 
