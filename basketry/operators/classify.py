@@ -40,7 +40,7 @@ def text_shape_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumns({
         "f_chars": F.length(t).cast("double"),
         "f_words": F.regexp_count(t, F.lit(r"\S+")).cast("double"),   # counts without building a word array
-        "f_lines": (F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1).cast("double"),
+        "f_lines": (F.regexp_count(t, F.lit("\n")) + 1).cast("double"),
         "f_non_ascii": F.regexp_count(t, F.lit(r"[^\x00-\x7F]")).cast("double"),   # no rewritten copy of the text
     })
 
