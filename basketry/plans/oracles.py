@@ -9,24 +9,25 @@ model objects have no entry here.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from basketry.functions.text import NAME_STOPWORD_PATTERN
 from basketry.functions.keys import KEY_MULTIPLIER, KEY_PRIME
 from basketry.plans.catalog import (BASKET_CHUNK, DIGITS, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS,
                                     NEXT_ITEM_PARAMS, RETURNFLAG_LABELS, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
 
-
-@functools.lru_cache(maxsize=1)
-def spark_english_stopwords() -> tuple[str, ...]:
-    """Spark ML's default English stopword list, read from the installed jar."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        return tuple(z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split())
+# The default English stopwords of Spark ML's StopWordsRemover,
+# in the library's order (a test holds the list against the installed Spark).
+SPARK_ENGLISH_STOPWORDS = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while of
+at by for with about against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each few more most other
+some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+""".split())
 
 
 def _lit_list(words) -> str:
@@ -44,7 +45,7 @@ def clean_sql(expr: str) -> str:
 
 
 def tokens_sql(expr: str) -> str:
-    stop = _lit_list(spark_english_stopwords())
+    stop = _lit_list(SPARK_ENGLISH_STOPWORDS)
     return (rf"list_filter(regexp_extract_all(lower(coalesce({expr}, '')), '\w\w+'), "
             f"lambda t: NOT list_contains({stop}, t))")
 

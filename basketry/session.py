@@ -4,11 +4,12 @@ Library functions never create a session themselves; they take DataFrames.
 ``build_session`` is for tests, tools and the benchmark.  Shared scratch space
 (for file round trips and lineage cuts) always lives under the cluster's
 ``spark.checkpoint.dir``; a private directory is only created when that setting
-is missing, which happens in local test sessions.
+is missing and the master is ``local``, as in tests.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting one only if unset."""
+    """The session's checkpoint directory.
+
+    The cluster's ``spark.checkpoint.dir`` is used as it is.  Only a session
+    whose master is ``local`` may go without that setting: it then gets a
+    private directory.  Anywhere else executors have disks of their own, so a
+    missing setting is an error."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
@@ -48,10 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local sessions without a configured shared folder.
+        if sc is None or not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="basketry-ckpt-")
-        if sc is None:
-            spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)

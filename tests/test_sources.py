@@ -94,3 +94,18 @@ def test_scratch_lives_under_the_checkpoint_dir(spark):
     path = scratch_path(spark, "x")
     assert path.startswith(root + "/basketry-scratch/x-")
     assert scratch_path(spark, "x") != path
+
+
+def test_scratch_needs_a_shared_folder_off_local():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from basketry.session import ensure_checkpoint_dir
+
+    def session(master):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda key, default=None: default))
+    for master in ("yarn", "k8s://x", "spark://x:1", "local-cluster[2,1,512]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(session(master))
