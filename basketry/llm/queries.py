@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import mixing
+from basketry.llm import mixing, simhash
 from basketry.llm.common import read_docs
 
 
@@ -19,5 +19,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("mix_copies").alias("copies"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources}
+def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash groups of all documents: 3-word shingles, 2 bits."""
+    found = simhash.near_duplicates(read_docs(spark, sf_dir), words=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup}
 ORACLES: dict[str, str] = {}
