@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.session import cut_lineage
 
@@ -33,6 +34,11 @@ def word_runs(text: bytes, limit: int = 1 << 22) -> Iterator[list[bytes]]:
     yield text[at:].split() if at else text.split()
 
 
+def extended(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` and more columns after it."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def partition_ranks(df: DataFrame, order: list, rank: str, name: str) -> DataFrame:
     """``df`` with the 0-based position of each row in the given total order,
     without a single-task window: a range sort, then each sorted partition's

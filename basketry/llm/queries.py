@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import mixing, simhash
+from basketry.llm import language, mixing, simhash
 from basketry.llm.common import read_docs
 
 
@@ -26,5 +26,17 @@ def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by compression; learnt from the rows whose
+    crc32 of the id modulo 5 is not 0 (a null id is held out)."""
+    docs = read_docs(spark, sf_dir)
+    held_out = F.coalesce(language.fold("doc_id", 5) == 0, F.lit(True))
+    contents = language.fit_dictionaries(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), contents)
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"),
+                        F.col("lang_margin").alias("margin"), F.col("lang_rejected").alias("rejected"))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup,
+           "op9_language_id": op9_language_id}
 ORACLES: dict[str, str] = {}

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import components, word_runs
+from basketry.llm.common import components, extended, word_runs
 from basketry.session import cut_lineage
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))      # first bit, bits
@@ -116,8 +116,8 @@ def with_fingerprints(docs: DataFrame, text: str = "text", words: int = 3) -> Da
                                              [*batch.schema.names[:-1], "fp"])
 
     rest = docs.drop(text)
-    schema = rest.withColumn("fp", F.lit(0).cast("bigint")).schema
-    return (docs.select(*rest.columns, F.encode(F.col(text), "UTF-8").alias("__text")).mapInArrow(run, schema))
+    return (docs.select(*rest.columns, F.encode(F.col(text), "UTF-8").alias("__text"))
+            .mapInArrow(run, extended(rest, "fp bigint")))
 
 
 # ---------------------------------------------------------------- Golay keys
