@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import language, mixing, simhash
+from basketry.llm import language, mixing, quality, simhash
 from basketry.llm.common import read_docs
 
 
@@ -26,6 +26,18 @@ def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a factorisation machine; learnt from labels
+    of rows whose crc32 of the id modulo 4 is not 2 (a null id is held out)."""
+    docs = read_docs(spark, sf_dir)
+    held_out = F.coalesce(language.fold("doc_id", 4) == 2, F.lit(True))
+    learn = docs.where(~held_out)
+    machine = quality.fit(learn, read_docs(spark, sf_dir, "labels").where(~held_out))
+    scored = quality.score(docs.select("doc_id", held_out.alias("held_out"), "text", "n_chars"), machine)
+    return scored.select("doc_id", "held_out", F.col("quality_score").alias("score"),
+                         (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by compression; learnt from the rows whose
     crc32 of the id modulo 5 is not 0 (a null id is held out)."""
@@ -38,5 +50,5 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup,
-           "op9_language_id": op9_language_id}
+           "op3_quality_fm": op3_quality_fm, "op9_language_id": op9_language_id}
 ORACLES: dict[str, str] = {}
