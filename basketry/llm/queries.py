@@ -3,10 +3,11 @@ over its whole table, with DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import language, mixing, quality, simhash
+from basketry.llm import language, mixing, packing, quality, simhash
 from basketry.llm.common import read_docs
 
 
@@ -38,6 +39,11 @@ def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(read_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by compression; learnt from the rows whose
     crc32 of the id modulo 5 is not 0 (a null id is held out)."""
@@ -50,5 +56,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup,
-           "op3_quality_fm": op3_quality_fm, "op9_language_id": op9_language_id}
+           "op3_quality_fm": op3_quality_fm, "op7_bestfit_packing": op7_bestfit_packing,
+           "op9_language_id": op9_language_id}
 ORACLES: dict[str, str] = {}
