@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import language, mixing, packing, quality, simhash
+from basketry.llm import language, matrices, mixing, packing, quality, simhash
 from basketry.llm.common import read_docs
+from basketry.session import cut_lineage
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +56,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_margin").alias("margin"), F.col("lang_rejected").alias("rejected"))
 
 
+def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed token-id matrices, written and read back: one row
+    per segment."""
+    made = matrices.token_matrices(read_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                   public_tokenizers.PATTERN)
+    return matrices.segment_rows(cut_lineage(made, "token-matrices"))
+
+
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup,
            "op3_quality_fm": op3_quality_fm, "op7_bestfit_packing": op7_bestfit_packing,
-           "op9_language_id": op9_language_id}
+           "op9_language_id": op9_language_id, "op10_token_matrices": op10_token_matrices}
 ORACLES: dict[str, str] = {}
