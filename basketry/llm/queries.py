@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import language, matrices, mixing, packing, quality, simhash
+from basketry.llm import chat, language, matrices, mixing, packing, quality, simhash
 from basketry.llm.common import read_docs
 from basketry.session import cut_lineage
 
@@ -45,6 +45,11 @@ def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal logged conversations, rendered."""
+    return chat.chat_format(read_docs(spark, sf_dir, "conversations"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by compression; learnt from the rows whose
     crc32 of the id modulo 5 is not 0 (a null id is held out)."""
@@ -66,5 +71,6 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup,
            "op3_quality_fm": op3_quality_fm, "op7_bestfit_packing": op7_bestfit_packing,
-           "op9_language_id": op9_language_id, "op10_token_matrices": op10_token_matrices}
-ORACLES: dict[str, str] = {}
+           "op8_chat_snapshots": op8_chat_snapshots, "op9_language_id": op9_language_id,
+           "op10_token_matrices": op10_token_matrices}
+ORACLES: dict[str, str] = {"op8_chat_snapshots": chat.ORACLE}
