@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, language, matrices, mixing, packing, quality, simhash, topk
+from basketry.llm import chat, language, matrices, mixing, packing, quality, simhash, topk, vectorgraph
 from basketry.llm.common import read_docs
 from basketry.session import cut_lineage
 
@@ -40,6 +40,12 @@ def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate embeddings: cosine of at least 0.95."""
+    found = vectorgraph.near_duplicates(read_docs(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.withColumnRenamed("component", "component_id")
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every embedding whose id 50 divides, against
     all others."""
@@ -76,7 +82,8 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup,
-           "op3_quality_fm": op3_quality_fm, "op5_exact_topk": op5_exact_topk, "op7_bestfit_packing": op7_bestfit_packing,
+           "op3_quality_fm": op3_quality_fm, "op4_embedding_neardup": op4_embedding_neardup, "op5_exact_topk": op5_exact_topk,
+           "op7_bestfit_packing": op7_bestfit_packing,
            "op8_chat_snapshots": op8_chat_snapshots, "op9_language_id": op9_language_id,
            "op10_token_matrices": op10_token_matrices}
 ORACLES: dict[str, str] = {"op5_exact_topk": topk.ORACLE, "op8_chat_snapshots": chat.ORACLE}
