@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, language, matrices, mixing, packing, quality, simhash, topk, vectorgraph
+from basketry.llm import chat, language, matrices, mixing, packing, passages, quality, simhash, topk, vectorgraph
 from basketry.llm.common import read_docs
 from basketry.session import cut_lineage
 
@@ -52,6 +52,11 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_docs(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that an earlier document has, 80% equal."""
+    return passages.repeated_passages(read_docs(spark, sf_dir), min_words=50, min_identity=0.8)
+
+
 def op7_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(read_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -83,7 +88,7 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup,
            "op3_quality_fm": op3_quality_fm, "op4_embedding_neardup": op4_embedding_neardup, "op5_exact_topk": op5_exact_topk,
-           "op7_bestfit_packing": op7_bestfit_packing,
+           "op6_substring_dedup": op6_substring_dedup, "op7_bestfit_packing": op7_bestfit_packing,
            "op8_chat_snapshots": op8_chat_snapshots, "op9_language_id": op9_language_id,
            "op10_token_matrices": op10_token_matrices}
 ORACLES: dict[str, str] = {"op5_exact_topk": topk.ORACLE, "op8_chat_snapshots": chat.ORACLE}
