@@ -55,9 +55,12 @@ def fit_dictionaries(docs: DataFrame, text: str = "text", lang: str = "lang", ke
     order of their ids' hash, the first at the end, where references are cheapest."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
-    counts = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    share = F.least(F.lit(1.0), F.lit(2.0 * sample_docs) / F.col("n"))
-    some = (rows.join(counts, "lang").where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)
+    counts = docs.where(F.col(lang).isNotNull()).groupBy(lang).count().collect()       # a number per dictionary
+    if not counts:
+        return {}
+    # a share of each language's documents, taken before any of them is shuffled
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(1.0, 2.0 * sample_docs / r[1]))])
+    some = (rows.where(F.pmod("h", F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
             .select("lang", "h", F.substring("text", 1, SAMPLE_BYTES).alias("text")))
     # the share takes twice the wanted number; of these the first by hash, in parts so that no task holds a language
     first = some.groupBy("lang", F.pmod(F.col("h"), F.lit(16)).alias("part")).agg(
