@@ -143,6 +143,5 @@ def fold(key: str, parts: int) -> Column:
 def keep_identified(docs: DataFrame, contents: dict[str, bytes], text: str = "text",
                     min_margin: float = MIN_MARGIN) -> DataFrame:
     """``docs`` without the documents whose language is rejected."""
-    columns = docs.columns
-    marked = identify(docs.withColumn("__t", F.col(text)), contents, "__t", min_margin)
-    return marked.where(~F.col("lang_rejected")).select(*columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text).alias("__t"))
+    return identify(rows, contents, "__t", min_margin).where(~F.col("lang_rejected")).select("__row.*")
