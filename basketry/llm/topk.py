@@ -61,8 +61,8 @@ def _safe(rows: np.ndarray, queries: np.ndarray) -> bool:
 
 def _rest_lengths(rows: np.ndarray, cuts: list[int]) -> np.ndarray:
     """Length of each row from each cut on, rounded up."""
-    squares = np.stack([(rows[:, a:] ** 2).sum(axis=1) for a in cuts])
-    return np.sqrt(squares) * (1 + 1e-12)
+    squares = [(rows[:, a:] ** 2).sum(axis=1) for a in cuts]
+    return np.sqrt(np.array(squares).reshape(len(cuts), len(rows))) * (1 + 1e-12)
 
 
 def best_k(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int,
