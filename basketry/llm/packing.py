@@ -34,7 +34,7 @@ from basketry.session import cut_lineage
 
 WIDTH = 4096
 END_ID = 1
-PART_ROWS = 50_000
+PART_ROWS = 2_000
 
 
 # ---------------------------------------------------------------- the plan

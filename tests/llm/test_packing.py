@@ -95,7 +95,7 @@ def expected_pieces(rows, encode, end, width):
     return Counter(out)
 
 
-@pytest.mark.parametrize("part_rows", [50_000, 2])
+@pytest.mark.parametrize("part_rows", [2_000, 2])
 def test_documents_are_packed_whole(spark, part_rows, monkeypatch):
     monkeypatch.setattr(P.pack, "__defaults__", (P.WIDTH, "length", part_rows))
     whole = Tokenizer.from_file(WORDS)
