@@ -218,7 +218,7 @@ def source_targets(sizes: DataFrame, weights=(3, 1, 2), share: str = "1.5", cap:
 
 
 def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "source", weights=(3, 1, 2),
-                share: str = "1.5", cap: int = 2, block_rows: int = 20_000) -> DataFrame:
+                share: str = "1.5", cap: int = 2, block_rows: int = 4_096) -> DataFrame:
     """``docs`` with five columns more: ``mix_size`` (words), ``mix_source_size``,
     ``mix_target`` (both of the source), ``mix_copies`` (how often the mix takes
     the document, 0 to ``cap``) and ``mix_taken`` (words taken, copies counted).
