@@ -34,6 +34,14 @@ def word_runs(text: bytes, limit: int = 1 << 22) -> Iterator[list[bytes]]:
     yield text[at:].split() if at else text.split()
 
 
+def small(batches: Iterator, rows: int = 1024) -> Iterator:
+    """Arrow batches of texts in slices, so that few texts at a time become
+    Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def extended(df: DataFrame, ddl: str) -> T.StructType:
     """The schema of ``df`` and more columns after it."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])

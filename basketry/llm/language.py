@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import extended
+from basketry.llm.common import extended, small
 
 DICT_BYTES = 1 << 17
 BLOCK = 2048
@@ -123,7 +123,7 @@ def identify(docs: DataFrame, contents: dict[str, bytes], text: str = "text",
 
     def run(batches):
         encoder = Encoder(contents)
-        for batch in batches:
+        for batch in small(batches):
             found = [encoder.classify(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             names, scores, margins = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(

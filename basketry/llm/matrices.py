@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from basketry.llm.common import small
 from basketry.llm.tokens import byte_tokenizer
 
 WIDTH = 2048
@@ -145,7 +146,7 @@ def token_matrices(docs: DataFrame, tokenizer_path: str, pattern: str, key: str
                 number += 1
             waiting, held = [], 0
 
-        for batch in batches:
+        for batch in small(batches):
             for s, k, t in zip(*(c.to_pylist() for c in batch.columns)):
                 if s != shard:
                     yield from flush()

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.common import extended
+from basketry.llm.common import extended, small
 from basketry.llm.tokens import word_tokenizer
 from basketry.session import cut_lineage
 
@@ -194,7 +194,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", width: int
 
     def run(batches):
         encode = word_tokenizer(tokenizer_path).encode
-        for batch in batches:
+        for batch in small(batches):
             row, number, crc, start, length, ids = [], [], [], [], [], []
 
             def out():

@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import extended, word_runs
+from basketry.llm.common import extended, small, word_runs
 
 BUCKETS = 1 << 13
 RANK = 8
 MAX_ROWS = 12_000
 EPOCHS = 15
-MEMO = 200_000
+MEMO = 100_000
 UPPER = bytes(range(65, 91))
 DIGIT = bytes(range(48, 58))
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
 
     def run(batches):
         featuriser = Featuriser()
-        for batch in batches:
+        for batch in small(batches):
             k, t, n, y = (batch.column(c).to_pylist() for c in ("k", "t", "n", "label"))
             found = [featuriser(a, b) for a, b in zip(t, n)]
             yield pa.RecordBatch.from_arrays(
@@ -202,7 +202,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", n_chars: str =
 
     def run(batches):
         featuriser = Featuriser()
-        for batch in batches:
+        for batch in small(batches):
             texts, sizes = (batch.column(batch.num_columns - i).to_pylist() for i in (2, 1))
             found = [machine.score(*featuriser(t, n)) for t, n in zip(texts, sizes)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.float64())],

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import components, extended, word_runs
+from basketry.llm.common import components, extended, small, word_runs
 from basketry.session import cut_lineage
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))      # first bit, bits
@@ -110,7 +110,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", words: int = 3) -> Da
     """The columns of ``docs`` but the text, and ``fp``, a bigint with the
     fingerprint's bits."""
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             found = fingerprints(batch.column(batch.num_columns - 1).to_pylist(), words)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))],
                                              [*batch.schema.names[:-1], "fp"])
