@@ -8,7 +8,6 @@ Sub-packages:
 * ``operators`` - DataFrame -> DataFrame operators (profiling, baskets, TF-IDF,
   clustering, classification, next-item models, partition control)
 * ``plans``     - the query catalogue over the test tables and its SQL oracles
-* ``streaming`` - reserved; the workload has no streaming operators
 """
 
 __version__ = "0.1.0"

@@ -39,6 +39,6 @@ def one_hot_dense(idx: Column | str, width: Column | int) -> Column:
                        lambda j: F.when(j == i, F.lit(1)).otherwise(F.lit(0)))
 
 
-def join_ints(arr: Column | str, sep: str = ",") -> Column:
-    """Render an int array as text (NULL elements are skipped)."""
-    return F.array_join(F.transform(_col(arr), lambda x: x.cast("string")), sep)
+def join_ints(arr: Column | str, sep: str = ",", null: str = "NULL") -> Column:
+    """Render an int array as text; NULL elements keep their place as ``null``."""
+    return F.array_join(F.transform(_col(arr), lambda x: x.cast("string")), sep, null)

@@ -17,17 +17,17 @@ from pyspark.sql import functions as F
 NAME_STOPWORDS = ("with", "and", "in", "of", "the", "for", "a", "an", "free", "mix", "original", "pack")
 DIGIT_RUNS = r"\d+"
 NOT_LETTER_OR_SPACE = r"[^a-z\s]"
-NAME_STOPWORD_PATTERN = r"\b(?:with|and|in|of|the|for|a|an|free|mix|original|pack)\b"
 WHITESPACE_RUNS = r"\s+"
 
 
 def stopword_pattern(words: Sequence[str] = NAME_STOPWORDS) -> str:
-    """Whole-word alternation for ``words`` (the fixed list gives ``NAME_STOPWORD_PATTERN``)."""
-    if tuple(words) == NAME_STOPWORDS:
-        return NAME_STOPWORD_PATTERN
+    """Whole-word alternation for ``words``."""
     return r"\b(?:" + "|".join(words) + r")\b"
 
 
+NAME_STOPWORD_PATTERN = stopword_pattern()
+
+
 def clean_text(col: Column | str, stopwords: Sequence[str] = NAME_STOPWORDS) -> Column:
     c = F.lower(F.col(col) if isinstance(col, str) else col)
     c = F.regexp_replace(c, DIGIT_RUNS, "")

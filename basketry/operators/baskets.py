@@ -63,9 +63,12 @@ def build_baskets(items: DataFrame, values: Mapping[str, Column | str], order_co
     split over many input partitions is merged without moving its raw rows.
     """
     fields = [F.col(c).alias(f"_k{i}") for i, c in enumerate(sort_cols)]
-    fields += [(F.col(v) if isinstance(v, str) else v).alias(name) for name, v in values.items()]
+    # a value that is also a sort key travels once
+    place = {name: f"_k{list(sort_cols).index(v)}" if isinstance(v, str) and v in sort_cols else name
+             for name, v in values.items()}
+    fields += [(F.col(v) if isinstance(v, str) else v).alias(name) for name, v in values.items() if place[name] == name]
     gathered = items.groupBy(order_col).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_items"))
-    return gathered.select(order_col, *[F.col(f"_items.{name}").alias(name) for name in values])
+    return gathered.select(order_col, *[F.col(f"_items.{place[name]}").alias(name) for name in values])
 
 
 def build_basket_chunks(items: DataFrame, values: Mapping[str, str], chunk_size: int, order_col: str = ORDER,
@@ -86,31 +89,29 @@ def build_basket_chunks(items: DataFrame, values: Mapping[str, str], chunk_size:
     return gathered.select(order_col, "chunk", "first_pos", *[F.col(f"_items.{n}").alias(n) for n in names])
 
 
-def leave_last_out_chunks(items: DataFrame, values: Mapping[str, str], removed: Mapping[str, str], chunk_size: int,
-                          order_col: str = ORDER, sort_cols: Sequence[str] = ITEM_ORDER,
-                          partitions: int | None = None) -> DataFrame:
+def leave_last_out_chunks(items: DataFrame, values: Mapping[str, str], chunk_size: int, order_col: str = ORDER,
+                          sort_cols: Sequence[str] = ITEM_ORDER, partitions: int | None = None) -> DataFrame:
     """Leave-last-out for skewed data, in array form.
 
-    For every basket of two or more items: rows ``(order, chunk, first_pos,
-    <history arrays>, remove_count, <removed arrays>)``.  History chunk k
-    holds the items at positions k*chunk_size+1 .. (k+1)*chunk_size of the
-    basket without its last item (concatenating the chunks by ``chunk`` gives
-    the history); each row also carries the removed last item (``removed``
-    maps a value name to its removed-array name).  No row holds more than
-    ``chunk_size`` items, however large the order.  Positions and the last
-    flag come from the range-partitioned ``sequence_items``."""
+    For every basket of two or more items: rows ``(order, part, chunk,
+    first_pos, <arrays>)``.  ``part`` 'history' chunk k holds the items at
+    positions k*chunk_size+1 .. (k+1)*chunk_size of the basket without its last
+    item (concatenating the chunks by ``chunk`` gives the history); ``part``
+    'removed' is one row with the removed last item.  No row holds more than
+    ``chunk_size`` items and nothing is joined back on the order, however large
+    it is; baskets of items without an order id are one basket, kept like any
+    other.  Positions and the last flag come from the range-partitioned
+    ``sequence_items``."""
     names = list(values)
     seq = sequence_items(items.withColumns({n: F.col(c) for n, c in values.items()}), order_col, sort_cols, names[0],
                          out_item=names[0], partitions=partitions, carry=names[1:], keep_sort_cols=False)
-    last = (seq.where(F.col("is_last") & (F.col("pos") > 1))
-               .select(order_col, *[F.array(F.col(n)).alias(removed[n]) for n in names if n in removed]))
     chunk = F.floor((F.col("pos") - 1) / F.lit(chunk_size)).cast("bigint")
-    history = (seq.where(~F.col("is_last"))
-                  .groupBy(order_col, chunk.alias("chunk"))
-                  .agg(F.sort_array(F.collect_list(F.struct("pos", *names))).alias("_items"),
-                       F.min("pos").alias("first_pos")))
-    chunks = history.select(order_col, "chunk", "first_pos", *[F.col(f"_items.{n}").alias(n) for n in names])
-    return chunks.join(last, order_col, "inner").withColumn("remove_count", F.lit(1))
+    part = F.when(F.col("is_last"), F.lit("removed")).otherwise(F.lit("history"))
+    gathered = (seq.where((F.col("pos") > 1) | ~F.col("is_last"))
+                   .groupBy(order_col, part.alias("part"), chunk.alias("chunk"))
+                   .agg(F.sort_array(F.collect_list(F.struct("pos", *names))).alias("_items"),
+                        F.min("pos").alias("first_pos")))
+    return gathered.select(order_col, "part", "chunk", "first_pos", *[F.col(f"_items.{n}").alias(n) for n in names])
 
 
 def keep_min_size(baskets: DataFrame, column: str, min_size: int = 2) -> DataFrame:
@@ -143,9 +144,19 @@ def variable_remove_count(size_col: str, key_col: str, seed: int = 7) -> Column:
 def max_ids(baskets: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Global maximum over array columns (``columns``: array -> short name) and
     the vocabulary sizes max + 1.  ``array_max`` per row, then one aggregate."""
-    aggs = [F.max(F.array_max(c)).cast("bigint").alias(f"max_{n}") for c, n in columns.items()]
-    wide = baskets.agg(*aggs)
-    return wide.select("*", *[(F.col(f"max_{n}") + 1).alias(f"{n}_vocab_size") for n in columns.values()])
+    return _maxima(baskets, {n: F.array_max(c) for c, n in columns.items()})
+
+
+def max_item_ids(items: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """The same maxima from the items that the arrays are made of
+    (``columns``: item column -> short name): one aggregate, and no basket is
+    gathered."""
+    return _maxima(items, {n: F.col(c) for c, n in columns.items()})
+
+
+def _maxima(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    wide = df.agg(*[F.max(c).cast("bigint").alias(f"max_{n}") for n, c in columns.items()])
+    return wide.select("*", *[(F.col(f"max_{n}") + 1).alias(f"{n}_vocab_size") for n in columns])
 
 
 def vocab_size_distinct(df: DataFrame, column: str) -> DataFrame:
@@ -169,11 +180,11 @@ def mapping_fanout(products: DataFrame, key: str) -> DataFrame:
     (one mapping row per product, joined on ``key``), without materialising
     it: a key shared by n products yields n*n rows; NULL keys match nothing
     and keep one row each.  Also reports the count with a deduplicated map."""
-    per_key = products.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    zero = F.lit(0).cast("bigint")
+    per_key = products.groupBy(key).agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n"))
+    zero = F.lit(0).cast("decimal(38,0)")
+    rows = F.when(F.col(key).isNull(), F.col("n")).otherwise((F.col("n") * F.col("n")).cast("decimal(38,0)"))
     return per_key.agg(
-        F.coalesce(F.sum("n").cast("bigint"), zero).alias("n_products"),
-        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(F.col("n") * F.col("n"))).cast("bigint"),
-                   zero).alias("n_rows_per_product_map"),
-        F.coalesce(F.sum("n").cast("bigint"), zero).alias("n_rows_distinct_map"),
+        F.coalesce(F.sum("n"), zero).cast("bigint").alias("n_products"),
+        F.coalesce(F.sum(rows), zero).cast("decimal(38,0)").alias("n_rows_per_product_map"),
+        F.coalesce(F.sum("n"), zero).cast("bigint").alias("n_rows_distinct_map"),
     )

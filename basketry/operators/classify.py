@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.keys import key_bucket
-from basketry.session import cut_lineage
+from basketry.session import fixed_layout, layout_partitions
+
 
 def split_bucket(key: Column | str, seed: int = 42) -> Column:
     """A bucket in [0, 100) from an integer key (see ``functions.keys``)."""
@@ -25,12 +26,19 @@ def hash_split(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42,
     return df.withColumn(out, F.when(split_bucket(key, seed) < test_percent, F.lit("test")).otherwise(F.lit("train")))
 
 
+def predicate_split(df: DataFrame, is_test: Column, out: str = "split") -> DataFrame:
+    """Label rows 'test' where ``is_test`` holds and 'train' elsewhere (also
+    where it is NULL): a split by file, date or any other property of the row."""
+    return df.withColumn(out, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+
+
 def random_split_stable(df: DataFrame, key: str, weights: Sequence[float], seed: int = 42,
-                        partitions: int = 16) -> list[DataFrame]:
+                        partitions: int | None = None) -> list[DataFrame]:
     """``randomSplit`` after fixing the layout (hash partition + sort on the
-    key), so that the same seed gives the same split on any input layout."""
-    laid = df.repartition(partitions, key).sortWithinPartitions(key)
-    return laid.randomSplit(list(weights), seed=seed)
+    key), so that the same seed gives the same split on any input layout and
+    number of cores.  ``partitions`` defaults to a number from the row count."""
+    n = partitions or layout_partitions(df.count())
+    return fixed_layout(df, key, n).randomSplit(list(weights), seed=seed)
 
 
 def text_shape_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -59,14 +67,17 @@ def index_labels(df: DataFrame, label_col: str, out: str = "label") -> tuple[Dat
 
 
 def fit_random_forest(train: DataFrame, label_col: str = "label", features_col: str = "features",
-                      num_trees: int = 100, seed: int = 42, materialize: bool = True):
-    """Random forest; the (iterated) training input is written once under the
-    shared checkpoint folder unless the caller already did so."""
-    data = train.select(label_col, features_col)
-    if materialize:
-        data = cut_lineage(data, "rf-train")
+                      num_trees: int = 100, seed: int = 42, layout_key: str | None = None,
+                      layout_parts: int | None = None):
+    """Random forest.  Trees draw their samples per partition, so with
+    ``layout_key`` the rows are put into a layout that follows from their number
+    (or is given): the same forest on any number of cores.  ``train`` should be
+    a written table; Spark ML keeps its own copy of it while it iterates."""
+    data = train
+    if layout_key is not None:
+        data = fixed_layout(train, layout_key, layout_parts or layout_partitions(train.count()))
     rf = RandomForestClassifier(labelCol=label_col, featuresCol=features_col, numTrees=num_trees, seed=seed)
-    return rf.fit(data)
+    return rf.fit(data.select(label_col, features_col))
 
 
 def evaluator_accuracy(predictions: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> float:

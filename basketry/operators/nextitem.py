@@ -17,8 +17,11 @@ no step needs a whole basket in one place.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,48 +71,43 @@ def hit_rate(predictions: DataFrame, label_col: str = "target_item", prediction_
     return out.withColumn("accuracy", F.try_divide(F.col("n_hits").cast("double"), F.col("n_baskets")))
 
 
-def item_vocab_size(*seqs: DataFrame, max_vocab: int = 1_000) -> int:
-    """max item id + 1 over the given sequences (items are ids 0..V-1).
-
-    The classifier's (sparse) features are 2V wide and its multinomial model
-    holds V x 2V coefficients, so V is checked against ``max_vocab``: the
-    classifier is meant for bounded item vocabularies (clusters, departments);
-    the transition model has no such limit."""
-    v = 0
-    for seq in seqs:
-        m = seq.agg(F.max(ITEM)).first()[0]
-        v = max(v, (m if m is not None else -1) + 1)
-    if v > max_vocab:
-        raise ValueError(f"item vocabulary {v} exceeds the dense-feature bound {max_vocab}")
-    return v
-
-
-def history_features(seq: DataFrame, order_col: str, vocab: int) -> DataFrame:
-    """One row per basket of two or more items: ``features`` = sparse vector
-    of width 2 * ``vocab``: counts of each item id in the history, then a
-    one-hot of the last history item; ``label`` = the hidden last item.
-
-    History counts come from a (basket, item) aggregate, so a basket brings at
-    most ``vocab`` entries however long it is; the vector is sparse (its size
-    follows the basket's distinct items, not 2 * ``vocab``)."""
-    width = 2 * vocab
-
-    @F.udf(returnType=VectorUDT(), useArrow=True)
-    def assemble(items, counts, context):
-        idx = [int(i) for i in items]
-        val = [float(c) for c in counts]
-        if context is not None and 0 <= context < vocab:
-            idx.append(vocab + int(context))
-            val.append(1.0)
-        return Vectors.sparse(width, idx, val)
-
-    entries = (seq.where(~F.col("is_last"))
-                  .groupBy(order_col, ITEM).agg(F.count(F.lit(1)).cast("double").alias("c"))
-                  .groupBy(order_col).agg(F.sort_array(F.collect_list(F.struct(ITEM, "c"))).alias("e")))
-    return (targets(seq, order_col).join(entries, order_col, "inner")
-            .select(order_col, "context_item", "target_item",
-                    assemble(F.col(f"e.{ITEM}"), F.col("e.c"), F.col("context_item")).alias("features"),
-                    F.col("target_item").cast("double").alias("label")))
+def item_index(*seqs: DataFrame) -> StringIndexerModel:
+    """Index of the item ids that occur in the sequences: 0..V-1 by their text.
+    Ids can be any numbers; the width of the features and of the model follows
+    from how many there are."""
+    items = reduce(DataFrame.unionByName, [s.select(F.col(ITEM).cast("string").alias("_item")) for s in seqs]).distinct()
+    return StringIndexer(inputCol="_item", outputCol="_index", stringOrderType="alphabetAsc",
+                         handleInvalid="keep").fit(items.where(F.col("_item").isNotNull()))
+
+
+def _indexed(df: DataFrame, column: str, index: StringIndexerModel, out: str) -> DataFrame:
+    """``df`` with the index of an item column (V for an unknown or NULL id)."""
+    model = StringIndexerModel.from_labels(list(index.labels), inputCol="_text", outputCol=out, handleInvalid="keep")
+    return model.transform(df.withColumn("_text", F.col(column).cast("string"))).drop("_text")
+
+
+def _one_hot(df: DataFrame, index_col: str, out: str) -> DataFrame:
+    """Sparse one-hot over the V + 1 places; the width comes from the index
+    column's metadata, so nothing is scanned."""
+    encoder = OneHotEncoder(inputCol=index_col, outputCol=out, dropLast=False, handleInvalid="keep")
+    return encoder.fit(df).transform(df)
+
+
+def history_features(seq: DataFrame, order_col: str, index: StringIndexerModel) -> DataFrame:
+    """One row per basket of two or more items: ``features`` = counts of each
+    item in the history, then a one-hot of the last history item; ``label`` =
+    the index of the hidden last item.
+
+    All built by Spark ML in the JVM: one-hot vectors are summed per basket
+    (partial sums map-side, so a large basket is many tasks' work) and
+    assembled.  A basket without an order id is kept like any other."""
+    hist = _one_hot(_indexed(seq.where(~F.col("is_last")).select(order_col, ITEM), ITEM, index, "_i"), "_i", "_v")
+    hist = hist.groupBy(F.col(order_col).alias("_order")).agg(Summarizer.sum(F.col("_v")).alias("_counts"))
+    goal = targets(seq, order_col)
+    goal = _indexed(_indexed(goal, "context_item", index, "_c"), "target_item", index, "label")
+    both = _one_hot(goal, "_c", "_context").join(hist, F.col(order_col).eqNullSafe(F.col("_order")))
+    made = VectorAssembler(inputCols=["_counts", "_context"], outputCol="features").transform(both)
+    return made.select(order_col, "context_item", "target_item", "features", "label")
 
 
 def fit_classifier(train_feats: DataFrame, max_iter: int = 50, reg_param: float = 0.01):
@@ -120,10 +118,12 @@ def fit_classifier(train_feats: DataFrame, max_iter: int = 50, reg_param: float
     return lr.fit(data)
 
 
-def classifier_predictions(model, feats: DataFrame, order_col: str) -> DataFrame:
+def classifier_predictions(model, feats: DataFrame, order_col: str, index: StringIndexerModel) -> DataFrame:
+    """``(order, context_item, target_item, predicted_item)``."""
     scored = model.transform(feats)
-    return scored.select(order_col, "context_item", "target_item",
-                         F.col("prediction").cast("bigint").alias("predicted_item"))
+    named = IndexToString(inputCol="prediction", outputCol="_name", labels=list(index.labels)).transform(scored)
+    return named.select(order_col, "context_item", "target_item",
+                        F.col("_name").cast(feats.schema["target_item"].dataType).alias("predicted_item"))
 
 
 def loss_history(model) -> list[float]:

@@ -97,9 +97,12 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return agg.selectExpr(f"stack({2 * len(pairs)}, {', '.join(parts)}) as (column_a, column_b, corr)")
 
 
-def iqr_fences(q1: float, q3: float, k: float = 1.5) -> tuple[float, float]:
+def iqr_fences(q1, q3, k: float = 1.5) -> tuple:
+    """Lower and upper fence; none without quartiles (an empty column)."""
+    if q1 is None or q3 is None:
+        return None, None
     iqr = q3 - q1
-    return q1 - k * iqr, q3 + k * iqr
+    return float(q1) - k * float(iqr), float(q3) + k * float(iqr)
 
 
 _INTEGRAL = ("byte", "short", "integer", "long")
@@ -111,7 +114,10 @@ def outside(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     The bounds are literals in the column's own type, so the predicate is
     pushed into the parquet scan (row-group statistics skip whole groups).
     For an integer column x: x < low <=> x < ceil(low) and x > high <=>
-    x > floor(high), which avoids casting the column to double."""
+    x > floor(high), which avoids casting the column to double.  Without bounds
+    nothing lies outside."""
+    if low is None or high is None:
+        return df.where(F.lit(False))
     if df.schema[column].dataType.typeName() in _INTEGRAL and math.isfinite(low) and math.isfinite(high):
         lo, hi = F.lit(math.ceil(low)).cast("long"), F.lit(math.floor(high)).cast("long")
     else:

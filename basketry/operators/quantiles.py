@@ -16,14 +16,16 @@ aggregates only:
    depend on the cuts - they only need to split the range into pieces;
 3. bucket counts between the cut points (``Bucketizer``; values equal to a
    cut point get their own bucket, so a value repeated by a third of all rows
-   is resolved at once) narrow every rank to one bucket; buckets still larger
-   than ``max_collect`` rows are refined the same way;
-4. one pass collects the value histogram of all remaining small ranges
-   together (at most ``max_collect`` rows per wanted rank) and reads off the
+   is resolved at once) narrow every rank to one bucket, again and again, until
+   the bucket is one value or has at most ``max_collect`` rows;
+4. one pass collects the value histogram of these few rows and reads off the
    ranks.
 
-Only bucket counts and the final bounded histogram reach the driver.  All
-wanted probabilities share the passes.
+Values are compared and returned in the column's own type.  Bigints and
+decimals are only turned into doubles to place cut points, as distances from the
+bucket's smallest value, so ever narrower buckets tell any two values apart.
+Only bucket counts and the final small histogram reach the driver.  All wanted
+probabilities share the passes.
 """
 
 from __future__ import annotations
@@ -35,25 +37,26 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_V = "_qv"
+_V, _X = "_qv", "_qx"
 
 
-def _in_range(lo: float, hi: float) -> Column:
+def _in_range(lo, hi) -> Column:
     return (F.col(_V) >= F.lit(lo)) & (F.col(_V) <= F.lit(hi))
 
 
 def _cuts(values) -> list[float]:
-    return sorted({c for c in values if c is not None and math.isfinite(c)})
+    return sorted({float(c) for c in values if c is not None and math.isfinite(c)})
 
 
 def _bucket_stats(sub: DataFrame, cuts: list[float]) -> list:
-    """Rows ``(b, n, lo, hi)`` in value order: bucket 2j-1 holds values equal
-    to the j-th cut, bucket 2j values strictly between cut j and cut j+1
-    (bucket 0: below the first cut)."""
+    """Rows ``(b, n, lo, hi)`` in value order: bucket 2j-1 holds values whose
+    place equals the j-th cut, bucket 2j those strictly between cut j and cut
+    j+1 (bucket 0: below the first cut)."""
     splits = [float("-inf"), *cuts, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol=_V, outputCol="_j").transform(sub)
-    bid = F.col("_j").cast("int") * 2 - F.col(_V).isin(cuts).cast("int")
+    bucketed = Bucketizer(splits=splits, inputCol=_X, outputCol="_j").transform(sub)
+    bid = F.col("_j").cast("int") * 2 - F.col(_X).isin(cuts).cast("int")
     return (bucketed.groupBy(bid.alias("b"))
                     .agg(F.count(F.lit(1)).alias("n"), F.min(_V).alias("lo"), F.max(_V).alias("hi"))
                     .orderBy("b").collect())
@@ -63,10 +66,10 @@ class _Search:
     """One wanted rank ``k`` (1-based, among finite values) and the closed
     value range known to contain it."""
 
-    def __init__(self, k: int, m: int):
+    def __init__(self, k: int, m: int, lo, hi):
         self.k, self.below, self.m = k, 0, m
-        self.lo = self.hi = None
-        self.value = None
+        self.lo, self.hi = lo, hi
+        self.value = lo if lo == hi else None
 
     def narrow(self, stats: list) -> None:
         acc = self.below
@@ -80,71 +83,63 @@ class _Search:
         raise RuntimeError("rank beyond data")
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_collect: int = 100_000,
-                    buckets: int = 512, max_rounds: int = 64) -> list[float | None]:
-    """Exact ``percentile_disc`` values for ``probs`` (NULLs ignored)."""
-    v = F.col(_V)
-    base = df.select(F.col(column).cast("double").alias(_V)).where(v.isNotNull())
-    is_finite = ~F.isnan(v) & (F.abs(v) != float("inf"))
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_collect: int = 256,
+                    buckets: int = 512) -> list:
+    """Exact ``percentile_disc`` values for ``probs`` (NULLs ignored), in the
+    column's own type; None for an empty column."""
+    v, kind = F.col(_V), df.schema[column].dataType
+    exact = isinstance(kind, (T.IntegralType, T.DecimalType))
+    # room for the distance of any two values
+    wide = T.DecimalType(20, 0) if isinstance(kind, T.IntegralType) else kind
+    base = df.select((F.col(column) if exact else F.col(column).cast("double")).alias(_V)).where(v.isNotNull())
+    odd = [F.lit(False)] * 3 if exact else [F.isnan(v), v == float("-inf"), v == float("inf")]
+    is_finite = F.lit(True) if exact else ~F.isnan(v) & (F.abs(v) != float("inf"))
     grid = [i / buckets for i in range(1, buckets)]
-    rel_err = 1.0 / (4 * buckets)
-    first = base.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.isnan(v).cast("int")).alias("nan"),
-        F.sum((v == float("-inf")).cast("int")).alias("ninf"),
-        F.sum((v == float("inf")).cast("int")).alias("pinf"),
-    ).first()
-    n = first["n"]
-    n_nan, n_ninf, n_pinf = first["nan"] or 0, first["ninf"] or 0, first["pinf"] or 0
+    first = base.agg(F.count(F.lit(1)), *[F.count_if(o) for o in odd], F.min(F.when(is_finite, v)),
+                     F.max(F.when(is_finite, v))).first()
+    n, n_nan, n_ninf, n_pinf, low, high = first
     n_finite = n - n_nan - n_ninf - n_pinf
     finite = base.where(is_finite)
 
     answers: list = []
     searches: dict[int, _Search] = {}
     for p in probs:
+        k = max(1, math.ceil(p * n))
         if n == 0:
             answers.append(None)
-            continue
-        k = max(1, math.ceil(p * n))
-        if k <= n_ninf:
+        elif k <= n_ninf:
             answers.append(float("-inf"))
         elif k <= n_ninf + n_finite:
             kf = k - n_ninf
-            searches.setdefault(kf, _Search(kf, n_finite))
+            searches.setdefault(kf, _Search(kf, n_finite, low, high))
             answers.append(("rank", kf))
         elif k <= n - n_nan:
             answers.append(float("inf"))
         else:
             answers.append(float("nan"))
 
-    open_ = [s for s in searches.values() if s.m > max_collect]
-    for _ in range(max_rounds):
-        if not open_:
-            break
+    while open_ := [s for s in searches.values() if s.value is None and s.m > max_collect]:
         by_range: dict[tuple, list[_Search]] = {}
         for s in open_:
             by_range.setdefault((s.lo, s.hi), []).append(s)
         for (lo, hi), group in by_range.items():
-            sub = finite if lo is None else finite.where(_in_range(lo, hi))
-            stats = _bucket_stats(sub, _cuts(sub.approxQuantile(_V, grid, rel_err)))
+            place = (v.cast(wide) - F.lit(lo).cast(wide)).cast("double") if exact else v
+            sub = finite.where(_in_range(lo, hi)).withColumn(_X, place)
+            ends = [0.0, float(hi - lo) / 2, float(hi - lo)] if exact else [lo, lo / 2 + hi / 2, hi]
+            cuts = _cuts([*sub.approxQuantile(_X, grid, 1.0 / (4 * buckets)), *ends])
+            stats = _bucket_stats(sub, cuts)
             for s in group:
                 s.narrow(stats)
-        open_ = [s for s in open_ if s.value is None and s.m > max_collect]
-    if open_:
-        raise RuntimeError("quantile search did not converge")
 
     pending = [s for s in searches.values() if s.value is None]
     if pending:
         ranges = {(s.lo, s.hi) for s in pending}
-        if (None, None) in ranges:
-            sub = finite
-        else:
-            sub = finite.where(reduce(lambda a, b: a | b, [_in_range(lo, hi) for lo, hi in ranges]))
+        sub = finite.where(reduce(lambda a, b: a | b, [_in_range(lo, hi) for lo, hi in ranges]))
         hist = sub.groupBy(_V).count().orderBy(_V).collect()       # <= max_collect rows per range
         for s in pending:
             acc = s.below
             for row in hist:
-                if s.lo is not None and not (s.lo <= row[_V] <= s.hi):
+                if not s.lo <= row[_V] <= s.hi:
                     continue
                 acc += row["count"]
                 if acc >= s.k:

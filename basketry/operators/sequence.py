@@ -8,20 +8,20 @@ third of all rows would be one task's work.  Instead:
 1. ``repartitionByRange`` on the full sort key (group + in-group order).  The
    range bounds are sampled, so a hot group is split across many
    partitions, each holding a contiguous run of it.
-2. Inside each partition (already sorted), a vectorised pandas pass computes
+2. Inside each partition (already sorted), a vectorised Arrow pass computes
    the local position, the local predecessor and a local is-last flag.  It
    streams Arrow batches and carries one row between batches, so memory does
-   not grow with the partition.
-3. Only the first and last row of every partition (<= 2 x partitions rows)
-   go to the driver.  From them the driver derives, per partition, the
-   position offset of a group that started in earlier partitions, the
+   not grow with the partition, and values keep their types (64-bit ids next
+   to NULLs stay exact).
+3. The first and last rows of the partitions (two each) tell, per partition,
+   the position offset of a group that started in earlier partitions, the
    predecessor of the partition's first row and whether its last row really
-   ends its group.  These (<= partitions rows) are broadcast back and applied
-   with a join on the partition id.
+   ends its group.  Windows over these few rows compute that, and a join on the
+   partition id applies it.
 
-The pandas pass output is written once under the shared checkpoint folder
+The Arrow pass's output is written once under the shared checkpoint folder
 (``cut_lineage``): the edge summary and the final projection both read it, so
-the shuffle and the pandas pass run once.
+the shuffle and the pass run once.
 
 ``sequence_items_window`` is the plain window formulation with the same
 output, kept as the baseline implementation for tests.
@@ -32,7 +32,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,12 +41,6 @@ from pyspark.sql import types as T
 
 from basketry.session import cut_lineage
 
-_PANDAS_NULLABLE = {
-    T.ByteType: "Int8", T.ShortType: "Int16", T.IntegerType: "Int32", T.LongType: "Int64",
-    T.FloatType: "float32", T.DoubleType: "float64", T.BooleanType: "boolean", T.StringType: "object",
-}
-
-
 def sequence_items_window(items: DataFrame, group_col: str, sort_cols: Sequence[str], item_col: str,
                           out_item: str = "item", carry: Sequence[str] = ()) -> DataFrame:
     """``(group, <sort cols>, item, <carry>, pos, prev_item, is_last)`` with a window per group."""
@@ -59,105 +54,81 @@ def sequence_items_window(items: DataFrame, group_col: str, sort_cols: Sequence[
     )
 
 
-def _differs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Element-wise ``a != b`` with NULL/NaN equal to NULL/NaN."""
-    if a.dtype.kind in "iub" and b.dtype.kind in "iub":      # plain integers hold no NULLs
-        return a != b
-    na, nb = pd.isna(a), pd.isna(b)
-    with np.errstate(invalid="ignore"):
-        return np.where(na | nb, na != nb, a != b).astype(bool)
+def _differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Element-wise ``a != b`` with NULL equal to NULL and NaN to NaN, in Arrow:
+    64-bit ids stay whole numbers."""
+    out = pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False)
+    out = out | (pc.is_null(a).to_numpy(zero_copy_only=False) != pc.is_null(b).to_numpy(zero_copy_only=False))
+    if pa.types.is_floating(a.type):
+        out &= ~pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False).to_numpy(zero_copy_only=False)
+    return out
 
 
-def _local_pass(group_col: str, item_col: str, item_dtype: str):
-    """Per-partition pandas pass over rows sorted by (group, order keys)."""
-
-    def finish(pdf, lpos, prev, last_local, p_first, pid):
-        out = pdf                   # a fresh frame per batch (reset_index copied it)
-        out["_pid"] = np.int32(pid)
-        out["_lpos"] = lpos.astype("int64")
-        out["prev_item"] = prev
-        out["_last_local"] = last_local
-        out["_p_first"] = p_first
-        out["_p_last"] = False
-        return out
+def _local_pass(group_col: str, item_col: str):
+    """Per-partition Arrow pass over rows sorted by (group, order keys)."""
 
     def run(batches):
         pid = TaskContext.get().partitionId()
         held = None          # last row of the previous batch; its is-last flag is still open
-        state = None         # (group, local position, item) of the held row
-        seen_first = False
-        for pdf in batches:
-            n = len(pdf)
+        state = None         # (group, local position, item) of the held row; group and item as arrays of one
+        for batch in batches:
+            n = batch.num_rows
             if n == 0:
                 continue
-            pdf = pdf.reset_index(drop=True)
-            g = pdf[group_col].to_numpy()
+            g, items = batch.column(batch.schema.get_field_index(group_col)), batch.column(batch.schema.get_field_index(item_col))
             starts = np.empty(n, dtype=bool)
-            starts[0] = state is None or bool(_differs(g[:1], np.array([state[0]], dtype=g.dtype))[0])
-            starts[1:] = _differs(g[1:], g[:-1])
+            starts[0] = state is None or bool(_differs(g.slice(0, 1), state[0])[0])
+            starts[1:] = _differs(g.slice(1), g.slice(0, n - 1))
             idx = np.arange(n)
-            run_start = np.maximum.accumulate(np.where(starts, idx, 0))
-            lpos = idx - run_start + 1
+            lpos = idx - np.maximum.accumulate(np.where(starts, idx, 0)) + 1
             if not starts[0]:
                 lpos[: (np.argmax(starts) if starts.any() else n)] += state[1]
-            items = pdf[item_col].astype(item_dtype)
-            prev = items.shift(1)
-            prev[starts] = None
-            if not starts[0]:
-                prev.iloc[0] = state[2]
-            last_local = np.empty(n, dtype=bool)
-            last_local[:-1] = starts[1:]
-            last_local[-1] = False          # decided by the next row
+            before = state[2] if state is not None else pa.nulls(1, items.type)
+            prev = pc.if_else(pa.array(~starts), pa.concat_arrays([before, items.slice(0, n - 1)]), pa.scalar(None, items.type))
+            last_local = np.append(starts[1:], False)           # the last one is decided by the next row
             p_first = np.zeros(n, dtype=bool)
-            if not seen_first:
-                p_first[0] = True
-                seen_first = True
-            done = finish(pdf, lpos, prev, last_local, p_first, pid)
+            p_first[0] = state is None
+            done = pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(n, pid, np.int32)), pa.array(lpos), prev, pa.array(last_local),
+                 pa.array(p_first), pa.array(np.zeros(n, dtype=bool))],
+                [*batch.schema.names, "_pid", "_lpos", "prev_item", "_last_local", "_p_first", "_p_last"])
             if held is not None:
-                held["_last_local"] = bool(starts[0])
-                yield held
+                yield _flagged(held, "_last_local", bool(starts[0]))
             if n > 1:
-                yield done.iloc[:-1]
-            held = done.iloc[-1:].copy()
-            state = (g[-1], int(lpos[-1]), items.iloc[-1])
+                yield done.slice(0, n - 1)
+            held = done.slice(n - 1)
+            state = (g.slice(n - 1), int(lpos[-1]), items.slice(n - 1))
         if held is not None:
-            held["_last_local"] = True
-            held["_p_last"] = True
-            yield held
+            yield _flagged(_flagged(held, "_last_local", True), "_p_last", True)
 
     return run
 
 
-def _edge_fixes(edges: list, group_type: T.DataType, item_type: T.DataType) -> tuple[list, T.StructType]:
-    """From the first/last row of every partition, the per-partition fixes:
-    position offset for the partition's first group, predecessor of its first
-    row, and whether its last row ends its group."""
-    by_pid: dict[int, dict] = {}
-    for r in edges:
-        e = by_pid.setdefault(r["_pid"], {})
-        if r["_p_first"]:
-            e["first"] = r
-        if r["_p_last"]:
-            e["last"] = r
-    fixes: dict[int, list] = {}
-    carry = None                      # (group, true position, item, pid) of the previous partition's last row
-    for pid in sorted(by_pid):
-        first, last = by_pid[pid]["first"], by_pid[pid]["last"]
-        g0 = first["_g"]
-        if carry is not None and carry[0] == g0:
-            offset, prev_first = carry[1], carry[2]
-            fixes[carry[3]][4] = False                # previous partition's last row does not end its group
-        else:
-            offset, prev_first = 0, None
-        fixes[pid] = [pid, g0, offset, prev_first, True]
-        last_pos = last["_lpos"] + (offset if last["_g"] == g0 else 0)
-        carry = (last["_g"], last_pos, last["_item"], pid)
-    schema = T.StructType([
-        T.StructField("_pid", T.IntegerType()), T.StructField("_fix_group", group_type),
-        T.StructField("_fix_offset", T.LongType()), T.StructField("_fix_prev", item_type),
-        T.StructField("_fix_last", T.BooleanType()),
-    ])
-    return [tuple(v) for v in fixes.values()], schema
+def _flagged(batch: pa.RecordBatch, column: str, value: bool) -> pa.RecordBatch:
+    return batch.set_column(batch.schema.get_field_index(column), column, pa.array([value]))
+
+
+def _edge_fixes(local: DataFrame, group_col: str, item_col: str) -> DataFrame:
+    """Per partition, from the first and last rows of all of them: the group of
+    its first row with its position offset and predecessor, and whether its
+    last row ends its group.  A group that goes on over several partitions has
+    one last row in each of them but the final one; windows over these rows
+    (one partition id each) give the sums, so nothing comes to the driver."""
+    group = F.struct(F.col(group_col).alias("g"))          # a struct: NULL is a group like any other
+    ends = local.where("_p_last").select("_pid", group.alias("_grp"), "_lpos", F.struct(F.col(item_col).alias("v")).alias("_item"))
+    starts = local.where("_p_first").select("_pid", group.alias("_grp"))
+    both = (ends.withColumn("_kind", F.lit(1))
+            .unionByName(starts.withColumn("_kind", F.lit(0)), allowMissingColumns=True))
+    order = Window.partitionBy("_grp").orderBy("_pid", "_kind")
+    marked = both.select(
+        "_pid", "_grp", "_kind",
+        F.coalesce(F.sum("_lpos").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.last("_item", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.lead("_pid").over(order).isNull().alias("_ends"))
+    first = marked.where("_kind = 0").select("_pid", F.col("_grp.g").alias("_fix_group"), F.col("_offset").alias("_fix_offset"),
+                                             F.col("_before.v").alias("_fix_prev"))
+    last = marked.where("_kind = 1").select("_pid", F.col("_ends").alias("_fix_last"))
+    return first.join(last, "_pid")
 
 
 def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], item_col: str,
@@ -168,7 +139,7 @@ def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], i
     ``(group, sort_cols)`` must be unique, so the in-group order is total;
     ``carry`` columns are passed through unchanged.  With
     ``keep_sort_cols=False`` the sort columns are dropped right after the
-    sort (``pos`` carries the order), which shrinks the pandas pass and the
+    sort (``pos`` carries the order), which shrinks the Arrow pass and the
     materialised table.  ``strategy="window"`` uses the per-group window
     instead: about half the cost, but only for data whose largest group is
     known to fit one task.
@@ -182,8 +153,6 @@ def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], i
     keys = [group_col, *sort_cols]
     base = items.select(*keys, F.col(item_col).alias(out_item), *carry)
     item_type = base.schema[out_item].dataType
-    group_type = base.schema[group_col].dataType
-    item_dtype = _PANDAS_NULLABLE.get(type(item_type), "object")
     # without an explicit count the range exchange uses spark.sql.shuffle.partitions
     # and AQE may coalesce neighbouring ranges; the stitching below works on
     # whatever contiguous, ordered partitions result
@@ -198,15 +167,10 @@ def sequence_items(items: DataFrame, group_col: str, sort_cols: Sequence[str], i
         T.StructField("prev_item", item_type), T.StructField("_last_local", T.BooleanType()),
         T.StructField("_p_first", T.BooleanType()), T.StructField("_p_last", T.BooleanType()),
     ])
-    local = cut_lineage(ranged.mapInPandas(_local_pass(group_col, out_item, item_dtype), out_schema), "sequence")
-
-    edges = (local.where(F.col("_p_first") | F.col("_p_last"))
-                  .select("_pid", F.col(group_col).alias("_g"), "_lpos", F.col(out_item).alias("_item"),
-                          "_p_first", "_p_last").collect())
-    fix_rows, fix_schema = _edge_fixes(edges, group_type, item_type)
-    fixes = spark.createDataFrame(fix_rows, fix_schema)        # at most one row per partition
-
-    joined = local.join(F.broadcast(fixes), "_pid", "left")
+    local = cut_lineage(ranged.mapInArrow(_local_pass(group_col, out_item), out_schema), "sequence")
+    # a row per partition, written: its size is known when the join is planned
+    fixes = cut_lineage(_edge_fixes(local, group_col, out_item), "sequence-edges")
+    joined = local.join(fixes, "_pid", "left")
     in_first_group = F.col(group_col).eqNullSafe(F.col("_fix_group"))
     return joined.select(
         *keys, out_item, *carry,

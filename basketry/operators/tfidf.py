@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from basketry.session import cut_lineage
 
 TOKEN_PATTERN = r"\w\w+"
+BROADCAST_TERMS = 100_000       # a longer vocabulary is joined, not broadcast
 
 
 def english_stopwords() -> list[str]:
@@ -106,12 +107,13 @@ def tfidf_long(docs: DataFrame | TermStats, id_col: str | None = None, tokens_co
     precomputed ``TermStats``."""
     stats = docs if isinstance(docs, TermStats) else term_stats(docs, id_col, tokens_col)
     tf, n_docs, id_col = stats.tf, stats.n_docs, stats.id_col
-    bounded = True        # a top-k or literal vocabulary has a known size and may be broadcast
+    bounded = max_features is not None and max_features <= BROADCAST_TERMS     # a top-k or literal list of known size
     if vocabulary is None:
         vocab = top_terms(tf, max_features)
     elif isinstance(vocabulary, DataFrame):
         vocab, bounded = vocabulary.select("term"), False
     else:
+        bounded = len(vocabulary) <= BROADCAST_TERMS
         vocab = tf.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string")
     idf = idf_table(tf, vocab, n_docs, broadcast=bounded).select("term", "idf")
     raw = tf.join(F.broadcast(idf) if bounded else idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
@@ -203,6 +205,7 @@ class Corpus:
     vocabulary: tuple[str, ...]
     doc_freq: tuple[int, ...]
     n_docs: int
+    counts: DataFrame | None = None      # (id, _tf): term counts over the whole vocabulary
 
     def idf(self, words: Sequence[str] | None = None) -> list[float]:
         dfreq = dict(zip(self.vocabulary, self.doc_freq))
@@ -210,6 +213,9 @@ class Corpus:
                 for t in (words if words is not None else self.vocabulary)]
 
     def vectors(self, words: Sequence[str] | None = None, out_col: str = "features") -> DataFrame:
+        if words is None and self.counts is not None:
+            scaled = ElementwiseProduct(scalingVec=Vectors.dense(self.idf()), inputCol="_tf", outputCol="_tfidf")
+            return Normalizer(p=2.0, inputCol="_tfidf", outputCol=out_col).transform(scaled.transform(self.counts)).drop("_tf", "_tfidf")
         w = list(words if words is not None else self.vocabulary)
         return tfidf_vectors(self.tokens, self.tokens_col, w, out_col=out_col, idf=self.idf(w))
 
@@ -225,8 +231,9 @@ def corpus(docs: DataFrame, id_col: str, tokens_col: str, max_features: int = 10
     if not vocab:
         return Corpus(toks, id_col, tokens_col, (), (), toks.count())
     tf = CountVectorizerModel.from_vocabulary(vocab, inputCol=tokens_col, outputCol="_tf").transform(toks)
+    tf = cut_lineage(tf.select(id_col, "_tf"), "term-vectors")       # read by the document frequencies and the scores
     fitted = IDF(inputCol="_tf", outputCol="_idf").fit(tf)
-    return Corpus(toks, id_col, tokens_col, tuple(vocab), tuple(int(d) for d in fitted.docFreq), int(fitted.numDocs))
+    return Corpus(toks, id_col, tokens_col, tuple(vocab), tuple(int(d) for d in fitted.docFreq), int(fitted.numDocs), tf)
 
 
 def top_words(c: Corpus, k: int) -> DataFrame:

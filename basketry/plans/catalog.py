@@ -42,6 +42,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
 SPLIT_SEED = 42
 TEST_PERCENT = 20
+SPLIT_DATE = "1997-01-01"
+REPARTITION_N = 4              # the workload's own number
 FIRST_WORD_NEEDLE = "cold"
 RETURNFLAG_LABELS = {"A": "accepted", "N": "not returned", "R": "returned"}
 LINEITEM_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -84,7 +86,12 @@ def baskets(spark, sf, arrays=None):
 def _render_baskets(df: DataFrame, int_cols=("product_ids", "aisle_ids", "department_ids"),
                     text_cols=("product_names",)) -> DataFrame:
     return df.withColumns({**{c: join_ints(c) for c in int_cols if c in df.columns},
-                           **{c: F.array_join(c, "|") for c in text_cols if c in df.columns}})
+                           **{c: F.array_join(c, "|", "NULL") for c in text_cols if c in df.columns}})
+
+
+def _basket_table(b: DataFrame) -> DataFrame:
+    sized = b.withColumn("n_items", F.size("product_ids").cast("bigint"))
+    return _render_baskets(sized).select("order_id", "n_items", *BASKET_VALUES)
 
 
 def rule_mapping(products_df: DataFrame) -> DataFrame:
@@ -96,33 +103,17 @@ def rule_mapping(products_df: DataFrame) -> DataFrame:
                             (F.pmod(F.length(K.NAME) * 31 + F.ascii(K.NAME), F.lit(N_CLUSTERS)) + 1).cast("int"))
 
 
-# ---------------------------------------------------------------- fitted pieces shared by several queries
-
-_FITTED: dict = {}
-
-
-def _shared(what: str):
-    """Per-session memo for a fitted piece used by several queries (the
-    KMeans name map, the random forest, sequences, the classifier): the first
-    query of a session fits it, later ones in the same session reuse it.
-    Keyed by the Spark application id and the scale directory.  ``.build``
-    runs the piece without the memo."""
-    def deco(fn):
-        def wrapper(spark, sf):
-            key = (spark.sparkContext.applicationId, sf, what)
-            if key not in _FITTED:
-                _FITTED[key] = fn(spark, sf)
-            return _FITTED[key]
-        wrapper.build = fn
-        wrapper.__doc__ = fn.__doc__
-        return wrapper
-    return deco
-
-
-@_shared("name-clusters")
 def name_clusters(spark, sf):
     """KMeans(20, seed 42) map cleaned name -> cluster, virtual_product_id."""
-    return K.cluster_names(products(spark, sf), k=N_CLUSTERS, seed=42, n_words=TOP_WORDS)
+    return cut_lineage(K.cluster_names(products(spark, sf), k=N_CLUSTERS, seed=42, n_words=TOP_WORDS), "name-clusters")
+
+
+def scan_partitions(spark) -> int | None:
+    """How many partitions CPU-heavy work on a table of few splits is spread
+    over: the session's ``spark.basketry.scanPartitions`` (see
+    ``recommended_conf``), or the scan's own splits where it is unset."""
+    n = spark.conf.get("spark.basketry.scanPartitions", None)
+    return int(n) if n else None
 
 
 # ---------------------------------------------------------------- sources
@@ -146,12 +137,21 @@ def q_local_frame_source(spark, sf):
     agg = (read_table(spark, sf, "nation").join(read_table(spark, sf, "region"),
                                                 F.col("n_regionkey") == F.col("r_regionkey"))
            .groupBy("r_name").agg(F.count(F.lit(1)).alias("n_nations")))
-    pdf = L.to_pandas_small(agg, max_rows=10_000)
+    pdf = L.to_pandas(agg)                  # a row per region
     schema = T.StructType([T.StructField("r_name", T.StringType(), True),
                            T.StructField("n_nations", T.LongType(), True)])
     return L.from_pandas(spark, pdf, schema)
 
 
+def q_local_rows_schema(spark, sf):
+    """Local rows with an explicit schema (labels of the return flags),
+    joined to the line items per flag."""
+    labels = L.from_rows(spark, sorted(RETURNFLAG_LABELS.items()), T.StructType([
+        T.StructField("l_returnflag", T.StringType(), False), T.StructField("flag_label", T.StringType(), True)]))
+    counts = P.class_counts(read_table(spark, sf, "lineitem"), "l_returnflag")
+    return counts.join(labels, "l_returnflag", "left").select("l_returnflag", "flag_label", "n")
+
+
 def q_schema_report(spark, sf):
     """The part schema as rows."""
     return P.schema_report(read_table(spark, sf, "part"))
@@ -233,9 +233,9 @@ def q_quartiles_exact(spark, sf):
     """Exact quartiles and IQR fences of customer account balances."""
     cust = read_table(spark, sf, "customer", ["c_acctbal"])
     q1, q3, lo, hi = _fences_row(spark, cust, "c_acctbal")
-    row = spark.range(1).select(F.lit("c_acctbal").alias("column_name"), F.lit(q1).alias("q1"), F.lit(q3).alias("q3"),
-                                F.lit(q3 - q1).alias("iqr"), F.lit(lo).alias("lower_fence"), F.lit(hi).alias("upper_fence"))
-    return row.select("column_name", *[_r(c).alias(c) for c in ("q1", "q3", "iqr", "lower_fence", "upper_fence")])
+    found = {"q1": q1, "q3": q3, "iqr": None if q1 is None else q3 - q1, "lower_fence": lo, "upper_fence": hi}
+    return spark.range(1).select(F.lit("c_acctbal").alias("column_name"),
+                                 *[_r(F.lit(x).cast("double")).alias(n) for n, x in found.items()])
 
 
 def q_iqr_outliers(spark, sf):
@@ -255,14 +255,12 @@ def q_order_items_join_products(spark, sf):
 
 def q_baskets(spark, sf):
     """Ordered baskets per order (aligned arrays)."""
-    b = baskets(spark, sf)
-    return _render_baskets(b.withColumn("n_items", F.size("product_ids").cast("bigint")))
+    return _basket_table(baskets(spark, sf))
 
 
 def q_baskets_min_size(spark, sf):
     """Baskets with at least two items."""
-    b = B.keep_min_size(baskets(spark, sf), "product_ids", 2)
-    return _render_baskets(b.withColumn("n_items", F.size("product_ids").cast("bigint")))
+    return _basket_table(B.keep_min_size(baskets(spark, sf), "product_ids", 2))
 
 
 def q_basket_cast_elements(spark, sf):
@@ -279,7 +277,7 @@ def q_basket_cast_elements(spark, sf):
     return _render_baskets(cast)
 
 
-BASKET_CHUNK = 3
+BASKET_CHUNK = 256
 
 
 def q_basket_chunks(spark, sf):
@@ -289,14 +287,18 @@ def q_basket_chunks(spark, sf):
 
 
 def q_basket_items_exploded(spark, sf):
-    """One row per basket item with its position."""
-    e = B.explode_items(baskets(spark, sf, ("product_ids",)), "product_ids", "product_id")
-    return e.withColumn("pos", F.col("pos").cast("bigint"))
+    """One row per basket item with its position; the positions come
+    from the item sequence, no basket is gathered to be taken apart again."""
+    seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "order_product_id",
+                         out_item="product_id", keep_sort_cols=False)
+    return seq.select(B.ORDER, "pos", "product_id")
 
 
 def q_max_ids_from_arrays(spark, sf):
-    """Maxima of the id arrays and max + 1 vocabulary sizes."""
-    return B.max_ids(baskets(spark, sf, ("product_ids", "aisle_ids", "department_ids")), {"product_ids": "product", "aisle_ids": "aisle", "department_ids": "department"})
+    """Maxima of the ids and max + 1 vocabulary sizes, over the
+    items that the arrays are made of."""
+    return B.max_item_ids(joined_items(spark, sf), {"order_product_id": "product", "aisle_id": "aisle",
+                                                    "department_id": "department"})
 
 
 def q_vocab_size_distinct(spark, sf):
@@ -321,16 +323,20 @@ def _leave_last_out(spark, sf):
     return B.leave_last_out(B.keep_min_size(baskets(spark, sf), "product_ids", 2), LLO_CUT)
 
 
+def _cut_table(b: DataFrame) -> DataFrame:
+    shown = _render_baskets(b, int_cols=(*LLO_CUT, *LLO_CUT.values()))
+    return shown.select("order_id", "remove_count", *LLO_CUT, "product_names", *LLO_CUT.values())
+
+
 def q_leave_last_out(spark, sf):
     """Last item of each basket moved to the removed_* arrays."""
-    return _render_baskets(_leave_last_out(spark, sf), int_cols=(*LLO_CUT, *LLO_CUT.values()))
+    return _cut_table(_leave_last_out(spark, sf))
 
 
 def q_leave_k_out_variable(spark, sf):
     """Remove 1, or 1-2 items chosen by a key hash for baskets over three items."""
     b = B.keep_min_size(baskets(spark, sf), "product_ids", 2)
-    out = B.leave_last_out(b, LLO_CUT, B.variable_remove_count("product_ids", "order_id"))
-    return _render_baskets(out, int_cols=(*LLO_CUT, *LLO_CUT.values()))
+    return _cut_table(B.leave_last_out(b, LLO_CUT, B.variable_remove_count("product_ids", "order_id")))
 
 
 def q_leave_last_out_long(spark, sf):
@@ -344,24 +350,22 @@ def q_leave_last_out_long(spark, sf):
 
 
 def q_leave_last_out_chunks(spark, sf):
-    """P10, F11, F12 (skew-safe array form): history in chunks of at most
-    BASKET_CHUNK items per row, each with the removed last item."""
+    """P10, F11, F12 (skew-safe array form, the flagship): history in chunks of
+    at most BASKET_CHUNK items per row, the removed last item in a row of its own."""
     out = B.leave_last_out_chunks(joined_items(spark, sf),
                                   {"product_ids": "order_product_id", "aisle_ids": "aisle_id",
-                                   "department_ids": "department_id"},
-                                  LLO_CUT, BASKET_CHUNK)
-    return _render_baskets(out, int_cols=(*LLO_CUT, *LLO_CUT.values()))
+                                   "department_ids": "department_id"}, BASKET_CHUNK)
+    return _render_baskets(out)
 
 
 def q_one_hot_target(spark, sf):
-    """one-hot of each basket's removed department id (width max + 1)."""
-    llo = B.leave_last_out(B.keep_min_size(baskets(spark, sf, ("department_ids",)), "department_ids", 2),
-                           {"department_ids": "removed_department_ids"})
-    width = B.max_ids(llo.select(F.concat("department_ids", "removed_department_ids").alias("d")), {"d": "d"}) \
-        .first()["d_vocab_size"]
-    target = F.element_at("removed_department_ids", 1)
-    return llo.select("order_id", target.alias("target"),
-                      join_ints(one_hot_dense(target, int(width))).alias("one_hot"))
+    """one-hot of each basket's removed department id (width max + 1 over
+    the baskets of two or more items)."""
+    seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "department_id", keep_sort_cols=False)
+    multi = seq.where((F.col("pos") > 1) | ~F.col("is_last"))
+    width = B.max_item_ids(multi, {"item": "d"}).first()["d_vocab_size"]
+    return multi.where("is_last").select(B.ORDER, F.col("item").alias("target"),
+                                         join_ints(one_hot_dense("item", int(width or 0))).alias("one_hot"))
 
 
 # ---------------------------------------------------------------- text
@@ -371,7 +375,7 @@ def _part_tokens(spark, sf):
 
 
 def _document_tokens(spark, sf):
-    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id", scan_partitions(spark))
     return TF.tokenize(docs.select("doc_id", clean_text("text").alias("clean_text")), "clean_text")
 
 
@@ -382,7 +386,7 @@ def q_text_clean(spark, sf):
 
 def q_text_clean_documents(spark, sf):
     """Cleaned document texts (whole texts)."""
-    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id", scan_partitions(spark))
     return docs.select("doc_id", clean_text("text").alias("clean_text"))
 
 
@@ -437,7 +441,7 @@ def q_cluster_members(spark, sf):
 
 def q_nearest_centroid(spark, sf):
     """Nearest label centroid of every embedding."""
-    emb = spread(read_table(spark, sf, "embeddings"), "vec_id")
+    emb = spread(read_table(spark, sf, "embeddings"), "vec_id", scan_partitions(spark))
     cents = K.label_centroids(emb, "embedding", "label")
     out = K.nearest_centroid(emb, "embedding", cents, out_id="nearest_label")
     return out.select("vec_id", "label", "nearest_label", _r("distance").alias("distance"))
@@ -476,7 +480,7 @@ def q_virtual_product_baskets(spark, sf):
 # ---------------------------------------------------------------- classification
 
 def _doc_features(spark, sf):
-    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]), "doc_id")
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]), "doc_id", scan_partitions(spark))
     return C.assemble(C.text_shape_features(docs, "text")).drop("text")
 
 
@@ -494,6 +498,16 @@ def q_train_test_split(spark, sf):
         "split_bucket", C.split_bucket("doc_id", SPLIT_SEED).cast("bigint"))
 
 
+def q_train_test_by_date(spark, sf):
+    """M3: split by a predicate of another table: line items of orders from
+    SPLIT_DATE on are the test part."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    items = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
+    both = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    marked = C.predicate_split(both, F.col("o_orderdate") >= F.lit(SPLIT_DATE).cast("date"))
+    return marked.select("l_orderkey", "l_linenumber", "l_partkey", "split")
+
+
 def q_random_split_stable(spark, sf):
     """80/20 ``randomSplit`` (seed 42) after fixing the layout: split sizes."""
     docs = read_table(spark, sf, "documents", ["doc_id", "lang"])
@@ -503,14 +517,14 @@ def q_random_split_stable(spark, sf):
                  .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
 
 
-@_shared("rf")
 def _rf(spark, sf):
+    """The forest's predictions for the test documents (written once) and the labels."""
     feats, labels = C.index_labels(C.hash_split(_doc_features(spark, sf), "doc_id", TEST_PERCENT, SPLIT_SEED), "lang")
     # features are computed once (regexes over whole texts) and read by both splits
     feats = cut_lineage(feats.select("doc_id", "lang", "split", "label", "features"), "doc-features")
-    model = C.fit_random_forest(feats.where(F.col("split") == "train"), num_trees=100, seed=42, materialize=False)
-    pred = model.transform(feats.where(F.col("split") == "test"))
-    return pred, labels
+    model = C.fit_random_forest(feats.where(F.col("split") == "train"), num_trees=100, seed=42, layout_key="doc_id")
+    pred = model.transform(feats.where(F.col("split") == "test")).select("doc_id", "lang", "label", "prediction")
+    return cut_lineage(pred, "rf-predictions"), labels
 
 
 def q_rf_predictions(spark, sf):
@@ -538,14 +552,13 @@ def q_rf_confusion_matrix(spark, sf):
 
 def q_confusion_matrix(spark, sf):
     """A3, O2: confusion matrix of nearest-centroid predictions."""
-    emb = spread(read_table(spark, sf, "embeddings"), "vec_id")
+    emb = spread(read_table(spark, sf, "embeddings"), "vec_id", scan_partitions(spark))
     pred = K.nearest_centroid(emb, "embedding", K.label_centroids(emb, "embedding", "label"), out_id="prediction")
     return C.confusion_matrix(pred, "label", "prediction")
 
 
 # ---------------------------------------------------------------- next item
 
-@_shared("sequences")
 def _sequences(spark, sf):
     seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "department_id", keep_sort_cols=False)
     seq = C.hash_split(seq, B.ORDER, TEST_PERCENT, SPLIT_SEED)
@@ -565,7 +578,6 @@ def q_next_item_transition_eval(spark, sf):
     return N.hit_rate(N.transition_predictions(train, test, B.ORDER)).withColumn("accuracy", _r("accuracy"))
 
 
-@_shared("virtual_sequences")
 def _virtual_sequences(spark, sf):
     """Sequences of virtual product ids (KMeans cluster + 1 of the cleaned
     name), split into train/test orders by the key hash."""
@@ -585,37 +597,31 @@ def q_next_item_virtual_transition_eval(spark, sf):
     return N.hit_rate(N.transition_predictions(train, test, B.ORDER))
 
 
-def q_next_item_virtual_classifier_accuracy(spark, sf):
-    """Same flow with the logistic-regression classifier."""
-    train, test = _virtual_sequences(spark, sf)
-    vocab = N.item_vocab_size(train, test)
-    model = N.fit_classifier(N.history_features(train, B.ORDER, vocab))
-    return N.hit_rate(N.classifier_predictions(model, N.history_features(test, B.ORDER, vocab), B.ORDER))
+def _fit_and_predict(train, test):
+    """The classifier fitted on the training baskets and its predictions."""
+    index = N.item_index(train, test)
+    model = N.fit_classifier(N.history_features(train, B.ORDER, index))
+    return model, N.classifier_predictions(model, N.history_features(test, B.ORDER, index), B.ORDER, index)
 
 
-@_shared("classifier")
-def _classifier(spark, sf):
-    train, test = _sequences(spark, sf)
-    vocab = N.item_vocab_size(train, test)
-    model = N.fit_classifier(N.history_features(train, B.ORDER, vocab))
-    return model, N.history_features(test, B.ORDER, vocab)
+def q_next_item_virtual_classifier_accuracy(spark, sf):
+    """Same flow with the logistic-regression classifier."""
+    return N.hit_rate(_fit_and_predict(*_virtual_sequences(spark, sf))[1])
 
 
 def q_next_item_classifier_predictions(spark, sf):
     """Logistic-regression next-item predictions."""
-    model, test = _classifier(spark, sf)
-    return N.classifier_predictions(model, test, B.ORDER)
+    return _fit_and_predict(*_sequences(spark, sf))[1]
 
 
 def q_next_item_classifier_accuracy(spark, sf):
     """Hit rate of the classifier."""
-    model, test = _classifier(spark, sf)
-    return N.hit_rate(N.classifier_predictions(model, test, B.ORDER))
+    return N.hit_rate(_fit_and_predict(*_sequences(spark, sf))[1])
 
 
 def q_next_item_classifier_loss(spark, sf):
     """Objective per iteration of the classifier fit."""
-    model, _ = _classifier(spark, sf)
+    model, _ = _fit_and_predict(*_sequences(spark, sf))
     rows = [(i, float(v)) for i, v in enumerate(N.loss_history(model))]
     return spark.createDataFrame(rows, "iteration int, loss double")
 
@@ -624,7 +630,7 @@ def q_next_item_classifier_loss(spark, sf):
 
 def q_repartition_counts(spark, sf):
     """Round-robin repartition into 4 and the partition count."""
-    return repartition_report(read_table(spark, sf, "lineitem"), 4).select("n_partitions", "n_rows")
+    return repartition_report(read_table(spark, sf, "lineitem"), REPARTITION_N).select("n_partitions", "n_rows")
 
 
 def q_feature_sink_roundtrip(spark, sf):

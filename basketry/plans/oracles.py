@@ -12,7 +12,7 @@ from __future__ import annotations
 from basketry.functions.text import NAME_STOPWORD_PATTERN
 from basketry.functions.keys import KEY_MULTIPLIER, KEY_PRIME
 from basketry.plans.catalog import (BASKET_CHUNK, DIGITS, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS,
-                                    NEXT_ITEM_PARAMS, RETURNFLAG_LABELS, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
+                                    NEXT_ITEM_PARAMS, REPARTITION_N, RETURNFLAG_LABELS, SPLIT_DATE, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
 
 # The default English stopwords of Spark ML's StopWordsRemover,
 # in the library's order (a test holds the list against the installed Spark).
@@ -85,8 +85,9 @@ RULE_MAP = f"""rule_map AS (
   FROM (SELECT DISTINCT processed_product_name FROM products WHERE processed_product_name IS NOT NULL))"""
 
 
-def _ints(c: str) -> str:
-    return f"array_to_string({c}, ',')"
+def _ints(c: str, sep: str = ",") -> str:
+    """Elements as text; NULL keeps its place."""
+    return f"array_to_string(list_transform({c}, lambda x: coalesce(CAST(x AS VARCHAR), 'NULL')), '{sep}')"
 
 
 def _tfidf_ctes(docs_sql: str, max_features: int = MAX_FEATURES) -> str:
@@ -187,7 +188,7 @@ LKO_SELECT = f"""SELECT order_id, rc AS remove_count,
        {_ints('product_ids[1:len(product_ids) - rc]')} AS product_ids,
        {_ints('aisle_ids[1:len(aisle_ids) - rc]')} AS aisle_ids,
        {_ints('department_ids[1:len(department_ids) - rc]')} AS department_ids,
-       array_to_string(product_names, '|') AS product_names,
+       {_ints('product_names', '|')} AS product_names,
        {_ints('product_ids[len(product_ids) - rc + 1:len(product_ids)]')} AS removed_product_ids,
        {_ints('aisle_ids[len(aisle_ids) - rc + 1:len(aisle_ids)]')} AS removed_aisle_ids,
        {_ints('department_ids[len(department_ids) - rc + 1:len(department_ids)]')} AS removed_department_ids
@@ -197,7 +198,7 @@ LLO_SELECT = f"""SELECT order_id, 1 AS remove_count,
        {_ints('product_ids[1:len(product_ids) - 1]')} AS product_ids,
        {_ints('aisle_ids[1:len(aisle_ids) - 1]')} AS aisle_ids,
        {_ints('department_ids[1:len(department_ids) - 1]')} AS department_ids,
-       array_to_string(product_names, '|') AS product_names,
+       {_ints('product_names', '|')} AS product_names,
        {_ints('product_ids[len(product_ids):len(product_ids)]')} AS removed_product_ids,
        {_ints('aisle_ids[len(aisle_ids):len(aisle_ids)]')} AS removed_aisle_ids,
        {_ints('department_ids[len(department_ids):len(department_ids)]')} AS removed_department_ids
@@ -207,12 +208,17 @@ FROM baskets WHERE len(product_ids) >= 2"""
 def oracle_sql() -> dict[str, str]:
     basket_cols = (f"order_id, CAST(len(product_ids) AS BIGINT) AS n_items, {_ints('product_ids')} AS product_ids, "
                    f"{_ints('aisle_ids')} AS aisle_ids, {_ints('department_ids')} AS department_ids, "
-                   f"array_to_string(product_names, '|') AS product_names")
+                   f"{_ints('product_names', '|')} AS product_names")
     return {
         "csv_scan_inferred": f"SELECT {PART_COLS} FROM part",
         "csv_scan_strings_cast": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
         "local_frame_source": """SELECT r_name, count(*) AS n_nations FROM nation
             JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
+        "local_rows_schema": f"""SELECT l_returnflag, {_labels_case('l_returnflag')} AS flag_label, count(*) AS n
+            FROM lineitem GROUP BY l_returnflag""",
+        "train_test_by_date": f"""SELECT l_orderkey, l_linenumber, l_partkey,
+            CASE WHEN o_orderdate >= DATE '{SPLIT_DATE}' THEN 'test' ELSE 'train' END AS split
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
         "schema_report": f"""SELECT CAST(ordinal_position AS INTEGER) AS ordinal, column_name,
             {_SPARK_TYPES} AS data_type, is_nullable = 'YES' AS nullable
             FROM information_schema.columns WHERE table_name = 'part'""",
@@ -254,10 +260,10 @@ def oracle_sql() -> dict[str, str]:
         "basket_chunks": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED},
             pos AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos FROM joined)
             SELECT order_id, CAST((pos - 1) // {BASKET_CHUNK} AS BIGINT) AS chunk, min(pos) AS first_pos,
-                   array_to_string(list(order_product_id ORDER BY pos), ',') AS product_ids,
-                   array_to_string(list(aisle_id ORDER BY pos), ',') AS aisle_ids,
-                   array_to_string(list(department_id ORDER BY pos), ',') AS department_ids,
-                   array_to_string(list(processed_product_name ORDER BY pos), '|') AS product_names
+                   {_ints('list(order_product_id ORDER BY pos)')} AS product_ids,
+                   {_ints('list(aisle_id ORDER BY pos)')} AS aisle_ids,
+                   {_ints('list(department_id ORDER BY pos)')} AS department_ids,
+                   {_ints('list(processed_product_name ORDER BY pos)', '|')} AS product_names
             FROM pos GROUP BY order_id, (pos - 1) // {BASKET_CHUNK}""",
         "basket_items_exploded": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED}
             SELECT order_id, row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos,
@@ -283,18 +289,13 @@ def oracle_sql() -> dict[str, str]:
         "leave_last_out_chunks": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED},
             s AS (SELECT order_id, order_product_id, aisle_id, department_id,
                          row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos,
-                         count(*) OVER (PARTITION BY order_id) AS n FROM joined),
-            h AS (SELECT order_id, CAST((pos - 1) // {BASKET_CHUNK} AS BIGINT) AS chunk, min(pos) AS first_pos,
-                         array_to_string(list(order_product_id ORDER BY pos), ',') AS product_ids,
-                         array_to_string(list(aisle_id ORDER BY pos), ',') AS aisle_ids,
-                         array_to_string(list(department_id ORDER BY pos), ',') AS department_ids
-                  FROM s WHERE pos < n GROUP BY order_id, (pos - 1) // {BASKET_CHUNK}),
-            r AS (SELECT order_id, CAST(order_product_id AS VARCHAR) AS removed_product_ids,
-                         CAST(aisle_id AS VARCHAR) AS removed_aisle_ids,
-                         CAST(department_id AS VARCHAR) AS removed_department_ids
-                  FROM s WHERE pos = n AND n >= 2)
-            SELECT h.*, 1 AS remove_count, r.removed_product_ids, r.removed_aisle_ids, r.removed_department_ids
-            FROM h JOIN r USING (order_id)""",
+                         count(*) OVER (PARTITION BY order_id) AS n FROM joined)
+            SELECT order_id, CASE WHEN pos = n THEN 'removed' ELSE 'history' END AS part,
+                   CAST((pos - 1) // {BASKET_CHUNK} AS BIGINT) AS chunk, min(pos) AS first_pos,
+                   {_ints('list(order_product_id ORDER BY pos)')} AS product_ids,
+                   {_ints('list(aisle_id ORDER BY pos)')} AS aisle_ids,
+                   {_ints('list(department_id ORDER BY pos)')} AS department_ids
+            FROM s WHERE n >= 2 GROUP BY order_id, pos = n, (pos - 1) // {BASKET_CHUNK}""",
         "one_hot_target": f"""{BASKET_CTES},
             llo AS (SELECT order_id, department_ids[len(department_ids)] AS target, department_ids FROM baskets
                     WHERE len(product_ids) >= 2),
@@ -331,7 +332,8 @@ def oracle_sql() -> dict[str, str]:
         "cluster_map_fanout_count": f"""WITH {PRODUCTS},
             k AS (SELECT processed_product_name AS name, count(*) AS n FROM products GROUP BY processed_product_name)
             SELECT CAST(sum(n) AS BIGINT) AS n_products,
-                   CAST(sum(CASE WHEN name IS NULL THEN n ELSE n * n END) AS BIGINT) AS n_rows_per_product_map,
+                   CAST(sum(CASE WHEN name IS NULL THEN n ELSE CAST(n AS HUGEINT) * n END) AS DECIMAL(38, 0))
+                     AS n_rows_per_product_map,
                    CAST(sum(n) AS BIGINT) AS n_rows_distinct_map FROM k""",
         "assemble_features": """SELECT doc_id, lang,
             CAST(length(text) AS DOUBLE) AS f_chars,
@@ -357,7 +359,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS n_baskets, CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_hits,
                    round(CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS DOUBLE) / count(*), {DIGITS}) AS accuracy
             FROM p""",
-        "repartition_counts": "SELECT CAST(4 AS BIGINT) AS n_partitions, count(*) AS n_rows FROM lineitem",
+        "repartition_counts": f"SELECT CAST({REPARTITION_N} AS BIGINT) AS n_partitions, count(*) AS n_rows FROM lineitem",
         "run_params_json": f"""WITH {PRODUCTS}, {RULE_MAP}
             SELECT CAST(count(*) + 1 AS BIGINT) AS vocab_size, {NEXT_ITEM_PARAMS['embedding_dim']} AS embedding_dim,
                    {NEXT_ITEM_PARAMS['hidden_dim']} AS hidden_dim, CAST({NEXT_ITEM_PARAMS['learning_rate']} AS DOUBLE) AS learning_rate,

@@ -63,10 +63,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-scratch"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/basketry-scratch/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -77,38 +86,62 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     compressed, with statistics for filter pushdown."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    table._scratch = path
+    return table
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` across at least ``defaultParallelism``
-    partitions, but only when it currently has fewer (a small file with few
-    row groups ahead of CPU-heavy text work).  Large inputs already arrive in
-    many scan splits and pass through unchanged, without a shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, key)
+def discard(table: DataFrame) -> None:
+    """Delete a ``cut_lineage`` table nothing reads any more."""
+    path = getattr(table, "_scratch", None)
+    if path:
+        _delete(table.sparkSession, path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of the session's checkpoint directory.  The
+    results of catalogue queries are lazy and read such tables, so the caller
+    releases them, once a result is written or collected."""
+    _delete(spark, _scratch_root(spark))
+
+
+def layout_partitions(rows: int, rows_per_partition: int = 100_000, at_least: int = 8) -> int:
+    """Partitions for a seeded fit, from the number of rows alone: the same on
+    any number of cores."""
+    return max(at_least, -(-rows // rows_per_partition))
+
+
+def fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Hash-partition on ``key`` into exactly ``partitions`` partitions, sorted
+    by it: seeded algorithms that draw per partition then see the same rows in
+    the same order."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)
+
+
+def spread(df: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` into ``partitions`` (a small file with
+    few row groups ahead of CPU-heavy work); None leaves the scan's splits as
+    they are, without a shuffle, which is right for large inputs."""
+    return df if partitions is None else df.repartition(partitions, key)
 
 
 def recommended_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 256 << 20,
-                     split_bytes: int = 128 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+                     split_bytes: int = 128 << 20, max_partitions: int | None = None) -> dict[str, str]:
     """Session settings sized from the input volume: enough shuffle partitions
-    that each holds about ``shuffle_partition_bytes`` (at least two per core,
-    at most ``max_partitions``), AQE to coalesce small ones and split skewed
-    join partitions, and scan splits of ``split_bytes``.  For 100 TB this gives
-    the 200,000-partition cap (~500 MB each before AQE), which fits executor
-    memory with spill."""
+    that each holds about ``shuffle_partition_bytes`` (at least two per core),
+    AQE to coalesce small ones and split skewed join partitions, and scan
+    splits of ``split_bytes``.  100 TB gives about 400,000 partitions; a caller
+    whose driver cannot track as many sets ``max_partitions`` and gets larger
+    ones.  ``collect_list`` keeps hashing over many groups before it sorts."""
     parts = max(2 * cores, -(-input_bytes // shuffle_partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(parts, max_partitions)),
+        "spark.sql.shuffle.partitions": str(parts if max_partitions is None else min(parts, max_partitions)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
+        # a small input has few files and row groups: spread CPU-heavy work on it
+        **({"spark.basketry.scanPartitions": str(2 * cores)} if input_bytes < cores * split_bytes else {}),
     }

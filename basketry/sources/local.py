@@ -1,8 +1,9 @@
-"""Driver-side frames, for small, size-checked data only.
+"""Driver-side frames, for results that are small by their definition.
 
-``to_pandas_small`` refuses inputs above a row bound instead of pulling an
-unbounded result into the driver; ``from_pandas`` / ``from_rows`` build Spark
-frames from such small results (Arrow is used for pandas input).
+``to_pandas`` brings a whole result to the driver as pandas (Spark's own
+``spark.driver.maxResultSize`` stops one that is too large for it);
+``from_pandas`` / ``from_rows`` build Spark frames from such results, with an
+explicit schema where one is given.
 """
 
 from __future__ import annotations
@@ -14,15 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-class TooLargeForDriver(ValueError):
-    pass
-
-
-def to_pandas_small(df: DataFrame, max_rows: int = 10_000) -> pd.DataFrame:
-    rows = df.limit(max_rows + 1).toPandas()
-    if len(rows) > max_rows:
-        raise TooLargeForDriver(f"result has more than {max_rows} rows; keep it distributed")
-    return rows
+def to_pandas(df: DataFrame) -> pd.DataFrame:
+    return df.toPandas()
 
 
 def from_pandas(spark: SparkSession, pdf: pd.DataFrame, schema: StructType | str | None = None) -> DataFrame:

@@ -23,4 +23,4 @@ def test_one_hot(spark):
 
 def test_join_ints(spark):
     df = spark.createDataFrame([([1, None, 3],)], "a array<int>")
-    assert df.select(join_ints("a")).first()[0] == "1,3"
+    assert df.select(join_ints("a")).first()[0] == "1,NULL,3"

@@ -90,13 +90,43 @@ def test_basket_chunks_hot_order(spark):
 
 def test_leave_last_out_chunks_hot_order(spark):
     rows = [(0, i, i % 17) for i in range(400)] + [(o, i, o * 10 + i) for o in range(1, 120) for i in range(o % 4 + 1)]
+    rows += [(None, i, i) for i in range(60)]                        # items without an order id are a basket, too
     items = spark.createDataFrame(rows, "order_id long, line int, item int")
     whole = {r[0]: r[1] for r in B.build_baskets(items, {"items": "item"}, sort_cols=["line"]).collect()}
-    out = B.leave_last_out_chunks(items, {"items": "item"}, {"items": "removed"}, 25, sort_cols=["line"], partitions=5)
+    out = B.leave_last_out_chunks(items, {"items": "item"}, 25, sort_cols=["line"], partitions=5)
     assert out.where(F.size("items") > 25).count() == 0
     hist, removed = {}, {}
-    for r in out.orderBy("order_id", "chunk").collect():
-        hist.setdefault(r["order_id"], []).extend(r["items"])
-        removed[r["order_id"]] = r["removed"]
-    assert set(hist) == {o for o, b in whole.items() if len(b) >= 2}
+    for r in out.orderBy("order_id", "part", "chunk").collect():
+        (hist if r["part"] == "history" else removed).setdefault(r["order_id"], []).extend(r["items"])
+    assert set(hist) == set(removed) == {o for o, b in whole.items() if len(b) >= 2}
     assert all(hist[o] + removed[o] == whole[o] for o in hist)
+    assert None in hist and len(hist[None]) == 59
+
+
+def test_values_that_are_sort_keys_travel_once(spark):
+    items = spark.createDataFrame([(1, 2, 5), (1, 1, None), (1, 3, 6)], "order_id long, line int, item int")
+    built = B.build_baskets(items, {"lines": "line", "items": "item"}, sort_cols=["line", "item"])
+    assert tuple(built.first()) == (1, [1, 2, 3], [None, 5, 6])
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("struct(") == 1 and "lines, " not in plan.split("struct(")[1].split(")")[0]
+
+
+def test_maxima_of_items_are_those_of_the_arrays(spark):
+    rows = [(0, i, i % 40) for i in range(300)] + [(1, 0, None), (2, 0, 99)]
+    items = spark.createDataFrame(rows, "order_id long, line int, item int")
+    whole = B.build_baskets(items, {"items": "item"}, sort_cols=["line"])
+    assert B.max_item_ids(items, {"item": "x"}).first() == B.max_ids(whole, {"items": "x"}).first()
+
+
+def test_rendered_arrays_keep_their_length(spark):
+    b = spark.createDataFrame([([1, None, 3],)], "a array<int>")
+    assert b.select(C.join_ints("a")).first()[0] == "1,NULL,3"
+
+
+def test_fanout_of_a_very_common_name(spark):
+    n = 4_000_000_000
+    one = spark.createDataFrame([("x", n)], "name string, n bigint")
+    wide = one.select((F.col("n").cast("decimal(38,0)") * F.col("n").cast("decimal(38,0)")).cast("decimal(38,0)")).first()[0]
+    assert int(wide) == n * n
+    f = B.mapping_fanout(spark.createDataFrame([("a",), ("a",), (None,)], "name string"), "name").first()
+    assert [int(x) for x in f] == [3, 5, 3]

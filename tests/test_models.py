@@ -59,11 +59,30 @@ def test_transition_model_hand_worked(spark):
 
 
 def test_classifier_runs_and_predicts_known_labels(spark):
-    model, test = C._classifier(spark, SF01)
-    pred = N.classifier_predictions(model, test, "order_id")
-    assert pred.count() == test.count()
+    train, test = C._sequences(spark, SF01)
+    model, pred = C._fit_and_predict(train, test)
+    known = {r[0] for r in train.unionByName(test).select("item").distinct().collect()}
+    assert pred.count() == N.targets(test, "order_id").count()
+    assert {r[0] for r in pred.select("predicted_item").distinct().collect()} <= known
     loss = N.loss_history(model)
     assert loss[-1] <= loss[0]
+    plan = pred._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan.replace("MapInArrow", "")
+
+
+def test_classifier_takes_any_ids(spark):
+    """Ids above 2^31, a basket without an order id, and an id only the test has."""
+    big = 5_000_000_000
+    rows = [(o, i, big + (o + i) % 3) for o in range(40) for i in range(3)] + [(None, 0, big), (None, 1, big + 1)]
+    items = spark.createDataFrame(rows, "o long, s int, item long")
+    seq = sequence_items(items, "o", ["s"], "item", partitions=3)
+    extra = sequence_items(spark.createDataFrame([(100, 0, 7), (100, 1, big)], "o long, s int, item long"), "o", ["s"], "item")
+    model, pred = C.N.fit_classifier, None
+    index = N.item_index(seq, extra)
+    model = N.fit_classifier(N.history_features(seq, "o", index), max_iter=30, reg_param=0.0)
+    pred = N.classifier_predictions(model, N.history_features(seq.unionByName(extra), "o", index), "o", index).collect()
+    assert len(pred) == 42 and {r["o"] for r in pred} == {*range(40), None, 100}
+    assert all(r["predicted_item"] == big + (r["o"] + 2) % 3 for r in pred if r["o"] is not None and r["o"] < 40)
 
 
 def test_random_split_stable_same_on_any_layout(spark):
@@ -103,17 +122,44 @@ def test_kmeans_map_attaches_without_fanout(spark):
     assert 2 <= vs <= 21
 
 
-def test_centroid_bound_enforced(spark):
-    import pytest
-    pts = spark.createDataFrame([(i, [float(i)]) for i in range(5)], "label int, v array<double>")
-    with pytest.raises(ValueError):
-        K.label_centroids(pts, "v", "label", max_centroids=3)
-    assert len(K.label_centroids(pts, "v", "label", max_centroids=5)) == 5
+def test_nearest_centroid_takes_any_number_and_type(spark):
+    pts = spark.createDataFrame([(i, [i / 3.0, 1.0]) for i in range(60)] + [(99, None)], "id int, v array<double>")
+    for ids, kind in (([f"c{i:02d}" for i in range(20)], "string"), ([i + 0.5 for i in range(20)], "double"),
+                      ([2**31 + i for i in range(20)], "bigint"), (list(range(20)), "int"), (list(range(20)), "bigint")):
+        cents = spark.createDataFrame([(c, [float(i), 1.0]) for i, c in enumerate(ids)], f"id {kind}, v array<double>")
+        few = K.nearest_centroid(pts, "v", cents)
+        many = K.nearest_centroid(pts, "v", cents, max_local=7)             # blocks of a table
+        assert dict(few.dtypes)["nearest_id"] == dict(many.dtypes)["nearest_id"] == kind
+        key = lambda r: r["id"]
+        assert sorted(few.collect(), key=key) == sorted(many.collect(), key=key)
+        assert {r["id"]: r["nearest_id"] for r in few.collect()}[10] == ids[3]
+    none = K.nearest_centroid(pts, "v", spark.createDataFrame([], "id string, v array<double>")).collect()
+    assert len(none) == 61 and all(r["nearest_id"] is None and r["distance"] is None for r in none)
+    assert K.nearest_centroid(pts, "v", []).count() == 61
+
+
+def test_models_do_not_depend_on_the_number_of_cores():
+    """KMeans, the forest and the flow over clustered names on 2 and 5 cores."""
+    import os
+    import subprocess
+    import sys
+    code = """
+import sys
+from basketry.session import build_session
+from basketry.plans import catalog as C
+spark = build_session(f"local[{sys.argv[1]}]", 4)
+for q in ("kmeans_clusters", "rf_predictions", "next_item_virtual_transition_eval"):
+    print(q, sorted(map(tuple, C.QUERIES[q](spark, "/root/testdata/sf0.001").collect())))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    two, five = (subprocess.run([sys.executable, "-c", code, n], cwd=root, capture_output=True, text=True, check=True).stdout
+                 for n in ("2", "5"))
+    assert two == five and two.count("\n") == 3
 
 
 def test_random_forest_same_seed_same_predictions(spark):
-    a, _ = C._rf.build(spark, SF01)          # two independent fits, not the session memo
-    b, _ = C._rf.build(spark, SF01)
+    a, _ = C._rf(spark, SF01)          # two independent fits
+    b, _ = C._rf(spark, SF01)
     pa = sorted((r["doc_id"], r["prediction"]) for r in a.select("doc_id", "prediction").collect())
     pb = sorted((r["doc_id"], r["prediction"]) for r in b.select("doc_id", "prediction").collect())
     assert pa == pb and len(pa) > 0
@@ -138,20 +184,15 @@ def test_cluster_members_cover_every_product_once(spark):
     assert members.groupBy(K.NAME).count().where("count > 1").count() == 0
 
 
-def test_history_features_sparse_and_bounded(spark):
+def test_history_features_by_hand(spark):
     rows = [(1, i, i % 3) for i in range(50)] + [(2, 0, 4), (2, 1, 1)]
     items = spark.createDataFrame(rows, "o long, s int, item int")
     seq = sequence_items(items, "o", ["s"], "item", partitions=4)
-    feats = {r["o"]: r for r in N.history_features(seq, "o", 5).collect()}
-    v = feats[1]["features"]
-    assert v.size == 10 and v.numNonzeros() <= 4          # 3 history ids + the context one-hot
-    assert feats[1]["label"] == 49 % 3
-    assert v[0] + v[1] + v[2] == 49 and v[5 + 48 % 3] == 1.0
-    assert feats[2]["features"].toArray().tolist() == [0, 0, 0, 0, 1, 0, 0, 0, 0, 1]
-
-
-def test_shared_fits_are_reused_within_a_session(spark):
-    assert C.name_clusters(spark, SF01) is C.name_clusters(spark, SF01)
-    a = sorted(C.q_kmeans_clusters(spark, SF01).collect())
-    b = sorted(C.name_clusters.build(spark, SF01).collect())
-    assert a == b
+    index = N.item_index(seq)                                         # 0, 1, 2, 4
+    feats = {r["o"]: r for r in N.history_features(seq, "o", index).collect()}
+    v = feats[1]["features"].toArray().tolist()
+    half = len(v) // 2
+    assert sum(v[:half]) == 49 and v[half:].index(1.0) == 48 % 3 and sum(v[half:]) == 1
+    assert feats[1]["label"] == 49 % 3 and feats[2]["label"] == 1
+    w = feats[2]["features"].toArray().tolist()
+    assert w[:half].index(1.0) == w[half:].index(1.0) == 3 and sum(w) == 2

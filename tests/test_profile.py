@@ -121,3 +121,34 @@ def test_exact_quantiles_floats(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     got = exact_quantiles(df, "x", [p], max_collect=4, buckets=4)[0]
     assert got == _disc(values, p)
+
+
+def test_exact_quantiles_of_wide_integers_and_decimals(spark):
+    from decimal import Decimal
+
+    from basketry.operators.quantiles import exact_quantiles
+    big = 9_007_199_254_740_995
+    values = [big + i for i in range(2000)] + [-big, 2**63 - 1, -2**63]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v long")
+    probs = [0.0, 0.001, 0.25, 0.5, 0.9, 1.0]
+    import math
+    want = [sorted(values)[max(1, math.ceil(p * len(values))) - 1] for p in probs]
+    for most in (1, 256):
+        assert exact_quantiles(df, "v", probs, max_collect=most, buckets=8) == want
+    dec = spark.createDataFrame([(Decimal(v),) for v in values[:500]], "v decimal(30,2)")
+    assert exact_quantiles(dec, "v", [0.5], max_collect=1, buckets=4) == [Decimal(sorted(values[:500])[249])]
+
+
+def test_partition_report_counts_empty_partitions(spark):
+    from basketry.operators.partitions import repartition_report
+    r = repartition_report(spark.range(2), 4).first()
+    assert (r["n_partitions"], r["n_rows"], r["min_rows_per_partition"]) == (4, 2, 0)
+    assert tuple(repartition_report(spark.range(0), 3).first()) == (3, 0, 0, 0)
+
+
+def test_split_by_predicate(spark):
+    from pyspark.sql import functions as F
+
+    from basketry.operators.classify import predicate_split
+    df = spark.createDataFrame([(1,), (5,), (None,)], "v int")
+    assert [r[1] for r in predicate_split(df, F.col("v") > 2).orderBy("v").collect()] == ["train", "train", "test"]

@@ -74,3 +74,27 @@ def test_window_strategy_same_result(spark):
     a = _sorted(sequence_items(items, "order_id", ["line"], "item", partitions=4))
     b = _sorted(sequence_items(items, "order_id", ["line"], "item", strategy="window"))
     assert a == b
+
+
+def test_wide_ids_next_to_nulls_stay_exact(spark):
+    """64-bit ids above 2^53 and NULLs in the group, item and carried columns."""
+    big = 2**53
+    rows = [(None if g % 5 == 0 else big + g, i, None if i % 4 == 1 else big + 2 * i + 1, None if i % 3 else big + i)
+            for g in range(12) for i in range(9)]
+    rows = [(g, 100 * k + i, item, extra) for k, (g, i, item, extra) in enumerate(rows)]
+    items = spark.createDataFrame(rows, "o long, s int, item long, extra long")
+    key = lambda r: tuple((v is None, v) for v in r)
+    for parts in (1, 4, 9):
+        a = sequence_items(items, "o", ["s"], "item", partitions=parts, carry=["extra"]).collect()
+        b = sequence_items_window(items, "o", ["s"], "item", carry=["extra"]).collect()
+        assert sorted(map(tuple, a), key=key) == sorted(map(tuple, b), key=key)
+
+
+def test_groups_of_text_and_fractions(spark):
+    rows = [("a" if i < 50 else None if i < 70 else "b", float("nan") if i % 2 else 0.5, i, f"t{i}") for i in range(100)]
+    items = spark.createDataFrame(rows, "g string, f double, s int, item string")
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    for group in ("g", "f"):
+        a = sequence_items(items, group, ["s"], "item", partitions=6).collect()
+        b = sequence_items_window(items, group, ["s"], "item").collect()
+        assert sorted(map(tuple, a), key=key).__repr__() == sorted(map(tuple, b), key=key).__repr__()

@@ -1,5 +1,4 @@
 
-import pytest
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import functions as F
 
@@ -27,10 +26,9 @@ def test_csv_modes_roundtrip(spark):
     assert cast.where(F.col("p_name").isNotNull()).count() == 0     # text that is not a number -> NULL
 
 
-def test_local_frame_bound(spark):
-    with pytest.raises(L.TooLargeForDriver):
-        L.to_pandas_small(spark.range(100), max_rows=10)
-    pdf = L.to_pandas_small(spark.range(5), max_rows=10)
+def test_local_frames_are_whole(spark):
+    assert len(L.to_pandas(spark.range(20_000))) == 20_000
+    pdf = L.to_pandas(spark.range(5))
     assert L.from_pandas(spark, pdf, "id long").count() == 5
 
 
@@ -74,18 +72,29 @@ def test_recommended_conf_scales_with_input():
     small = recommended_conf(40 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = recommended_conf(100 * 10**12, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.shuffle.partitions"] == str(-(-100 * 10**12 // (256 << 20)))
+    assert recommended_conf(100 * 10**12, 8000, max_partitions=200_000)["spark.sql.shuffle.partitions"] == "200000"
+    assert "spark.basketry.scanPartitions" in small and "spark.basketry.scanPartitions" not in big
     mid = recommended_conf(10**12, 8)
     assert int(mid["spark.sql.shuffle.partitions"]) == -(-10**12 // (256 << 20))
 
 
-def test_spread_only_when_too_few_partitions(spark):
+def test_spread_is_explicit(spark):
     from basketry.session import spread
-    target = spark.sparkContext.defaultParallelism
     one = spark.range(0, 100, 1, 1)
-    assert spread(one, "id").rdd.getNumPartitions() == target
-    many = spark.range(0, 100, 1, target + 2)
-    assert spread(many, "id") is many
+    assert spread(one, "id", 6).rdd.getNumPartitions() == 6
+    assert spread(one, "id", None) is one
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    import os
+
+    from basketry.session import cut_lineage, discard
+    table = cut_lineage(spark.range(5), "probe")
+    place = table._scratch.removeprefix("file:")
+    assert table.count() == 5 and os.path.isdir(place)
+    discard(table)
+    assert not os.path.exists(place)
 
 
 def test_scratch_lives_under_the_checkpoint_dir(spark):
