@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.session import cut_lineage
+from basketry.session import cut_lineage, discard
 
 # Words of the operators' contracts: runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -86,9 +86,10 @@ def components(edges: DataFrame, a: str, b: str, name: str = "components") -> Da
         keep = low.where("m < u").select("u", F.col("m").alias("v"))
         large = large.unionByName(keep).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
-                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = cut_lineage(small, name)
+        linked = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        last, e = e, cut_lineage(linked, name)
+        discard(last)
         now = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if seen == tuple(now):
             break

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import components, extended, small, word_runs
-from basketry.session import cut_lineage
+from basketry.session import cut_lineage, discard
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))      # first bit, bits
 GOLAY = 0b110001110101                        # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
@@ -195,6 +195,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, max_bucket: int = MAX_B
     keys = cut_lineage(fps.select("fp").mapInArrow(_key_pass, "key bigint, fp bigint"), "golay-keys")
     buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     filed = cut_lineage(keys.join(buckets, "key"), "golay-buckets")
+    discard(keys)
     small = filed.where(F.col("n") <= max_bucket)
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     pairs = (small.select("key", F.col("fp").alias("a")).join(small.select("key", F.col("fp").alias("b")), "key")
