@@ -62,9 +62,10 @@ class Plan:
         return self.base[at] + within // self.times[at], self.offset[at] + within % self.times[at] * length
 
 
-def exact_patterns(counts: dict[int, int], width: int) -> list[tuple[list[tuple[int, int]], int]]:
+def exact_patterns(counts: dict[int, int], width: int, least: int = 1) -> list[tuple[list[tuple[int, int]], int]]:
     """Patterns ``([(length, times)], sequences)`` that fill a sequence exactly
-    with a length and one, two or three more; takes them out of ``counts``."""
+    with a length of at least ``least`` and one, two or three more; takes them
+    out of ``counts``."""
     have = np.zeros(width + 1, np.int64)
     for length, n in counts.items():
         have[length] = n
@@ -82,7 +83,7 @@ def exact_patterns(counts: dict[int, int], width: int) -> list[tuple[list[tuple[
 
     if have[width]:
         use([width])
-    for length in range(width - 1, 0, -1):                      # single complements
+    for length in range(width - 1, least - 1, -1):              # single complements
         if have[length] and have[width - length]:
             use([length, width - length])
 
@@ -93,7 +94,7 @@ def exact_patterns(counts: dict[int, int], width: int) -> list[tuple[list[tuple[
         there &= (2 * larger != total) | (have[larger] > 1)
         return larger[there][::-1]
 
-    for length in range(width - 1, 0, -1):                      # pair sums
+    for length in range(width - 1, least - 1, -1):              # pair sums
         gap = width - length
         for a in pairs(gap) if have[length] else ():
             if not have[length]:
@@ -104,7 +105,7 @@ def exact_patterns(counts: dict[int, int], width: int) -> list[tuple[list[tuple[
     for a in there:
         total = a + there
         sums[total[total <= width]] = True
-    for length in range(width - 1, 0, -1):                      # triple sums
+    for length in range(width - 1, least - 1, -1):              # triple sums
         gap = width - length
         if not have[length] or gap < 3:
             continue
@@ -165,9 +166,15 @@ def best_fit_patterns(counts: dict[int, int], width: int) -> list[tuple[list[tup
 
 
 def plan_packing(counts: dict[int, int], width: int = WIDTH) -> Plan:
-    """The plan for ``counts`` pieces of each length."""
-    left = dict(counts)
-    patterns = exact_patterns(left, width) + best_fit_patterns(left, width)
+    """The plan for ``counts`` pieces of each length.  Exact fillings by short
+    lengths alone can take away what longer ones need, so they are planned from
+    several least lengths on, and the plan with fewest sequences is taken (of
+    equal ones that with most exact fillings)."""
+    plans = []
+    for least in (1, width // 4 + 1, width // 3 + 1, width // 2 + 1, width):
+        left = dict(counts)
+        plans.append(exact_patterns(left, width, least) + best_fit_patterns(left, width))
+    patterns = min(plans, key=lambda plan: sum(bins for _, bins in plan))
     rows, taken, base = [], {}, 0
     for pattern, bins in patterns:
         offset = 0
