@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +67,33 @@ def partition_ranks(df: DataFrame, order: list, rank: str, name: str) -> DataFra
             .withColumn(rank, F.col("__start") + within).drop("__part", "__start", place))
 
 
+FILTER_BITS = 1 << 24           # 2 MB, whatever the number of keys
+
+
+def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS):
+    """A column function that is true for every whole number among ``keys`` and
+    false for most others: a bitmap of fixed size, built by Spark's bitmap
+    aggregates.  Rows it rejects need not be shuffled to be joined with the
+    keys; with more keys than bits it lets everything pass, and the join still
+    decides."""
+    # the bitmap functions count places from 1 on
+    spots = keys.select((F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(bits)) + 1).alias("x"))
+    found = spots.groupBy(F.bitmap_bucket_number("x").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits")).collect()     # bits / 8 bytes at most
+    table = np.zeros(bits // 8, np.uint8)
+    for r in found:                     # buckets are numbered from 1 on and hold 32,768 places
+        table[(r["b"] - 1) * 4096:r["b"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+
+    @F.pandas_udf("boolean")
+    def among(spot: pd.Series) -> pd.Series:
+        x = spot.to_numpy()
+        return pd.Series((table[x >> 3] >> (x & 7) & 1).astype(bool))
+
+    def test(column):
+        return among(F.pmod(F.xxhash64(F.lit(7), column), F.lit(bits)))
+    return test
+
+
 def components(edges: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
     """Connected components of an undirected graph of bigint ids: one row
     ``(node, root)`` per node that has an edge, ``root`` the smallest id
