@@ -5,9 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,28 +68,23 @@ def partition_ranks(df: DataFrame, order: list, rank: str, name: str) -> DataFra
 FILTER_BITS = 1 << 24           # 2 MB, whatever the number of keys
 
 
-def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS):
-    """A column function that is true for every whole number among ``keys`` and
-    false for most others: a bitmap of fixed size, built by Spark's bitmap
-    aggregates.  Rows it rejects need not be shuffled to be joined with the
-    keys; with more keys than bits it lets everything pass, and the join still
-    decides."""
-    # the bitmap functions count places from 1 on
+def key_filter(rows: DataFrame, column: Column, keys: DataFrame, key: str, mark: str,
+               bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` with a boolean ``mark``: true wherever ``column`` is among the
+    whole numbers ``keys[key]``, false for most other rows.  Made of a bitmap of
+    fixed size, built by Spark's bitmap aggregates and broadcast (bits / 8 bytes
+    at most).  Rows it rejects need not be shuffled to be joined with the keys;
+    with more keys than bits it lets everything pass, and the join decides."""
+    # the bitmap functions count places from 1 on; a bucket holds 32,768 of them
     spots = keys.select((F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(bits)) + 1).alias("x"))
-    found = spots.groupBy(F.bitmap_bucket_number("x").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits")).collect()     # bits / 8 bytes at most
-    table = np.zeros(bits // 8, np.uint8)
-    for r in found:                     # buckets are numbered from 1 on and hold 32,768 places
-        table[(r["b"] - 1) * 4096:r["b"] * 4096] = np.frombuffer(r["bits"], np.uint8)
-
-    @F.pandas_udf("boolean")
-    def among(spot: pd.Series) -> pd.Series:
-        x = spot.to_numpy()
-        return pd.Series((table[x >> 3] >> (x & 7) & 1).astype(bool))
-
-    def test(column):
-        return among(F.pmod(F.xxhash64(F.lit(7), column), F.lit(bits)))
-    return test
+    table = cut_lineage(spots.groupBy((F.bitmap_bucket_number("x") - 1).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("__bits")), "key-filter")
+    spot = F.pmod(F.xxhash64(F.lit(7), column), F.lit(bits))
+    byte = F.substring("__bits", F.floor(F.col("__spot") % 32768 / 8).cast("int") + 1, F.lit(1))
+    found = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(F.expr("shiftleft(1, cast(__spot % 8 as int))")) != 0
+    marked = rows.withColumn("__spot", spot).withColumn("__at", F.floor(F.col("__spot") / 32768))
+    joined = marked.join(F.broadcast(table), F.col("__at") == F.col("__bucket"), "left")
+    return joined.withColumn(mark, F.coalesce(found, F.lit(False))).drop("__spot", "__at", "__bucket", "__bits")
 
 
 def components(edges: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:

@@ -16,7 +16,7 @@ from array import array
 
 from basketry.llm.common import word_runs
 
-MEMO = 200_000
+MEMO = 100_000
 
 
 def worker_cache() -> dict:
