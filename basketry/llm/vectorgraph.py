@@ -18,6 +18,10 @@
 6. Audit: for a bounded sample of nodes the links are also counted against all
    vectors.  While the share found is below ``min_recall``, the search is repeated
    with one shard more per node and a wider beam.
+7. Where the widest search is still below, all links are counted exactly: every
+   node is in the blocks of its closest centre and meets every block whose shard
+   can hold a vector in range (triangle inequality of angles), by matrix products.
+   An audit that fails then is an error.
 """
 
 from __future__ import annotations
@@ -167,6 +171,9 @@ def first_shared(shards: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
 
 # ---------------------------------------------------------------- the jobs
 
+LINKS = "node bigint, links bigint, pairs bigint, root bigint"
+
+
 def _fit_shards(nodes: DataFrame, n: int, overlap: int, dims: int, block: int) -> np.ndarray:
     """Centres of the shards, fitted on a bounded sample by hash."""
     share = min(1.0, 1.5 * SAMPLE / max(1, n))
@@ -177,8 +184,8 @@ def _fit_shards(nodes: DataFrame, n: int, overlap: int, dims: int, block: int) -
 
 
 def _links(nodes: DataFrame, n: int, dims: int, threshold: float, overlap: int, beam: int, block: int) -> DataFrame:
-    """``(node, links, root)``: per node and task that found links, their number
-    (by weight) and a node of its local component."""
+    """``LINKS``: per node and task that found links, their number by weight and
+    by nodes, and a node of its local component."""
     centres = _fit_shards(nodes, n, overlap, dims, block)
     overlap = min(overlap, len(centres))
 
@@ -243,11 +250,80 @@ def _links(nodes: DataFrame, n: int, dims: int, threshold: float, overlap: int,
         good &= first_shared(shards, a, b) == shard
         a, b = a[good], b[good]
         links = np.bincount(a, weight[b], len(ids)) + np.bincount(b, weight[a], len(ids))
+        number = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
         root = local_roots(len(ids), a, b)
         some = links > 0
-        return pa.table({"node": ids[some], "links": links[some].astype(np.int64), "root": ids[root[some]]})
+        return pa.table({"node": ids[some], "links": links[some].astype(np.int64), "pairs": number[some], "root": ids[root[some]]})
+
+    return tasks.groupBy("shard", "i", "j").applyInArrow(search, LINKS)
+
+
+def _all_links(nodes: DataFrame, n: int, dims: int, threshold: float, overlap: int, block: int) -> DataFrame:
+    """As ``_links``, but complete.  A vector within angle t of a member of a
+    shard is within t and the shard's radius of its centre, so a node meets the
+    blocks of those shards only."""
+    centres = _fit_shards(nodes, n, overlap, dims, block)
+    angles = lambda x: np.arccos(np.clip(x @ centres.T, -1, 1))
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
 
-    return tasks.groupBy("shard", "i", "j").applyInArrow(search, "node bigint, links bigint, root bigint")
+    def home(batches):
+        for batch in batches:
+            far = angles(unit_rows(as_matrix(batch.column("v"), dims)))
+            shard = far.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard), pa.array(far[np.arange(len(far)), shard])],
+                                             [*batch.schema.names, "shard", "far"])
+
+    placed = cut_lineage(nodes.select("node", "weight", "v").mapInArrow(
+        home, "node bigint, weight bigint, v array<double>, shard bigint, far double"), "graph-homes")
+    blocks, radius = np.zeros(len(centres), int), np.full(len(centres), -np.inf)
+    for shard, count, far in placed.groupBy("shard").agg(F.count(F.lit(1)), F.max("far")).collect():   # MAX_CENTRES rows at most
+        blocks[shard], radius[shard] = -(-count // block), far
+    first = np.cumsum(blocks) - blocks
+    owner = np.repeat(np.arange(len(centres)), blocks)
+
+    def meet_with(batches):
+        for batch in batches:
+            near = (angles(unit_rows(as_matrix(batch.column("v"), dims))) <= radius + reach)[:, owner]
+            shard = batch.column("shard").to_numpy()
+            mine = first[shard] + batch.column("place").to_numpy() % blocks[shard]
+            near[np.arange(len(near)), mine] = True
+            others = pa.array([np.nonzero(row)[0].tolist() for row in near], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("weight"), batch.column("v"), pa.array(mine), others],
+                                             ["node", "weight", "v", "block", "others"])
+
+    placed = placed.withColumn("place", F.pmod(F.xxhash64("node"), F.lit(1 << 31)))
+    tasks = placed.mapInArrow(meet_with, "node bigint, weight bigint, v array<double>, block bigint, others array<bigint>")
+    tasks = tasks.withColumn("other", F.explode("others")).select(
+        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "weight", "v")
+
+    def count(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        ids, weight, side = (table.column(c).to_numpy() for c in ("node", "weight", "block"))
+        x = unit_rows(as_matrix(table.column("v"), dims))
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+        asks, answers = np.nonzero(side == i)[0], np.nonzero(side == j)[0]
+        links, pairs, root = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), np.arange(len(ids))
+        for at in range(0, len(asks), 256):
+            rows = asks[at:at + 256]
+            sims = x[rows] @ x[answers].T
+            close = sims >= threshold
+            a, b = np.nonzero(np.abs(sims - threshold) < 1e-12)            # by one rounding, whatever the block
+            close[a, b] = np.einsum("nd,nd->n", x[rows[a]], x[answers[b]]) >= threshold
+            close &= rows[:, None] != answers
+            links[rows] += close @ weight[answers]
+            pairs[rows] += close.sum(axis=1)
+            if i != j:
+                links[answers] += weight[rows] @ close
+                pairs[answers] += close.sum(axis=0)
+            a, b = np.nonzero(close)
+            a, b = root[rows[a]], root[answers[b]]
+            apart = np.unique(a[a != b] * len(ids) + b[a != b])
+            if len(apart):
+                root = local_roots(len(ids), apart // len(ids), apart % len(ids))[root]
+        some = pairs > 0
+        return pa.table({"node": ids[some], "links": links[some], "pairs": pairs[some], "root": ids[root[some]]})
+
+    return tasks.groupBy("i", "j").applyInArrow(count, LINKS)
 
 
 def _exact_links(nodes: DataFrame, dims: int, threshold: float) -> DataFrame:
@@ -300,12 +376,18 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         return rows.select(F.col("k").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("k").alias("component"),
                            F.lit(True).alias("kept"), F.lit(None).cast("bigint").alias("exact_links"))
     exact = cut_lineage(_exact_links(nodes, dims, threshold), "graph-audit")
-    for attempt in range(tries):
-        links = cut_lineage(_links(nodes, n, dims, threshold, overlap + attempt, beam << attempt, block), "graph-links")
+    for attempt in range(tries + 1):
+        if attempt < tries:
+            links = _links(nodes, n, dims, threshold, overlap + attempt, beam << attempt, block)
+        else:
+            links = _all_links(nodes, n, dims, threshold, overlap, block)
+        links = cut_lineage(links, "graph-links")
         counted = links.groupBy("node").agg(F.sum("links").alias("links"))
         hits, true = exact.join(counted, "node", "left").agg(F.sum(F.coalesce("links", F.lit(0))), F.sum("exact")).first()
         if hits >= min_recall * true:
             break
+    else:
+        raise RuntimeError(f"near-duplicate links: the audit found {hits} of {true} links")
     roots = components(links.where("node <> root"), "node", "root", "graph")
     ids = nodes.select("node", "low", "weight", F.col("node_hash").alias("h"), "g")
     ids = ids.join(counted, "node", "left").join(roots, "node", "left").join(exact, "node", "left")

@@ -74,6 +74,24 @@ def test_a_hot_group_over_many_blocks(spark):
     assert len({got[i].component for i in range(300) if true[i]}) == 1
 
 
+def test_a_dense_group_of_different_vectors_is_linked_whole(spark, monkeypatch):
+    """A third of all rows in one group, where no two nodes share their shards."""
+    rng = np.random.default_rng(5)
+    one = rng.normal(size=64)
+    x = np.concatenate([one + rng.normal(0, .1, (400, 64)), rng.normal(size=(800, 64))])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    y = x.astype(np.float32).astype(float)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    true = (y @ y.T >= 0.95).sum(axis=1) - 1
+    assert true[:400].min() > 300
+    got = {r.vec_id: r for r in G.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), block=16, tries=1).collect()}
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert found.sum() >= 0.97 * true.sum() and (found <= true).all()
+    monkeypatch.setattr(G, "_all_links", lambda nodes, *rest: nodes.sparkSession.createDataFrame([], G.LINKS))
+    with pytest.raises(RuntimeError):
+        G.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), block=16, tries=1)
+
+
 def test_robust_pruning_drops_what_a_kept_edge_covers():
     x = G.unit_rows(np.array([[1, 0], [1, .1], [1, .2], [0, 1.0]]))
     edges = G.robust_prune(x, np.array([0]), np.array([[1, 2, 3]]), 3)
