@@ -15,8 +15,9 @@
    Two nodes that share several shards are linked in the first of them only, so
    each task can count its links and give its local components: pairs of vectors
    are never written out.
-6. Audit: for a bounded sample of nodes the links are also counted against all
-   vectors.  While the share found is below ``min_recall``, the search is repeated
+6. Audit: for a bounded sample of nodes, drawn until enough of them have links,
+   the links are also counted against all vectors.  While the share found of the
+   pairs of different nodes, or its mean over the nodes, is below ``min_recall``, the search is repeated
    with one shard more per node and a wider beam.
 7. Where the widest search is still below, all links are counted exactly: every
    node is in the blocks of its closest centre and meets every block whose shard
@@ -44,7 +45,8 @@ KEEP_NEAREST, KEEP_FAR = 20, 8  # edges kept of them
 ALPHA = 1.2
 BEAM = 32
 MEDOIDS = 16
-AUDIT = 256                     # nodes whose links are counted exactly
+AUDIT, MAX_AUDIT = 256, 4096    # nodes whose links are counted exactly
+LINKED = 64                     # of them with a link
 
 
 # ---------------------------------------------------------------- one block
@@ -326,24 +328,40 @@ def _all_links(nodes: DataFrame, n: int, dims: int, threshold: float, overlap: i
     return tasks.groupBy("i", "j").applyInArrow(count, LINKS)
 
 
-def _exact_links(nodes: DataFrame, dims: int, threshold: float) -> DataFrame:
-    """``(node, exact)`` for a sample of at most ``AUDIT`` nodes: their links
-    counted against all nodes."""
-    some = nodes.orderBy(F.xxhash64("node_hash"), "node").limit(AUDIT).select("node", "v").toArrow()
-    ids, x = some.column("node").to_numpy(), unit_rows(as_matrix(some.column("v"), dims))
-
-    def count(batches):
-        total = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            weight, own = batch.column("weight").to_numpy(), batch.column("node").to_numpy()
-            y = unit_rows(as_matrix(batch.column("v"), dims))
-            for at in range(0, len(y), 4096):
-                close = (y[at:at + 4096] @ x.T >= threshold) & (own[at:at + 4096, None] != ids)
-                total += weight[at:at + 4096] @ close
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "exact"])
-
-    return (nodes.select("node", "weight", "v").mapInArrow(count, "node bigint, exact bigint")
-            .groupBy("node").agg(F.sum("exact").alias("exact")))
+def _exact_links(nodes: DataFrame, n: int, dims: int, threshold: float) -> DataFrame:
+    """``(node, exact, others)`` for a sample of nodes: their links counted
+    against all nodes, by weight and by nodes.  The sample grows from ``AUDIT``
+    nodes until ``LINKED`` of them have a link, or it has ``MAX_AUDIT``."""
+    size = AUDIT
+    while True:
+        some = nodes.orderBy(F.xxhash64("node_hash"), "node").limit(size).select("node", "v").toArrow()
+        ids, x = some.column("node").to_numpy(), unit_rows(as_matrix(some.column("v"), dims))
+
+        def count(batches, ids=ids, x=x):
+            total, others = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            for batch in batches:
+                weight, own = batch.column("weight").to_numpy(), batch.column("node").to_numpy()
+                y = unit_rows(as_matrix(batch.column("v"), dims))
+                for at in range(0, len(y), 2048):
+                    close = (y[at:at + 2048] @ x.T >= threshold) & (own[at:at + 2048, None] != ids)
+                    total += weight[at:at + 2048] @ close
+                    others += close.sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total), pa.array(others)], ["node", "exact", "others"])
+
+        exact = (nodes.select("node", "weight", "v").mapInArrow(count, "node bigint, exact bigint, others bigint")
+                 .groupBy("node").agg(F.sum("exact").alias("exact"), F.sum("others").alias("others")))
+        exact = cut_lineage(exact, "graph-audit")
+        if size >= min(n, MAX_AUDIT) or exact.where("others > 0").count() >= LINKED:
+            return exact
+        size = min(4 * size, MAX_AUDIT)
+
+
+def audited(exact: DataFrame, counted: DataFrame) -> tuple[float, float]:
+    """Shares of the audited nodes' links found: of all pairs of nodes, and the
+    mean over the nodes that have any, so no large group hides the others."""
+    both = exact.where("others > 0").join(counted, "node", "left").select("others", F.coalesce("pairs", F.lit(0)).alias("pairs"))
+    pairs, nodes = both.agg(F.sum("pairs") / F.sum("others"), F.avg(F.col("pairs") / F.col("others"))).first()
+    return (1.0, 1.0) if pairs is None else (pairs, nodes)
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95,
@@ -375,22 +393,22 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     if n == 0:
         return rows.select(F.col("k").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("k").alias("component"),
                            F.lit(True).alias("kept"), F.lit(None).cast("bigint").alias("exact_links"))
-    exact = cut_lineage(_exact_links(nodes, dims, threshold), "graph-audit")
+    exact = _exact_links(nodes, n, dims, threshold)
     for attempt in range(tries + 1):
         if attempt < tries:
             links = _links(nodes, n, dims, threshold, overlap + attempt, beam << attempt, block)
         else:
             links = _all_links(nodes, n, dims, threshold, overlap, block)
         links = cut_lineage(links, "graph-links")
-        counted = links.groupBy("node").agg(F.sum("links").alias("links"))
-        hits, true = exact.join(counted, "node", "left").agg(F.sum(F.coalesce("links", F.lit(0))), F.sum("exact")).first()
-        if hits >= min_recall * true:
+        counted = links.groupBy("node").agg(F.sum("links").alias("links"), F.sum("pairs").alias("pairs"))
+        recall = audited(exact, counted)
+        if min(recall) >= min_recall:
             break
     else:
-        raise RuntimeError(f"near-duplicate links: the audit found {hits} of {true} links")
+        raise RuntimeError(f"near-duplicate links: the audit found shares of {recall} (pairs, mean of nodes)")
     roots = components(links.where("node <> root"), "node", "root", "graph")
     ids = nodes.select("node", "low", "weight", F.col("node_hash").alias("h"), "g")
-    ids = ids.join(counted, "node", "left").join(roots, "node", "left").join(exact, "node", "left")
+    ids = ids.join(counted.drop("pairs"), "node", "left").join(roots, "node", "left").join(exact.drop("others"), "node", "left")
     ids = ids.withColumn("root", F.coalesce("root", "node"))
     lows = ids.groupBy("root").agg(F.min("low").alias("component"))
     ids = ids.join(lows, "root").select("h", "g", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),

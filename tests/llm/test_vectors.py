@@ -92,6 +92,20 @@ def test_a_dense_group_of_different_vectors_is_linked_whole(spark, monkeypatch):
         G.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), block=16, tries=1)
 
 
+def test_the_audit_counts_linked_nodes(spark):
+    """A heavy or large group does not hide the misses of the others, and the
+    sample grows until it has linked nodes."""
+    exact = spark.createDataFrame([(1, 90_000, 300), (2, 2, 2), (3, 1, 1), (4, 0, 0)], "node bigint, exact bigint, others bigint")
+    found = spark.createDataFrame([(1, 90_000, 300)], "node bigint, links bigint, pairs bigint")
+    assert G.audited(exact, found) == (300 / 303, 1 / 3)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 32))
+    x[590:] = x[580:590] + rng.normal(0, .01, (10, 32))
+    nodes = spark.createDataFrame([(i, i, 1, v.tolist()) for i, v in enumerate(x)], "node bigint, node_hash bigint, weight bigint, v array<double>")
+    got = {r.node: r.others for r in G._exact_links(nodes, 600, 32, 0.95).collect()}
+    assert len(got) == 600 and sum(got.values()) == 20
+
+
 def test_robust_pruning_drops_what_a_kept_edge_covers():
     x = G.unit_rows(np.array([[1, 0], [1, .1], [1, .2], [0, 1.0]]))
     edges = G.robust_prune(x, np.array([0]), np.array([[1, 2, 3]]), 3)
