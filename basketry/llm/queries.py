@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, language, matrices, mixing, packing, passages, quality, simhash, topk, vectorgraph
+from basketry.llm import (chat, exactdup, importance, language, matrices, mixing, packing, passages, periodic, quality,
+                          simhash, topk, vectorgraph)
 from basketry.llm.common import read_docs
 from basketry.session import cut_lineage
 
@@ -86,9 +87,41 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrices.segment_rows(cut_lineage(made, "token-matrices"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of equal text but for white space: the longest of each group stays."""
+    found = exactdup.exact_duplicates(spark, f"{sf_dir}/documents.parquet")
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodically repeated words in all documents, a tenth of which get
+    planted ones first."""
+    docs = read_docs(spark, sf_dir).select("doc_id", periodic.plant_runs("doc_id", "text").alias("text"))
+    found = periodic.periodic_runs(docs)
+    # a greater length / period first, compared exactly; the runs come by start, then period
+    more = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]
+    first = F.get("runs", F.lit(0))
+    best = F.aggregate("runs", first, lambda a, b: F.when(more(b, a), b).otherwise(a))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    exponent = F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long")
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period", exponent.alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5% of the documents drawn towards the benchmark's texts, all documents weighed."""
+    found = importance.resample(read_docs(spark, sf_dir), read_docs(spark, sf_dir, "benchmark"), percent=5)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op2_simhash_neardup": op2_simhash_neardup,
            "op3_quality_fm": op3_quality_fm, "op4_embedding_neardup": op4_embedding_neardup, "op5_exact_topk": op5_exact_topk,
            "op6_substring_dedup": op6_substring_dedup, "op7_bestfit_packing": op7_bestfit_packing,
            "op8_chat_snapshots": op8_chat_snapshots, "op9_language_id": op9_language_id,
-           "op10_token_matrices": op10_token_matrices}
-ORACLES: dict[str, str] = {"op5_exact_topk": topk.ORACLE, "op8_chat_snapshots": chat.ORACLE}
+           "op10_token_matrices": op10_token_matrices, "op11_exact_dedup": op11_exact_dedup,
+           "op12_periodic_runs": op12_periodic_runs, "op13_importance_resampling": op13_importance_resampling}
+ORACLES: dict[str, str] = {"op5_exact_topk": topk.ORACLE, "op8_chat_snapshots": chat.ORACLE,
+                           "op11_exact_dedup": exactdup.ORACLE}

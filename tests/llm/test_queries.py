@@ -23,11 +23,15 @@ CONTRACT = {
     7: {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint",
         "sequence_id": "bigint", "offset": "bigint"},
     9: {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    11: {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
+    12: {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
+         "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
+    13: {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("number", sorted(CONTRACT))
@@ -46,7 +50,7 @@ def test_contract_columns(spark, number):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_results(spark, name):
     con = duckdb.connect()
-    for table in ("conversations", "embeddings"):
+    for table in ("conversations", "embeddings", "documents"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF001}/{table}.parquet'")
     found = QUERIES[name](spark, SF001)
     want = con.execute(ORACLES[name])
