@@ -26,8 +26,12 @@ from basketry.functions.text import clean_text, contains_ci, first_word
 from basketry.operators import baskets as B
 from basketry.operators import classify as C
 from basketry.operators import cluster as K
+from basketry.operators import context as X
+from basketry.operators import epochs as E
+from basketry.operators import factors as FA
 from basketry.operators import nextitem as N
 from basketry.operators import profile as P
+from basketry.operators import similarity as SI
 from basketry.operators import tfidf as TF
 from basketry.operators.partitions import repartition_report
 from basketry.operators.quantiles import exact_quantiles
@@ -426,6 +430,26 @@ def q_tfidf_fixed_vocab(spark, sf):
     return _fixed_vocab_dense(spark, sf)
 
 
+SIMILAR_K = 5
+NAME_COSINE = 0.3
+DOCUMENT_COSINE = 0.9
+
+
+def q_cosine_topk(spark, sf):
+    """For every distinct cleaned name the 5 most similar others by cosine."""
+    names = products(spark, sf).where(F.col(K.NAME).isNotNull()).select(K.NAME).distinct()
+    stats = TF.term_stats(TF.tokenize(names, K.NAME), K.NAME, "tokens")
+    found = SI.cosine_topk(stats, SIMILAR_K, NAME_COSINE, MAX_FEATURES)
+    return found.select(K.NAME, F.col("rank").cast("bigint"), F.col("other").alias("similar_name"), "cosine")
+
+
+def q_cosine_topk_documents(spark, sf):
+    """For every document the 5 most similar others with a cosine of at least 0.9."""
+    stats = TF.term_stats(_document_tokens(spark, sf), "doc_id", "tokens")
+    found = SI.cosine_topk(stats, SIMILAR_K, DOCUMENT_COSINE, MAX_FEATURES)
+    return found.select("doc_id", F.col("rank").cast("bigint"), F.col("other").alias("similar_doc_id"), "cosine")
+
+
 # ---------------------------------------------------------------- clusters
 
 def q_kmeans_clusters(spark, sf):
@@ -559,9 +583,13 @@ def q_confusion_matrix(spark, sf):
 
 # ---------------------------------------------------------------- next item
 
-def _sequences(spark, sf):
+def _split_sequence(spark, sf):
     seq = sequence_items(joined_items(spark, sf), B.ORDER, B.ITEM_ORDER, "department_id", keep_sort_cols=False)
-    seq = C.hash_split(seq, B.ORDER, TEST_PERCENT, SPLIT_SEED)
+    return C.hash_split(seq, B.ORDER, TEST_PERCENT, SPLIT_SEED)
+
+
+def _sequences(spark, sf):
+    seq = _split_sequence(spark, sf)
     return seq.where(F.col("split") == "train"), seq.where(F.col("split") == "test")
 
 
@@ -578,6 +606,35 @@ def q_next_item_transition_eval(spark, sf):
     return N.hit_rate(N.transition_predictions(train, test, B.ORDER)).withColumn("accuracy", _r("accuracy"))
 
 
+CONTEXT_DEPTH = 3
+
+
+def q_next_item_context_topk(spark, sf):
+    """The 3 most frequent items after every run of up to 3 items of training baskets."""
+    train, _ = _sequences(spark, sf)
+    top = X.context_topk(X.next_item_contexts(train, B.ORDER, CONTEXT_DEPTH), 3)
+    return top.select(join_ints("context").alias("context"), "item", "n", F.col("rank").cast("bigint"))
+
+
+def q_next_item_context_eval(spark, sf):
+    """Hit rate of the longest known run of the history's last items, by its length."""
+    train, test = _sequences(spark, sf)
+    tree = X.context_tree(X.next_item_contexts(train, B.ORDER, CONTEXT_DEPTH))
+    hidden = X.hidden_targets(X.item_windows(test, B.ORDER, CONTEXT_DEPTH))
+    found = X.context_hit_rate(X.context_predictions(tree, hidden))
+    return found.withColumn("accuracy", _r("accuracy"))
+
+
+def q_next_item_factors_eval(spark, sf):
+    """Hit rates of item factors (implicit ALS on the training baskets)."""
+    return FA.factor_hit_rates(_split_sequence(spark, sf), B.ORDER)
+
+
+def q_next_item_epochs(spark, sf):
+    """Mean loss and held-out hits after every epoch of training."""
+    return E.epoch_table(_split_sequence(spark, sf), B.ORDER, epochs=NEXT_ITEM_PARAMS["epochs"])
+
+
 def _virtual_sequences(spark, sf):
     """Sequences of virtual product ids (KMeans cluster + 1 of the cleaned
     name), split into train/test orders by the key hash."""

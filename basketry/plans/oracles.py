@@ -11,8 +11,8 @@ from __future__ import annotations
 
 from basketry.functions.text import NAME_STOPWORD_PATTERN
 from basketry.functions.keys import KEY_MULTIPLIER, KEY_PRIME
-from basketry.plans.catalog import (BASKET_CHUNK, DIGITS, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS,
-                                    NEXT_ITEM_PARAMS, REPARTITION_N, RETURNFLAG_LABELS, SPLIT_DATE, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
+from basketry.plans.catalog import (BASKET_CHUNK, CONTEXT_DEPTH, DIGITS, DOCUMENT_COSINE, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS, NAME_COSINE,
+                                    NEXT_ITEM_PARAMS, REPARTITION_N, RETURNFLAG_LABELS, SIMILAR_K, SPLIT_DATE, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
 
 # The default English stopwords of Spark ML's StopWordsRemover,
 # in the library's order (a test holds the list against the installed Spark).
@@ -110,6 +110,33 @@ SELECT term, round(score, {DIGITS}) AS score,
        row_number() OVER (ORDER BY score DESC, term) AS rank FROM s"""
 
 
+NAME_DOCS = f"SELECT DISTINCT {clean_sql('p_name')} AS id, {clean_sql('p_name')} AS txt FROM part"
+
+
+def _cosine_topk(docs_sql: str, least: float, id_name: str, other_name: str) -> str:
+    return f"""WITH {_tfidf_ctes(docs_sql)},
+c AS (SELECT a.id AS i, b.id AS j, round(sum(a.weight * b.weight), {DIGITS}) AS cosine
+      FROM w a JOIN w b ON a.term = b.term AND a.id <> b.id GROUP BY a.id, b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY cosine DESC, j) AS rank FROM c WHERE cosine >= {least})
+SELECT i AS {id_name}, rank, j AS {other_name}, cosine FROM r WHERE rank <= {SIMILAR_K}"""
+
+
+def _context_ctes(depth: int = CONTEXT_DEPTH) -> str:
+    """CTEs up to ``counts`` (context, len, item, n): contexts as text, the nearest item last."""
+    lags = [f"lag(department_id, {d}) OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS i{d}" for d in range(1, depth + 1)]
+    text = lambda n: " || ',' || ".join(f"CAST(i{d} AS VARCHAR)" for d in range(n, 0, -1)) or "''"
+    runs = lambda rest: "\nUNION ALL ".join(
+        f"SELECT {text(n)} AS context, {n} AS len, {rest} AND pos > {n}" for n in range(depth + 1))
+    return f"""pos AS (
+  SELECT order_id, department_id AS item, row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos,
+         lead(1) OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) IS NULL AS is_last, {', '.join(lags)},
+         CASE WHEN {split_bucket_sql('order_id')} < {TEST_PERCENT} THEN 'test' ELSE 'train' END AS split
+  FROM joined),
+runs AS ({runs("item FROM pos WHERE split = 'train'")}),
+counts AS (SELECT context, len, item, count(*) AS n FROM runs GROUP BY context, len, item),
+asked AS ({runs("order_id, item AS target_item FROM pos WHERE split = 'test' AND is_last AND pos > 1")})"""
+
+
 PART_DOCS = f"SELECT p_partkey AS id, {clean_sql('p_name')} AS txt FROM part"
 DOC_DOCS = f"SELECT doc_id AS id, {clean_sql('text')} AS txt FROM documents"
 
@@ -359,6 +386,21 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS n_baskets, CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_hits,
                    round(CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS DOUBLE) / count(*), {DIGITS}) AS accuracy
             FROM p""",
+        "next_item_context_topk": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED}, {_context_ctes()},
+            r AS (SELECT *, row_number() OVER (PARTITION BY context ORDER BY n DESC, item) AS rank FROM counts)
+            SELECT context, item, n, rank FROM r WHERE rank <= 3""",
+        "next_item_context_eval": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED}, {_context_ctes()},
+            best AS (SELECT context, item AS predicted_item FROM (
+                       SELECT *, row_number() OVER (PARTITION BY context ORDER BY n DESC, item) AS rk FROM counts) WHERE rk = 1),
+            p AS (SELECT order_id, target_item, len, predicted_item,
+                         row_number() OVER (PARTITION BY order_id ORDER BY len DESC) AS rk FROM asked JOIN best USING (context))
+            SELECT CAST(len AS INTEGER) AS context_len, count(*) AS n_baskets,
+                   CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_hits,
+                   round(CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS DOUBLE) / count(*), {DIGITS})
+                     AS accuracy
+            FROM p WHERE rk = 1 GROUP BY ROLLUP (len)""",
+        "cosine_topk": _cosine_topk(NAME_DOCS, NAME_COSINE, "processed_product_name", "similar_name"),
+        "cosine_topk_documents": _cosine_topk(DOC_DOCS, DOCUMENT_COSINE, "doc_id", "similar_doc_id"),
         "repartition_counts": f"SELECT CAST({REPARTITION_N} AS BIGINT) AS n_partitions, count(*) AS n_rows FROM lineitem",
         "run_params_json": f"""WITH {PRODUCTS}, {RULE_MAP}
             SELECT CAST(count(*) + 1 AS BIGINT) AS vocab_size, {NEXT_ITEM_PARAMS['embedding_dim']} AS embedding_dim,
