@@ -59,6 +59,17 @@ def fit_kmeans(points: DataFrame, k: int = 20, seed: int = 42, weight_col: str |
     return km.fit(data)
 
 
+def cluster_names_exact(products: DataFrame, k: int = 20, n_words: int = 30, max_iter: int = 20) -> DataFrame:
+    """As ``cluster_names``, by the KMeans of ``gridkmeans``: without draws, the same
+    whatever the layout."""
+    from basketry.operators import gridkmeans as G
+    feats, _ = name_features(products, n_words=n_words)
+    feats = cut_lineage(feats, "name-features")
+    centres = G.fit_centres(G.grid_points(feats, weight_col="n_products"), k, max_iter)
+    return (G.assign(feats, centres)
+             .select(NAME, F.col("cluster").cast("int"), (F.col("cluster") + 1).cast("int").alias("virtual_product_id")))
+
+
 def cluster_names(products: DataFrame, k: int = 20, seed: int = 42, n_words: int = 30) -> DataFrame:
     """``(processed_product_name, cluster, virtual_product_id)`` with
     virtual_product_id = cluster + 1."""

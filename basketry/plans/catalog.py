@@ -107,9 +107,12 @@ def rule_mapping(products_df: DataFrame) -> DataFrame:
                             (F.pmod(F.length(K.NAME) * 31 + F.ascii(K.NAME), F.lit(N_CLUSTERS)) + 1).cast("int"))
 
 
+KMEANS_STEPS = 20
+
+
 def name_clusters(spark, sf):
-    """KMeans(20, seed 42) map cleaned name -> cluster, virtual_product_id."""
-    return cut_lineage(K.cluster_names(products(spark, sf), k=N_CLUSTERS, seed=42, n_words=TOP_WORDS), "name-clusters")
+    """KMeans(20) map cleaned name -> cluster, virtual_product_id."""
+    return cut_lineage(K.cluster_names_exact(products(spark, sf), N_CLUSTERS, TOP_WORDS, KMEANS_STEPS), "name-clusters")
 
 
 def scan_partitions(spark) -> int | None:
@@ -453,7 +456,7 @@ def q_cosine_topk_documents(spark, sf):
 # ---------------------------------------------------------------- clusters
 
 def q_kmeans_clusters(spark, sf):
-    """KMeans(20, seed 42) clusters of the cleaned names."""
+    """KMeans(20) clusters of the cleaned names."""
     return name_clusters(spark, sf)
 
 
@@ -483,13 +486,24 @@ def q_cluster_map_fanout_count(spark, sf):
     return B.mapping_fanout(products(spark, sf), K.NAME)
 
 
+def _virtual_items(spark, sf):
+    """Order items with the virtual product id (cluster + 1 of the cleaned name)."""
+    mapped = B.attach_mapping(products(spark, sf), name_clusters(spark, sf), K.NAME, "virtual_product_id")
+    return B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), mapped)
+
+
+def q_virtual_product_chunks(spark, sf):
+    """The project's flow in its skew-safe form: histories of virtual products in
+    rows of at most BASKET_CHUNK items, the removed last item in a row of its own."""
+    out = B.leave_last_out_chunks(_virtual_items(spark, sf), {
+        "virtual_product_ids": "virtual_product_id", "aisle_ids": "aisle_id", "department_ids": "department_id"}, BASKET_CHUNK)
+    return _render_baskets(out, int_cols=("virtual_product_ids", "aisle_ids", "department_ids"))
+
+
 def q_virtual_product_baskets(spark, sf):
     """Clean names -> TF-IDF -> KMeans(20) -> virtual product ids -> baskets ->
     leave last out (the project's flow, distributed)."""
-    prods = products(spark, sf)
-    mapped = B.attach_mapping(prods, name_clusters(spark, sf),
-                              K.NAME, "virtual_product_id")
-    items = B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), mapped)
+    items = _virtual_items(spark, sf)
     b = B.build_baskets(items, {"virtual_product_id": "virtual_product_id", "product_id": "product_id",
                                 "aisle_ids": "aisle_id", "department_ids": "department_id",
                                 "processed_product_name": K.NAME})
@@ -638,11 +652,7 @@ def q_next_item_epochs(spark, sf):
 def _virtual_sequences(spark, sf):
     """Sequences of virtual product ids (KMeans cluster + 1 of the cleaned
     name), split into train/test orders by the key hash."""
-    prods = products(spark, sf)
-    mapped = B.attach_mapping(prods, name_clusters(spark, sf),
-                              K.NAME, "virtual_product_id")
-    items = B.join_items_products(B.order_items_from_lineitem(read_table(spark, sf, "lineitem")), mapped)
-    seq = sequence_items(items, B.ORDER, B.ITEM_ORDER, "virtual_product_id", keep_sort_cols=False)
+    seq = sequence_items(_virtual_items(spark, sf), B.ORDER, B.ITEM_ORDER, "virtual_product_id", keep_sort_cols=False)
     seq = C.hash_split(seq, B.ORDER, TEST_PERCENT, SPLIT_SEED)
     return seq.where(F.col("split") == "train"), seq.where(F.col("split") == "test")
 
@@ -651,7 +661,7 @@ def q_next_item_virtual_transition_eval(spark, sf):
     """The project's flow end to end: virtual products from clustered names,
     next virtual product predicted by the transition model."""
     train, test = _virtual_sequences(spark, sf)
-    return N.hit_rate(N.transition_predictions(train, test, B.ORDER))
+    return N.hit_rate(N.transition_predictions(train, test, B.ORDER)).withColumn("accuracy", _r("accuracy"))
 
 
 def _fit_and_predict(train, test):

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from basketry.functions.text import NAME_STOPWORD_PATTERN
 from basketry.functions.keys import KEY_MULTIPLIER, KEY_PRIME
-from basketry.plans.catalog import (BASKET_CHUNK, CONTEXT_DEPTH, DIGITS, DOCUMENT_COSINE, FIRST_WORD_NEEDLE, LINEITEM_MEASURES, MAX_FEATURES, N_CLUSTERS, NAME_COSINE,
+from basketry.plans.catalog import (BASKET_CHUNK, CONTEXT_DEPTH, DIGITS, DOCUMENT_COSINE, FIRST_WORD_NEEDLE, KMEANS_STEPS, LINEITEM_MEASURES,
+                                    MAX_FEATURES, N_CLUSTERS, NAME_COSINE,
                                     NEXT_ITEM_PARAMS, REPARTITION_N, RETURNFLAG_LABELS, SIMILAR_K, SPLIT_DATE, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
 
 # The default English stopwords of Spark ML's StopWordsRemover,
@@ -152,6 +153,47 @@ SELECT docs.id AS product_id, CAST(top.feature_index AS BIGINT) AS feature_index
        round(coalesce(fw.weight, 0.0), {DIGITS}) AS weight
 FROM docs CROSS JOIN top LEFT JOIN fw ON fw.id = docs.id AND fw.term = top.term"""
 
+
+
+def _name_cluster_ctes(k: int = N_CLUSTERS, steps: int = KMEANS_STEPS) -> str:
+    """CTEs up to ``name_map`` (processed_product_name, cluster, virtual_product_id);
+    expects ``products``.  KMeans in whole millionths, its rounds written out."""
+    head = FIXED_VOCAB[len("WITH "):FIXED_VOCAB.rindex("SELECT docs.id AS product_id")].rstrip()
+    d2 = "list_sum(list_transform(list_zip({0}, {1}), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    far, near = d2.format("x.v", "c.v"), d2.format("x.v", "c.v")
+    ctes = [head, """vecs AS (SELECT docs.id, list(CAST(round(round(coalesce(fw.weight, 0.0), 6) * 1000000) AS BIGINT)
+                          ORDER BY top.feature_index) AS v
+         FROM docs CROSS JOIN top LEFT JOIN fw ON fw.id = docs.id AND fw.term = top.term GROUP BY docs.id)""",
+            """named AS MATERIALIZED (SELECT processed_product_name, any_value(v) AS v, count(*) AS n
+         FROM products JOIN vecs ON vecs.id = products.product_id WHERE processed_product_name IS NOT NULL
+         GROUP BY processed_product_name)""",
+            "x AS MATERIALIZED (SELECT v, CAST(sum(n) AS BIGINT) AS w FROM named GROUP BY v)",
+            "c1 AS MATERIALIZED (SELECT 0 AS c, v FROM (SELECT v FROM x ORDER BY w DESC, v LIMIT 1))"]
+    for j in range(2, k + 1):
+        ctes.append(f"""c{j} AS MATERIALIZED (SELECT * FROM c{j - 1} UNION ALL SELECT {j - 1}, v FROM (
+          SELECT v, CAST(w AS DOUBLE) * d AS score FROM (
+            SELECT x.v, x.w, min({far}) AS d FROM x, c{j - 1} c GROUP BY x.v, x.w) WHERE d > 0 ORDER BY score DESC, v LIMIT 1))""")
+    centres = f"c{k}"
+    for t in range(steps):
+        ctes.append(f"""m{t} AS MATERIALIZED (SELECT c, list(s ORDER BY i) AS v FROM (
+          SELECT c, i, (2 * sum(w * e) + sum(w)) // (2 * sum(w)) AS s FROM (
+            SELECT c, w, unnest(v) AS e, unnest(generate_series(1, len(v))) AS i FROM (
+              SELECT x.v, x.w, arg_min(c.c, [CAST({near} AS BIGINT), c.c]) AS c FROM x, {centres} c GROUP BY x.v, x.w))
+          GROUP BY c, i) GROUP BY c)""")
+        ctes.append(f"""l{t} AS MATERIALIZED (SELECT c.c, CAST(coalesce(m.v, c.v) AS BIGINT[]) AS v FROM {centres} c LEFT JOIN m{t} m USING (c))""")
+        centres = f"l{t}"
+    ctes.append(f"""name_map AS MATERIALIZED (SELECT x.processed_product_name, CAST(arg_min(c.c, [CAST({near} AS BIGINT), c.c]) AS INTEGER) AS cluster
+         FROM named x, {centres} c GROUP BY x.processed_product_name)""")
+    return ",\n".join(ctes)
+
+
+NAME_CLUSTERS = f"WITH {PRODUCTS},\n{_name_cluster_ctes()}"
+NAME_MAP_SELECT = "SELECT processed_product_name, cluster, CAST(cluster + 1 AS INTEGER) AS virtual_product_id FROM name_map"
+VIRTUAL = f"""{NAME_CLUSTERS}, {ITEMS},
+virtual AS (SELECT products.*, CAST(cluster + 1 AS INTEGER) AS virtual_product_id
+            FROM products LEFT JOIN name_map USING (processed_product_name)),
+joined AS (SELECT * FROM items JOIN virtual ON items.order_product_id = virtual.product_id)"""
+
 SEQ = f"""seq AS (
   SELECT order_id, department_id AS item,
          lag(department_id) OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS prev_item,
@@ -161,6 +203,18 @@ SEQ = f"""seq AS (
 TRANSITIONS = """counts AS (SELECT prev_item, item, count(*) AS n FROM seq
                    WHERE split = 'train' AND prev_item IS NOT NULL GROUP BY prev_item, item)"""
 
+TRANSITION_EVAL = f"""best AS (SELECT prev_item AS context_item, item AS best_next FROM (
+                       SELECT *, row_number() OVER (PARTITION BY prev_item ORDER BY n DESC, item) AS rk FROM counts)
+                     WHERE rk = 1),
+            fb AS (SELECT item AS fallback_next FROM counts GROUP BY item ORDER BY sum(n) DESC, item LIMIT 1),
+            t AS (SELECT order_id, prev_item AS context_item, item AS target_item FROM seq
+                  WHERE split = 'test' AND is_last AND prev_item IS NOT NULL),
+            p AS (SELECT t.*, coalesce(best.best_next, (SELECT fallback_next FROM fb)) AS predicted_item
+                  FROM t LEFT JOIN best USING (context_item))
+            SELECT count(*) AS n_baskets, CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_hits,
+                   round(CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS DOUBLE) / count(*), {DIGITS}) AS accuracy
+            FROM p"""
+
 NULL_COUNTS_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 CUSTOMER_NUMERIC = ("c_custkey", "c_nationkey", "c_acctbal")
@@ -375,17 +429,37 @@ def oracle_sql() -> dict[str, str]:
             r AS (SELECT *, row_number() OVER (PARTITION BY prev_item ORDER BY n DESC, item) AS rank FROM counts)
             SELECT prev_item, item, n, rank FROM r WHERE rank <= 3""",
         "next_item_transition_eval": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED}, {SEQ}, {TRANSITIONS},
-            best AS (SELECT prev_item AS context_item, item AS best_next FROM (
-                       SELECT *, row_number() OVER (PARTITION BY prev_item ORDER BY n DESC, item) AS rk FROM counts)
-                     WHERE rk = 1),
-            fb AS (SELECT item AS fallback_next FROM counts GROUP BY item ORDER BY sum(n) DESC, item LIMIT 1),
-            t AS (SELECT order_id, prev_item AS context_item, item AS target_item FROM seq
-                  WHERE split = 'test' AND is_last AND prev_item IS NOT NULL),
-            p AS (SELECT t.*, coalesce(best.best_next, (SELECT fallback_next FROM fb)) AS predicted_item
-                  FROM t LEFT JOIN best USING (context_item))
-            SELECT count(*) AS n_baskets, CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_hits,
-                   round(CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS DOUBLE) / count(*), {DIGITS}) AS accuracy
-            FROM p""",
+            {TRANSITION_EVAL}""",
+        "kmeans_clusters": f"{NAME_CLUSTERS}\n{NAME_MAP_SELECT}",
+        "cluster_labels_sink": f"{NAME_CLUSTERS}\n{NAME_MAP_SELECT}",
+        "cluster_members": f"""{NAME_CLUSTERS}
+            SELECT CAST(cluster + 1 AS INTEGER) AS virtual_product_id, processed_product_name, count(*) AS n_products
+            FROM products JOIN name_map USING (processed_product_name) GROUP BY ALL""",
+        "vocab_size_clusters": f"""{NAME_CLUSTERS}
+            SELECT CAST(count(*) + 1 AS BIGINT) AS vocab_size FROM (
+              SELECT DISTINCT m.cluster FROM products p LEFT JOIN name_map m USING (processed_product_name))""",
+        "virtual_product_baskets": f"""{VIRTUAL},
+            b AS (SELECT order_id, list(virtual_product_id ORDER BY {ORDER_BY_ITEM}) AS v, list(product_id ORDER BY {ORDER_BY_ITEM}) AS p,
+                         list(aisle_id ORDER BY {ORDER_BY_ITEM}) AS a, list(department_id ORDER BY {ORDER_BY_ITEM}) AS d,
+                         list(processed_product_name ORDER BY {ORDER_BY_ITEM}) AS names
+                  FROM joined GROUP BY order_id HAVING count(*) >= 2)
+            SELECT order_id, {_ints('v[1:len(v) - 1]')} AS virtual_product_id, {_ints('p')} AS product_id,
+                   {_ints('a[1:len(a) - 1]')} AS aisle_ids, {_ints('d[1:len(d) - 1]')} AS department_ids,
+                   {_ints('names', '|')} AS processed_product_name, 1 AS remove_count,
+                   {_ints('v[len(v):len(v)]')} AS removed_order_product_ids, {_ints('a[len(a):len(a)]')} AS removed_aisle_ids,
+                   {_ints('d[len(d):len(d)]')} AS removed_department_ids FROM b""",
+        "virtual_product_chunks": f"""{VIRTUAL},
+            s AS (SELECT order_id, virtual_product_id, aisle_id, department_id,
+                         row_number() OVER (PARTITION BY order_id ORDER BY {ORDER_BY_ITEM}) AS pos,
+                         count(*) OVER (PARTITION BY order_id) AS n FROM joined)
+            SELECT order_id, CASE WHEN pos = n THEN 'removed' ELSE 'history' END AS part,
+                   CAST((pos - 1) // {BASKET_CHUNK} AS BIGINT) AS chunk, min(pos) AS first_pos,
+                   {_ints('list(virtual_product_id ORDER BY pos)')} AS virtual_product_ids,
+                   {_ints('list(aisle_id ORDER BY pos)')} AS aisle_ids,
+                   {_ints('list(department_id ORDER BY pos)')} AS department_ids
+            FROM s WHERE n >= 2 GROUP BY order_id, pos = n, (pos - 1) // {BASKET_CHUNK}""",
+        "next_item_virtual_transition_eval": f"""{VIRTUAL},
+            {SEQ.replace('department_id', 'virtual_product_id')}, {TRANSITIONS}, {TRANSITION_EVAL}""",
         "next_item_context_topk": f"""WITH {PRODUCTS}, {ITEMS}, {JOINED}, {_context_ctes()},
             r AS (SELECT *, row_number() OVER (PARTITION BY context ORDER BY n DESC, item) AS rank FROM counts)
             SELECT context, item, n, rank FROM r WHERE rank <= 3""",
