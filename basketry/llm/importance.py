@@ -81,11 +81,10 @@ def bucket_gains(source: DataFrame, target: DataFrame, buckets: int = BUCKETS) -
     table = (spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
              .join(source.select("bucket", F.col("n").alias("s")), "bucket", "left")
              .join(target.select("bucket", F.col("n").alias("t")), "bucket", "left").na.fill(0, ["s", "t"]))
-    totals = table.agg((F.sum("s") + buckets).cast("double").alias("all_s"), (F.sum("t") + buckets).cast("double").alias("all_t"))
-    ratio = ((F.col("t") + 1) * F.col("all_t_source")) / ((F.col("s") + 1) * F.col("all_t"))
-    # one row of two numbers joins the fixed number of buckets
-    return (table.join(F.broadcast(totals.withColumnRenamed("all_s", "all_t_source")))
-            .select("bucket", F.floor(F.lit(float(SCALE)) * F.log(ratio)).cast("long").alias("gain")))
+    table = cut_lineage(table, "importance-counts")             # read twice; the counts cost a pass over the texts
+    all_s, all_t = table.agg(F.sum("s") + buckets, F.sum("t") + buckets).first()
+    ratio = ((F.col("t") + 1) * F.lit(float(all_s))) / ((F.col("s") + 1) * F.lit(float(all_t)))
+    return table.select("bucket", F.floor(F.lit(float(SCALE)) * F.log(ratio)).cast("long").alias("gain"))
 
 
 def weigh(docs: DataFrame, gains: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
