@@ -10,7 +10,7 @@ the ``+ 1`` term, so IDF values are computed here and applied with
 Two routes compute the same numbers (cross-checked in tests):
 
 * vector route, ``Corpus`` - word scores and clustering features: tokens are
-  materialised once, the vocabulary comes from a per-term count, document
+  materialised once, the vocabulary comes from ``frequent_terms``, document
   frequencies from Spark ML's ``IDF`` fit (a tree aggregate), vectors from
   ``CountVectorizerModel`` and scores from ``Summarizer.sum``.  No (doc, term)
   shuffle.
@@ -73,6 +73,52 @@ def top_terms(tf: DataFrame, max_features: int) -> DataFrame:
               .orderBy(F.desc("total"), F.asc("term")).limit(max_features).select("term"))
 
 
+TRACKED = 100_000               # terms a sketch keeps
+FAN_IN = 256
+
+
+def sketch_error(tracked: int, n_terms: int) -> float:
+    """By how much a frequent-items sketch of ``tracked`` items can be off after
+    ``n_terms`` ones: 3.5 times their number by the size of its map, a power of two
+    of which it fills three quarters."""
+    size = 1 << math.ceil(math.log2(max(8, math.ceil(tracked / 0.75))))
+    return 3.5 * n_terms / size
+
+
+def frequent_terms(docs: DataFrame, tokens_col: str, max_features: int, tracked: int = TRACKED) -> DataFrame:
+    """``(term, total)``: the ``max_features`` most frequent terms with their exact
+    counts (ties by term), without shuffling every distinct term.
+
+    A first pass sends one frequent-items sketch a task, merged in two levels.  A
+    term that the sketch does not return has at most twice its error; those it
+    returns and that could be among the first are counted exactly (joined with a
+    broadcast of at most ``tracked`` terms).  If the last of the counted ones is
+    above that bound, no other term can be among the first.  Otherwise (flat
+    distributions, fewer terms than asked for) all terms are counted: the result
+    is the same on either way.  ``docs`` is read twice: it should be written."""
+    terms = docs.select(F.explode_outer(tokens_col).alias("term")).where(F.col("term").isNotNull())
+    first = lambda counted: (counted.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+                             .orderBy(F.desc("total"), F.asc("term")).limit(max_features))
+    parts = terms.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("_g")).agg(
+        F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n"))
+    if max_features > tracked:
+        return first(terms)
+    # grouped by a constant: without any term there is no group and no sketch to merge
+    seen = parts.groupBy(F.lit(0).alias("_all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {tracked})").alias("top"),
+                     F.sum("n").alias("n")).first()
+    found = seen["top"] if seen else []
+    if len(found) < max_features:
+        return first(terms)
+    error = sketch_error(tracked, seen["n"])
+    least = found[max_features - 1]["count"] - error        # that many terms have at least this count
+    held = docs.sparkSession.createDataFrame([(x["item"],) for x in found if x["count"] >= least], "term string")
+    exact = cut_lineage(first(terms.join(F.broadcast(held), "term")), "frequent-terms")
+    last = exact.agg(F.min("total"), F.count(F.lit(1))).first()
+    if last[1] == max_features and last[0] > 2 * error:
+        return exact
+    return first(terms)
+
+
 def idf_table(tf: DataFrame, vocabulary: DataFrame, n_docs: int, broadcast: bool = True) -> DataFrame:
     """``(term, doc_freq, idf)`` for the vocabulary terms; terms absent from the
     corpus get doc_freq 0.  ``broadcast`` only for a vocabulary of known,
@@ -224,10 +270,7 @@ def corpus(docs: DataFrame, id_col: str, tokens_col: str, max_features: int = 10
     from pyspark.ml.feature import IDF
 
     toks = cut_lineage(docs.select(id_col, tokens_col), "tokens")
-    vocab = [r["term"] for r in
-             toks.select(F.explode_outer(tokens_col).alias("term")).where(F.col("term").isNotNull())
-                 .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-                 .orderBy(F.desc("n"), F.asc("term")).limit(max_features).collect()]
+    vocab = [r["term"] for r in frequent_terms(toks, tokens_col, max_features).orderBy(F.desc("total"), F.asc("term")).collect()]
     if not vocab:
         return Corpus(toks, id_col, tokens_col, (), (), toks.count())
     tf = CountVectorizerModel.from_vocabulary(vocab, inputCol=tokens_col, outputCol="_tf").transform(toks)

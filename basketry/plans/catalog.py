@@ -29,6 +29,7 @@ from basketry.operators import cluster as K
 from basketry.operators import context as X
 from basketry.operators import epochs as E
 from basketry.operators import factors as FA
+from basketry.operators import forest as FO
 from basketry.operators import nextitem as N
 from basketry.operators import profile as P
 from basketry.operators import similarity as SI
@@ -40,6 +41,7 @@ from basketry.session import cut_lineage, scratch_path, spread
 from basketry.sources import csv as CSV
 from basketry.sources import local as L
 from basketry.sources import sinks as S
+from basketry.sources import versions as V
 from basketry.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -420,6 +422,12 @@ def q_tfidf_top_words_documents(spark, sf):
     return TF.top_words(c, TOP_WORDS).select("term", _r("score").alias("score"), F.col("rank").cast("bigint"))
 
 
+def q_frequent_words_documents(spark, sf):
+    """The 1000 most frequent words of the documents with their counts."""
+    toks = cut_lineage(_document_tokens(spark, sf).select("tokens"), "document-tokens")
+    return TF.frequent_terms(toks, "tokens", MAX_FEATURES)
+
+
 def _fixed_vocab_dense(spark, sf):
     c = TF.corpus(_part_tokens(spark, sf), "product_id", "tokens", MAX_FEATURES)
     words = [r["term"] for r in TF.top_words(c, TOP_WORDS).orderBy("rank").collect()]
@@ -555,37 +563,44 @@ def q_random_split_stable(spark, sf):
                  .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
 
 
+RF_TREES, RF_DEPTH, RF_BINS = 100, 5, 32
+
+
 def _rf(spark, sf):
-    """The forest's predictions for the test documents (written once) and the labels."""
+    """The forest, the test documents with labels and predictions (written once), and the label names."""
     feats, labels = C.index_labels(C.hash_split(_doc_features(spark, sf), "doc_id", TEST_PERCENT, SPLIT_SEED), "lang")
     # features are computed once (regexes over whole texts) and read by both splits
-    feats = cut_lineage(feats.select("doc_id", "lang", "split", "label", "features"), "doc-features")
-    model = C.fit_random_forest(feats.where(F.col("split") == "train"), num_trees=100, seed=42, layout_key="doc_id")
-    pred = model.transform(feats.where(F.col("split") == "test")).select("doc_id", "lang", "label", "prediction")
-    return cut_lineage(pred, "rf-predictions"), labels
+    feats = cut_lineage(feats.select("doc_id", "lang", "split", F.col("label").cast("int").alias("label"), *C.FEATURES),
+                        "doc-features")
+    forest = FO.fit_forest(feats.where(F.col("split") == "train"), "doc_id", "label", C.FEATURES, len(labels),
+                           RF_TREES, RF_DEPTH, RF_BINS, SPLIT_SEED)
+    pred = FO.predict_forest(feats.where(F.col("split") == "test").drop("split"), forest)
+    return forest, cut_lineage(pred.select("doc_id", "lang", "label", "prediction"), "rf-predictions"), labels
+
+
+def q_rf_nodes(spark, sf):
+    """M4: the nodes of the random forest (100 trees, depth 5) of the training documents."""
+    return FO.node_table(spark, _rf(spark, sf)[0])
 
 
 def q_rf_predictions(spark, sf):
     """M4, M5: random forest (100 trees, seed 42) predictions for the test documents."""
-    pred, labels = _rf(spark, sf)
+    _, pred, labels = _rf(spark, sf)
     names = F.array(*[F.lit(x) for x in labels])
-    return pred.select("doc_id", "lang", F.col("label").cast("int").alias("label"),
-                       F.col("prediction").cast("int").alias("prediction"),
-                       names[F.col("prediction").cast("int")].alias("predicted_lang"))
+    return pred.select("doc_id", "lang", "label", "prediction", names[F.col("prediction")].alias("predicted_lang"))
 
 
 def q_rf_accuracy(spark, sf):
     """Accuracy by the evaluator and by aggregation."""
-    pred, _ = _rf(spark, sf)
-    acc = C.evaluator_accuracy(pred)
-    return C.accuracy_table(pred).withColumn("evaluator_accuracy", F.lit(acc))
+    _, pred, _ = _rf(spark, sf)
+    acc = C.evaluator_accuracy(pred.select(F.col("label").cast("double"), F.col("prediction").cast("double")))
+    table = C.accuracy_table(pred).withColumn("evaluator_accuracy", F.lit(acc))
+    return table.withColumns({c: _r(c) for c in ("accuracy", "accuracy_pct", "evaluator_accuracy")})
 
 
 def q_rf_confusion_matrix(spark, sf):
     """A3, O2: confusion matrix of the random forest."""
-    pred, _ = _rf(spark, sf)
-    return C.confusion_matrix(pred.select(F.col("label").cast("int").alias("label"),
-                                          F.col("prediction").cast("int").alias("prediction")), "label")
+    return C.confusion_matrix(_rf(spark, sf)[1], "label")
 
 
 def q_confusion_matrix(spark, sf):
@@ -731,6 +746,19 @@ def q_run_params_json(spark, sf):
     return S.write_params_json(params, scratch_path(spark, "params"))
 
 
+def q_versioned_sink_history(spark, sf):
+    """Three committed versions of a sink (the orders before a date, from it
+    on, all of them), each read back by its number."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_totalprice"])
+    sink, early = scratch_path(spark, "orders-sink"), F.col("o_orderdate") < F.lit(SPLIT_DATE).cast("date")
+    for part in (orders.where(early), orders.where(~early), orders):
+        V.save_table(part, sink)
+    rows = [V.load_table(spark, sink, v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n_rows"),
+                                             F.sum("o_orderkey").alias("sum_orderkey"))
+            for v in V.versions(spark, sink)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -2,8 +2,8 @@
 
 The SQL runs on views named after the test tables.  Column names and types
 are aligned with the Spark results (aliases, BIGINT casts, rounding).  Queries
-whose result depends on a fitted model (KMeans, random forest, logistic
-regression), on a hash DuckDB does not have, or on file round trips of
+whose result depends on a model fitted in floating point (logistic regression,
+factors, epochs), on a hash DuckDB does not have, or on file round trips of
 model objects have no entry here.
 """
 
@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from basketry.functions.text import NAME_STOPWORD_PATTERN
 from basketry.functions.keys import KEY_MULTIPLIER, KEY_PRIME
+from basketry.operators.classify import FEATURES
+from basketry.operators.forest import POISSON, SAMPLE, SAMPLE_TREE, SUBSET_TREE, mixed_sql, subset_size
 from basketry.plans.catalog import (BASKET_CHUNK, CONTEXT_DEPTH, DIGITS, DOCUMENT_COSINE, FIRST_WORD_NEEDLE, KMEANS_STEPS, LINEITEM_MEASURES,
                                     MAX_FEATURES, N_CLUSTERS, NAME_COSINE,
-                                    NEXT_ITEM_PARAMS, REPARTITION_N, RETURNFLAG_LABELS, SIMILAR_K, SPLIT_DATE, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
+                                    NEXT_ITEM_PARAMS, REPARTITION_N, RETURNFLAG_LABELS, RF_BINS, RF_DEPTH, RF_TREES,
+                                    SIMILAR_K, SPLIT_DATE, SPLIT_SEED, TEST_PERCENT, TOP_WORDS)
 
 # The default English stopwords of Spark ML's StopWordsRemover,
 # in the library's order (a test holds the list against the installed Spark).
@@ -215,6 +218,73 @@ TRANSITION_EVAL = f"""best AS (SELECT prev_item AS context_item, item AS best_ne
                    round(CAST(coalesce(sum(CASE WHEN target_item = predicted_item THEN 1 ELSE 0 END), 0) AS DOUBLE) / count(*), {DIGITS}) AS accuracy
             FROM p"""
 
+DOC_FEATURES = """SELECT doc_id, lang,
+            CAST(length(text) AS DOUBLE) AS f_chars,
+            CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE) AS f_words,
+            CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS DOUBLE) AS f_lines,
+            CAST(length(text) - length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) AS DOUBLE) AS f_non_ascii
+            FROM documents"""
+
+
+def _forest_ctes() -> str:
+    """CTEs up to ``pred`` (doc_id, lang, label, prediction) and ``nodes`` (tree, node,
+    majority) with the splits ``best0`` ... of each level, repeating ``forest`` in SQL."""
+    n = len(FEATURES)
+    weight = " + ".join(f"CAST(h >= {p} AS INTEGER)" for p in POISSON)
+    names = ", ".join(f"'{f}'" for f in FEATURES)
+    places = ", ".join(f"(m.n * {j} + {RF_BINS - 1}) // {RF_BINS}" for j in range(1, RF_BINS))
+    ctes = [f"feats AS MATERIALIZED (SELECT *, {split_bucket_sql('doc_id')} < {TEST_PERCENT} AS test FROM ({DOC_FEATURES}))",
+            "labels AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS label FROM (SELECT DISTINCT lang FROM feats WHERE lang IS NOT NULL))",
+            "cells AS MATERIALIZED (SELECT doc_id, test, f, x FROM (" + " UNION ALL ".join(
+                f"SELECT doc_id, test, {j} AS f, {f} AS x FROM feats" for j, f in enumerate(FEATURES)) + "))",
+            f"""chosen AS (SELECT doc_id FROM feats WHERE NOT test
+                ORDER BY {mixed_sql('doc_id', str(SAMPLE_TREE), SPLIT_SEED)}, doc_id LIMIT {SAMPLE})""",
+            "ranked AS (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) AS rn FROM cells JOIN chosen USING (doc_id) WHERE x IS NOT NULL)",
+            f"""picks AS (SELECT DISTINCT m.f, r.x FROM (SELECT f, count(*) AS n FROM ranked GROUP BY f) m
+                JOIN ranked r ON r.f = m.f AND r.rn IN ({places}))""",
+            "cuts AS MATERIALIZED (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) - 1 AS bin FROM picks)",
+            """bins AS MATERIALIZED (SELECT c.doc_id, c.test, c.f, count(t.x) AS bin
+                FROM cells c LEFT JOIN cuts t ON t.f = c.f AND t.x < c.x GROUP BY c.doc_id, c.test, c.f)""",
+            f"""bag0 AS MATERIALIZED (SELECT * FROM (SELECT doc_id, label, CAST(tree AS BIGINT) AS tree, 1 AS node, {weight} AS w
+                FROM (SELECT doc_id, label, tree, {mixed_sql('doc_id', 'tree', SPLIT_SEED)} AS h
+                      FROM feats JOIN labels USING (lang), range({RF_TREES}) r(tree) WHERE NOT test)) WHERE w > 0)"""]
+    for level in range(RF_DEPTH):
+        ctes += [
+            f"""open{level} AS (SELECT tree, node, f FROM (SELECT tree, node, f, row_number() OVER (PARTITION BY tree, node
+                  ORDER BY {mixed_sql(f'node * {n} + f', f'tree + {SUBSET_TREE}', SPLIT_SEED)}, f) AS rk
+                FROM (SELECT DISTINCT tree, CAST(node AS BIGINT) AS node FROM bag{level}), range({n}) r(f)) WHERE rk <= {subset_size(n)})""",
+            f"""hist{level} AS (SELECT b.tree, b.node, s.f, s.bin, b.label, sum(b.w) AS n
+                FROM bag{level} b JOIN open{level} o USING (tree, node) JOIN bins s ON s.doc_id = b.doc_id AND s.f = o.f GROUP BY ALL)""",
+            f"""grid{level} AS (SELECT o.*, bin, label, coalesce(h.n, 0) AS n FROM open{level} o CROSS JOIN range({RF_BINS}) r(bin)
+                CROSS JOIN labels LEFT JOIN hist{level} h USING (tree, node, f, bin, label))""",
+            f"""sums{level} AS (SELECT *, sum(n) OVER (PARTITION BY tree, node, f, label ORDER BY bin) AS l,
+                sum(n) OVER (PARTITION BY tree, node, f, label) AS t FROM grid{level})""",
+            f"""best{level} AS MATERIALIZED (SELECT tree, node, f, bin FROM (
+                SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY score DESC, f, bin) AS rk FROM (
+                  SELECT tree, node, f, bin, CAST(sum(l * l) AS DOUBLE) / nullif(sum(l), 0)
+                           + CAST(sum((t - l) * (t - l)) AS DOUBLE) / nullif(sum(t - l), 0) AS score,
+                         CAST(sum(t * t) AS DOUBLE) / sum(t) AS bar
+                  FROM sums{level} GROUP BY tree, node, f, bin) WHERE score > bar) WHERE rk = 1)""",
+            f"""bag{level + 1} AS MATERIALIZED (SELECT b.doc_id, b.label, b.tree, 2 * b.node + CAST(s.bin > t.bin AS INTEGER) AS node, b.w
+                FROM bag{level} b JOIN best{level} t USING (tree, node) JOIN bins s ON s.doc_id = b.doc_id AND s.f = t.f)"""]
+    ctes.append("nodes AS MATERIALIZED (SELECT tree, node, arg_min(label, [-n, label]) AS majority FROM (" + " UNION ALL ".join(
+        f"SELECT tree, node, label, CAST(sum(w) AS BIGINT) AS n FROM bag{i} GROUP BY ALL" for i in range(RF_DEPTH + 1)) + ") GROUP BY tree, node)")
+    ctes.append(f"go0 AS (SELECT doc_id, CAST(tree AS BIGINT) AS tree, 1 AS node FROM feats, range({RF_TREES}) r(tree) WHERE test)")
+    for level in range(RF_DEPTH):
+        ctes.append(f"""go{level + 1} AS MATERIALIZED (SELECT g.doc_id, g.tree, CASE WHEN t.f IS NULL THEN g.node
+                ELSE 2 * g.node + CAST(s.bin > t.bin AS INTEGER) END AS node
+                FROM go{level} g LEFT JOIN best{level} t USING (tree, node) LEFT JOIN bins s ON s.doc_id = g.doc_id AND s.f = t.f)""")
+    ctes.append(f"""votes AS (SELECT doc_id, arg_min(majority, [-n, majority]) AS prediction FROM (
+                SELECT doc_id, majority, count(*) AS n FROM go{RF_DEPTH} JOIN nodes USING (tree, node) GROUP BY ALL) GROUP BY doc_id)""")
+    ctes.append("""pred AS (SELECT doc_id, lang, CAST(label AS INTEGER) AS label, CAST(prediction AS INTEGER) AS prediction
+                FROM votes JOIN feats USING (doc_id) LEFT JOIN labels USING (lang))""")
+    splits = " UNION ALL ".join(f"SELECT * FROM best{i}" for i in range(RF_DEPTH))
+    ctes.append(f"""tree_nodes AS (SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, [{names}][f + 1] AS feature,
+                c.x AS threshold, CAST(majority AS INTEGER) AS majority
+                FROM nodes LEFT JOIN ({splits}) t USING (tree, node) LEFT JOIN cuts c USING (f, bin))""")
+    return "WITH " + ",\n".join(ctes)
+
+
 NULL_COUNTS_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 CUSTOMER_NUMERIC = ("c_custkey", "c_nationkey", "c_acctbal")
@@ -392,6 +462,8 @@ def oracle_sql() -> dict[str, str]:
         "tfidf_top_words": _top_words(PART_DOCS),
         "tfidf_top_words_documents": _top_words(DOC_DOCS),
         "tfidf_fixed_vocab": FIXED_VOCAB,
+        "frequent_words_documents": f"""SELECT term, count(*) AS total FROM (SELECT unnest({tokens_sql('txt')}) AS term FROM ({DOC_DOCS}))
+            GROUP BY term ORDER BY total DESC, term LIMIT {MAX_FEATURES}""",
         "feature_sink_roundtrip": FIXED_VOCAB,
         "nearest_centroid": f"""WITH x AS (SELECT vec_id, label, unnest(embedding) AS e,
                                        unnest(generate_series(1, len(embedding))) AS i FROM embeddings),
@@ -416,12 +488,15 @@ def oracle_sql() -> dict[str, str]:
                    CAST(sum(CASE WHEN name IS NULL THEN n ELSE CAST(n AS HUGEINT) * n END) AS DECIMAL(38, 0))
                      AS n_rows_per_product_map,
                    CAST(sum(n) AS BIGINT) AS n_rows_distinct_map FROM k""",
-        "assemble_features": """SELECT doc_id, lang,
-            CAST(length(text) AS DOUBLE) AS f_chars,
-            CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE) AS f_words,
-            CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS DOUBLE) AS f_lines,
-            CAST(length(text) - length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) AS DOUBLE) AS f_non_ascii
-            FROM documents""",
+        "assemble_features": DOC_FEATURES,
+        "rf_nodes": f"{_forest_ctes()} SELECT * FROM tree_nodes",
+        "rf_predictions": f"""{_forest_ctes()}
+            SELECT pred.*, l.lang AS predicted_lang FROM pred LEFT JOIN labels l ON l.label = pred.prediction""",
+        "rf_accuracy": f"""{_forest_ctes()},
+            a AS (SELECT count(*) AS n, CAST(sum(CAST(label = prediction AS INTEGER)) AS BIGINT) AS n_correct FROM pred)
+            SELECT n, n_correct, round(n_correct / n, {DIGITS}) AS accuracy, round(100 * (n_correct / n), {DIGITS}) AS accuracy_pct,
+                   round(n_correct / n, {DIGITS}) AS evaluator_accuracy FROM a""",
+        "rf_confusion_matrix": f"{_forest_ctes()} SELECT label, prediction, count(*) AS n FROM pred GROUP BY label, prediction",
         "train_test_split": f"""SELECT doc_id,
             CASE WHEN {split_bucket_sql('doc_id')} < {TEST_PERCENT} THEN 'test' ELSE 'train' END AS split,
             CAST({split_bucket_sql('doc_id')} AS BIGINT) AS split_bucket FROM documents""",
@@ -476,6 +551,9 @@ def oracle_sql() -> dict[str, str]:
         "cosine_topk": _cosine_topk(NAME_DOCS, NAME_COSINE, "processed_product_name", "similar_name"),
         "cosine_topk_documents": _cosine_topk(DOC_DOCS, DOCUMENT_COSINE, "doc_id", "similar_doc_id"),
         "repartition_counts": f"SELECT CAST({REPARTITION_N} AS BIGINT) AS n_partitions, count(*) AS n_rows FROM lineitem",
+        "versioned_sink_history": "\nUNION ALL ".join(
+            f"SELECT {v} AS version, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS sum_orderkey FROM orders WHERE {cond}"
+            for v, cond in ((1, f"o_orderdate < DATE '{SPLIT_DATE}'"), (2, f"o_orderdate >= DATE '{SPLIT_DATE}'"), (3, "true"))),
         "run_params_json": f"""WITH {PRODUCTS}, {RULE_MAP}
             SELECT CAST(count(*) + 1 AS BIGINT) AS vocab_size, {NEXT_ITEM_PARAMS['embedding_dim']} AS embedding_dim,
                    {NEXT_ITEM_PARAMS['hidden_dim']} AS hidden_dim, CAST({NEXT_ITEM_PARAMS['learning_rate']} AS DOUBLE) AS learning_rate,

@@ -34,8 +34,8 @@ def test_hash_split_independent_of_layout(spark):
 
 
 def test_random_forest_beats_majority_and_accuracies_agree(spark):
-    pred, _ = C._rf(spark, SF01)
-    acc = CL.evaluator_accuracy(pred)
+    _, pred, _ = C._rf(spark, SF01)
+    acc = CL.evaluator_accuracy(pred.select(F.col("label").cast("double"), F.col("prediction").cast("double")))
     table = CL.accuracy_table(pred).first()
     assert abs(acc - table["accuracy"]) < 1e-12
     majority = pred.groupBy("label").count().agg(F.max("count")).first()[0] / table["n"]
@@ -157,9 +157,9 @@ for q in ("kmeans_clusters", "rf_predictions", "next_item_virtual_transition_eva
     assert two == five and two.count("\n") == 3
 
 
-def test_random_forest_same_seed_same_predictions(spark):
-    a, _ = C._rf(spark, SF01)          # two independent fits
-    b, _ = C._rf(spark, SF01)
+def test_random_forest_of_two_fits(spark):
+    _, a, _ = C._rf(spark, SF01)          # two independent fits
+    _, b, _ = C._rf(spark, SF01)
     pa = sorted((r["doc_id"], r["prediction"]) for r in a.select("doc_id", "prediction").collect())
     pb = sorted((r["doc_id"], r["prediction"]) for r in b.select("doc_id", "prediction").collect())
     assert pa == pb and len(pa) > 0

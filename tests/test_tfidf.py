@@ -75,3 +75,37 @@ def test_empty_corpus_and_vocabulary(spark):
     assert TF.tfidf_vectors(docs, "tokens", []).first()["features"].size == 0
     assert TF.term_scores_from_vectors(TF.tfidf_vectors(docs.where("id < 0"), "tokens", ["a"]), ["a"], 5) \
              .first()["score"] == 0.0
+
+
+def _zipf_tokens(spark, words, seed, flat=False):
+    import random
+    rng = random.Random(seed)
+    weights = [1.0 if flat else 1 / (i + 1) for i in range(words)]
+    rows = [(i, rng.choices([f"w{j}" for j in range(words)], weights, k=200)) for i in range(150)]
+    return spark.createDataFrame(rows, "id int, tokens array<string>").repartition(5)
+
+
+def _counted(df):
+    from collections import Counter
+    counts = Counter(t for r in df.collect() for t in r.tokens)
+    return sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+
+
+def test_frequent_terms_are_proven_by_the_sketch(spark):
+    """Far more terms than the sketch keeps: the survivors alone are counted."""
+    df = _zipf_tokens(spark, 5000, 1)
+    want = _counted(df)
+    assert len(want) > 1000 and want[9][1] > 2 * TF.sketch_error(600, 30_000)
+    got = TF.frequent_terms(df, "tokens", 10, tracked=600)
+    assert sorted(map(tuple, got.collect()), key=lambda x: (-x[1], x[0])) == want[:10]
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().toString() and got._scratch       # the counted survivors, written
+
+
+def test_frequent_terms_fall_back_where_the_bound_proves_nothing(spark):
+    df = _zipf_tokens(spark, 3000, 2, flat=True)
+    want = _counted(df)
+    assert want[9][1] <= 2 * TF.sketch_error(100, 30_000)
+    for k, tracked in ((10, 100), (50, 20), (10_000, 100), (10_000, 20_000)):
+        got = TF.frequent_terms(df, "tokens", k, tracked=tracked)
+        assert sorted(map(tuple, got.collect()), key=lambda x: (-x[1], x[0])) == want[:k] and not hasattr(got, "_scratch")
+    assert TF.frequent_terms(df.where("false"), "tokens", 5).count() == 0
