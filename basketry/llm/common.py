@@ -47,6 +47,29 @@ def extended(df: DataFrame, ddl: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
 
 
+NO_COLUMN = "no other column"
+
+
+def with_rest(docs: DataFrame, text: Column, without: list[str]) -> DataFrame:
+    """``(__row, __text)``: the columns of ``docs`` but those of ``without`` as one,
+    whatever their names, and a text, for a pass that adds columns to them."""
+    gone = {c.lower() for c in without}
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in gone]
+    return docs.select(F.struct(*(kept or [F.lit(None).cast("int").alias(NO_COLUMN)])).alias("__row"), text.alias("__text"))
+
+
+def rest_and(made: DataFrame, added: list[str]) -> DataFrame:
+    """The columns that ``with_rest`` joined, and ``added`` ones."""
+    alone = made.schema["__row"].dataType.names == [NO_COLUMN]
+    return made.select(*added) if alone else made.select("__row.*", *added)
+
+
+def hash_bound(share: float) -> int:
+    """The 64-bit hash (signed) up to which a ``share`` of all hashes lies, however
+    small the share."""
+    return max(-(1 << 63), min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63)))
+
+
 def partition_ranks(df: DataFrame, order: list, rank: str, name: str) -> DataFrame:
     """``df`` with the 0-based position of each row in the given total order,
     without a single-task window: a range sort, then each sorted partition's

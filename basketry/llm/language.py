@@ -8,8 +8,8 @@ Before encoding, texts are lower-cased and everything but letters becomes one
 space, so shouting, markup and numbers do not matter.
 
 The dictionaries are fitted on a bounded sample: about ``SAMPLE_DOCS`` labelled
-documents a language, chosen by a hash of the id, ``SAMPLE_BYTES`` of each at
-most.  The driver holds these samples; their size does not grow with the input.
+documents a language, chosen by a hash of the id, of each a stretch of
+``SAMPLE_BYTES`` characters at most, which may start anywhere in it.  The driver holds these samples; their size does not grow with the input.
 Every text is classified whole.
 """
 
@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import extended, small
+from basketry.llm.common import extended, hash_bound, rest_and, small, with_rest
 
 DICT_BYTES = 1 << 17
 BLOCK = 2048
@@ -52,16 +52,22 @@ def fit_dictionaries(docs: DataFrame, text: str = "text", lang: str = "lang", ke
                      sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
     """Language -> dictionary content, from the rows of ``docs`` with a language
     and a letter in the text.  Texts of a language fill its dictionary in the
-    order of their ids' hash, the first at the end, where references are cheapest."""
+    order of their ids' hash, the first at the end, where references are cheapest.
+
+    Defined results: rows with a null language or a null text, or one without a
+    letter, are not learnt from; rows of a null or a repeated id have one hash and
+    go by their text; without rows there is no dictionary; other columns are not read."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
     counts = docs.where(F.col(lang).isNotNull()).groupBy(lang).count().collect()       # a number per dictionary
     if not counts:
         return {}
     # a share of each language's documents, taken before any of them is shuffled
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(1.0, 2.0 * sample_docs / r[1]))])
-    some = (rows.where(F.pmod("h", F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
-            .select("lang", "h", F.substring("text", 1, SAMPLE_BYTES).alias("text")))
+    upto = F.create_map(*[F.lit(x) for r in counts for x in (r[0], hash_bound(2.0 * sample_docs / r[1]))])
+    # of a long text a stretch from any place of it, by the same hash
+    start = F.pmod(F.xxhash64(F.lit(3), "h"), F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(0)) + 1).cast("int") + 1
+    some = (rows.where(F.col("h") <= upto[F.col("lang")])
+            .select("lang", "h", F.substring(F.col("text"), start, F.lit(SAMPLE_BYTES)).alias("text")))
     # the share takes twice the wanted number; of these the first by hash, in parts so that no task holds a language
     first = some.groupBy("lang", F.pmod(F.col("h"), F.lit(16)).alias("part")).agg(
         F.slice(F.array_sort(F.collect_list(F.struct("h", "text"))), 1, -(-sample_docs // 16)).alias("rows"))
@@ -118,8 +124,8 @@ def identify(docs: DataFrame, contents: dict[str, bytes], text: str = "text",
     everything is ``und``; input columns called like an output column are
     replaced."""
     added = "lang_pred string, lang_score double, lang_margin double, lang_rejected boolean"
-    taken = ("lang_pred", "lang_score", "lang_margin", "lang_rejected")
-    rest = docs.drop(text, *[c for c in docs.columns if c.lower() in taken])
+    taken = ["lang_pred", "lang_score", "lang_margin", "lang_rejected"]
+    rows = with_rest(docs, F.col(f"`{text}`"), [text, *taken])
 
     def run(batches):
         encoder = Encoder(contents)
@@ -130,9 +136,9 @@ def identify(docs: DataFrame, contents: dict[str, bytes], text: str = "text",
                 [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64()),
                  pa.array(margins, pa.float64()),
                  pa.array([n == UNKNOWN or m < min_margin for n, m in zip(names, margins)], pa.bool_())],
-                [*batch.schema.names[:-1], "lang_pred", "lang_score", "lang_margin", "lang_rejected"])
+                ["__row", *taken])
 
-    return docs.select(*rest.columns, F.col(text).alias("__text")).mapInArrow(run, extended(rest, added))
+    return rest_and(rows.mapInArrow(run, extended(rows.select("__row"), added)), taken)
 
 
 def fold(key: str, parts: int) -> Column:
@@ -142,6 +148,10 @@ def fold(key: str, parts: int) -> Column:
 
 def keep_identified(docs: DataFrame, contents: dict[str, bytes], text: str = "text",
                     min_margin: float = MIN_MARGIN) -> DataFrame:
-    """``docs`` without the documents whose language is rejected."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text).alias("__t"))
-    return identify(rows, contents, "__t", min_margin).where(~F.col("lang_rejected")).select("__row.*")
+    """``docs`` without the documents whose language is rejected.
+
+    Defined results: as ``identify``: null texts, texts without a letter and ties
+    go; repeated rows stay or go together; an empty table stays empty; without
+    dictionaries all rows go; columns may have any name."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__whole"), F.col(f"`{text}`").alias("__t"))
+    return identify(rows, contents, "__t", min_margin).where(~F.col("lang_rejected")).select("__whole.*")

@@ -176,7 +176,10 @@ def position_ids(n_rows: int, width: int, resets: list[int]) -> np.ndarray:
 
 def segment_rows(matrices: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per segment read back from the matrices: where it lies, and the
-    crc32 of its ids there (as little-endian 32-bit ids)."""
+    crc32 of its ids there (as little-endian 32-bit ids).
+
+    Defined results: a null key stays null; segments of repeated rows are rows of
+    their own; an empty table gives an empty result."""
     kind = matrices.schema["segments"].dataType.elementType["key"].dataType.simpleString()
 
     def run(batches):

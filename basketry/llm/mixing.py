@@ -271,6 +271,9 @@ def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "sour
 
 def take_copies(mixed: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken, without the
-    ``mix_`` columns."""
+    ``mix_`` columns.
+
+    Defined results: a row of 0 or null copies is left out; equal rows are copied
+    one by one; an empty table stays empty; other columns stay as they are."""
     return (mixed.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("mix_copies"))))
             .drop("__copy", "mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_taken"))

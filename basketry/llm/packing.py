@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.common import extended, small
+from basketry.llm.common import extended, rest_and, small, with_rest
 from basketry.llm.tokens import word_tokenizer
 from basketry.session import cut_lineage
 
@@ -196,7 +196,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", width: int
     32-bit)."""
     added = "piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if keep_ids else "")
     taken = [f.split()[0] for f in added.split(", ")]
-    rest = docs.drop(text, *[c for c in docs.columns if c.lower() in taken])
+    rows = with_rest(docs, F.encode(F.col(f"`{text}`"), "UTF-8"), [text, *taken])
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
@@ -208,7 +208,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", width: int
                 kept = [c.take(pa.array(row, pa.int64())) for c in batch.columns[:-1]]
                 made = [pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                         pa.array(crc, pa.int64())] + ([pa.array(ids, pa.binary())] if keep_ids else [])
-                return pa.RecordBatch.from_arrays(kept + made, [*batch.schema.names[:-1], *taken])
+                return pa.RecordBatch.from_arrays(kept + made, ["__row", *taken])
 
             for i, t in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 all_ids = encode(t) + end
@@ -226,8 +226,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", width: int
                             row, number, crc, start, length, ids = [], [], [], [], [], []
             yield out()
 
-    return (docs.select(*rest.columns, F.encode(F.col(text), "UTF-8").alias("__text"))
-            .mapInArrow(run, extended(rest, added)))
+    return rest_and(rows.mapInArrow(run, extended(rows.select("__row"), added)), taken)
 
 
 def pack(made: DataFrame, order: list[Column | str], width: int = WIDTH, length: str = "length",

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import extended, small, word_runs
+from basketry.llm.common import extended, hash_bound, rest_and, small, with_rest, word_runs
 
 BUCKETS = 1 << 13
 RANK = 8
@@ -166,12 +166,17 @@ def fit_machine(rows: list, rank: int = RANK, epochs: int = EPOCHS, rate: float
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text",
         n_chars: str = "n_chars", max_rows: int = MAX_ROWS) -> Machine:
     """Fit on the labelled rows of ``docs``, on about ``max_rows`` (a share of
-    the ids by hash, then the first by hash) if there are more."""
+    the ids by hash, then the first by hash) if there are more.
+
+    Defined results: rows without an id, without a label of 0 or 1 or without a
+    partner in the other table are not learnt from; a null text is an empty one,
+    texts are read whole; a repeated id is a row for each pair; without rows the
+    machine scores a constant; other columns are not read."""
     marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
         F.col(key).alias("k"), F.col(label).cast("int").alias("label"))
     total = marks.count()
     share = min(1.0, 1.2 * max_rows / max(1, total))
-    chosen = F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < int(share * 1_000_000)
+    chosen = F.xxhash64("k") <= hash_bound(share)
     some = docs.select(F.col(key).alias("k"), F.encode(F.col(text), "UTF-8").alias("t"),
                        F.col(n_chars).cast("bigint").alias("n")).where(chosen).join(marks.where(chosen), "k")
 
@@ -196,18 +201,17 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", n_chars: str =
     """The columns of ``docs`` but the text, and ``quality_score`` (0 to 1).
 
     Defined results: a null text scores like an empty one (no words, all
-    statistics 0); a null length counts as 0; repeated rows score alike; an
+    statistics 0), a long one is read whole; an empty table gives an empty
+    result; a null length counts as 0; repeated rows score alike; an
     input column called ``quality_score`` is replaced."""
-    rest = docs.drop(text, *[c for c in docs.columns if c.lower() == "quality_score"])
+    given = F.struct(F.encode(F.col(f"`{text}`"), "UTF-8").alias("t"), F.col(f"`{n_chars}`").cast("bigint").alias("n"))
+    rows = with_rest(docs, given, [text, "quality_score"])
 
     def run(batches):
         featuriser = Featuriser()
         for batch in small(batches):
-            texts, sizes = (batch.column(batch.num_columns - i).to_pylist() for i in (2, 1))
+            texts, sizes = (batch.column(1).field(i).to_pylist() for i in (0, 1))
             found = [machine.score(*featuriser(t, n)) for t, n in zip(texts, sizes)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.float64())],
-                                             [*batch.schema.names[:-2], "quality_score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["__row", "quality_score"])
 
-    return (docs.select(*rest.columns, F.encode(F.col(text), "UTF-8").alias("__text"),
-                        F.col(n_chars).cast("bigint").alias("__n"))
-            .mapInArrow(run, extended(rest, "quality_score double")))
+    return rest_and(rows.mapInArrow(run, extended(rows.select("__row"), "quality_score double")), ["quality_score"])

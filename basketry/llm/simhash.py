@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import components, extended, small, word_runs
+from basketry.llm.common import components, extended, rest_and, small, with_rest, word_runs
 from basketry.session import cut_lineage, discard
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))      # first bit, bits
@@ -108,16 +108,15 @@ def fingerprints(texts: list, words: int = 3) -> np.ndarray:
 
 def with_fingerprints(docs: DataFrame, text: str = "text", words: int = 3) -> DataFrame:
     """The columns of ``docs`` but the text, and ``fp``, a bigint with the
-    fingerprint's bits."""
+    fingerprint's bits (an input column of that name is replaced)."""
     def run(batches):
         for batch in small(batches):
             found = fingerprints(batch.column(batch.num_columns - 1).to_pylist(), words)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))],
-                                             [*batch.schema.names[:-1], "fp"])
+                                             ["__row", "fp"])
 
-    rest = docs.drop(text)
-    return (docs.select(*rest.columns, F.encode(F.col(text), "UTF-8").alias("__text"))
-            .mapInArrow(run, extended(rest, "fp bigint")))
+    rows = with_rest(docs, F.encode(F.col(f"`{text}`"), "UTF-8"), [text, "fp"])
+    return rest_and(rows.mapInArrow(run, extended(rows.select("__row"), "fp bigint")), ["fp"])
 
 
 # ---------------------------------------------------------------- Golay keys

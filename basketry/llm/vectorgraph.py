@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import components
+from basketry.llm.common import hash_bound, components
 from basketry.llm.topk import as_matrix, usable
 from basketry.session import cut_lineage
 
@@ -179,7 +179,7 @@ LINKS = "node bigint, links bigint, pairs bigint, root bigint"
 def _fit_shards(nodes: DataFrame, n: int, overlap: int, dims: int, block: int) -> np.ndarray:
     """Centres of the shards, fitted on a bounded sample by hash."""
     share = min(1.0, 1.5 * SAMPLE / max(1, n))
-    some = (nodes.where(F.pmod("node_hash", F.lit(1_000_000)) < int(share * 1_000_000))
+    some = (nodes.where(F.col("node_hash") <= hash_bound(share))
             .orderBy("node_hash", "node").limit(SAMPLE).select("v"))
     x = unit_rows(as_matrix(some.toArrow().column("v"), dims))
     return fit_centres(x, max(1, min(MAX_CENTRES, len(x), -(-n * overlap // block))))
