@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _V, _X = "_qv", "_qx"
+MAX_COLLECT = 20_000            # rows of the final histogram: a few hundred kilobytes, whatever the table
 
 
 def _in_range(lo, hi) -> Column:
@@ -83,7 +84,7 @@ class _Search:
         raise RuntimeError("rank beyond data")
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_collect: int = 256,
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], max_collect: int = MAX_COLLECT,
                     buckets: int = 512) -> list:
     """Exact ``percentile_disc`` values for ``probs`` (NULLs ignored), in the
     column's own type; None for an empty column."""
