@@ -16,7 +16,7 @@ from array import array
 
 from basketry.llm.common import word_runs
 
-MEMO = 100_000
+MEMO = 200_000
 
 
 def worker_cache() -> dict:
@@ -24,53 +24,106 @@ def worker_cache() -> dict:
     return vars(sys.modules.setdefault("basketry_worker_cache", types.ModuleType("basketry_worker_cache")))
 
 
+def word_pattern(spec: dict) -> str | None:
+    """The pattern of a tokenizer file that cuts words as ``WordTokenizer`` does;
+    None for a file of another kind, whose texts are encoded whole."""
+    normal = (spec.get("normalizer") or {}).get("normalizers") or []
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    if [n.get("type") for n in normal] != ["NFC", "Replace", "Lowercase"] or normal[1].get("pattern") != {"Regex": r"\s+"} or \
+            normal[1].get("content") != " " or [c.get("type") for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    split, level = cuts
+    if split.get("behavior") != "Removed" or not split.get("invert") or level.get("add_prefix_space") or level.get("use_regex"):
+        return None
+    return split.get("pattern", {}).get("Regex")
+
+
+class Memo:
+    """What was found last, in two halves: a full new half becomes the old one, so
+    frequent entries come over and the rest goes; at most ``2 * MEMO`` entries."""
+
+    def __init__(self):
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= MEMO:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
 class WordTokenizer:
     """A lower-casing word-end BPE of the ``tokenizers`` library (normalizer NFC,
-    white space to one space, lower case; pre-tokenizer letters, single digits,
-    marks).  Ids as little-endian 32-bit bytes, without special tokens."""
+    white space to one space, lower case; words by a pattern of the file, such as
+    letters, single digits, marks; a file of another kind is used on whole texts).  Ids as little-endian 32-bit bytes, without special tokens."""
 
     def __init__(self, path: str):
+        import json
+
         import regex
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+        with open(path, encoding="utf-8") as f:
+            pattern = word_pattern(json.load(f))
+        self.by_word = pattern is not None
+        special = [regex.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(special) or r"(?!)").search
+        self.cut = regex.compile(pattern or "").findall
         # byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for 256 and up
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.letters = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(other)}
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        # ids of chunks and of the words inside them, which are chunks of their own
+        self.memo = Memo()
 
     def word(self, word: str) -> bytes:
-        found = self.words.get(word)
+        """Ids of one word in lower case."""
+        key = word.encode()
+        found = self.memo.get(key)
         if found is None:
-            if len(self.words) > MEMO:
-                self.words.clear()
-            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            found = self.words[word] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            spelled = word if word.isascii() else key.decode("latin-1").translate(self.letters)
+            found = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            self.memo.put(key, found)
         return found
 
     def chunk(self, chunk: bytes) -> bytes:
-        """Ids of one chunk without ASCII white space.  Printable Latin text is
-        in composed form already and lower-cases letter by letter; anything else
-        goes through the whole tokenizer."""
-        text = chunk.decode("utf-8", "replace")
-        if text.isprintable() and max(text) < "ɐ" and "İ" not in text and \
-                not any(s in text for s in self.special):
-            text = text.lower()
-            found = self.word(text) if text.isalpha() else b"".join(map(self.word, self.cut(text)))
-        else:
-            found = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self.chunks) > MEMO:
-            self.chunks.clear()
-        self.chunks[chunk] = found
+        """Ids of one chunk without ASCII white space, that the memo's new half has
+        not.  Printable Latin text is in composed form already and lower-cases letter
+        by letter; anything else goes through the whole tokenizer."""
+        found = self.memo.old.get(chunk)
+        if found is None:
+            if chunk.isalpha():                             # ASCII letters: one word
+                low = chunk.lower()
+                found = self.word(low.decode("ascii"))
+                if low == chunk:
+                    return found
+            else:
+                text = chunk.decode("utf-8", "replace")
+                latin = text.isascii() or max(text) < "ɐ" and "İ" not in text
+                if latin and text.isprintable() and not self.special(text):
+                    text = text.lower()
+                    found = self.word(text) if text.isalpha() else b"".join(map(self.word, self.cut(text)))
+                else:
+                    found = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        self.memo.put(chunk, found)
         return found
 
     def encode(self, text: bytes | None) -> bytes:
-        get, miss, out = self.chunks.get, self.chunk, []
+        if not self.by_word:
+            whole = self.whole.encode((text or b"").decode("utf-8", "replace"), add_special_tokens=False)
+            return array("I", whole.ids).tobytes()
+        out = []
         for run in word_runs(text or b""):
+            get, miss = self.memo.new.get, self.chunk
             out.append(b"".join([get(c) or miss(c) for c in run]))
         return b"".join(out)
 

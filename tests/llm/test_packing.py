@@ -36,6 +36,28 @@ def test_ids_are_those_of_the_tokenizers(text):
     assert data.coder.decode_bytes(np.frombuffer(data.encode(text), "<u2").tolist()) == raw
 
 
+def test_ids_with_a_small_memo(monkeypatch):
+    """Entries leave the memo and come back; frequent ones stay in one of its halves."""
+    from basketry.llm import tokens
+    monkeypatch.setattr(tokens, "MEMO", 4)
+    words = WordTokenizer(WORDS)
+    rng = random.Random(9)
+    for _ in range(40):
+        text = " ".join(rng.choice(("Often", "don't", f"w{rng.randrange(9)}x", "Zürich,", "你好")) for _ in range(30))
+        assert np.frombuffer(words.encode(text.encode()), "<u4").tolist() == words.whole.encode(text, add_special_tokens=False).ids
+        assert len(words.memo.new) <= 4 and len(words.memo.old) <= 4
+
+
+def test_a_tokenizer_of_another_kind_is_used_whole(tmp_path):
+    import json
+    spec = json.load(open(WORDS))
+    spec["normalizer"] = None
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    words = WordTokenizer(str(tmp_path / "other.json"))
+    for text in ODD + ["Upper lower"]:
+        assert np.frombuffer(words.encode(text.encode()), "<u4").tolist() == words.whole.encode(text, add_special_tokens=False).ids
+
+
 def check_plan(counts, width):
     plan = P.plan_packing(counts, width)
     length = np.concatenate([np.full(n, k) for k, n in counts.items()] or [np.empty(0, int)]).astype(np.int64)
