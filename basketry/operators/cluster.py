@@ -99,7 +99,9 @@ def nearest_centroid_expr(points: DataFrame, vec_col: str, centroids: DataFrame
     literal centroid array).  Same result as ``nearest_centroid``; kept as the
     expression route for cross-checks (its lambdas are interpreted per element)."""
     if isinstance(centroids, DataFrame):
-        centroids = [(r["id"], r["v"]) for r in centroids.collect()]
+        centroids = [(r["id"], r["v"]) for r in centroids.limit(MAX_LOCAL + 1).collect()]
+    if len(centroids) > MAX_LOCAL:
+        raise ValueError(f"over {MAX_LOCAL} centroids: nearest_centroid takes any number")
     cents = F.array(*[F.struct(F.lit(cid).alias("id"), F.array(*[F.lit(float(x)) for x in vec]).alias("v"))
                       for cid, vec in centroids])
 

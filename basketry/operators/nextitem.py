@@ -71,11 +71,16 @@ def hit_rate(predictions: DataFrame, label_col: str = "target_item", prediction_
     return out.withColumn("accuracy", F.try_divide(F.col("n_hits").cast("double"), F.col("n_baskets")))
 
 
-def item_index(*seqs: DataFrame) -> StringIndexerModel:
+MAX_ITEMS = 4096                # the classifier has 2 (V + 1) weights for each of V items
+
+
+def item_index(*seqs: DataFrame, max_items: int = MAX_ITEMS) -> StringIndexerModel:
     """Index of the item ids that occur in the sequences: 0..V-1 by their text.
     Ids can be any numbers; the width of the features and of the model follows
-    from how many there are."""
+    from how many there are, and more than ``max_items`` are an error."""
     items = reduce(DataFrame.unionByName, [s.select(F.col(ITEM).cast("string").alias("_item")) for s in seqs]).distinct()
+    if items.limit(max_items + 1).count() > max_items:
+        raise ValueError(f"over {max_items} items: use the transition model or the context tree")
     return StringIndexer(inputCol="_item", outputCol="_index", stringOrderType="alphabetAsc",
                          handleInvalid="keep").fit(items.where(F.col("_item").isNotNull()))
 

@@ -30,6 +30,7 @@ from basketry.operators import context as X
 from basketry.operators import epochs as E
 from basketry.operators import factors as FA
 from basketry.operators import forest as FO
+from basketry.operators import gridkmeans as G
 from basketry.operators import nextitem as N
 from basketry.operators import profile as P
 from basketry.operators import similarity as SI
@@ -738,6 +739,19 @@ def q_model_save_reload(spark, sf):
                        (F.col("cluster") == F.col("cluster_reloaded")).alias("same"))
 
 
+def q_centres_save_reload(spark, sf):
+    """The centres of the name clusters written as a version of a sink, loaded
+    and applied again."""
+    feats, _ = K.name_features(products(spark, sf), n_words=TOP_WORDS)
+    feats = cut_lineage(feats.select(K.NAME, "n_products", "features"), "name-features")
+    centres = G.fit_centres(G.grid_points(feats, weight_col="n_products"), N_CLUSTERS, KMEANS_STEPS)
+    sink = scratch_path(spark, "centres")
+    V.save_table(spark.createDataFrame(list(enumerate(centres)), "cluster int, v array<bigint>"), sink)
+    again = [list(r["v"]) for r in V.load_table(spark, sink).orderBy("cluster").collect()]       # N_CLUSTERS rows
+    both = G.assign(G.assign(feats, centres), again, out="cluster_reloaded")
+    return both.select(K.NAME, "cluster", "cluster_reloaded", (F.col("cluster") == F.col("cluster_reloaded")).alias("same"))
+
+
 def q_run_params_json(spark, sf):
     """Run parameters written as JSON and read back."""
     prods = products(spark, sf)

@@ -507,6 +507,8 @@ def oracle_sql() -> dict[str, str]:
             {TRANSITION_EVAL}""",
         "kmeans_clusters": f"{NAME_CLUSTERS}\n{NAME_MAP_SELECT}",
         "cluster_labels_sink": f"{NAME_CLUSTERS}\n{NAME_MAP_SELECT}",
+        "centres_save_reload": f"""{NAME_CLUSTERS}
+            SELECT processed_product_name, cluster, cluster AS cluster_reloaded, true AS same FROM name_map""",
         "cluster_members": f"""{NAME_CLUSTERS}
             SELECT CAST(cluster + 1 AS INTEGER) AS virtual_product_id, processed_product_name, count(*) AS n_products
             FROM products JOIN name_map USING (processed_product_name) GROUP BY ALL""",

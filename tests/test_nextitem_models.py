@@ -178,3 +178,15 @@ def test_orders_are_numbered(spark):
     assert sorted(map(tuple, FA.number_orders(df, "o").collect())) == [(-1, 0), (3, 1), (7, 2), (2**40, 3)]
     with pytest.raises(ValueError):
         FA.number_orders(df, "o", limit=2)
+
+
+def test_too_many_items_or_centroids_are_errors(spark):
+    from basketry.operators import cluster as K
+    from basketry.operators import nextitem as N
+    seq = sequence(spark, {1: [1, 2, 3]})
+    with pytest.raises(ValueError):
+        N.item_index(seq, max_items=2)
+    assert len(N.item_index(seq, max_items=3).labels) == 3
+    points = spark.createDataFrame([(1, [0.0])], "id int, v array<double>")
+    with pytest.raises(ValueError):
+        K.nearest_centroid_expr(points, "v", [(i, [float(i)]) for i in range(K.MAX_LOCAL + 1)])
