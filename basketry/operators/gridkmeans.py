@@ -4,16 +4,17 @@ Points are put on a grid of ``SCALE`` steps a unit and equal ones are one
 weighted point, so sums of coordinates and squared distances are whole numbers:
 exact in any order.  Nothing is drawn, so no layout has to be fixed first.
 
-Seeding is farthest-first by weight: the heaviest point, then again and again the
-point with the largest weight times squared distance to its nearest centre.  Each
-round is one aggregate over the different points (a row to the driver).  Lloyd
-steps follow as plain aggregates: the nearest centre of each point (ties: the
+Seeding is farthest-first by weight over the ``CANDIDATES`` heaviest points, which
+come to the driver: the heaviest one, then again and again the one with the largest
+weight times squared distance to its nearest centre.  Lloyd steps over all points
+follow as plain aggregates: the nearest centre of each point (ties: the
 earlier centre), then weighted sums a centre; a centre without points stays.  The
 driver holds the k centres only.  Steps end when no centre moves.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from basketry.operators.cluster import MAX_LOCAL, nearest_centroid
 from basketry.session import cut_lineage
 
 SCALE = 10**6
+CANDIDATES = 4096               # points that seeding chooses from
 
 
 def on_grid(vector_col: str) -> Column:
@@ -36,20 +38,23 @@ def grid_points(points: DataFrame, vector_col: str = "features", weight_col: str
     return cut_lineage(rows.groupBy("v").agg(F.sum("w").alias("w")), "grid-points")
 
 
-def seed_centres(points: DataFrame, k: int) -> list[list[int]]:
-    """Up to ``k`` different points of ``grid_points``, fewer if there are not as many."""
-    first = points.agg(F.min(F.struct((-F.col("w")).alias("a"), "v")).alias("m")).first()["m"]
-    if first is None:
+def seed_centres(points: DataFrame, k: int, candidates: int = CANDIDATES) -> list[list[int]]:
+    """Up to ``k`` different points of ``grid_points``, fewer if there are not as many
+    among the ``candidates`` heaviest ones."""
+    rows = points.orderBy(F.desc("w"), F.asc("v")).limit(max(candidates, k)).collect()
+    if not rows:
         return []
-    centres = [list(first["v"])]
+    centres = [list(rows[0]["v"])]
+    rows = sorted(rows, key=lambda r: r["v"])                   # the first of equal scores is the smaller point
+    v = np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    w = np.array([r["w"] for r in rows], np.float64)
+    near = np.full(len(rows), np.iinfo(np.int64).max)
     while len(centres) < k:
-        near = nearest_centroid(points, "v", list(enumerate(centres)), out_dist="d")
-        # doubles of whole numbers: the same product in any order of rows
-        score = F.col("w").cast("double") * F.col("d")
-        best = near.select((-score).alias("a"), "v").agg(F.min(F.struct("a", "v")).alias("m")).first()["m"]
-        if best["a"] == 0:
+        near = np.minimum(near, ((v - np.array(centres[-1], np.int64)) ** 2).sum(axis=1))
+        best = int((w * near).argmax())
+        if near[best] == 0:
             break
-        centres.append(list(best["v"]))
+        centres.append(v[best].tolist())
     return centres
 
 

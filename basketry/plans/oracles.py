@@ -13,6 +13,7 @@ from basketry.functions.text import NAME_STOPWORD_PATTERN
 from basketry.functions.keys import KEY_MULTIPLIER, KEY_PRIME
 from basketry.operators.classify import FEATURES
 from basketry.operators.forest import POISSON, SAMPLE, SAMPLE_TREE, SUBSET_TREE, mixed_sql, subset_size
+from basketry.operators.gridkmeans import CANDIDATES
 from basketry.plans.catalog import (BASKET_CHUNK, CONTEXT_DEPTH, DIGITS, DOCUMENT_COSINE, FIRST_WORD_NEEDLE, KMEANS_STEPS, LINEITEM_MEASURES,
                                     MAX_FEATURES, N_CLUSTERS, NAME_COSINE,
                                     NEXT_ITEM_PARAMS, REPARTITION_N, RETURNFLAG_LABELS, RF_BINS, RF_DEPTH, RF_TREES,
@@ -171,11 +172,12 @@ def _name_cluster_ctes(k: int = N_CLUSTERS, steps: int = KMEANS_STEPS) -> str:
          FROM products JOIN vecs ON vecs.id = products.product_id WHERE processed_product_name IS NOT NULL
          GROUP BY processed_product_name)""",
             "x AS MATERIALIZED (SELECT v, CAST(sum(n) AS BIGINT) AS w FROM named GROUP BY v)",
-            "c1 AS MATERIALIZED (SELECT 0 AS c, v FROM (SELECT v FROM x ORDER BY w DESC, v LIMIT 1))"]
+            f"cand AS MATERIALIZED (SELECT v, w FROM x ORDER BY w DESC, v LIMIT {CANDIDATES})",
+            "c1 AS MATERIALIZED (SELECT 0 AS c, v FROM (SELECT v FROM cand ORDER BY w DESC, v LIMIT 1))"]
     for j in range(2, k + 1):
         ctes.append(f"""c{j} AS MATERIALIZED (SELECT * FROM c{j - 1} UNION ALL SELECT {j - 1}, v FROM (
           SELECT v, CAST(w AS DOUBLE) * d AS score FROM (
-            SELECT x.v, x.w, min({far}) AS d FROM x, c{j - 1} c GROUP BY x.v, x.w) WHERE d > 0 ORDER BY score DESC, v LIMIT 1))""")
+            SELECT x.v, x.w, min({far}) AS d FROM cand x, c{j - 1} c GROUP BY x.v, x.w) WHERE d > 0 ORDER BY score DESC, v LIMIT 1))""")
     centres = f"c{k}"
     for t in range(steps):
         ctes.append(f"""m{t} AS MATERIALIZED (SELECT c, list(s ORDER BY i) AS v FROM (

@@ -68,6 +68,14 @@ def test_fewer_points_than_clusters_and_none(spark):
         G.fit_centres(G.grid_points(df), 0)
 
 
+def test_seeds_come_from_the_heaviest_points(spark):
+    rows = [([i / 100, 0.0], 1 + i % 7) for i in range(60)]
+    pts = G.grid_points(frame(spark, rows, 3), weight_col="w")
+    heavy = sorted(rows, key=lambda r: (-r[1], r[0]))[:10]
+    got = G.seed_centres(pts, 4, candidates=10)
+    assert got == plain(heavy, 4, 0) and len(got) == 4
+
+
 def test_lloyd_steps_never_raise_the_cost(spark):
     pts = G.grid_points(frame(spark, points(3), 3), weight_col="w")
     from basketry.operators.cluster import nearest_centroid
