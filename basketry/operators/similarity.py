@@ -14,7 +14,11 @@ The vectors stay sparse and no table of all pairs is made:
   and the length of the vector after it.  Cells whose largest values cannot reach
   the least cosine are not compared; large cells are split into blocks by a hash,
   so a hot term is many tasks' work.
-* Two blocks are compared by matrix products over slices of their terms, and a
+* A filed vector is its term numbers and counts in a few bytes a term; weights
+  follow from the terms' idf at hand.  Blocks are as large as a task can hold of
+  these, so that few copies of a vector are shuffled.
+* Two blocks are compared tile by tile: a product in single precision, with its
+  error allowed for, names the pairs that are compared in double precision.  A
   task keeps k nodes a node; the best k of these are kept by a window.
 
 Cosines are rounded to ``DIGITS`` before they are compared, so that equal ones tie
@@ -35,6 +39,8 @@ from basketry.session import cut_lineage
 
 DIGITS = 6
 BLOCK = 2048
+TILE = 2048
+LARGEST, GROUP_BYTES = 16384, 16 << 20      # rows of a block, and bytes of its vectors
 SLACK = 2e-6                    # two roundings: nothing that rounds to the least cosine is pruned
 GRID = 8
 TERM_SLICE = 4096
@@ -53,7 +59,8 @@ def _numbered_terms(stats: TermStats, max_features: int) -> DataFrame:
 def vector_nodes(stats: TermStats, max_features: int = 1000) -> tuple[DataFrame, DataFrame]:
     """``(rows, nodes)``: ``rows`` has each row's id (``i``) and the ``node`` of its
     vector; ``nodes`` has each different vector once, with ``n`` rows, its term
-    numbers ``tids`` (ascending) and unit weights ``ws``.  A node is named by the
+    numbers ``tids`` (ascending), their counts ``tfs``, its length ``norm`` and unit
+    weights ``ws``.  A node is named by the
     smallest id of its rows.  Rows without a term of the vocabulary have none."""
     if max_features > BROADCAST_TERMS:
         raise ValueError(f"the index holds a number a term: at most {BROADCAST_TERMS} of them")
@@ -66,28 +73,40 @@ def vector_nodes(stats: TermStats, max_features: int = 1000) -> tuple[DataFrame,
     named = docs.groupBy("key").agg(F.min("i").alias("node"), F.count(F.lit(1)).alias("n"))
     raw = F.transform("t", lambda x: x["tf"] * x["idf"])
     nodes = (docs.join(named.select("node", "n"), F.col("i") == F.col("node"))
-             .select("node", "n", "key", F.col("t.tid").alias("tids"), raw.alias("raw"))
+             .select("node", "n", "key", F.col("t.tid").alias("tids"), F.col("t.tf").alias("tfs"), raw.alias("raw"))
              .withColumn("norm", F.sqrt(F.aggregate("raw", F.lit(0.0), lambda a, x: a + x * x)))
-             .select("node", "n", "key", "tids", F.transform("raw", lambda x: x / F.col("norm")).alias("ws")))
+             .select("node", "n", "key", "tids", "tfs", "norm", F.transform("raw", lambda x: x / F.col("norm")).alias("ws")))
     return docs.select("i", "key"), cut_lineage(nodes, "similar-nodes")
 
 
-def prefix_postings(nodes: DataFrame, min_cosine: float) -> DataFrame:
+def term_numbers(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Each term's largest weight and its idf: numbers a term of the vocabulary."""
+    each = nodes.select("norm", F.explode(F.arrays_zip("tids", "tfs", "ws")).alias("x"))
+    found = each.groupBy(F.col("x.tids").alias("tid")).agg(
+        F.max("x.ws").alias("w"), F.max(F.col("x.ws") * F.col("norm") / F.col("x.tfs")).alias("idf")).collect()
+    largest, idf = (np.zeros(max((r["tid"] for r in found), default=0) + 1) for _ in range(2))
+    for r in found:
+        largest[r["tid"]], idf[r["tid"]] = r["w"], r["idf"]
+    return largest, idf
+
+
+def _term_type(n_terms: int) -> np.dtype:
+    return np.dtype(np.uint16 if n_terms <= 1 << 16 else np.uint32)
+
+
+def prefix_postings(nodes: DataFrame, min_cosine: float, numbers: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """The inverted index: a row per node and term of its prefix, with the weight
-    of the term (``a``), the length of the vector after it (``b``) and the vector."""
-    top = {r["tid"]: r["w"] for r in
-           nodes.select(F.explode(F.arrays_zip("tids", "ws")).alias("x")).groupBy(F.col("x.tids").alias("tid"))
-           .agg(F.max("x.ws").alias("w")).collect()}           # a number a term of the vocabulary
-    largest = np.zeros(max(top, default=0) + 1)
-    for tid, w in top.items():
-        largest[tid] = w
-    least = min_cosine - SLACK
+    of the term (``a``), the length of the vector after it (``b``) and the vector:
+    ``norm`` and the bytes of its term numbers and counts (a byte each where all
+    are below 256)."""
+    largest, idf = numbers or term_numbers(nodes)
+    kind, least = _term_type(len(idf)), min_cosine - SLACK
 
     def run(batches):
         for batch in batches:
-            names = batch.column(0)
-            at, tid, a, b = [], [], [], []
-            for row, (ts, ws) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            names, norms = batch.column(0), batch.column(1)
+            at, tid, a, b, terms, counts = [], [], [], [], [], []
+            for row, (ts, cs, ws) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
                 w = np.asarray(ws)
                 from_here = np.cumsum((w * w)[::-1])[::-1]
                 bound = np.minimum(np.sqrt(from_here), np.cumsum((w * largest[ts])[::-1])[::-1])
@@ -96,15 +115,19 @@ def prefix_postings(nodes: DataFrame, min_cosine: float) -> DataFrame:
                 tid += ts[:n]
                 a += ws[:n]
                 b += np.sqrt(np.append(from_here[1:], 0.0))[:n].tolist()
+                terms.append(np.asarray(ts, kind).tobytes())
+                counts.append(np.asarray(cs, np.uint8 if max(cs, default=0) < 256 else np.int64).tobytes())
+            terms, counts = pa.array(terms, pa.binary()), pa.array(counts, pa.binary())
             for start in range(0, len(at), 512):
                 rows = pa.array(at[start:start + 512], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tid[start:start + 512], pa.int32()), pa.array(a[start:start + 512]), pa.array(b[start:start + 512]),
-                     names.take(rows), batch.column(1).take(rows), batch.column(2).take(rows)],
-                    ["tid", "a", "b", "node", "tids", "ws"])
+                     names.take(rows), norms.take(rows), terms.take(rows), counts.take(rows)],
+                    ["tid", "a", "b", "node", "norm", "terms", "counts"])
 
-    vectors = nodes.select("node", "tids", "ws")
-    schema = T.StructType([*T.StructType.fromDDL("tid int, a double, b double").fields, *vectors.schema.fields])
+    vectors = nodes.select("node", "norm", "tids", "tfs", "ws")
+    schema = T.StructType([*T.StructType.fromDDL("tid int, a double, b double").fields, nodes.schema["node"],
+                           *T.StructType.fromDDL("norm double, terms binary, counts binary").fields])
     return vectors.mapInArrow(run, schema)
 
 
@@ -129,43 +152,88 @@ def deal_blocks(postings: DataFrame, min_cosine: float, block: int = BLOCK) -> t
     return dealt, pairs.select("tid", F.col("blkl").alias("l"), F.col("blkr").alias("r"))
 
 
-def _product(left: pd.DataFrame, right: pd.DataFrame, term: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cosines of all rows of two blocks, and where they have no common term
-    before ``term``.  The terms are taken ``TERM_SLICE`` at a time."""
-    flat = [(np.concatenate(side["tids"].to_numpy()), np.concatenate(side["ws"].to_numpy()),
-             np.repeat(np.arange(len(side)), side["tids"].map(len).to_numpy())) for side in (left, right)]
-    terms = np.intersect1d(flat[0][0], flat[1][0])
-    sims, before = np.zeros((len(left), len(right))), np.zeros((len(left), len(right)), np.float32)
-    for s in range(0, len(terms), TERM_SLICE):
-        some = terms[s:s + TERM_SLICE]
-        mats = []
-        for side, (t, w, row) in zip((left, right), flat):
-            at = np.minimum(np.searchsorted(some, t), len(some) - 1)
-            held = some[at] == t
-            m = np.zeros((len(side), len(some)))
-            m[row[held], at[held]] = w[held]
-            mats.append(m)
-        sims += mats[0] @ mats[1].T
+class _Side:
+    """The vectors of some rows, by flat arrays of terms, weights and rows."""
+
+    def __init__(self, rows: pd.DataFrame, idf: np.ndarray):
+        kind = _term_type(len(idf))
+        self.n, self.vocabulary = len(rows), len(idf)
+        sizes = rows["terms"].map(len).to_numpy() // kind.itemsize
+        self.longest = int(sizes.max(initial=0))
+        self.terms = np.frombuffer(b"".join(rows["terms"]), kind).astype(np.int64)
+        counts = [np.frombuffer(c, np.uint8 if len(c) == n else np.int64) for c, n in zip(rows["counts"], sizes)]
+        self.row = np.repeat(np.arange(self.n), sizes)
+        self.weights = np.concatenate([*counts, np.empty(0, np.uint8)]) * idf[self.terms] / np.repeat(rows["norm"].to_numpy(), sizes)
+        self.held = np.zeros(len(idf), bool)
+        self.held[self.terms] = True
+        self.a, self.b = float(rows["a"].max()), float(rows["b"].max())
+
+    def dense(self, some: np.ndarray, kind) -> np.ndarray:
+        place = np.full(self.vocabulary, -1)
+        place[some] = np.arange(len(some))
+        at = place[self.terms]
+        held = at >= 0
+        out = np.zeros((self.n, len(some)), kind)
+        out[self.row[held], at[held]] = self.weights[held]
+        return out
+
+
+def _near_pairs(left: _Side, right: _Side, term: int, min_cosine: float, itself: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(i, j, cosine)``: the pairs of two tiles (``itself``: i < j of one) of at
+    least ``min_cosine`` that have no common term before ``term``.  The terms are
+    taken ``TERM_SLICE`` at a time."""
+    terms = np.nonzero(left.held & right.held)[0]
+    slices = [terms[s:s + TERM_SLICE] for s in range(0, len(terms), TERM_SLICE)]
+    rough = np.zeros((left.n, right.n), np.float32)
+    for some in slices:
+        rough += left.dense(some, np.float32) @ right.dense(some, np.float32).T
+    # what single precision can be off for vectors of length 1 with that many products
+    error = 1.2e-7 * (min(left.longest, right.longest) + len(slices) + 8)
+    near = rough >= min_cosine - SLACK - error
+    if itself:
+        near = np.triu(near, 1)
+    i, j = np.nonzero(near)
+    sims, first = np.zeros(len(i)), np.ones(len(i), bool)
+    if not len(i):
+        return i, j, sims
+    whole = len(i) > near.size // 16
+    for some in slices:
+        x, y = left.dense(some, np.float64), right.dense(some, np.float64)
         early = int(np.searchsorted(some, term))
-        if early:
-            before += (mats[0][:, :early] > 0).astype(np.float32) @ (mats[1][:, :early] > 0).astype(np.float32).T
-    return np.round(sims, DIGITS), before == 0
+        if whole:
+            sims += (x @ y.T)[i, j]
+            if early:
+                first &= ((x[:, :early] > 0).astype(np.float32) @ (y[:, :early] > 0).astype(np.float32).T)[i, j] == 0
+            continue
+        for s in range(0, len(i), 1024):
+            p, q = x[i[s:s + 1024]], y[j[s:s + 1024]]
+            sims[s:s + 1024] += (p * q).sum(axis=1)
+            first[s:s + 1024] &= ~((p[:, :early] > 0) & (q[:, :early] > 0)).any(axis=1)
+    sims = np.round(sims, DIGITS)
+    good = first & (sims >= min_cosine)
+    return i[good], j[good], sims[good]
+
+
+def _best(i: np.ndarray, j: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best ``j`` of every ``i``: largest cosine, then the smaller ``j``."""
+    order = np.lexsort((j, -sims, i))
+    i, j, sims = i[order], j[order], sims[order]
+    kept = np.arange(len(i)) - np.searchsorted(i, i, "left") < k
+    return i[kept], j[kept], sims[kept]
 
 
-def _best(names, others, sims: np.ndarray, ok: np.ndarray, k: int) -> pd.DataFrame:
-    """The ``k`` best of ``others`` for each of ``names``: largest cosine, then id."""
-    i, j = np.nonzero(ok)
-    order = np.lexsort((j, -sims[i, j], i))             # ``others`` come sorted
-    i, j = i[order], j[order]
-    first = np.searchsorted(i, i, "left")
-    kept = np.arange(len(i)) - first < k
-    return pd.DataFrame({"node": names[i[kept]], "other": others[j[kept]], "sim": sims[i[kept], j[kept]]})
+def block_rows(nodes: DataFrame) -> int:
+    """How many vectors of the mean size a block can hold."""
+    mean = nodes.agg(F.avg(F.size("tids"))).first()[0] or 0
+    return int(max(BLOCK, min(LARGEST, GROUP_BYTES // (5 * mean + 64))))
 
 
-def similar_nodes(nodes: DataFrame, k: int, min_cosine: float, block: int = BLOCK) -> DataFrame:
+def similar_nodes(nodes: DataFrame, k: int, min_cosine: float, block: int | None = None) -> DataFrame:
     """``(node, other, sim)``: for each node the ``k`` other nodes of the largest
     cosine of at least ``min_cosine`` (ties: smaller node)."""
-    dealt, pairs = deal_blocks(prefix_postings(nodes, min_cosine), min_cosine, block)
+    numbers = term_numbers(nodes)
+    dealt, pairs = deal_blocks(prefix_postings(nodes, min_cosine, numbers), min_cosine, block or block_rows(nodes))
+    idf = numbers[1]
     kind = nodes.schema["node"].dataType
     out = T.StructType([T.StructField("node", kind), T.StructField("other", kind), T.StructField("sim", T.DoubleType())])
     pairs = cut_lineage(pairs, "similar-pairs")
@@ -175,17 +243,22 @@ def similar_nodes(nodes: DataFrame, k: int, min_cosine: float, block: int = BLOC
     groups = dealt.join(asks, ["tid", "blk"]).groupBy("tid", "l", "r")
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node")
-        itself = key[1] == key[2]
-        left = rows[rows["side"] == 0]
-        right = left if itself else rows[rows["side"] == 1]
-        sims, first = _product(left, right, int(key[0]))
-        ok = first & (sims >= min_cosine)
-        a, b = left["node"].to_numpy(), right["node"].to_numpy()
-        if itself:
-            np.fill_diagonal(ok, False)
-            return _best(a, b, sims, ok, k)
-        return pd.concat([_best(a, b, sims, ok, k), _best(b, a, sims.T, ok.T, k)], ignore_index=True)
+        rows = rows.sort_values("node").reset_index(drop=True)
+        names, itself = rows["node"].to_numpy(), key[1] == key[2]
+        tiles = []                                      # of a side: its rows' places and their vectors, the longest rests first
+        for side in (0,) if itself else (0, 1):
+            mine = rows[rows["side"] == side].sort_values("b", ascending=False)
+            tiles.append([(mine.index[s:s + TILE].to_numpy(), _Side(mine.iloc[s:s + TILE], idf)) for s in range(0, len(mine), TILE)])
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for x, (mine, left) in enumerate(tiles[0]):
+            for y, (theirs, right) in enumerate(tiles[-1]):
+                if itself and y < x or left.a * right.a + left.b * right.b < min_cosine - SLACK:
+                    continue
+                i, j, sims = _near_pairs(left, right, int(key[0]), min_cosine, itself and x == y)
+                i, j = mine[i], theirs[j]
+                found += [_best(i, j, sims, k), _best(j, i, sims, k)]
+        i, j, sims = _best(*(np.concatenate(c) for c in zip(*found)), k)
+        return pd.DataFrame({"node": names[i], "other": names[j], "sim": sims})
 
     found = groups.applyInPandas(compare, out)
     order = Window.partitionBy("node").orderBy(F.desc("sim"), "other")
@@ -193,7 +266,7 @@ def similar_nodes(nodes: DataFrame, k: int, min_cosine: float, block: int = BLOC
 
 
 def cosine_topk(stats: TermStats, k: int = 5, min_cosine: float = 0.5, max_features: int = 1000,
-                block: int = BLOCK) -> DataFrame:
+                block: int | None = None) -> DataFrame:
     """``(id, rank, other, cosine)``: for each row of ``stats`` the ``k`` other rows
     of the largest cosine (rounded to ``DIGITS`` places), at least ``min_cosine``,
     ties to the smaller id.

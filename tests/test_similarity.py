@@ -86,3 +86,17 @@ def test_hot_term_and_hot_vector_stay_small(spark):
     compared = sum(sizes[p.tid, p.l] * sizes[p.tid, p.r] for p in pairs.collect())
     assert compared < 900 * 900 / 20 and max(sizes.values()) <= 64
     assert found(S.cosine_topk(stats, 3, 0.7, block=32)) == brute(docs, 3, 0.7)
+
+
+def test_filed_vectors_are_a_few_bytes_a_term(spark):
+    """Every posting carries its vector to a task per pair of blocks: three bytes a
+    term, and blocks of thousands of short vectors.  Counts over a byte are exact."""
+    docs = random_docs(60, 5) | {1000: ["w1"] * 300 + ["w2"] * 2, 1001: ["w1"] * 299 + ["w2"] * 3}
+    stats = TF.term_stats(frame(spark, docs), "id", "tokens")
+    _, nodes = S.vector_nodes(stats)
+    sizes = {r["node"]: (len(r["tids"]), max(r["tfs"])) for r in nodes.collect()}
+    for r in S.prefix_postings(nodes, 0.5).collect():
+        n, most = sizes[r["node"]]
+        assert len(r["terms"]) == 2 * n and len(r["counts"]) == (n if most < 256 else 8 * n)
+    assert S.block_rows(nodes) == S.LARGEST
+    assert found(S.cosine_topk(stats, 4, 0.5)) == brute(docs, 4, 0.5)
