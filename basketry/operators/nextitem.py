@@ -20,12 +20,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler, VectorSizeHint
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import cut_lineage
+from basketry.session import cut_lineage, layout_partitions
 
 ITEM, PREV = "item", "prev_item"
 
@@ -91,11 +91,14 @@ def _indexed(df: DataFrame, column: str, index: StringIndexerModel, out: str) ->
     return model.transform(df.withColumn("_text", F.col(column).cast("string"))).drop("_text")
 
 
-def _one_hot(df: DataFrame, index_col: str, out: str) -> DataFrame:
-    """Sparse one-hot over the V + 1 places; the width comes from the index
-    column's metadata, so nothing is scanned."""
-    encoder = OneHotEncoder(inputCol=index_col, outputCol=out, dropLast=False, handleInvalid="keep")
-    return encoder.fit(df).transform(df)
+def _counts_vector(counts, width: int):
+    """A vector of ``width`` places from an array of ``(_i, n)``: the numbers in
+    order of their places with the zeros between them."""
+    zeros = lambda upto, made: F.array_repeat(F.lit(0.0), upto - F.size(made))
+    return array_to_vector(F.aggregate(
+        F.sort_array(counts), F.array().cast("array<double>"),
+        lambda made, x: F.concat(made, zeros(x["_i"], made), F.array(x["n"])),
+        lambda made: F.concat(made, zeros(F.lit(width), made))))
 
 
 def history_features(seq: DataFrame, order_col: str, index: StringIndexerModel) -> DataFrame:
@@ -103,21 +106,35 @@ def history_features(seq: DataFrame, order_col: str, index: StringIndexerModel)
     item in the history, then a one-hot of the last history item; ``label`` =
     the index of the hidden last item.
 
-    All built by Spark ML in the JVM: one-hot vectors are summed per basket
-    (partial sums map-side, so a large basket is many tasks' work) and
-    assembled.  A basket without an order id is kept like any other."""
-    hist = _one_hot(_indexed(seq.where(~F.col("is_last")).select(order_col, ITEM), ITEM, index, "_i"), "_i", "_v")
-    hist = hist.groupBy(F.col(order_col).alias("_order")).agg(Summarizer.sum(F.col("_v")).alias("_counts"))
-    goal = targets(seq, order_col)
-    goal = _indexed(_indexed(goal, "context_item", index, "_c"), "target_item", index, "label")
-    both = _one_hot(goal, "_c", "_context").join(hist, F.col(order_col).eqNullSafe(F.col("_order")))
-    made = VectorAssembler(inputCols=["_counts", "_context"], outputCol="features").transform(both)
+    Items are counted per basket and place first (partial counts map-side, so a
+    large basket is many tasks' work), and the row of the hidden item goes with
+    its count: a basket's list then has a row a place at most, and its vector,
+    of the index's width, is made in the JVM in the same pass.  A basket without
+    an order id is kept like any other."""
+    width = len(index.labels) + 1
+    named = _indexed(_indexed(seq.select(order_col, ITEM, PREV, "is_last"), ITEM, index, "_i"), PREV, index, "_c")
+    goal = F.when(F.col("is_last") & F.col(PREV).isNotNull(), F.struct(
+        F.col(PREV).alias("context_item"), F.col(ITEM).alias("target_item"), F.col("_c"), F.col("_i").alias("label")))
+    counts = named.groupBy(order_col, F.col("_i").cast("int").alias("_i")).agg(
+        F.sum(F.when(F.col("is_last"), 0.0).otherwise(1.0)).alias("n"), F.max(goal).alias("goal"))
+    both = counts.groupBy(order_col).agg(
+        F.collect_list(F.when(F.col("n") > 0, F.struct("_i", "n"))).alias("_held"), F.max("goal").alias("goal"))
+    made = both.where("goal is not null").select(
+        order_col, "goal.context_item", "goal.target_item", _counts_vector(F.col("_held"), width).alias("_counts"),
+        _counts_vector(F.array(F.struct(F.col("goal._c").cast("int").alias("_i"), F.lit(1.0).alias("n"))), width).alias("_context"),
+        "goal.label")
+    # the sizes are told: the assembler would run the job for its first row to see them
+    for c in ("_counts", "_context"):
+        made = VectorSizeHint(inputCol=c, size=width, handleInvalid="optimistic").transform(made)
+    made = VectorAssembler(inputCols=["_counts", "_context"], outputCol="features").transform(made)
     return made.select(order_col, "context_item", "target_item", "features", "label")
 
 
 def fit_classifier(train_feats: DataFrame, max_iter: int = 50, reg_param: float = 0.01):
     """Multinomial logistic regression on ``history_features`` rows."""
     data = cut_lineage(train_feats.select("features", "label"))
+    # the written rows are small and in few files: every round would keep few cores busy
+    data = data.repartition(layout_partitions(data.count(), at_least=1))
     lr = LogisticRegression(family="multinomial", maxIter=max_iter, regParam=reg_param,
                             featuresCol="features", labelCol="label")
     return lr.fit(data)

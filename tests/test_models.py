@@ -196,3 +196,18 @@ def test_history_features_by_hand(spark):
     assert feats[1]["label"] == 49 % 3 and feats[2]["label"] == 1
     w = feats[2]["features"].toArray().tolist()
     assert w[:half].index(1.0) == w[half:].index(1.0) == 3 and sum(w) == 2
+
+
+def test_history_features_run_no_job(spark):
+    """The widths of the vectors are known from the index: making the features
+    must not run the whole join and aggregation for a first row."""
+    rows = [(o, i, (o + i) % 4) for o in range(20) for i in range(4)]
+    seq = sequence_items(spark.createDataFrame(rows, "o long, s int, item int"), "o", ["s"], "item", partitions=2)
+    index = N.item_index(seq)
+    spark.sparkContext.setJobGroup("features-lazy", "")
+    try:
+        feats = N.history_features(seq, "o", index)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("features-lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert feats.count() == 20
