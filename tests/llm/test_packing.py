@@ -190,3 +190,11 @@ def test_matrices_round_trip(spark, width, matrix_rows, buffer, shard_bytes, mon
         if k in alone:                                  # the text comes back from the matrices
             ids = [i for _, some in sorted(parts) for i in some]
             assert ids[-1] == 50_256 and coder.decode(ids[:-1]) == (alone[k] or "")
+
+
+def test_byte_tokenizer_equals_the_whole_one_at_any_white_space():
+    from array import array
+    coder, rng = TOKENIZERS[1], random.Random(8)
+    for _ in range(5000):
+        text = "".join(rng.choice("ab \n\t\xa0\x1c,") if rng.random() < 0.5 else rng.choice("ab \n") for _ in range(rng.randrange(1, 9)))
+        assert coder.encode(text) == array(coder.kind, coder.coder.encode_ordinary(text)).tobytes()
