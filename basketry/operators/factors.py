@@ -7,6 +7,11 @@ equations that a sweep of the fit solves, with the item factors held fixed; so
 test orders need no place in the model, and scoring is one pass over their
 histories with the item factors (``MAX_ITEMS`` at most) at hand.
 
+ALS sends each order's factors to the blocks of its items in every sweep.  For
+``FEW_ITEMS`` items at most only the first sweep does: in the others a task solves
+the orders it has, with the item factors at hand, and adds up the items' normal
+equations, so that a sweep shuffles a row an item and part of the orders.
+
 The input's layout and the numbers of blocks follow from the data, not from the
 cores, so that the factors do not depend on them.
 """
@@ -20,9 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.epochs import basket_features, item_table, TEST
-from basketry.session import cut_lineage, fixed_layout, layout_partitions
+from basketry.session import cut_lineage, discard, fixed_layout, layout_partitions
 
 MAX_ITEMS = 200_000
+FEW_ITEMS = 1024                # equations of so many items are added up in a task
+PART_ROWS = 500_000             # counts in a part of the orders
+SLICE = 1 << 14                 # counts multiplied at a time
 BLOCKS = 8
 
 
@@ -55,11 +63,112 @@ def fit_item_factors(train: DataFrame, order_col: str, items: list, rank: int =
     if counts.isEmpty():
         return out
     rated = cut_lineage(counts.join(number_orders(counts, order_col), order_col).select("number", "place", "n"), "factor-rows")
-    rated = fixed_layout(rated, "number", layout_partitions(rated.count()))
-    als = ALS(rank=rank, maxIter=sweeps, regParam=reg, alpha=alpha, implicitPrefs=True, numUserBlocks=BLOCKS,
-              numItemBlocks=BLOCKS, userCol="number", itemCol="place", ratingCol="n", seed=seed)
-    for r in als.fit(rated).itemFactors.collect():              # items x rank numbers
+    n = rated.count()
+    few = len(items) <= FEW_ITEMS
+    als = ALS(rank=rank, maxIter=min(sweeps, 1) if few else sweeps, regParam=reg, alpha=alpha, implicitPrefs=True,
+              numUserBlocks=BLOCKS, numItemBlocks=BLOCKS, userCol="number", itemCol="place", ratingCol="n", seed=seed)
+    for r in als.fit(fixed_layout(rated, "number", layout_partitions(n))).itemFactors.collect():      # items x rank numbers
         out[r["id"]] = r["features"]
+    if few and sweeps > 1:
+        held = fixed_layout(rated, "number", layout_partitions(n, PART_ROWS)).groupBy("number").agg(
+            F.array_sort(F.collect_list(F.struct("place", "n"))).alias("h"))
+        held = cut_lineage(held.select(F.spark_partition_id().alias("part"), F.col("h.place").alias("places"),
+                                       F.col("h.n").alias("counts")), "factor-orders")
+        for _ in range(sweeps - 1):
+            out = swept_factors(held, out, reg, alpha)
+        discard(held)
+    return out
+
+
+def _equation_pass(factors: np.ndarray, reg: float, alpha: float):
+    """``(place, part, sums)``: for each part of the orders and item the sums of
+    its normal equation over the orders that have it, ``[matrix, right side, orders]``;
+    place -1: the orders' products alone.  An order's factors are single numbers."""
+    y = factors.astype(np.float64)
+    items, rank = y.shape
+    gram = y.T @ y
+
+    def add(total, lengths, places, counts):
+        starts = np.cumsum(lengths) - lengths
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        weight = alpha * counts
+        left, right = np.empty((len(lengths), rank, rank)), np.empty((len(lengths), rank))
+        for n in np.unique(lengths):                 # orders of as many items at a time
+            own = np.nonzero(lengths == n)[0]
+            at = starts[own][:, None] + np.arange(n)
+            some, w = y[places[at]], weight[at][:, :, None]
+            left[own] = gram + (some * w).transpose(0, 2, 1) @ some + reg * n * np.eye(rank)
+            right[own] = ((1 + w) * some).sum(axis=1)
+        x = np.linalg.solve(left, right[:, :, None])[:, :, 0].astype(np.float32).astype(np.float64)
+        total[items, :rank * rank] += (x.T @ x).ravel()
+        order = np.argsort(places, kind="stable")
+        row, place, weight = row[order], places[order], weight[order]
+        cuts = np.concatenate([[0], np.nonzero(np.diff(place))[0] + 1, [len(place)]])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own, w = x[row[a:b]], weight[a:b, None]
+            total[place[a]] += np.concatenate([((own * w).T @ own).ravel(), ((1 + w) * own).sum(axis=0), [b - a]])
+
+    def rows(part, total):
+        some = np.nonzero(total.any(axis=1))[0]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.where(some == items, -1, some), pa.int32()), pa.array(np.full(len(some), part), pa.int32()),
+             pa.array(total[some].tolist(), pa.list_(pa.float64()))], ["place", "part", "sums"])
+
+    def run(batches):
+        part, total = None, None
+        for batch in batches:
+            parts = batch.column(0).to_numpy()
+            lists = [batch.column(c) for c in (1, 2)]
+            lengths = np.diff(lists[0].offsets.to_numpy())
+            places, counts = (c.flatten().to_numpy() for c in lists)
+            ends = np.cumsum(lengths)
+            cuts = np.nonzero((np.diff(parts) != 0) | (np.diff(ends // SLICE) != 0))[0] + 1
+            cuts = [0, *cuts.tolist(), len(parts)] if len(parts) else [0]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if parts[a] != part:
+                    if total is not None:
+                        yield rows(part, total)
+                    part, total = parts[a], np.zeros((items + 1, rank * rank + rank + 1))
+                at = slice(ends[a] - lengths[a], ends[b - 1])
+                add(total, lengths[a:b], places[at], counts[at].astype(np.float64))
+        if total is not None:
+            yield rows(part, total)
+
+    return run
+
+
+def _added_pass(batches):
+    """Over partitions sorted by place: the sums of each place."""
+    place, total = None, None
+    for batch in batches:
+        out: list = []
+        for p, row in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if p != place:
+                out += [(place, total)] if total is not None else []
+                place, total = p, 0.0
+            total = total + row.values.to_numpy()
+        yield _sum_rows(out)
+    yield _sum_rows([(place, total)] if total is not None else [])
+
+
+def _sum_rows(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
+                                       pa.array([r[1].tolist() for r in rows], pa.list_(pa.float64()))], ["place", "sums"])
+
+
+def swept_factors(orders: DataFrame, factors: np.ndarray, reg: float, alpha: float) -> np.ndarray:
+    """The item factors after a sweep of alternating least squares: the factors of
+    ``orders`` (part, places, counts) from those of the items, and from them the
+    items' new ones.  Items that no order has keep theirs."""
+    sums = orders.mapInArrow(_equation_pass(factors, reg, alpha), "place int, part int, sums array<double>")
+    added = (sums.repartition("place").sortWithinPartitions("place", "part").select("place", "sums")
+             .mapInArrow(_added_pass, "place int, sums array<double>"))
+    found = {r["place"]: np.array(r["sums"]) for r in added.collect()}        # FEW_ITEMS and one at most
+    rank, out = factors.shape[1], factors.copy()
+    gram = found.pop(-1)[:rank * rank] if found else None
+    for place, s in found.items():
+        left = (gram + s[:rank * rank]).reshape(rank, rank) + reg * s[-1] * np.eye(rank)
+        out[place] = np.linalg.solve(left, s[rank * rank:-1])
     return out
 
 

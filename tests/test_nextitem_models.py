@@ -161,6 +161,28 @@ def test_factors_predict_better_than_chance_and_alike_on_any_layout(spark):
     assert rates[10] > 0.9 and rates[1] > 0.05
 
 
+def test_sweeps_by_sums_give_the_factors_of_als(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(o, (o % 3 * 4 + rng.randrange(6)) % 12) for o in range(300) for _ in range(rng.randint(1, 9))]
+    rows += [(None, 1), (7, None), (1000, 3)]
+    train = spark.createDataFrame(rows, "o bigint, item int").repartition(5)
+    asked = []
+
+    class Als(FA.ALS):
+        def __init__(self, **options):
+            asked.append(options["maxIter"])
+            super().__init__(**options)
+
+    monkeypatch.setattr(FA, "ALS", Als)
+    monkeypatch.setattr(FA, "SLICE", 64)
+    got = FA.fit_item_factors(train, "o", list(range(13)), rank=4, sweeps=6)
+    assert asked == [1]                        # the orders' factors are shuffled in one sweep only
+    monkeypatch.setattr(FA, "FEW_ITEMS", 0)
+    want = FA.fit_item_factors(train, "o", list(range(13)), rank=4, sweeps=6)
+    assert asked == [1, 6] and not got[12].any()
+    assert got == pytest.approx(want, rel=1e-4, abs=1e-5)
+
+
 def test_history_factors_solve_the_sweep(spark):
     rng = np.random.default_rng(1)
     y = rng.normal(size=(6, 3))
