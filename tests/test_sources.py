@@ -86,6 +86,22 @@ def test_spread_is_explicit(spark):
     assert spread(one, "id", None) is one
 
 
+def test_shuffle_files_go_when_a_scratch_table_is_written(spark):
+    import os
+
+    from basketry import session
+    key = next(k for k in session.WRITE_CONF if "shuffle" in k)
+    last = {k: spark.conf.get(k, None) for k in session.WRITE_CONF}
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for d in manager.localDirsString() for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    before = files()
+    shuffled = spark.range(100).repartition(3, "id")
+    table = session.cut_lineage(shuffled, "probe")
+    assert not files() - before
+    assert spark.conf.get(key, None) == last[key] and {k: spark.conf.get(k, None) for k in last} == last
+    assert shuffled.count() == table.count() == 100          # the frame can be used again
+
+
 def test_scratch_tables_can_be_dropped(spark):
     import os
 
