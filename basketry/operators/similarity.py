@@ -18,7 +18,8 @@ The vectors stay sparse and no table of all pairs is made:
   follow from the terms' idf at hand.  Blocks are as large as a task can hold of
   these, so that few copies of a vector are shuffled.
 * Two blocks are compared tile by tile: a product in single precision, with its
-  error allowed for, names the pairs that are compared in double precision.  A
+  error allowed for, names the pairs that are compared in double precision, once
+  those that meet under an earlier term, too, have been left out by bits.  A
   task keeps k nodes a node; the best k of these are kept by a window.
 
 Cosines are rounded to ``DIGITS`` before they are compared, so that equal ones tie
@@ -177,13 +178,19 @@ class _Side:
         out[self.row[held], at[held]] = self.weights[held]
         return out
 
+    def held_bits(self, some: np.ndarray) -> np.ndarray:
+        """Which of some terms each row has, a bit a term."""
+        bits = np.packbits(self.dense(some, bool), axis=1)
+        return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64)
+
 
 def _near_pairs(left: _Side, right: _Side, term: int, min_cosine: float, itself: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(i, j, cosine)``: the pairs of two tiles (``itself``: i < j of one) of at
-    least ``min_cosine`` that have no common term before ``term``.  The terms are
-    taken ``TERM_SLICE`` at a time."""
+    least ``min_cosine`` that have no common term before ``term``, so that products
+    are made of the terms from it on.  The terms are taken ``TERM_SLICE`` at a time."""
     terms = np.nonzero(left.held & right.held)[0]
-    slices = [terms[s:s + TERM_SLICE] for s in range(0, len(terms), TERM_SLICE)]
+    cut = int(np.searchsorted(terms, term))
+    early, slices = ([some[s:s + TERM_SLICE] for s in range(0, len(some), TERM_SLICE)] for some in (terms[:cut], terms[cut:]))
     rough = np.zeros((left.n, right.n), np.float32)
     for some in slices:
         rough += left.dense(some, np.float32) @ right.dense(some, np.float32).T
@@ -193,24 +200,25 @@ def _near_pairs(left: _Side, right: _Side, term: int, min_cosine: float, itself:
     if itself:
         near = np.triu(near, 1)
     i, j = np.nonzero(near)
-    sims, first = np.zeros(len(i)), np.ones(len(i), bool)
+    # pairs with a common term before this one belong to that term's list
+    for some in early:
+        x, y = left.held_bits(some), right.held_bits(some)
+        first = [~(x[i[s:s + 65536]] & y[j[s:s + 65536]]).any(axis=1) for s in range(0, len(i), 65536)]
+        first = np.concatenate([*first, np.empty(0, bool)])
+        i, j = i[first], j[first]
+    sims = np.zeros(len(i))
     if not len(i):
         return i, j, sims
     whole = len(i) > near.size // 16
     for some in slices:
         x, y = left.dense(some, np.float64), right.dense(some, np.float64)
-        early = int(np.searchsorted(some, term))
         if whole:
             sims += (x @ y.T)[i, j]
-            if early:
-                first &= ((x[:, :early] > 0).astype(np.float32) @ (y[:, :early] > 0).astype(np.float32).T)[i, j] == 0
             continue
         for s in range(0, len(i), 1024):
-            p, q = x[i[s:s + 1024]], y[j[s:s + 1024]]
-            sims[s:s + 1024] += (p * q).sum(axis=1)
-            first[s:s + 1024] &= ~((p[:, :early] > 0) & (q[:, :early] > 0)).any(axis=1)
+            sims[s:s + 1024] += (x[i[s:s + 1024]] * y[j[s:s + 1024]]).sum(axis=1)
     sims = np.round(sims, DIGITS)
-    good = first & (sims >= min_cosine)
+    good = sims >= min_cosine
     return i[good], j[good], sims[good]
 
 

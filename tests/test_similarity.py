@@ -100,3 +100,35 @@ def test_filed_vectors_are_a_few_bytes_a_term(spark):
         assert len(r["terms"]) == 2 * n and len(r["counts"]) == (n if most < 256 else 8 * n)
     assert S.block_rows(nodes) == S.LARGEST
     assert found(S.cosine_topk(stats, 4, 0.5)) == brute(docs, 4, 0.5)
+
+
+def test_pairs_of_an_earlier_term_are_not_compared_exactly(monkeypatch):
+    """Rows alike under a rare term, met again under a frequent one: there the
+    products are made of the later terms only, and no pair is taken to double precision."""
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    idf, made, plain = np.ones(200), [], S._Side.dense
+    def side(terms):
+        rows = [np.array(t, np.uint16) for t in terms]
+        return S._Side(pd.DataFrame({"terms": [t.tobytes() for t in rows], "counts": [np.ones(len(t), np.uint8).tobytes() for t in rows],
+                                     "norm": [math.sqrt(len(t)) for t in rows], "a": 1.0, "b": 1.0}), idf)
+    def dense(self, some, kind):
+        made.append((len(some), np.dtype(kind)))
+        return plain(self, some, kind)
+    monkeypatch.setattr(S._Side, "dense", dense)
+    alike = side([sorted({0, *range(100, 150)} - {int(rng.integers(101, 150))}) for _ in range(40)])
+    i, j, sims = S._near_pairs(alike, alike, 0, 0.9, True)
+    assert len(i) == 40 * 39 // 2 and sims.min() >= 0.9
+    made.clear()
+    assert not len(S._near_pairs(alike, alike, 100, 0.9, True)[0])
+    assert not [k for n, k in made if k == np.float64] and all(n <= 50 for n, k in made if k == np.float32)
+    # the same pairs as by all products, in tiles of all terms
+    some = side([sorted(set(rng.integers(0, 12, 6).tolist())) for _ in range(50)])
+    got = set()
+    for term in range(12):
+        i, j, sims = S._near_pairs(some, some, term, 0.5, True)
+        got |= {(a, b, v) for a, b, v in zip(i.tolist(), j.tolist(), sims.tolist())}
+    full = plain(some, np.arange(200), np.float64)
+    product = np.round(full @ full.T, S.DIGITS)
+    assert got == {(a, b, product[a, b]) for a in range(50) for b in range(a + 1, 50) if product[a, b] >= 0.5}
